@@ -1,0 +1,6 @@
+"""No streaming operators.
+
+The attribute jobs are daily batch snapshots keyed by ``stat_date``; they
+have no unbounded input, watermark, event-time window or state. Incremental
+days are handled by dated scans and dynamic partition overwrite instead.
+"""
