@@ -108,4 +108,95 @@ def build() -> dict[str, str]:
             cast(max(n_items) filter (where n_items > 0) as bigint) as max_items from devs""")
     o["features_parsed"] = _q(FEATURE_VIEWS, feature_ctes() + parse_ctes("feats"),
                               "select device_id, idx, value from parsed")
+    _labels(o)
     return o
+
+
+def _case(answer: str, classes: dict, default) -> str:
+    whens = " ".join(f"when '{a}' then {float(c)}e0" for a, c in classes.items())
+    other = f"{float(default)}e0" if default is not None else "null"
+    return f"case {answer} {whens} else {other} end"
+
+
+def answer_rows_sql(attribute: str) -> str:
+    """Pre-dedup (device_id, label) rows of one questionnaire attribute."""
+    from ..operators.labels import CHILD_STAGE_RULES, answer_rule
+    if attribute == "child":
+        src, col, classes, default, single, selected = (
+            "child_stage", "child_stage", CHILD_STAGE_RULES, None, False, tuple(CHILD_STAGE_RULES))
+    else:
+        r = answer_rule(attribute)
+        src, col, classes, default, single, selected = (
+            "questionnaire", r.column, r.classes, r.default, r.single_choice, r.selected)
+    conds = ["device_id is not null", f"{col} is not null", f"{col} <> ''"]
+    if selected:
+        conds.append(f"{col} in ({', '.join(repr(x) for x in selected)})")
+    if single:
+        conds.append(f"length({col}) = 1")
+    return (f"select device_id, {_case(col, classes, default)} as label from {src} "
+            f"where {' and '.join(conds)}")
+
+
+def _labels(o: dict[str, str]) -> None:
+    from ..operators.labels import QUESTION_RULES
+    o["scan_dated"] = _q(("users_info",), [], f"""select user_id, sex, birthdate from users_info
+        where stat_date = {D}""")
+    o["filter_not_null"] = _q(("device_rel",), [], f"""select uid, device_id from device_rel
+        where stat_date = {D} and uid is not null and device_id is not null""")
+    o["filter_answered"] = _q(("questionnaire",), [], "select device_id, q8 from questionnaire where q8 <> ''")
+    o["filter_in_set"] = _q(("questionnaire",), [],
+                            "select device_id, q4 from questionnaire where q4 in ('A', 'B', 'C', 'D')")
+    o["join_user_device"] = _q(("users_info", "device_rel"), [], f"""
+        select r.device_id, u.user_id, u.sex from users_info u join device_rel r on u.user_id = r.uid
+        where u.stat_date = {D} and r.stat_date = {D} and u.sex in (1, 2)""")
+    gender_rows = f"""select r.device_id, case when u.sex = 2 then 1.0e0 else 0.0e0 end as label
+        from users_info u join device_rel r on u.user_id = r.uid
+        where u.stat_date = {D} and r.stat_date = {D} and u.sex in (1, 2) and r.device_id is not null"""
+    gender = f"select device_id, min(label) as label from ({gender_rows}) g group by device_id"
+    o["label_gender"] = _q(("users_info", "device_rel"), [], gender)
+    year = int(str(D)[:4])
+    o["label_age"] = _q(("users_info", "device_rel"), [], f"""
+        select device_id, min(label) as label from (
+          select trim(device_id) as device_id,
+                 case when age between 7 and 14 then 0.0e0 when age between 15 and 22 then 1.0e0
+                      when age between 23 and 35 then 2.0e0 when age between 36 and 45 then 3.0e0
+                      when age between 46 and 76 then 4.0e0 end as label
+          from (select r.device_id,
+                       {year} - try_cast(trim(substr(trim(u.birthdate), 1, 4)) as integer) as age
+                from users_info u join device_rel r on u.user_id = r.uid
+                where u.stat_date = {D} and r.stat_date = {D} and length(u.birthdate) > 0
+                  and r.device_id is not null and u.birthdate is not null) a) b
+        where label is not null group by device_id""")
+    o["label_marital_age"] = _q(("age_collect",), [], f"""
+        select device_id, min(label) as label from (
+          select device_id, case when try_cast(age as integer) <= 35 then 0.0e0
+                                 when try_cast(age as integer) > 35 then 1.0e0 end as label
+          from age_collect where stat_date = {D} and device_id is not null) a
+        where label is not null group by device_id""")
+    for attr in QUESTION_RULES:
+        o[f"label_{attr}"] = _q(("questionnaire",), [], f"""
+            select device_id, min(label) as label from ({answer_rows_sql(attr)}) a
+            where label is not null group by device_id""")
+    o["label_child"] = _q(("child_stage",), [], f"""
+        select device_id, min(label) as label from ({answer_rows_sql('child')}) a
+        where label is not null group by device_id""")
+    parts = " union all ".join(
+        f"select '{a}' as attribute, device_id, label from ({answer_rows_sql(a)}) x{i}"
+        for i, a in enumerate(list(QUESTION_RULES) + ["child"]))
+    o["labels_long"] = _q(("questionnaire", "child_stage"), [], f"""
+        select attribute, device_id, min(label) as label from ({parts}) u
+        where label is not null group by attribute, device_id""")
+    o["dedup_labels"] = _q(("questionnaire", "users_info", "device_rel"), [], f"""
+        select attribute, cast(sum(n) as bigint) as n_rows, count(*) as n_devices, sum(label) as label_sum
+        from (select attribute, device_id, count(*) as n, min(label) as label from (
+                select 'parent' as attribute, device_id, label from ({answer_rows_sql('parent')}) p
+                where label is not null
+                union all select 'gender' as attribute, device_id, label from ({gender_rows}) g) u
+              group by attribute, device_id) d group by attribute""")
+    o["label_distribution"] = _q(("users_info", "device_rel"), [], f"""
+        select label, n, cast(sum(n) over () as bigint) as total, n / sum(n) over () as ratio
+        from (select label, count(*) as n from ({gender}) g group by label) c""")
+    o["label_distribution_str"] = _q(("child_stage",), [], """
+        select label, n, cast(sum(n) over () as bigint) as total, n / sum(n) over () as ratio
+        from (select child_stage as label, count(*) as n from child_stage
+              where device_id is not null and child_stage is not null group by child_stage) c""")

@@ -96,3 +96,114 @@ def _features_parsed(ctx: JobContext) -> DataFrame:
     p = ctx.parsed
     return p.select("device_id", F.inline(F.arrays_zip(
         F.col("indices").alias("idx"), F.col("values").alias("value"))))
+
+
+# --- filters and labels ---------------------------------------------------------
+
+from ..operators import labels as lbl  # noqa: E402
+from ..sources import snapshot as snap  # noqa: E402
+
+
+@query("scan_dated")
+def _scan_dated(ctx: JobContext) -> DataFrame:
+    """SRC-1: dated snapshot scan with a projection."""
+    return snap.dated_scan(ctx.view("users_info"), ctx.job_date, ["user_id", "sex", "birthdate"])
+
+
+@query("filter_not_null")
+def _filter_not_null(ctx: JobContext) -> DataFrame:
+    """FLT-1: device relation rows with both ids present."""
+    rows = snap.dated_scan(ctx.view("device_rel"), ctx.job_date, ["uid", "device_id"])
+    return snap.not_null(rows, "uid", "device_id")
+
+
+@query("filter_answered")
+def _filter_answered(ctx: JobContext) -> DataFrame:
+    """FLT-2: questionnaire rows with a non-empty car answer."""
+    return lbl.answered_rows(ctx.view("questionnaire"), "q8")
+
+
+@query("filter_in_set")
+def _filter_in_set(ctx: JobContext) -> DataFrame:
+    """FLT-3: marital answers within the selected set."""
+    q = ctx.view("questionnaire").select("device_id", "q4")
+    return q.where(F.col("q4").isin(*lbl.MARITAL_SELECTED))
+
+
+@query("join_user_device")
+def _join_user_device(ctx: JobContext) -> DataFrame:
+    """JOIN-1: users with sex 1 or 2 joined to their devices."""
+    return lbl.user_devices(ctx.view("users_info"), ctx.view("device_rel"), ctx.job_date,
+                            ["sex"], F.col("sex").isin(1, 2)).select("device_id", "user_id", "sex")
+
+
+@query("label_gender")
+def _label_gender(ctx: JobContext) -> DataFrame:
+    """LBL-1."""
+    return lbl.gender_label(ctx.view("users_info"), ctx.view("device_rel"), ctx.job_date)
+
+
+@query("label_age")
+def _label_age(ctx: JobContext) -> DataFrame:
+    """LBL-2."""
+    return lbl.age_label(ctx.view("users_info"), ctx.view("device_rel"), ctx.job_date)
+
+
+@query("label_marital_age")
+def _label_marital_age(ctx: JobContext) -> DataFrame:
+    """LBL-3."""
+    return lbl.marital_from_age(ctx.view("age_collect"), ctx.job_date)
+
+
+def _register_question(attribute: str, ident: str) -> None:
+    def fn(ctx: JobContext) -> DataFrame:
+        return lbl.question_label(ctx.view("questionnaire"), attribute)
+    fn.__doc__ = f"{ident}: questionnaire labels of {attribute}."
+    query(f"label_{attribute}")(fn)
+
+
+for _attr, _ident in (("marital", "LBL-4"), ("parent", "LBL-5"), ("car", "LBL-7"),
+                      ("consumption", "LBL-8"), ("estate", "LBL-9"), ("income", "LBL-10"),
+                      ("education", "LBL-11"), ("career", "LBL-12")):
+    _register_question(_attr, _ident)
+
+
+@query("label_child")
+def _label_child(ctx: JobContext) -> DataFrame:
+    """LBL-6."""
+    return lbl.child_label(ctx.view("child_stage"))
+
+
+@query("labels_long")
+def _labels_long(ctx: JobContext) -> DataFrame:
+    """LBL-0: all questionnaire and child-stage labels from one scan."""
+    return lbl.questionnaire_long(ctx.view("questionnaire"), ctx.view("child_stage"))
+
+
+@query("dedup_labels")
+def _dedup_labels(ctx: JobContext) -> DataFrame:
+    """AGG-1: labelled rows before and devices after the per-device dedup."""
+    rows = lbl.answer_labels(ctx.view("questionnaire"), lbl.answer_rule("parent"))
+    shared = lbl.gender_rows(ctx.view("users_info"), ctx.view("device_rel"), ctx.job_date)
+    both = (rows.withColumn("attribute", F.lit("parent"))
+            .unionByName(shared.withColumn("attribute", F.lit("gender"))))
+    per_dev = both.groupBy("attribute", "device_id").agg(
+        F.count(F.lit(1)).alias("n"), F.min("label").alias("label"))
+    return per_dev.groupBy("attribute").agg(
+        F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_devices"),
+        F.sum("label").alias("label_sum"))
+
+
+@query("label_distribution")
+def _label_distribution(ctx: JobContext) -> DataFrame:
+    """AGG-3: class counts and ratios of the gender labels."""
+    return lbl.distribution(
+        lbl.gender_label(ctx.view("users_info"), ctx.view("device_rel"), ctx.job_date))
+
+
+@query("label_distribution_str")
+def _label_distribution_str(ctx: JobContext) -> DataFrame:
+    """AGG-4: distribution of a text label (child stage answers as given)."""
+    rows = snap.not_null(ctx.view("child_stage").select("device_id", "child_stage"),
+                         "device_id", "child_stage")
+    return lbl.distribution(rows, "child_stage")
