@@ -109,6 +109,8 @@ def build() -> dict[str, str]:
     o["features_parsed"] = _q(FEATURE_VIEWS, feature_ctes() + parse_ctes("feats"),
                               "select device_id, idx, value from parsed")
     _labels(o)
+    _dataset(o)
+    _metrics(o)
     return o
 
 
@@ -200,3 +202,105 @@ def _labels(o: dict[str, str]) -> None:
         select label, n, cast(sum(n) over () as bigint) as total, n / sum(n) over () as ratio
         from (select child_stage as label, count(*) as n from child_stage
               where device_id is not null and child_stage is not null group by child_stage) c""")
+
+
+GENDER_ROWS = f"""select r.device_id, case when u.sex = 2 then 1.0e0 else 0.0e0 end as label
+    from users_info u join device_rel r on u.user_id = r.uid
+    where u.stat_date = {D} and r.stat_date = {D} and u.sex in (1, 2) and r.device_id is not null"""
+GENDER = f"select device_id, min(label) as label from ({GENDER_ROWS}) g group by device_id"
+BUCKET = "cast('0x' || substr(md5(cast({k} as varchar)), 1, 8) as bigint) % 100"
+
+
+def gender_dataset_ctes() -> list[tuple[str, str]]:
+    return feature_ctes() + parse_ctes("feats") + [
+        ("gl", GENDER),
+        ("pdev", "select distinct device_id from parsed"),
+        ("gds", """select p.device_id, coalesce(g.label, -1.0e0) as label
+            from pdev p left join gl g on p.device_id = g.device_id"""),
+    ]
+
+
+GENDER_DS_VIEWS = ("app_catalog", "user_installs", "users_info", "device_rel")
+
+
+def _dataset(o: dict[str, str]) -> None:
+    o["join_features_labels"] = _q(GENDER_DS_VIEWS, feature_ctes() + [("gl", GENDER)], """
+        select f.device_id, coalesce(g.label, -1.0e0) as label from feats f left join gl g
+        on f.device_id = g.device_id""")
+    o["split_labelled"] = _q(GENDER_DS_VIEWS, gender_dataset_ctes(), """
+        select device_id, label, case when label <> -1.0e0 then 'labelled' else 'unlabelled' end as part
+        from gds""")
+    bucket = BUCKET.format(k="device_id")
+    o["split_train_valid"] = _q(GENDER_DS_VIEWS, gender_dataset_ctes(), f"""
+        select device_id, label, case when {bucket} < {C.TRAIN_PERCENT} then 'train' else 'valid' end as part
+        from gds where label <> -1.0e0""")
+    o["dataset_counts"] = _q(GENDER_DS_VIEWS, gender_dataset_ctes(), f"""
+        select count(*) as n_total,
+               count(*) filter (where label <> -1.0e0) as n_labelled,
+               count(*) filter (where label = -1.0e0) as n_unlabelled,
+               count(*) filter (where label <> -1.0e0 and {bucket} < {C.TRAIN_PERCENT}) as n_train,
+               count(*) filter (where label <> -1.0e0 and not ({bucket} < {C.TRAIN_PERCENT})) as n_valid
+        from gds""")
+
+
+def cum_ctes(source: str, score: str) -> list[tuple[str, str]]:
+    return [
+        ("sc", f"""select {score} as score, count(*) filter (where label > 0.5e0) as tp,
+            count(*) filter (where not (label > 0.5e0)) as fp from {source} group by {score}"""),
+        ("cum", """select score, tp, fp,
+            sum(tp) over (order by score desc rows between unbounded preceding and current row) as cum_tp,
+            sum(fp) over (order by score desc rows between unbounded preceding and current row) as cum_fp
+            from sc"""),
+        ("tot", "select sum(tp) as p, sum(fp) as n from sc"),
+    ]
+
+
+HARD = ("hard", """select id, score, label,
+    case when score > 0.5e0 then 1.0e0 else 0.0e0 end as prediction from scored""")
+
+
+def _auc_sql() -> str:
+    return """select cast(sum(cast(fp as hugeint) * (2 * cum_tp - tp)) as double)
+        / cast(2 * max(p) * max(n) as double) as auc from cum, tot"""
+
+
+F1_CTE = ("f1s", """select score as threshold,
+    case when pr + rc = 0 then 0.0e0 else 2.0e0 * pr * rc / (pr + rc) end as f1 from (
+      select score, cast(cum_tp as double) / cast(cum_tp + cum_fp as double) as pr,
+             cast(cum_tp as double) / cast(p as double) as rc from cum, tot) x""")
+
+
+def _metrics(o: dict[str, str]) -> None:
+    v = ("scored",)
+    o["roc_curve"] = _q(v, cum_ctes("scored", "score"), """
+        select cast(cum_fp as double) / cast(n as double) as fpr,
+               cast(cum_tp as double) / cast(p as double) as tpr from cum, tot
+        union all select 0.0e0 as fpr, 0.0e0 as tpr
+        union all select 1.0e0 as fpr, 1.0e0 as tpr""")
+    o["auc_scores"] = _q(v, cum_ctes("scored", "score"), _auc_sql())
+    o["auc_hard"] = _q(v, [HARD] + cum_ctes("hard", "prediction"), _auc_sql())
+    o["accuracy"] = _q(v, [HARD], """select count(*) filter (where prediction = label) / count(*)
+        as accuracy from hard""")
+    o["f1_by_threshold"] = _q(v, cum_ctes("scored", "score") + [F1_CTE], "select threshold, f1 from f1s")
+    o["best_threshold"] = _q(v, cum_ctes("scored", "score") + [F1_CTE],
+                             "select threshold, f1 from f1s order by f1 desc, threshold desc limit 1")
+    low = C.DEFAULT_THRESHOLD - C.THRESHOLD_TOLERANCE
+    high = C.DEFAULT_THRESHOLD + C.THRESHOLD_TOLERANCE
+    o["refined_threshold"] = _q(v, cum_ctes("scored", "score") + [F1_CTE], f"""
+        select threshold as best_threshold, f1 as best_f1,
+               case when threshold >= {low!r}e0 and threshold <= {high!r}e0 then threshold
+                    else {C.DEFAULT_THRESHOLD!r}e0 end as threshold
+        from (select threshold, f1 from f1s order by f1 desc, threshold desc limit 1) b""")
+    o["confusion_counts"] = _q(v, [HARD], """select label, prediction, count(*) as n from hard
+        group by label, prediction""")
+    o["per_class_metrics"] = _q(v, [HARD], """
+        select label, pr as precision, rc as recall,
+               case when pr + rc = 0 then 0.0e0 else 2.0e0 * pr * rc / (pr + rc) end as f1
+        from (select l.label,
+                     case when coalesce(pp.predicted, 0) = 0 then 0.0e0
+                          else cast(l.tp as double) / cast(pp.predicted as double) end as pr,
+                     cast(l.tp as double) / cast(l.actual as double) as rc
+              from (select label, sum(case when label = prediction then 1 else 0 end) as tp,
+                           count(*) as actual from hard group by label) l
+              left join (select prediction, count(*) as predicted from hard group by prediction) pp
+              on l.label = pp.prediction) x""")

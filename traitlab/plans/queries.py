@@ -207,3 +207,110 @@ def _label_distribution_str(ctx: JobContext) -> DataFrame:
     rows = snap.not_null(ctx.view("child_stage").select("device_id", "child_stage"),
                          "device_id", "child_stage")
     return lbl.distribution(rows, "child_stage")
+
+
+# --- dataset assembly ---------------------------------------------------------------
+
+from ..operators import dataset as dsm  # noqa: E402
+from ..operators import metrics as met  # noqa: E402
+
+
+def _gender(ctx: JobContext) -> DataFrame:
+    return lbl.gender_label(ctx.view("users_info"), ctx.view("device_rel"), ctx.job_date)
+
+
+def _gender_dataset(ctx: JobContext) -> DataFrame:
+    return dsm.attach_labels(ctx.parsed, _gender(ctx))
+
+
+@query("join_features_labels")
+def _join_features_labels(ctx: JobContext) -> DataFrame:
+    """JOIN-2: every feature row with its gender label or -1."""
+    return dsm.attach_labels(ctx.features, _gender(ctx)).select("device_id", "label")
+
+
+@query("split_labelled")
+def _split_labelled(ctx: JobContext) -> DataFrame:
+    """SPL-2: devices with a parsed vector, marked labelled / unlabelled."""
+    ds = _gender_dataset(ctx)
+    part = F.when(dsm.is_labelled(), F.lit("labelled")).otherwise(F.lit("unlabelled"))
+    return ds.select("device_id", "label", part.alias("part"))
+
+
+@query("split_train_valid")
+def _split_train_valid(ctx: JobContext) -> DataFrame:
+    """SPL-1: labelled devices marked train / valid by the hash split."""
+    labelled, _ = dsm.split_labelled(_gender_dataset(ctx))
+    part = F.when(dsm.in_train("device_id"), F.lit("train")).otherwise(F.lit("valid"))
+    return labelled.select("device_id", "label", part.alias("part"))
+
+
+@query("dataset_counts")
+def _dataset_counts(ctx: JobContext) -> DataFrame:
+    """AGG-5: total / labelled / unlabelled / train / valid sizes."""
+    return dsm.counts(_gender_dataset(ctx))
+
+
+# --- metrics on the scored table ------------------------------------------------------
+
+def _scored(ctx: JobContext) -> DataFrame:
+    return ctx.view("scored")
+
+
+def _hard(ctx: JobContext) -> DataFrame:
+    s = _scored(ctx)
+    return s.withColumn("prediction", F.when(F.col("score") > 0.5, F.lit(1.0)).otherwise(F.lit(0.0)))
+
+
+@query("roc_curve")
+def _roc_curve(ctx: JobContext) -> DataFrame:
+    """EVAL-1."""
+    return met.roc_curve(_scored(ctx))
+
+
+@query("auc_scores")
+def _auc_scores(ctx: JobContext) -> DataFrame:
+    """EVAL-2 on scores."""
+    return met.auc(_scored(ctx))
+
+
+@query("auc_hard")
+def _auc_hard(ctx: JobContext) -> DataFrame:
+    """EVAL-2 on hard predictions, as the training jobs call it."""
+    return met.hard_auc(_hard(ctx))
+
+
+@query("accuracy")
+def _accuracy(ctx: JobContext) -> DataFrame:
+    """EVAL-3."""
+    return met.accuracy(_hard(ctx))
+
+
+@query("f1_by_threshold")
+def _f1_by_threshold(ctx: JobContext) -> DataFrame:
+    """EVAL-4."""
+    return met.f1_by_threshold(_scored(ctx))
+
+
+@query("best_threshold")
+def _best_threshold(ctx: JobContext) -> DataFrame:
+    """RNK-4."""
+    return met.best_threshold(met.f1_by_threshold(_scored(ctx)))
+
+
+@query("refined_threshold")
+def _refined_threshold(ctx: JobContext) -> DataFrame:
+    """ML-4 on the scored table."""
+    return met.refined_threshold(_scored(ctx))
+
+
+@query("per_class_metrics")
+def _per_class_metrics(ctx: JobContext) -> DataFrame:
+    """EVAL-5."""
+    return met.per_class_metrics(_hard(ctx))
+
+
+@query("confusion_counts")
+def _confusion_counts(ctx: JobContext) -> DataFrame:
+    """EVAL-6."""
+    return met.confusion_counts(_hard(ctx))
