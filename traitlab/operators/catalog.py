@@ -13,7 +13,11 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..sources.snapshot import dated_scan, not_null
 from .ordering import global_index
 
-CATALOG_ORDER = (F.col("installnum").desc(), F.col("appid").asc())
+
+
+def catalog_order() -> tuple:
+    """Installs descending, then item id: a total order."""
+    return (F.col("installnum").desc(), F.col("appid").asc())
 
 
 def catalog_rows(catalog: DataFrame, job_date: int | None) -> DataFrame:
@@ -36,7 +40,7 @@ def keep_max_installs(rows: DataFrame) -> DataFrame:
 
 def rank_catalog(dedup: DataFrame, partitions: int | None = None) -> DataFrame:
     """(appid, app_name, installnum, idx) with idx 0.. along the catalog order (RNK-1)."""
-    return global_index(dedup, CATALOG_ORDER, "idx", partitions)
+    return global_index(dedup, catalog_order(), "idx", partitions)
 
 
 def top_k(dedup: DataFrame, k: int) -> DataFrame:
@@ -45,8 +49,8 @@ def top_k(dedup: DataFrame, k: int) -> DataFrame:
     ``orderBy().limit(k)`` plans as TakeOrderedAndProject: every task keeps
     its own k best rows, so the final single-task window sees at most k rows.
     """
-    best = dedup.orderBy(*CATALOG_ORDER).limit(k)
-    w = Window.orderBy(*CATALOG_ORDER)
+    best = dedup.orderBy(*catalog_order()).limit(k)
+    w = Window.orderBy(*catalog_order())
     return best.withColumn("idx", (F.row_number().over(w) - 1).cast("long"))
 
 

@@ -43,8 +43,8 @@ def roc_curve(scored: DataFrame, score: str = "score", label: str = "label") ->
     """(fpr, tpr) points from (0, 0) through each threshold to (1, 1) (EVAL-1)."""
     p, n = class_totals(scored, label)
     pts = cumulative(scored, score, label).select(
-        (F.col("cum_fp") / F.lit(float(n))).alias("fpr"),
-        (F.col("cum_tp") / F.lit(float(p))).alias("tpr"))
+        F.try_divide(F.col("cum_fp"), F.lit(float(n))).alias("fpr"),
+        F.try_divide(F.col("cum_tp"), F.lit(float(p))).alias("tpr"))
     spark = scored.sparkSession
     ends = spark.createDataFrame([(0.0, 0.0), (1.0, 1.0)], "fpr double, tpr double")
     return pts.unionByName(ends)
@@ -62,7 +62,7 @@ def auc(scored: DataFrame, score: str = "score", label: str = "label") -> DataFr
             * (F.lit(2) * F.col("cum_tp") - F.col("tp")).cast("decimal(38,0)"))
     num = c.agg(F.sum(term).alias("num"))
     den = float(2 * p * n)
-    return num.select((F.col("num").cast("double") / F.lit(den)).alias("auc"))
+    return num.select(F.try_divide(F.col("num").cast("double"), F.lit(den)).alias("auc"))
 
 
 def hard_auc(pred: DataFrame, prediction: str = "prediction", label: str = "label") -> DataFrame:
@@ -101,8 +101,8 @@ def refined_threshold(scored: DataFrame, score: str = "score", label: str = "lab
 
 def accuracy(pred: DataFrame, prediction: str = "prediction", label: str = "label") -> DataFrame:
     """Share of rows whose prediction equals the label (EVAL-3)."""
-    return pred.agg((F.count_if(F.col(prediction) == F.col(label))
-                     / F.count(F.lit(1))).alias("accuracy"))
+    return pred.agg(F.try_divide(F.count_if(F.col(prediction) == F.col(label)),
+                                 F.count(F.lit(1))).alias("accuracy"))
 
 
 def confusion_counts(pred: DataFrame, prediction: str = "prediction",

@@ -111,6 +111,7 @@ def build() -> dict[str, str]:
     _labels(o)
     _dataset(o)
     _metrics(o)
+    _misc(o)
     return o
 
 
@@ -304,3 +305,23 @@ def _metrics(o: dict[str, str]) -> None:
                            count(*) as actual from hard group by label) l
               left join (select prediction, count(*) as predicted from hard group by prediction) pp
               on l.label = pp.prediction) x""")
+
+
+def _misc(o: dict[str, str]) -> None:
+    o["job_date_normalise"] = _q((), [], """
+        select o_orderkey, job_time,
+               strftime(cast(make_date(y, 1, 1) + to_months(m - 1) + to_days(d - 1) as date), '%Y%m%d')
+               as job_date
+        from (select o_orderkey,
+                     lpad(cast(1992 + o_orderkey % 7 as varchar), 4, '0')
+                     || lpad(cast(1 + o_orderkey % 14 as varchar), 2, '0')
+                     || lpad(cast(1 + o_orderkey % 35 as varchar), 2, '0') as job_time,
+                     cast(1992 + o_orderkey % 7 as integer) as y, cast(1 + o_orderkey % 14 as integer) as m,
+                     cast(1 + o_orderkey % 35 as integer) as d
+              from orders) t""")
+    o["union_known_predicted"] = _q(GENDER_DS_VIEWS, gender_dataset_ctes() + [
+        ("ntok", "select device_id, count(*) as n from parsed group by device_id")], """
+        select g.device_id, g.label, false as is_predicted from gds g where g.label <> -1.0e0
+        union all
+        select g.device_id, cast(t.n % 2 as double) as label, true as is_predicted
+        from gds g join ntok t on g.device_id = t.device_id where g.label = -1.0e0""")

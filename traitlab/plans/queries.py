@@ -314,3 +314,112 @@ def _per_class_metrics(ctx: JobContext) -> DataFrame:
 def _confusion_counts(ctx: JobContext) -> DataFrame:
     """EVAL-6."""
     return met.confusion_counts(_hard(ctx))
+
+
+# --- dates ------------------------------------------------------------------------------
+
+from ..functions.dates import normalise_date_col  # noqa: E402
+
+
+@query("job_date_normalise")
+def _job_date_normalise(ctx: JobContext) -> DataFrame:
+    """DAT-1: run dates with out-of-range months and days, read leniently.
+
+    The yyyyMMdd texts are derived from order keys (months up to 14, days
+    up to 35) so every order row contributes one date to normalise.
+    """
+    o = ctx.tables["orders"].select("o_orderkey")
+    k = F.col("o_orderkey")
+    text = F.concat(F.lpad((F.lit(1992) + k % 7).cast("string"), 4, "0"),
+                    F.lpad((F.lit(1) + k % 14).cast("string"), 2, "0"),
+                    F.lpad((F.lit(1) + k % 35).cast("string"), 2, "0"))
+    return o.select("o_orderkey", text.alias("job_time"),
+                    normalise_date_col(text).alias("job_date"))
+
+
+# --- models and jobs ----------------------------------------------------------------------
+
+from ..operators import model as mdl  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sources import sinks  # noqa: E402
+from . import pipelines as pipe  # noqa: E402
+
+
+@query("union_known_predicted")
+def _union_known_predicted(ctx: JobContext) -> DataFrame:
+    """SET-1 with a deterministic stand-in scorer: unlabelled devices get
+    (number of parsed tokens) mod 2 as their predicted class."""
+    ds = _gender_dataset(ctx)
+    labelled, unlabelled = dsm.split_labelled(ds)
+    stand_in = unlabelled.select("device_id", (F.size("indices") % 2).cast("double").alias("label"))
+    return mdl.union_known_predicted(labelled.select("device_id", "label"), stand_in)
+
+
+@query("doc_features")
+def _doc_features(ctx: JobContext) -> DataFrame:
+    """PIPE-1 on documents: word catalog, ranked, encoded per document."""
+    return pipe.document_features(ctx)
+
+
+@query("train_binary")
+def _train_binary(ctx: JobContext) -> DataFrame:
+    """ML-1/ML-5 binary (documents, quality): validation predictions."""
+    vectors = pipe.vectors_from(pipe.document_features(ctx))
+    labelled, _ = dsm.split_labelled(dsm.attach_labels(vectors, ctx.view("doc_labels")))
+    res = mdl.build_model(labelled, 2, refine=True)
+    _, valid = dsm.split_train_valid(labelled)
+    return mdl.score(res.model, valid).select("device_id", "label", "prediction")
+
+
+@query("train_multiclass")
+def _train_multiclass(ctx: JobContext) -> DataFrame:
+    """ML-1/ML-5 multi-class (age bands, 5 classes): validation predictions."""
+    vectors = pipe.vectors_from(ctx.features)
+    labels = pipe.known_labels(ctx, "age")
+    labelled, _ = dsm.split_labelled(dsm.attach_labels(vectors, labels))
+    res = mdl.build_model(labelled, 5)
+    _, valid = dsm.split_train_valid(labelled)
+    return mdl.score(res.model, valid).select("device_id", "label", "prediction")
+
+
+@query("predict_unlabelled")
+def _predict_unlabelled(ctx: JobContext) -> DataFrame:
+    """ML-2: predicted quality of the documents without a label."""
+    res = pipe.infer_documents(ctx)
+    return res.output.where(F.col("is_predicted")).select("device_id", "label")
+
+
+@query("infer_quality")
+def _infer_quality(ctx: JobContext) -> DataFrame:
+    """Documents job: known plus predicted quality per document."""
+    return pipe.infer_documents(ctx).output
+
+
+def _register_infer(attribute: str, ident: str) -> None:
+    def fn(ctx: JobContext) -> DataFrame:
+        return pipe.infer(ctx, attribute).output
+    fn.__doc__ = f"{ident}: {attribute} job, known plus predicted labels."
+    query(f"infer_{attribute}")(fn)
+
+
+for _attr, _ident in (("gender", "PIPE-2"), ("age", "PIPE-3"), ("marital", "PIPE-4"),
+                      ("parent", "PIPE-5"), ("child", "PIPE-6"), ("car", "PIPE-7"),
+                      ("consumption", "PIPE-8"), ("estate", "PIPE-9"), ("income", "PIPE-10"),
+                      ("education", "PIPE-11"), ("career", "PIPE-12")):
+    _register_infer(_attr, _ident)
+
+
+@query("sink_overwrite_partition")
+def _sink_overwrite_partition(ctx: JobContext) -> DataFrame:
+    """SNK-1: write two dates, overwrite the first again, read all back.
+
+    Dynamic overwrite must leave the second date in place, so the result
+    holds every feature row twice (once per date).
+    """
+    import uuid
+    path = scratch_path(ctx.spark, f"sink-{uuid.uuid4().hex}")
+    feats = ctx.features.persist()
+    for d in (ctx.job_date, ctx.job_date + 1, ctx.job_date):
+        sinks.overwrite_partitions(feats.withColumn("stat_date", F.lit(d)), path)
+    feats.unpersist()
+    return ctx.spark.read.parquet(path).select("device_id", "feature", "stat_date")

@@ -118,8 +118,8 @@ select cast(doc_id as string) as device_id,
 from {documents}
 """, """
 select cast(doc_id as string) as device_id,
-  array_to_string(list_transform(list_distinct(list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), w -> w != '')),
-                           w -> w || ':1'), ' ') as value,
+  array_to_string(list_transform(list_distinct(list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda w: w <> '')),
+                           lambda w: w || ':1'), ' ') as value,
   20180709 as stat_date
 from {documents}
 """)
@@ -130,7 +130,7 @@ from (select explode(array_distinct(filter(split(lower(text), '[^a-z]+'), w -> w
 group by w
 """, """
 select w as appid, w as app_name, count(*) as installnum, 20180709 as stat_date
-from (select unnest(list_distinct(list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), w -> w != ''))) as w
+from (select unnest(list_distinct(list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda w: w <> ''))) as w
       from {documents}) t
 group by w
 """)
