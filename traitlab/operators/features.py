@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import constants as C
-from ..functions.text import before_first, field, split_dropping_trailing
+from ..functions.text import before_first, split_dropping_trailing
 from ..sources.snapshot import dated_scan, not_null
 from .sizing import broadcast_if_small
 
@@ -66,7 +66,7 @@ def device_items(tokens: DataFrame, lookup: DataFrame, **join_opts) -> DataFrame
 
 def encode(items: DataFrame) -> DataFrame:
     """(device_id, feature) for devices with at least one item (FEAT-2, STR-5)."""
-    text = F.array_join(F.transform("items", lambda x: x["token"]), C.LIST_SEP)
+    text = F.concat_ws(C.LIST_SEP, F.col("items.token"))
     return items.where(F.size("items") > 0).select("device_id", text.alias("feature"))
 
 
@@ -96,39 +96,32 @@ def lookup_for(ranked: DataFrame, prefix: str, top_k: int | None) -> DataFrame:
 # --------------------------------------------------------------------------
 # FEAT-5: parse
 
-
-def _parse_token(tok: Column, dim: int) -> Column:
-    """struct(idx, value) of one ``..._wind_<idx>:<value>`` token, or nulls.
-
-    A token needs exactly two ``:`` fields and its left field exactly two
-    ``_wind_`` fields (trailing empty fields do not count); the index must
-    be an int in [0, dim) and the value a number.
-    """
-    t = F.trim(tok)
-    iv = split_dropping_trailing(t, C.VALUE_SEP)
-    left = F.trim(field(iv, 0))
-    parts = split_dropping_trailing(left, C.INDEX_MARKER)
-    idx = field(parts, 1).try_cast("int")
-    val = F.trim(field(iv, 1)).try_cast("double")
-    ok = ((F.size(iv) == 2) & (F.size(parts) == 2) & idx.isNotNull() & val.isNotNull()
-          & (idx >= 0) & (idx < dim))
-    return F.when(ok, F.struct(idx.alias("idx"), val.alias("value")))
+# A valid token, anchored at a token start (string start or one space):
+#   <left part without ":" and without the index marker> _wind_ <int>
+#   (trailing index markers) ":" <value> (trailing ":"), then a space or the end.
+# This is exactly "two ':' fields, and two '_wind_' fields in the left one"
+# when trailing empty fields do not count.
+_TOKEN = (r"(?:^| )(?:(?!_wind_)[^: ])*_wind_([+-]?[0-9]+)(?:_wind_)*"
+          r":([^: ]+):*(?= |\z)")
 
 
 def parse(features: DataFrame, dim: int = C.FEATURE_DIM) -> DataFrame:
     """(device_id, indices, values) per device with a non-empty result.
 
-    Row-local: split, parse and filter run as higher-order functions inside
-    the scan's codegen stage, without exploding or regrouping (FEAT-5,
-    FLT-7, FLT-8).
+    Row-local and shuffle-free: one regex pass per string finds the valid
+    tokens, array casts read index and value (malformed -> null), and one
+    filter keeps indexes in [0, dim) (FEAT-5, FLT-7, FLT-8).
     """
-    toks = F.split(F.col("feature"), C.LIST_SEP)
-    parsed = F.filter(F.transform(toks, lambda t: _parse_token(t, dim)),
-                      lambda p: p.isNotNull())
-    out = features.select("device_id", parsed.alias("p")).where(F.size("p") > 0)
-    return out.select("device_id",
-                      F.transform("p", lambda p: p["idx"]).alias("indices"),
-                      F.transform("p", lambda p: p["value"]).alias("values"))
+    pat = F.lit(_TOKEN)
+    raw = features.select(
+        "device_id",
+        F.regexp_extract_all("feature", pat, 1).try_cast("array<int>").alias("i"),
+        F.regexp_extract_all("feature", pat, 2).try_cast("array<double>").alias("v"))
+    kept = F.filter(F.arrays_zip("i", "v"),
+                    lambda p: p["i"].isNotNull() & p["v"].isNotNull()
+                    & (p["i"] >= 0) & (p["i"] < dim))
+    out = raw.select("device_id", kept.alias("p")).where(F.size("p") > 0)
+    return out.select("device_id", F.col("p.i").alias("indices"), F.col("p.v").alias("values"))
 
 
 def feature_rows(features: DataFrame, job_date: int | None) -> DataFrame:
@@ -153,10 +146,10 @@ def vectorize(parsed: DataFrame, dim: int = C.FEATURE_DIM, out_col: str = "featu
 
     vocab = CountVectorizerModel.from_vocabulary(
         [str(i) for i in range(dim)], inputCol="_idx_terms", outputCol=out_col, binary=True)
-    terms = F.transform("indices", lambda i: i.cast("string"))
+    terms = F.col("indices").cast("array<string>")
     if values == "binary":
         return vocab.transform(parsed.withColumn("_idx_terms", terms)).drop("_idx_terms")
-    ones = F.forall("values", lambda v: v == F.lit(1.0))
+    ones = (F.array_min("values") == F.lit(1.0)) & (F.array_max("values") == F.lit(1.0))
     binary = vocab.transform(parsed.where(ones).withColumn("_idx_terms", terms)).drop("_idx_terms")
     general = parsed.where(~ones).withColumn(out_col, _sparse_udf(dim)("indices", "values"))
     return binary.unionByName(general)

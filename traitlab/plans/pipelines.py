@@ -20,6 +20,7 @@ from ..operators import dataset as dsm
 from ..operators import features as feat
 from ..operators import labels as lbl
 from ..operators import model as mdl
+from ..session import checkpoint_dir
 from ..sources import sinks
 from .context import JobContext
 
@@ -126,12 +127,29 @@ def _long_output(df: DataFrame, attribute: str, job_date: int) -> DataFrame:
                      F.lit(int(job_date)).alias("stat_date"))
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and read it from there.
+
+    Used where the original jobs wrote a table between steps (the feature
+    table): later passes read the files instead of recomputing the plan,
+    and a lost executor costs a re-read, not a recomputation.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def infer_labels(vectors: DataFrame, labels: DataFrame, attribute: str, classes: int,
                  refine: bool, job_date: int, model_dir: str | None = None,
                  **params) -> Inference:
-    """Train on devices with a known label, predict the rest, union both."""
+    """Train on devices with a known label, predict the rest, union both.
+
+    Two passes over the vectors: one keeps the (small) labelled set, which
+    is persisted for training and for the known half of the output; one
+    scores the unlabelled devices.
+    """
     ds = dsm.attach_labels(vectors, labels)
-    labelled, unlabelled = dsm.split_labelled(ds)
+    labelled = ds.where(dsm.is_labelled()).persist(StorageLevel.MEMORY_AND_DISK)
+    unlabelled = ds.where(~dsm.is_labelled())
     result = mdl.build_model(labelled, classes, refine, model_dir=model_dir, name=attribute,
                              job_date=job_date, **params)
     predicted = mdl.predict(result.model, unlabelled)
@@ -143,7 +161,7 @@ def infer(ctx: JobContext, attribute: str, features: DataFrame | None = None,
           out_dir: str | None = None, model_dir: str | None = None, **params) -> Inference:
     """One attribute job (PIPE-2..12)."""
     spec = ATTRIBUTES[attribute]
-    vectors = vectors_from(features if features is not None else ctx.features)
+    vectors = vectors_from(features if features is not None else materialize(ctx.features))
     res = infer_labels(vectors, known_labels(ctx, attribute), attribute, spec.classes,
                        spec.refine, ctx.job_date, model_dir, **params)
     if out_dir:
@@ -164,7 +182,7 @@ def infer_all(ctx: JobContext, attributes: list[str] | None = None,
     applies every model in the same projection.
     """
     attributes = attributes or list(ATTRIBUTES)
-    vectors = vectors_from(features if features is not None else ctx.features)
+    vectors = vectors_from(features if features is not None else materialize(ctx.features))
     cols = [f"label_{a}" for a in attributes]
     wide = (label_source(ctx, attributes).groupBy("device_id")
             .pivot("attribute", attributes).agg(F.first("label")))
@@ -216,5 +234,5 @@ def infer_documents(ctx: JobContext, target: str = "quality", refine: bool = Tru
                     **params) -> Inference:
     """Binary inference of a partially known document label."""
     labels = ctx.view("doc_labels" if target == "quality" else "doc_labels_toxic")
-    vectors = vectors_from(document_features(ctx))
+    vectors = vectors_from(materialize(document_features(ctx)))
     return infer_labels(vectors, labels, target, 2, refine, ctx.job_date, **params)

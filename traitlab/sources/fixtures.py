@@ -111,11 +111,11 @@ _recipe("user_installs_push", ("orders", "lineitem"),
 # Documents play devices: the distinct lower-case words of a text are its
 # "installed items", and the labels table is the partially known attribute.
 _recipe("doc_items", ("documents",), """
-select cast(doc_id as string) as device_id,
-  concat_ws(' ', transform(array_distinct(filter(split(lower(text), '[^a-z]+'), w -> w != '')),
-                           w -> concat(w, ':1'))) as value,
+select device_id, case when size(w) > 0 then concat(array_join(w, ':1 '), ':1') else '' end as value,
   20180709 as stat_date
-from {documents}
+from (select cast(doc_id as string) as device_id,
+             array_distinct(array_remove(split(lower(text), '[^a-z]+'), '')) as w
+      from {documents}) t
 """, """
 select cast(doc_id as string) as device_id,
   array_to_string(list_transform(list_distinct(list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda w: w <> '')),
@@ -126,7 +126,7 @@ from {documents}
 
 _recipe("doc_catalog", ("documents",), """
 select w as appid, w as app_name, count(*) as installnum, 20180709 as stat_date
-from (select explode(array_distinct(filter(split(lower(text), '[^a-z]+'), w -> w != ''))) as w from {documents}) t
+from (select explode(array_distinct(array_remove(split(lower(text), '[^a-z]+'), ''))) as w from {documents}) t
 group by w
 """, """
 select w as appid, w as app_name, count(*) as installnum, 20180709 as stat_date
