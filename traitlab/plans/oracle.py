@@ -14,9 +14,9 @@ D = C.SAMPLE_JOB_DATE
 DIM = C.FEATURE_DIM
 
 
-def catalog_ctes() -> list[tuple[str, str]]:
+def catalog_ctes(catalog_view: str = "app_catalog") -> list[tuple[str, str]]:
     return [
-        ("cat_rows", f"""select appid, app_name, installnum from app_catalog
+        ("cat_rows", f"""select appid, app_name, installnum from {catalog_view}
             where stat_date = {D} and appid is not null and app_name is not null
               and installnum is not null"""),
         ("cat_dedup", """select appid, app_name, installnum from (
@@ -325,3 +325,10 @@ def _misc(o: dict[str, str]) -> None:
         union all
         select g.device_id, cast(t.n % 2 as double) as label, true as is_predicted
         from gds g join ntok t on g.device_id = t.device_id where g.label = -1.0e0""")
+
+    o["doc_features"] = _q(("doc_catalog", "doc_items"),
+                           catalog_ctes("doc_catalog") + items_ctes("doc_items", ""),
+                           "select device_id, feature from feats")
+    o["sink_overwrite_partition"] = _q(FEATURE_VIEWS, feature_ctes(), f"""
+        select device_id, feature, {D} as stat_date from feats
+        union all select device_id, feature, {D + 1} as stat_date from feats""")
