@@ -33,21 +33,48 @@ def score_counts(scored: DataFrame, score: str = "score", label: str = "label")
         F.count_if(_positive(label)).alias("tp"), F.count_if(~_positive(label)).alias("fp"))
 
 
+class ThresholdCurve:
+    """Cumulative counts along descending score, computed once and shared by
+    the ROC points, the AUC and the F1 curve of one scored set."""
+
+    def __init__(self, scored: DataFrame, score: str = "score", label: str = "label"):
+        counts = score_counts(scored, score, label)
+        # (score, tp, fp, cum_tp, cum_fp); checkpointed inside running_totals
+        self.cum = running_totals(counts, [F.col("score").desc()], ["tp", "fp"])
+        totals = self.cum.agg(F.sum("tp").alias("p"), F.sum("fp").alias("n")).first()
+        self.p, self.n = int(totals["p"] or 0), int(totals["n"] or 0)
+        self.spark = scored.sparkSession
+
+    def roc(self) -> DataFrame:
+        pts = self.cum.select(
+            F.try_divide(F.col("cum_fp"), F.lit(float(self.n))).alias("fpr"),
+            F.try_divide(F.col("cum_tp"), F.lit(float(self.p))).alias("tpr"))
+        ends = self.spark.createDataFrame([(0.0, 0.0), (1.0, 1.0)], "fpr double, tpr double")
+        return pts.unionByName(ends)
+
+    def auc(self) -> DataFrame:
+        term = (F.col("fp").cast("decimal(38,0)")
+                * (F.lit(2) * F.col("cum_tp") - F.col("tp")).cast("decimal(38,0)"))
+        num = self.cum.agg(F.sum(term).alias("num"))
+        den = float(2 * self.p * self.n)
+        return num.select(F.try_divide(F.col("num").cast("double"), F.lit(den)).alias("auc"))
+
+    def f1(self) -> DataFrame:
+        precision = F.col("cum_tp") / (F.col("cum_tp") + F.col("cum_fp"))
+        recall = F.col("cum_tp") / F.lit(float(self.p)) if self.p else F.lit(0.0)
+        f1 = F.when(precision + recall == 0, F.lit(0.0)).otherwise(
+            F.lit(2.0) * precision * recall / (precision + recall))
+        return self.cum.select(F.col("score").alias("threshold"), f1.alias("f1"))
+
+
 def cumulative(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
     """(score, tp, fp, cum_tp, cum_fp): counts at or above each score."""
-    return running_totals(score_counts(scored, score, label), [F.col("score").desc()],
-                          ["tp", "fp"])
+    return ThresholdCurve(scored, score, label).cum
 
 
 def roc_curve(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
     """(fpr, tpr) points from (0, 0) through each threshold to (1, 1) (EVAL-1)."""
-    p, n = class_totals(scored, label)
-    pts = cumulative(scored, score, label).select(
-        F.try_divide(F.col("cum_fp"), F.lit(float(n))).alias("fpr"),
-        F.try_divide(F.col("cum_tp"), F.lit(float(p))).alias("tpr"))
-    spark = scored.sparkSession
-    ends = spark.createDataFrame([(0.0, 0.0), (1.0, 1.0)], "fpr double, tpr double")
-    return pts.unionByName(ends)
+    return ThresholdCurve(scored, score, label).roc()
 
 
 def auc(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
@@ -56,13 +83,7 @@ def auc(scored: DataFrame, score: str = "score", label: str = "label") -> DataFr
     Each threshold adds fp * (cum_tp_before + cum_tp) / 2 / (P * N); the
     numerator is summed exactly as a 38-digit decimal and divided once.
     """
-    p, n = class_totals(scored, label)
-    c = cumulative(scored, score, label)
-    term = (F.col("fp").cast("decimal(38,0)")
-            * (F.lit(2) * F.col("cum_tp") - F.col("tp")).cast("decimal(38,0)"))
-    num = c.agg(F.sum(term).alias("num"))
-    den = float(2 * p * n)
-    return num.select(F.try_divide(F.col("num").cast("double"), F.lit(den)).alias("auc"))
+    return ThresholdCurve(scored, score, label).auc()
 
 
 def hard_auc(pred: DataFrame, prediction: str = "prediction", label: str = "label") -> DataFrame:
@@ -72,13 +93,7 @@ def hard_auc(pred: DataFrame, prediction: str = "prediction", label: str = "labe
 
 def f1_by_threshold(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
     """(threshold, f1) for every distinct score (EVAL-4)."""
-    p, _ = class_totals(scored, label)
-    c = cumulative(scored, score, label)
-    precision = F.col("cum_tp") / (F.col("cum_tp") + F.col("cum_fp"))
-    recall = F.col("cum_tp") / F.lit(float(p)) if p else F.lit(0.0)
-    f1 = F.when(precision + recall == 0, F.lit(0.0)).otherwise(
-        F.lit(2.0) * precision * recall / (precision + recall))
-    return c.select(F.col("score").alias("threshold"), f1.alias("f1"))
+    return ThresholdCurve(scored, score, label).f1()
 
 
 def best_threshold(f1: DataFrame) -> DataFrame:
@@ -90,7 +105,11 @@ def best_threshold(f1: DataFrame) -> DataFrame:
 def refined_threshold(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
     """(best_threshold, best_f1, threshold): the F1-best threshold is used
     only inside the default +/- tolerance, else the default (ML-4)."""
-    best = best_threshold(f1_by_threshold(scored, score, label))
+    return choose_threshold(best_threshold(f1_by_threshold(scored, score, label)))
+
+
+def choose_threshold(best: DataFrame) -> DataFrame:
+    """(best_threshold, best_f1, threshold) from a (threshold, f1) best row."""
     low = C.DEFAULT_THRESHOLD - C.THRESHOLD_TOLERANCE
     high = C.DEFAULT_THRESHOLD + C.THRESHOLD_TOLERANCE
     t = F.col("threshold")

@@ -57,14 +57,19 @@ def union_known_predicted(known: DataFrame, predicted: DataFrame) -> DataFrame:
                                           F.lit(True).alias("is_predicted"))))
 
 
-def evaluate(valid_scored: DataFrame, classes: int) -> dict[str, float]:
+def evaluate(valid_scored: DataFrame, classes: int,
+             curve: met.ThresholdCurve | None = None) -> dict[str, float]:
     """Validation scalars: hard AUC, score AUC and accuracy (binary);
-    accuracy and per-class precision / recall / F1 (multi-class)."""
+    accuracy and per-class precision / recall / F1 (multi-class).
+
+    ``curve`` (of the probability scores) is reused when given.
+    """
     report: dict[str, float] = {}
     report["accuracy"] = met.accuracy(valid_scored).first()["accuracy"]
     if classes == 2:
         report["auc_hard"] = met.hard_auc(valid_scored).first()["auc"]
-        report["auc"] = met.auc(valid_scored).first()["auc"]
+        curve = curve or met.ThresholdCurve(valid_scored)
+        report["auc"] = curve.auc().first()["auc"]
     else:
         for row in met.per_class_metrics(valid_scored).collect():
             k = int(row["label"])
@@ -74,14 +79,15 @@ def evaluate(valid_scored: DataFrame, classes: int) -> dict[str, float]:
     return report
 
 
-def refine_threshold(model: LogisticRegressionModel, valid: DataFrame) -> tuple[float, float]:
+def refine_threshold(model: LogisticRegressionModel, valid: DataFrame,
+                     curve: met.ThresholdCurve | None = None) -> tuple[float, float]:
     """Set the model threshold to the F1-best validation threshold when it
     lies within the default +/- tolerance, else to the default (ML-4).
 
     Returns (best threshold, threshold used).
     """
-    scored = score(model, valid)
-    row = met.refined_threshold(scored).first()
+    curve = curve or met.ThresholdCurve(score(model, valid))
+    row = met.choose_threshold(met.best_threshold(curve.f1())).first()
     model.setThreshold(float(row["threshold"]))
     return float(row["best_threshold"]), float(row["threshold"])
 
@@ -111,10 +117,14 @@ def build_model(labelled: DataFrame, classes: int, refine: bool = False,
     try:
         model = estimator(classes, **params).fit(train)
         result = TrainResult(model, classes)
-        result.report = evaluate(score(model, valid), classes)
+        scored = score(model, valid).select("label", "prediction", "score").persist()
+        curve = met.ThresholdCurve(scored) if classes == 2 else None
+        result.report = evaluate(scored, classes, curve)
+        scored.unpersist()
         if classes == 2 and refine:
-            result.best_threshold, result.threshold = refine_threshold(model, valid)
-            refined = evaluate(score(model, valid), classes)
+            # probabilities do not depend on the threshold: the curve is reused
+            result.best_threshold, result.threshold = refine_threshold(model, valid, curve)
+            refined = evaluate(score(model, valid), classes, curve)
             result.report.update({f"refined_{k}": v for k, v in refined.items()})
         if model_dir:
             from ..sources.sinks import save_model
