@@ -9,6 +9,7 @@ applies every model to each device row.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -173,7 +174,7 @@ def infer_all(ctx: JobContext, attributes: list[str] | None = None,
               features: DataFrame | None = None, out_dir: str | None = None,
               model_dir: str | None = None,
               label_source: Callable[[JobContext, list[str]], DataFrame] = all_known_labels,
-              **params) -> Inference:
+              parallelism: int = 4, **params) -> Inference:
     """All attribute jobs over shared work.
 
     Labels of every attribute are pivoted to one row per device (one
@@ -194,19 +195,25 @@ def infer_all(ctx: JobContext, attributes: list[str] | None = None,
         any_known = any_known | dsm.is_labelled(c)
     labelled = ds.where(any_known).persist(StorageLevel.MEMORY_AND_DISK)
 
-    results: dict[str, mdl.TrainResult] = {}
-    scored = ds
-    for a, c in zip(attributes, cols):
+    def fit(a: str, c: str) -> mdl.TrainResult:
         spec = ATTRIBUTES[a]
         train_set = labelled.where(dsm.is_labelled(c)).select(
             "device_id", "features", F.col(c).alias("label"))
-        res = mdl.build_model(train_set, spec.classes, spec.refine, model_dir=model_dir,
-                              name=a, job_date=ctx.job_date, **params)
-        results[a] = res
-        m = mdl.with_output_cols(res.model, f"_{a}")
-        scored = m.transform(scored).drop(m.getRawPredictionCol(), m.getProbabilityCol())
+        return mdl.build_model(train_set, spec.classes, spec.refine, model_dir=model_dir,
+                               name=a, job_date=ctx.job_date, **params)
+
+    # The models are independent: fitting them from several driver threads
+    # runs their small per-iteration jobs side by side on the executors.
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        futures = {a: pool.submit(fit, a, c) for a, c in zip(attributes, cols)}
+        results = {a: f.result() for a, f in futures.items()}
     labelled.unpersist()
 
+    scored = ds
+    for a in attributes:
+        m = mdl.with_output_cols(results[a].model, f"_{a}")
+        scored = m.transform(scored).drop(m.getRawPredictionCol(), m.getProbabilityCol())
+
     pairs = []
     for a, c in zip(attributes, cols):
         known = dsm.is_labelled(c)

@@ -423,3 +423,9 @@ def _sink_overwrite_partition(ctx: JobContext) -> DataFrame:
         sinks.overwrite_partitions(feats.withColumn("stat_date", F.lit(d)), path)
     feats.unpersist()
     return ctx.spark.read.parquet(path).select("device_id", "feature", "stat_date")
+
+
+@query("infer_all")
+def _infer_all(ctx: JobContext) -> DataFrame:
+    """PIPE-2..12 together: one label pivot, one join, one scoring pass."""
+    return pipe.infer_all(ctx).output
