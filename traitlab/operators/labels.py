@@ -221,14 +221,13 @@ def marital_from_age(age_collect: DataFrame, job_date: int) -> DataFrame:
 def distribution(labels: DataFrame, label_col: str = "label") -> DataFrame:
     """(label, n, total, ratio) per class (AGG-3 / AGG-4, any label type).
 
-    The total comes from a window over the per-class rows, a handful of
-    rows, after the partial-aggregated count.
+    Counts are partially aggregated per class; the total is one scalar
+    aggregate over the class rows, so no step gathers rows into one task.
     """
-    from pyspark.sql import Window
     per = labels.groupBy(F.col(label_col).alias("label")).agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(Window.partitionBy())
-    return per.select("label", "n", total.alias("total"),
-                      (F.col("n") / total).alias("ratio"))
+    total = per.agg(F.sum("n")).first()[0] or 0
+    return per.select("label", "n", F.lit(int(total)).cast("long").alias("total"),
+                      F.try_divide(F.col("n"), F.lit(int(total))).alias("ratio"))
 
 
 def answered_rows(questionnaire: DataFrame, column: str) -> DataFrame:
