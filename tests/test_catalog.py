@@ -51,3 +51,13 @@ def test_running_totals_match_python(spark):
         ca += a
         cb += b
         assert (cum_a, cum_b) == (ca, cb)
+
+
+def test_top_k_merge_and_index_paths_agree(spark):
+    df = spark.range(0, 3000).select(F.col("id").cast("string").alias("appid"),
+                                     F.lit("n").alias("app_name"),
+                                     (F.col("id") % 50).alias("installnum"))
+    a = [tuple(r) for r in cat.top_k(df, 120).orderBy("idx").collect()]
+    b = [tuple(r) for r in cat.top_k(df, 120, max_merge_rows=0).select(*df.columns, "idx")
+         .orderBy("idx").collect()]
+    assert a == b and len(a) == 120 and a[0][3] == 0

@@ -82,3 +82,17 @@ def test_vectorize_binary_and_general(spark):
     got = {r["device_id"]: r["features"] for r in feat.vectorize(df, dim=6).collect()}
     assert got["a"] == SparseVector(6, [1, 3], [1.0, 1.0])
     assert got["b"] == SparseVector(6, [2, 4], [1.0, 2.5])
+
+
+def test_hot_item_salted_join_keeps_every_row(spark):
+    # one item sits in a third of all install lists
+    rows = [(f"d{i}", "111:1" if i % 3 == 0 else f"11{2 + i % 3}:1 111:1") for i in range(300)]
+    installs = spark.createDataFrame(rows, "device_id string, value string").withColumn(
+        "stat_date", F.lit(20180709))
+    lookup = feat.lookup_for(_ranked(spark), "11", None)
+    tokens = feat.install_tokens(feat.install_rows(installs, 20180709))
+    a = feat.match_catalog(tokens, lookup)
+    b = feat.match_catalog(tokens, lookup, max_broadcast_rows=0, salt_buckets=8)
+    key = lambda df: sorted((r["device_id"], r["key"], r["idx"]) for r in df.collect())
+    assert key(a) == key(b)
+    assert len(key(b)) == 100 + 200 * 2

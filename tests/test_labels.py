@@ -88,3 +88,17 @@ def test_distribution_ratios_sum_to_one(spark, ctx001):
     rows = d.collect()
     assert abs(sum(r["ratio"] for r in rows) - 1.0) < 1e-12
     assert len({r["total"] for r in rows}) == 1
+
+
+def test_hot_device_dedup(spark):
+    # one device holds a third of all label rows
+    rows = [("hot", float(i % 2)) for i in range(100)] + [(f"d{i}", 1.0) for i in range(200)]
+    df = spark.createDataFrame(rows, "device_id string, label double").repartition(8)
+    got = {r["device_id"]: r["label"] for r in lbl.dedup(df).collect()}
+    assert len(got) == 201 and got["hot"] == 0.0
+
+
+def test_via_view_round_trip(spark):
+    from traitlab.sources.snapshot import via_view
+    df = spark.createDataFrame([("a", 1)], "k string, v int")
+    assert via_view(df, "tl_view_test").collect() == df.collect()

@@ -36,5 +36,7 @@ SAMPLE_JOB_DATE = 20180709
 # Size bounds that gate broadcasts and single-task steps. A side is broadcast
 # only after a count proves it is at most this many rows.
 BROADCAST_MAX_ROWS = 2_000_000
+# Most rows one task may merge for an ordered top-k (partitions x k).
+TOPK_MAX_MERGE_ROWS = 20_000_000
 # Salt buckets for the shuffle-join fallback of the catalog lookup.
 LOOKUP_SALT_BUCKETS = 16

@@ -18,11 +18,6 @@ def split_dropping_trailing(text: Column, sep: str) -> Column:
     return F.split(F.regexp_replace(text, f"(?:{literal})+$", ""), literal)
 
 
-def field(arr: Column, i: int) -> Column:
-    """Out-of-range safe element access (ANSI ``arr[i]`` throws)."""
-    return F.get(arr, i)
-
-
 def before_first(text: Column, sep: str) -> Column:
     """Text before the first ``sep`` (whole text if absent)."""
     return F.substring_index(text, sep, 1)

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from .. import constants as C
 from ..sources.snapshot import dated_scan, not_null
 from .ordering import global_index
 
@@ -43,15 +44,23 @@ def rank_catalog(dedup: DataFrame, partitions: int | None = None) -> DataFrame:
     return global_index(dedup, catalog_order(), "idx", partitions)
 
 
-def top_k(dedup: DataFrame, k: int) -> DataFrame:
+def top_k(dedup: DataFrame, k: int, max_merge_rows: int = C.TOPK_MAX_MERGE_ROWS,
+          ranked: DataFrame | None = None) -> DataFrame:
     """The k most installed items with their rank index (RNK-2).
 
     ``orderBy().limit(k)`` plans as TakeOrderedAndProject: every task keeps
-    its own k best rows, so the final single-task window sees at most k rows.
+    its own k best rows and one task merges them, at most
+    ``partitions * k`` rows. That is used only while this product is within
+    ``max_merge_rows``; otherwise (or when the ranked catalog is at hand) the
+    top k are the rows of the range-partitioned global index below k.
     """
-    best = dedup.orderBy(*catalog_order()).limit(k)
-    w = Window.orderBy(*catalog_order())
-    return best.withColumn("idx", (F.row_number().over(w) - 1).cast("long"))
+    parts = int(dedup.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if ranked is None and parts * k <= max_merge_rows:
+        best = dedup.orderBy(*catalog_order()).limit(k)
+        w = Window.orderBy(*catalog_order())
+        return best.withColumn("idx", (F.row_number().over(w) - 1).cast("long"))
+    ranked = ranked if ranked is not None else rank_catalog(dedup)
+    return ranked.where(F.col("idx") < k)
 
 
 def lookup_table(ranked: DataFrame, prefix: str = "") -> DataFrame:

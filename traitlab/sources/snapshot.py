@@ -38,3 +38,9 @@ def not_null(df: DataFrame, *columns: str) -> DataFrame:
 def answered(df: DataFrame, column: str) -> DataFrame:
     """Rows whose answer is non-empty text (FLT-2); null never passes ``!=``."""
     return df.where(F.col(column) != F.lit(""))
+
+
+def via_view(df: DataFrame, name: str) -> DataFrame:
+    """Register ``df`` as a temporary view and read it back by SQL (SRC-5)."""
+    df.createOrReplaceTempView(name)
+    return df.sparkSession.sql(f"select * from {name}")
