@@ -71,3 +71,24 @@ def test_infer_all_matches_known_labels(ctx001):
             else:
                 assert known[r["device_id"]] == r["label"]
         assert {r["label"] for r in mine} <= set(float(k) for k in range(pipe.ATTRIBUTES[a].classes))
+
+
+def test_feature_job_then_attribute_job_from_table(spark, scratch):
+    from traitlab.__main__ import main
+    assert main(["features", "--date", "20180709", "--input", "/root/testdata/sf0.001",
+                 "--out", scratch]) == 0
+    for t in ("catalog", "features", "features_push"):
+        assert spark.read.parquet(f"{scratch}/{t}").where("stat_date = 20180709").count() > 0
+    # a lenient date: 20180640 is 20180710, a date the features table does not hold
+    import pytest
+    with pytest.raises(ValueError, match="no labelled training rows for car on 20180710"):
+        main(["infer", "--date", "20180640", "--input", "/root/testdata/sf0.001",
+              "--attribute", "car", "--features", f"{scratch}/features"])
+    assert main(["infer", "--date", "20180709", "--input", "/root/testdata/sf0.001",
+                 "--attribute", "car", "--features", f"{scratch}/features",
+                 "--out", f"{scratch}/attrs", "--models", f"{scratch}/models"]) == 0
+    out = spark.read.parquet(f"{scratch}/attrs")
+    ctx = JobContext(spark, "/root/testdata/sf0.001")
+    assert out.where("attribute = 'car' and stat_date = 20180709").count() == ctx.parsed.count()
+    import os
+    assert os.path.isdir(f"{scratch}/models/car/20180709")

@@ -115,6 +115,8 @@ def build_model(labelled: DataFrame, classes: int, refine: bool = False,
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     valid = valid.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        if not train.take(1):
+            raise ValueError(f"no labelled training rows for {name} on {job_date}")
         model = estimator(classes, **params).fit(train)
         result = TrainResult(model, classes)
         scored = score(model, valid).select("label", "prediction", "score").persist()

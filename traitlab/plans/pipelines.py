@@ -110,6 +110,38 @@ def build_features(ctx: JobContext, installs_view: str = "user_installs",
     return FeatureBuild(ranked, features, items)
 
 
+def feature_job(ctx: JobContext, out_dir: str, top_k: int | None = None,
+                files: int | None = None) -> dict[str, int]:
+    """PIPE-1: rank the catalog once, encode the main (prefixed ids) and the
+    push (plain ids) install tables with it, and write the three dated
+    tables ``catalog/``, ``features/`` and ``features_push/``.
+
+    Returns row counts and the install coverage of the main table.
+    """
+    main = build_features(ctx, "user_installs", "app_catalog", C.ITEM_PREFIX, top_k)
+    date = F.lit(int(ctx.job_date)).alias("stat_date")
+    sinks.overwrite_partitions(main.catalog.select("*", date), f"{out_dir}/catalog", files=files)
+    items = main.items.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        sinks.overwrite_partitions(feat.encode(items).select("*", date), f"{out_dir}/features",
+                                   files=files)
+        stats = feat.coverage(items).first().asDict()
+        stats.update(feat.length_stats(items).first().asDict())
+    finally:
+        items.unpersist()
+    lookup = feat.lookup_for(main.catalog, "", top_k)
+    tokens = feat.install_tokens(feat.install_rows(ctx.view("user_installs_push"), ctx.job_date))
+    push = feat.encode(feat.device_items(tokens, lookup))
+    sinks.overwrite_partitions(push.select("*", date), f"{out_dir}/features_push", files=files)
+    stats["n_catalog"] = main.catalog.count()
+    return stats
+
+
+def read_features(spark, path: str, job_date: int) -> DataFrame:
+    """The dated features table written by :func:`feature_job` (SRC-1)."""
+    return feat.feature_rows(spark.read.parquet(path), job_date)
+
+
 def vectors_from(features: DataFrame, dim: int = C.FEATURE_DIM) -> DataFrame:
     """(device_id, features vector) from feature strings (FEAT-5, FEAT-6)."""
     return feat.vectorize(feat.parse(features, dim), dim).select("device_id", "features")
