@@ -38,5 +38,7 @@ SAMPLE_JOB_DATE = 20180709
 BROADCAST_MAX_ROWS = 2_000_000
 # Most rows one task may merge for an ordered top-k (partitions x k).
 TOPK_MAX_MERGE_ROWS = 20_000_000
+# Training rows per partition (sparse rows of a few hundred nonzeros).
+TRAIN_ROWS_PER_PARTITION = 250_000
 # Salt buckets for the shuffle-join fallback of the catalog lookup.
 LOOKUP_SALT_BUCKETS = 16

@@ -92,6 +92,20 @@ def refine_threshold(model: LogisticRegressionModel, valid: DataFrame,
     return float(row["best_threshold"]), float(row["threshold"])
 
 
+def sized(df: DataFrame, rows_per_partition: int = C.TRAIN_ROWS_PER_PARTITION) -> DataFrame:
+    """Narrow ``df`` to about one partition per ``rows_per_partition`` rows.
+
+    Every L-BFGS iteration is one job over all partitions of the training
+    set; small labelled sets inherit the partitioning of the much larger
+    feature table, and each extra near-empty task costs latency on every
+    iteration. ``coalesce`` merges partitions without a shuffle; large sets
+    keep one task per ``rows_per_partition`` rows.
+    """
+    have = df.rdd.getNumPartitions()
+    want = max(1, -(-df.count() // rows_per_partition))
+    return df.coalesce(want) if want < have else df
+
+
 @dataclass
 class TrainResult:
     model: LogisticRegressionModel
@@ -112,8 +126,8 @@ def build_model(labelled: DataFrame, classes: int, refine: bool = False,
     set once per iteration and the validation set is scored several times.
     """
     train, valid = dsm.split_train_valid(labelled, "device_id", train_percent)
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    valid = valid.persist(StorageLevel.MEMORY_AND_DISK)
+    train = sized(train).persist(StorageLevel.MEMORY_AND_DISK)
+    valid = sized(valid).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if not train.take(1):
             raise ValueError(f"no labelled training rows for {name} on {job_date}")
