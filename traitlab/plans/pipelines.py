@@ -177,11 +177,12 @@ def infer_labels(vectors: DataFrame, labels: DataFrame, attribute: str, classes:
     """Train on devices with a known label, predict the rest, union both.
 
     Two passes over the vectors: one keeps the (small) labelled set, which
-    is persisted for training and for the known half of the output; one
+    is checkpointed for training and for the known half of the output; one
     scores the unlabelled devices.
     """
     ds = dsm.attach_labels(vectors, labels)
-    labelled = ds.where(dsm.is_labelled()).persist(StorageLevel.MEMORY_AND_DISK)
+    # checkpointed, not cached: the returned plan reads it long after this call
+    labelled = materialize(ds.where(dsm.is_labelled()))
     unlabelled = ds.where(~dsm.is_labelled())
     result = mdl.build_model(labelled, classes, refine, model_dir=model_dir, name=attribute,
                              job_date=job_date, **params)
@@ -211,21 +212,22 @@ def infer_all(ctx: JobContext, attributes: list[str] | None = None,
 
     Labels of every attribute are pivoted to one row per device (one
     shuffle) and joined to the vectors once. Only labelled devices are
-    persisted for training; the scoring pass reads the vectors once and
-    applies every model in the same projection.
+    checkpointed for training; the models are fitted concurrently; the
+    scoring pass reads the vectors once and applies every model in the same
+    projection.
     """
     attributes = attributes or list(ATTRIBUTES)
     vectors = vectors_from(features if features is not None else materialize(ctx.features))
     cols = [f"label_{a}" for a in attributes]
     wide = (label_source(ctx, attributes).groupBy("device_id")
             .pivot("attribute", attributes).agg(F.first("label")))
-    wide = wide.select("device_id", *[F.col(a).alias(c) for a, c in zip(attributes, cols)])
-    wide = wide.persist(StorageLevel.MEMORY_AND_DISK)
+    wide = materialize(
+        wide.select("device_id", *[F.col(a).alias(c) for a, c in zip(attributes, cols)]))
     ds = dsm.attach_labels(vectors, wide, cols)
     any_known = F.lit(False)
     for c in cols:
         any_known = any_known | dsm.is_labelled(c)
-    labelled = ds.where(any_known).persist(StorageLevel.MEMORY_AND_DISK)
+    labelled = materialize(ds.where(any_known))
 
     def fit(a: str, c: str) -> mdl.TrainResult:
         spec = ATTRIBUTES[a]
@@ -239,7 +241,6 @@ def infer_all(ctx: JobContext, attributes: list[str] | None = None,
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         futures = {a: pool.submit(fit, a, c) for a, c in zip(attributes, cols)}
         results = {a: f.result() for a, f in futures.items()}
-    labelled.unpersist()
 
     scored = ds
     for a in attributes:
@@ -258,7 +259,6 @@ def infer_all(ctx: JobContext, attributes: list[str] | None = None,
                    F.lit(int(ctx.job_date)).alias("stat_date")))
     if out_dir:
         sinks.overwrite_partitions(out, out_dir, ["stat_date", "attribute"])
-        wide.unpersist()
     return Inference(out, results)
 
 
