@@ -22,6 +22,10 @@ def _norm(v):
     return repr(v)
 
 
+_TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+          "boolean": "BOOLEAN", "date": "DATE", "float": "FLOAT", "smallint": "SMALLINT"}
+
+
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for t in DRIVER_TABLES:
@@ -39,6 +43,8 @@ def compare(spark, sf_dir: str, queries: dict, oracle: dict, names=None):
         try:
             sdf = fn(spark, sf_dir)
             cols = sorted(sdf.columns)
+            stypes = {f.name: _TYPES.get(f.dataType.simpleString(), f.dataType.simpleString())
+                      for f in sdf.schema.fields}
             srows = sorted(tuple(_norm(r[c]) for c in cols) for r in sdf.collect())
         except Exception as e:  # noqa: BLE001
             yield name, "FAIL", f"spark error {type(e).__name__}: {str(e)[:400]}"
@@ -50,6 +56,7 @@ def compare(spark, sf_dir: str, queries: dict, oracle: dict, names=None):
         try:
             rel = con.sql(oracle[name])
             dcols = sorted(rel.columns)
+            dtypes = {c: str(t) for c, t in zip(rel.columns, rel.types)}
             idx = [rel.columns.index(c) for c in dcols]
             drows = sorted(tuple(_norm(r[i]) for i in idx) for r in rel.fetchall())
         except Exception as e:  # noqa: BLE001
@@ -57,6 +64,8 @@ def compare(spark, sf_dir: str, queries: dict, oracle: dict, names=None):
             continue
         if cols != dcols:
             yield name, "FAIL", f"columns {cols} vs {dcols}"
+        elif any(stypes[c] != dtypes[c] for c in cols):
+            yield name, "FAIL", f"types {stypes} vs {dtypes}"
         elif srows != drows:
             ds, ss = set(drows), set(srows)
             yield name, "FAIL", (f"rows {len(srows)} vs {len(drows)}; spark-only "
