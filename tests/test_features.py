@@ -96,3 +96,27 @@ def test_hot_item_salted_join_keeps_every_row(spark):
     key = lambda df: sorted((r["device_id"], r["key"], r["idx"]) for r in df.collect())
     assert key(a) == key(b)
     assert len(key(b)) == 100 + 200 * 2
+
+
+def test_hot_device_split_equals_plain_grouping(spark):
+    # device "hot" holds a third of all install rows
+    rows = [("hot", f"11{1 + i % 4}:1 11{1 + (i + 1) % 4}:1") for i in range(150)] + \
+           [(f"d{i}", f"11{1 + i % 4}:1 119:1") for i in range(300)]
+    installs = spark.createDataFrame(rows, "device_id string, value string").withColumn(
+        "stat_date", F.lit(20180709)).repartition(6)
+    lookup = feat.lookup_for(_ranked(spark), "11", None)
+    inst = feat.install_rows(installs, 20180709)
+    hot = feat.hot_keys(inst, "device_id", 100)
+    assert [r["device_id"] for r in hot.collect()] == ["hot"]
+    plain = feat.items_of(inst, lookup, hot_min_rows=None)
+    split = feat.items_of(inst, lookup, hot_min_rows=100, salt_buckets=4)
+    key = lambda df: sorted((r["device_id"], r["feature"]) for r in feat.encode(df).collect())
+    assert key(plain) == key(split)
+    assert len(key(split)) == 301
+    got = dict(key(split))["hot"]
+    assert got == "[111_one]_wind_0:1 [112_two words]_wind_1:1 [113_c:pro]_wind_2:1 [114_four]_wind_3:1"
+
+
+def test_hot_keys_none_when_no_hot(spark):
+    df = spark.createDataFrame([("a",), ("b",)], "device_id string")
+    assert feat.hot_keys(df, "device_id", 2) is None

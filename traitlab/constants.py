@@ -40,5 +40,9 @@ BROADCAST_MAX_ROWS = 2_000_000
 TOPK_MAX_MERGE_ROWS = 20_000_000
 # Training rows per partition (sparse rows of a few hundred nonzeros).
 TRAIN_ROWS_PER_PARTITION = 250_000
-# Salt buckets for the shuffle-join fallback of the catalog lookup.
+# A device with at least this many install rows is split over salt buckets.
+HOT_DEVICE_MIN_ROWS = 100_000
+# Most hot keys collected and broadcast (a proven bound: rows / HOT_DEVICE_MIN_ROWS).
+HOT_KEYS_MAX = 10_000
+# Salt buckets for the shuffle-join fallback of the catalog lookup and hot devices.
 LOOKUP_SALT_BUCKETS = 16

@@ -52,16 +52,58 @@ def match_catalog(tokens: DataFrame, lookup: DataFrame, how: str = "inner",
     return big.join(replicated, ["key", "_salt"], how).drop("_salt")
 
 
-def device_items(tokens: DataFrame, lookup: DataFrame, **join_opts) -> DataFrame:
+def hot_keys(rows: DataFrame, key: str, min_rows: int,
+             max_keys: int = C.HOT_KEYS_MAX) -> DataFrame | None:
+    """Keys holding at least ``min_rows`` rows, as a small DataFrame, or None.
+
+    The count is partially aggregated (one number per key and task). At most
+    ``total_rows / min_rows`` keys can qualify; the result is broadcast only
+    after a bounded count proves it has at most ``max_keys`` rows, beyond
+    which the bound is raised instead of salting everything.
+    """
+    hot = rows.groupBy(key).count().where(F.col("count") >= min_rows).select(key)
+    found = hot.limit(max_keys + 1).collect()
+    if not found:
+        return None
+    if len(found) > max_keys:
+        raise ValueError(f"more than {max_keys} keys hold {min_rows}+ rows; raise min_rows")
+    return rows.sparkSession.createDataFrame([(r[0],) for r in found], f"{key} string")
+
+
+def device_items(tokens: DataFrame, lookup: DataFrame, hot: DataFrame | None = None,
+                 salt_buckets: int = C.LOOKUP_SALT_BUCKETS, **join_opts) -> DataFrame:
     """(device_id, items): catalog items of each device, sorted by index.
 
     Devices without any catalog hit keep an empty array (FLT-10). Repeated
     items collapse to one entry (collect_set).
+
+    ``hot`` lists devices with very many rows. Their tokens are salted by
+    item over ``salt_buckets`` groups, so each reducer merges a share of
+    their partial sets; a second, small aggregate merges the at most
+    ``salt_buckets`` sets per hot device. Both branches read the same
+    shuffle (exchange reuse), so the input is scanned once.
     """
     matched = match_catalog(tokens, lookup, how="left", **join_opts)
     item = F.when(F.col("idx").isNotNull(), F.struct("idx", "token"))
-    return matched.groupBy("device_id").agg(
-        F.sort_array(F.collect_set(item)).alias("items"))
+    if hot is None:
+        return matched.groupBy("device_id").agg(
+            F.sort_array(F.collect_set(item)).alias("items"))
+    flagged = matched.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), "device_id", "left")
+    is_hot = F.coalesce(F.col("_hot"), F.lit(False))
+    salt = F.when(is_hot, F.pmod(F.xxhash64("key"), F.lit(salt_buckets))).otherwise(F.lit(0))
+    level1 = flagged.groupBy("device_id", is_hot.alias("_h"), salt.alias("_s")).agg(
+        F.collect_set(item).alias("items"))
+    cold = level1.where(~F.col("_h")).select("device_id", F.sort_array("items").alias("items"))
+    merged = level1.where(F.col("_h")).groupBy("device_id").agg(
+        F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    return cold.unionByName(merged)
+
+
+def items_of(rows: DataFrame, lookup: DataFrame,
+             hot_min_rows: int | None = C.HOT_DEVICE_MIN_ROWS, **join_opts) -> DataFrame:
+    """Per-device items of dated install rows, splitting hot devices."""
+    hot = hot_keys(rows, "device_id", hot_min_rows) if hot_min_rows else None
+    return device_items(install_tokens(rows), lookup, hot, **join_opts)
 
 
 def encode(items: DataFrame) -> DataFrame:
