@@ -11,8 +11,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import constants as C
+from ..functions.dates import normalise_date_col
 from ..operators import catalog as cat
+from ..operators import dataset as dsm
 from ..operators import features as feat
+from ..operators import labels as lbl
+from ..operators import metrics as met
+from ..operators import model as mdl
+from ..session import scratch_path
+from ..sources import sinks
+from ..sources import snapshot as snap
+from . import pipelines as pipe
 from .context import JobContext
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,9 +109,6 @@ def _features_parsed(ctx: JobContext) -> DataFrame:
 
 # --- filters and labels ---------------------------------------------------------
 
-from ..operators import labels as lbl  # noqa: E402
-from ..sources import snapshot as snap  # noqa: E402
-
 
 @query("scan_dated")
 def _scan_dated(ctx: JobContext) -> DataFrame:
@@ -211,9 +217,6 @@ def _label_distribution_str(ctx: JobContext) -> DataFrame:
 
 # --- dataset assembly ---------------------------------------------------------------
 
-from ..operators import dataset as dsm  # noqa: E402
-from ..operators import metrics as met  # noqa: E402
-
 
 def _gender(ctx: JobContext) -> DataFrame:
     return lbl.gender_label(ctx.view("users_info"), ctx.view("device_rel"), ctx.job_date)
@@ -318,8 +321,6 @@ def _confusion_counts(ctx: JobContext) -> DataFrame:
 
 # --- dates ------------------------------------------------------------------------------
 
-from ..functions.dates import normalise_date_col  # noqa: E402
-
 
 @query("job_date_normalise")
 def _job_date_normalise(ctx: JobContext) -> DataFrame:
@@ -339,11 +340,6 @@ def _job_date_normalise(ctx: JobContext) -> DataFrame:
 
 # --- models and jobs ----------------------------------------------------------------------
 
-from ..operators import model as mdl  # noqa: E402
-from ..session import scratch_path  # noqa: E402
-from ..sources import sinks  # noqa: E402
-from . import pipelines as pipe  # noqa: E402
-
 
 @query("union_known_predicted")
 def _union_known_predicted(ctx: JobContext) -> DataFrame:
