@@ -50,3 +50,12 @@ def test_union_keeps_known_labels(spark):
     d = {r["label"]: r["n"] for r in met.confusion_counts(
         mdl.union_known_predicted(known, pred).withColumn("prediction", F.col("label"))).collect()}
     assert sum(d.values()) == 3
+
+
+def test_holdout_and_seeded_split_options(ctx001):
+    labelled, _ = _doc_labelled(ctx001)
+    res = mdl.build_model(labelled, 2, refine=True, holdout_percent=10)
+    assert res.threshold is not None and "refined_auc" in res.report
+    a = mdl.build_model(labelled, 2, split_seed=42).model.coefficients.toArray().tolist()
+    b = mdl.build_model(labelled, 2, split_seed=42).model.coefficients.toArray().tolist()
+    assert a == b

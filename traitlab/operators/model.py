@@ -119,15 +119,31 @@ class TrainResult:
 def build_model(labelled: DataFrame, classes: int, refine: bool = False,
                 train_percent: int = C.TRAIN_PERCENT, model_dir: str | None = None,
                 name: str = "model", job_date: int = C.SAMPLE_JOB_DATE,
+                holdout_percent: int = 0, split_seed: int | None = None,
                 **params) -> TrainResult:
     """Split, train, evaluate, optionally refine, save (ML-5).
 
-    The two splits are persisted because L-BFGS passes over the training
-    set once per iteration and the validation set is scored several times.
+    The split hashes the device id (reproducible); ``split_seed`` switches
+    to a seeded ``randomSplit`` instead. By default the threshold is tuned
+    and reported on the same validation rows, as originally;
+    ``holdout_percent`` > 0 tunes it on that many percent of all rows taken
+    from the validation part and reports on the rest.
+
+    The splits are persisted because L-BFGS passes over the training set
+    once per iteration and the validation set is scored several times.
     """
-    train, valid = dsm.split_train_valid(labelled, "device_id", train_percent)
+    if split_seed is None:
+        train, valid = dsm.split_train_valid(labelled, "device_id", train_percent)
+    else:
+        train, valid = labelled.randomSplit(
+            [train_percent / 100, 1 - train_percent / 100], seed=split_seed)
+    tune = valid
+    if holdout_percent:
+        cut = dsm.hash_bucket("device_id") < train_percent + holdout_percent
+        tune, valid = valid.where(cut), valid.where(~cut)
     train = sized(train).persist(StorageLevel.MEMORY_AND_DISK)
     valid = sized(valid).persist(StorageLevel.MEMORY_AND_DISK)
+    tune = valid if not holdout_percent else sized(tune).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if not train.take(1):
             raise ValueError(f"no labelled training rows for {name} on {job_date}")
@@ -138,8 +154,9 @@ def build_model(labelled: DataFrame, classes: int, refine: bool = False,
         result.report = evaluate(scored, classes, curve)
         scored.unpersist()
         if classes == 2 and refine:
-            # probabilities do not depend on the threshold: the curve is reused
-            result.best_threshold, result.threshold = refine_threshold(model, valid, curve)
+            # probabilities do not depend on the threshold: a curve is reused
+            tune_curve = curve if not holdout_percent else None
+            result.best_threshold, result.threshold = refine_threshold(model, tune, tune_curve)
             refined = evaluate(score(model, valid), classes, curve)
             result.report.update({f"refined_{k}": v for k, v in refined.items()})
         if model_dir:
@@ -149,3 +166,4 @@ def build_model(labelled: DataFrame, classes: int, refine: bool = False,
     finally:
         train.unpersist()
         valid.unpersist()
+        tune.unpersist()
