@@ -87,3 +87,11 @@ def test_hard_auc_is_balanced_accuracy(spark):
     df = spark.createDataFrame(rows, "prediction double, label double")
     tpr, tnr = 6 / 8, 9 / 12
     assert abs(met.hard_auc(df).first()["auc"] - (tpr + tnr) / 2) < 1e-12
+
+
+def test_hard_auc_equals_curve_auc(spark):
+    rows = [(float(i % 2), float((i // 3) % 2)) for i in range(97)]
+    df = spark.createDataFrame(rows, "prediction double, label double")
+    assert met.hard_auc(df).first()["auc"] == met.auc(df, "prediction").first()["auc"]
+    ones = df.withColumn("prediction", F.lit(1.0))
+    assert met.hard_auc(ones).first()["auc"] == met.auc(ones, "prediction").first()["auc"] == 0.5

@@ -87,8 +87,19 @@ def auc(scored: DataFrame, score: str = "score", label: str = "label") -> DataFr
 
 
 def hard_auc(pred: DataFrame, prediction: str = "prediction", label: str = "label") -> DataFrame:
-    """AUC of hard 0/1 predictions, a two-threshold curve (EVAL-2 as called)."""
-    return auc(pred, prediction, label)
+    """AUC of hard 0/1 predictions (EVAL-2 as the training jobs call it).
+
+    With two thresholds the trapezoid numerator of :func:`auc` reduces to
+    ``P*N + TP*N - FP*P`` (over ``2*P*N``), so one aggregate gives the same
+    value without building the curve.
+    """
+    pos, hit = _positive(label), F.col(prediction) > F.lit(0.5)
+    c = pred.agg(F.count_if(pos).alias("p"), F.count_if(~pos).alias("n"),
+                 F.count_if(pos & hit).alias("tp"), F.count_if(~pos & hit).alias("fp"))
+    big = lambda name: F.col(name).cast("decimal(38,0)")
+    num = big("p") * big("n") + big("tp") * big("n") - big("fp") * big("p")
+    den = (F.lit(2) * big("p") * big("n")).cast("double")
+    return c.select(F.try_divide(num.cast("double"), den).alias("auc"))
 
 
 def f1_by_threshold(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
