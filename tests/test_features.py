@@ -120,3 +120,22 @@ def test_hot_device_split_equals_plain_grouping(spark):
 def test_hot_keys_none_when_no_hot(spark):
     df = spark.createDataFrame([("a",), ("b",)], "device_id string")
     assert feat.hot_keys(df, "device_id", 2) is None
+
+
+def test_hot_keys_sampled_and_all_hot(spark):
+    rows = [("hot",)] * 20000 + [(f"d{i}",) for i in range(5000)]
+    df = spark.createDataFrame(rows, "device_id string")
+    # threshold 10000 rows: sampled at 200 / 10000, flagged with 100 sampled rows
+    hot = feat.hot_keys(df, "device_id", 10000)
+    assert [r["device_id"] for r in hot.collect()] == ["hot"]
+    assert feat.hot_keys(df, "device_id", 1, max_keys=3) == feat.ALL_HOT
+
+
+def test_all_hot_path_equals_plain(spark):
+    lookup = feat.lookup_for(_ranked(spark), "11", None)
+    inst = feat.install_rows(_installs(spark), 20180709)
+    tokens = feat.install_tokens(inst)
+    a = sorted(tuple(r) for r in feat.encode(feat.device_items(tokens, lookup)).collect())
+    b = sorted(tuple(r) for r in feat.encode(
+        feat.device_items(tokens, lookup, feat.ALL_HOT, salt_buckets=3)).collect())
+    assert a == b

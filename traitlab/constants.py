@@ -42,7 +42,9 @@ TOPK_MAX_MERGE_ROWS = 20_000_000
 TRAIN_ROWS_PER_PARTITION = 250_000
 # A device with at least this many install rows is split over salt buckets.
 HOT_DEVICE_MIN_ROWS = 100_000
-# Most hot keys collected and broadcast (a proven bound: rows / HOT_DEVICE_MIN_ROWS).
+# Most hot keys collected and broadcast; beyond it every device is salted.
 HOT_KEYS_MAX = 10_000
+# Expected sampled rows of a key at the hot threshold (sets the sampling fraction).
+HOT_SAMPLE_ROWS = 200
 # Salt buckets for the shuffle-join fallback of the catalog lookup and hot devices.
 LOOKUP_SALT_BUCKETS = 16

@@ -52,32 +52,42 @@ def match_catalog(tokens: DataFrame, lookup: DataFrame, how: str = "inner",
     return big.join(replicated, ["key", "_salt"], how).drop("_salt")
 
 
-def hot_keys(rows: DataFrame, key: str, min_rows: int,
-             max_keys: int = C.HOT_KEYS_MAX) -> DataFrame | None:
-    """Keys holding at least ``min_rows`` rows, as a small DataFrame, or None.
-
-    The count is partially aggregated (one number per key and task). At most
-    ``total_rows / min_rows`` keys can qualify; the result is broadcast only
-    after a bounded count proves it has at most ``max_keys`` rows, beyond
-    which the bound is raised instead of salting everything.
+ALL_HOT = "all"
+
+
+def hot_keys(rows: DataFrame, key: str, min_rows: int, max_keys: int = C.HOT_KEYS_MAX,
+             sample_rows: int = C.HOT_SAMPLE_ROWS, seed: int = 7):
+    """Keys holding about ``min_rows`` rows or more: a small DataFrame,
+    ``ALL_HOT`` when there are too many to broadcast, or None.
+
+    The count runs on a seeded Bernoulli sample that keeps about
+    ``sample_rows`` rows of a key at the threshold, and flags keys with half
+    that many, so a hot key is missed only with negligible probability while
+    the count shuffle shrinks by the sampling fraction. A false positive
+    only sends a key through the salted path. At most
+    ``total_rows / min_rows`` keys can be hot; the list is broadcast only
+    after a bounded count proves at most ``max_keys`` keys.
     """
-    hot = rows.groupBy(key).count().where(F.col("count") >= min_rows).select(key)
+    fraction = min(1.0, sample_rows / min_rows)
+    src = rows if fraction >= 1.0 else rows.sample(fraction=fraction, seed=seed)
+    need = min_rows if fraction >= 1.0 else max(1, int(sample_rows / 2))
+    hot = src.groupBy(key).count().where(F.col("count") >= need).select(key)
     found = hot.limit(max_keys + 1).collect()
     if not found:
         return None
     if len(found) > max_keys:
-        raise ValueError(f"more than {max_keys} keys hold {min_rows}+ rows; raise min_rows")
+        return ALL_HOT
     return rows.sparkSession.createDataFrame([(r[0],) for r in found], f"{key} string")
 
 
-def device_items(tokens: DataFrame, lookup: DataFrame, hot: DataFrame | None = None,
+def device_items(tokens: DataFrame, lookup: DataFrame, hot: DataFrame | str | None = None,
                  salt_buckets: int = C.LOOKUP_SALT_BUCKETS, **join_opts) -> DataFrame:
     """(device_id, items): catalog items of each device, sorted by index.
 
     Devices without any catalog hit keep an empty array (FLT-10). Repeated
     items collapse to one entry (collect_set).
 
-    ``hot`` lists devices with very many rows. Their tokens are salted by
+    ``hot`` lists devices with very many rows (or is ``ALL_HOT``). Their tokens are salted by
     item over ``salt_buckets`` groups, so each reducer merges a share of
     their partial sets; a second, small aggregate merges the at most
     ``salt_buckets`` sets per hot device. Both branches read the same
@@ -88,8 +98,12 @@ def device_items(tokens: DataFrame, lookup: DataFrame, hot: DataFrame | None = N
     if hot is None:
         return matched.groupBy("device_id").agg(
             F.sort_array(F.collect_set(item)).alias("items"))
-    flagged = matched.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), "device_id", "left")
-    is_hot = F.coalesce(F.col("_hot"), F.lit(False))
+    if isinstance(hot, str):            # ALL_HOT: every device takes the salted path
+        flagged, is_hot = matched, F.lit(True)
+    else:
+        flagged = matched.join(F.broadcast(hot.withColumn("_hot", F.lit(True))),
+                               "device_id", "left")
+        is_hot = F.coalesce(F.col("_hot"), F.lit(False))
     salt = F.when(is_hot, F.pmod(F.xxhash64("key"), F.lit(salt_buckets))).otherwise(F.lit(0))
     level1 = flagged.groupBy("device_id", is_hot.alias("_h"), salt.alias("_s")).agg(
         F.collect_set(item).alias("items"))
