@@ -139,3 +139,35 @@ def test_all_hot_path_equals_plain(spark):
     b = sorted(tuple(r) for r in feat.encode(
         feat.device_items(tokens, lookup, feat.ALL_HOT, salt_buckets=3)).collect())
     assert a == b
+
+
+def test_vectors_route_rows_by_raw_values(spark):
+    rows = [("a", "[1_x]_wind_1:1 [2_y]_wind_3:1"), ("b", "[1_x]_wind_1:1 [2_y]_wind_3:2.5"),
+            ("c", "[1_x:pro]_wind_2:1 [3_z]_wind_4:1"), ("d", "nothing here")]
+    df = spark.createDataFrame(rows, "device_id string, feature string")
+    got = {r["device_id"]: r["features"] for r in feat.vectors(df, dim=6).collect()}
+    assert got == {"a": SparseVector(6, [1, 3], [1.0, 1.0]),
+                   "b": SparseVector(6, [1, 3], [1.0, 2.5]),
+                   "c": SparseVector(6, [4], [1.0])}
+    unit = ~F.col("feature").rlike(feat._NON_UNIT_VALUE)
+    flags = {r["device_id"]: r["u"] for r in df.select("device_id", unit.alias("u")).collect()}
+    assert flags == {"a": True, "b": False, "c": False, "d": True}
+
+
+def test_vectors_long_strings(spark):
+    text = " ".join(f"[w{i}_w{i}]_wind_{i % 30000}:1" for i in range(40000))
+    df = spark.createDataFrame([("long", text)], "device_id string, feature string")
+    v = feat.vectors(df).first()["features"]
+    assert v.numNonzeros() == 30000
+
+
+def test_regexes_survive_pathological_lengths(spark):
+    huge_name = "x" * 50000
+    rows = [("t", f"[1_{huge_name}]_wind_5:1 [2_y]_wind_6:1"),
+            ("s", "[1_a]_wind_7:1" + " " * 50000)]
+    df = spark.createDataFrame(rows, "device_id string, feature string")
+    got = {r["device_id"]: r["indices"] for r in feat.parse(df, dim=10).collect()}
+    assert got == {"t": [5, 6], "s": [7]}
+    inst = spark.createDataFrame([("d", "111:1" + " " * 50000)], "device_id string, value string")
+    keys = [r["key"] for r in feat.install_tokens(inst).collect()]
+    assert keys == ["111"]

@@ -211,6 +211,29 @@ def vectorize(parsed: DataFrame, dim: int = C.FEATURE_DIM, out_col: str = "featu
     return binary.unionByName(general)
 
 
+# A ":" not followed by exactly "1" and then ":", a space or the end. Strings
+# without one have only unit values (text that is not a token is dropped by
+# parse). A find, not a whole-string match: Java's regex engine recurses per
+# repetition of a grouped pattern and would overflow on long strings.
+_NON_UNIT_VALUE = r":(?!1(?:[: ]|$))"
+
+
+def vectors(features: DataFrame, dim: int = C.FEATURE_DIM, out_col: str = "features") -> DataFrame:
+    """(device_id, vector) straight from feature strings, parsing each row once.
+
+    Rows are routed on the raw string: when every value is literally 1 (all
+    the encoder writes) the row takes the JVM vocabulary path; any other row
+    (another value, or a ":" inside a name) takes the general path, which
+    gives the same vector for unit values. Each row is parsed in exactly
+    one branch.
+    """
+    unit = ~F.col("feature").rlike(_NON_UNIT_VALUE)
+    binary = vectorize(parse(features.where(unit), dim), dim, out_col, values="binary")
+    general = parse(features.where(~unit), dim).withColumn(
+        out_col, _sparse_udf(dim)("indices", "values"))
+    return binary.select("device_id", out_col).unionByName(general.select("device_id", out_col))
+
+
 def _sparse_udf(dim: int):
     from pyspark.ml.linalg import SparseVector, VectorUDT
 

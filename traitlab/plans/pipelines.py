@@ -143,7 +143,7 @@ def read_features(spark, path: str, job_date: int) -> DataFrame:
 
 def vectors_from(features: DataFrame, dim: int = C.FEATURE_DIM) -> DataFrame:
     """(device_id, features vector) from feature strings (FEAT-5, FEAT-6)."""
-    return feat.vectorize(feat.parse(features, dim), dim).select("device_id", "features")
+    return feat.vectors(features, dim)
 
 
 # --- PIPE-2..12 ------------------------------------------------------------------------
