@@ -95,3 +95,18 @@ def test_hard_auc_equals_curve_auc(spark):
     assert met.hard_auc(df).first()["auc"] == met.auc(df, "prediction").first()["auc"]
     ones = df.withColumn("prediction", F.lit(1.0))
     assert met.hard_auc(ones).first()["auc"] == met.auc(ones, "prediction").first()["auc"] == 0.5
+
+
+def test_per_class_matches_ml_evaluator(spark):
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    rnd = random.Random(11)
+    rows = [(float(rnd.randrange(3)), float(rnd.randrange(3))) for _ in range(500)]
+    df = spark.createDataFrame(rows, "label double, prediction double")
+    ours = {r["label"]: r for r in met.per_class_metrics(df).collect()}
+    for k in (0.0, 1.0, 2.0):
+        for metric, col in (("precisionByLabel", "precision"), ("recallByLabel", "recall"),
+                            ("fMeasureByLabel", "f1")):
+            ev = MulticlassClassificationEvaluator(metricName=metric, metricLabel=k)
+            assert abs(ev.evaluate(df) - ours[k][col]) < 1e-12, (k, metric)
+    acc = MulticlassClassificationEvaluator(metricName="accuracy").evaluate(df)
+    assert abs(acc - met.accuracy(df).first()["accuracy"]) < 1e-12
