@@ -66,10 +66,11 @@ def top_k(dedup: DataFrame, k: int, max_merge_rows: int = C.TOPK_MAX_MERGE_ROWS,
 def lookup_table(ranked: DataFrame, prefix: str = "") -> DataFrame:
     """Lookup side of the install join: key, index and the encoded token.
 
-    The token text ``[key_name]_wind_idx:1`` is built once per item here
+    The token text (see ``constants``: ``[key_name]`` marker ``idx:1``) is built once per item here
     rather than once per (device, item) pair after the join.
     """
     key = F.concat(F.lit(prefix), F.col("appid"))
-    token = F.concat(F.lit("["), key, F.lit("_"), F.col("app_name"), F.lit("]_wind_"),
-                     F.col("idx").cast("string"), F.lit(":1"))
+    token = F.concat(F.lit(C.TOKEN_OPEN), key, F.lit(C.TOKEN_NAME_SEP), F.col("app_name"),
+                     F.lit(C.TOKEN_INDEX_SEP), F.col("idx").cast("string"),
+                     F.lit(C.VALUE_SEP + "1"))
     return ranked.select(key.alias("key"), F.col("idx"), token.alias("token"))

@@ -9,7 +9,9 @@ device's tokens are combined inside the task that read them).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import re
+
+from pyspark.sql import DataFrame, functions as F
 
 from .. import constants as C
 from ..functions.text import before_first, split_dropping_trailing
@@ -153,11 +155,12 @@ def lookup_for(ranked: DataFrame, prefix: str, top_k: int | None) -> DataFrame:
 # FEAT-5: parse
 
 # A valid token, anchored at a token start (string start or one space):
-#   <left part without ":" and without the index marker> _wind_ <int>
-#   (trailing index markers) ":" <value> (trailing ":"), then a space or the end.
-# This is exactly "two ':' fields, and two '_wind_' fields in the left one"
-# when trailing empty fields do not count.
-_TOKEN = (r"(?:^| )(?:(?!_wind_)[^: ])*_wind_([+-]?[0-9]+)(?:_wind_)*"
+#   <left part without ":" and without the index marker> <marker> <int>
+#   (trailing markers) ":" <value> (trailing ":"), then a space or the end.
+# This is exactly "two ':' fields, and two marker-separated fields in the left
+# one" when trailing empty fields do not count.
+_MARK = re.escape(C.INDEX_MARKER)
+_TOKEN = (rf"(?:^| )(?:(?!{_MARK})[^: ])*{_MARK}([+-]?[0-9]+)(?:{_MARK})*"
           r":([^: ]+):*(?= |\z)")
 
 

@@ -33,7 +33,7 @@ def items_ctes(installs_view: str, prefix: str, tag: str = "") -> list[tuple[str
     ``devs{tag}`` (device_id, n_items) including devices without a hit."""
     return [
         (f"lookup{tag}", f"""select '{prefix}' || appid as key, idx,
-            '[' || '{prefix}' || appid || '_' || app_name || ']_wind_' || cast(idx as varchar) || ':1' as token
+            '[' || '{prefix}' || appid || '_' || app_name || '{C.TOKEN_INDEX_SEP}' || cast(idx as varchar) || ':1' as token
             from cat_ranked"""),
         (f"inst{tag}", f"""select device_id, value from {installs_view}
             where stat_date = {D} and device_id is not null and value is not null"""),
@@ -58,7 +58,7 @@ def parse_ctes(features: str, tag: str = "") -> list[tuple[str, str]]:
         (f"piv{tag}", f"""select device_id, string_split(regexp_replace(t, ':+$', ''), ':') as iv
             from ptok{tag}"""),
         (f"pparts{tag}", f"""select device_id, iv,
-            string_split(regexp_replace(trim(iv[1]), '(_wind_)+$', ''), '_wind_') as parts
+            string_split(regexp_replace(trim(iv[1]), '({C.INDEX_MARKER})+$', ''), '{C.INDEX_MARKER}') as parts
             from piv{tag} where len(iv) = 2"""),
         (f"pvals{tag}", f"""select device_id, try_cast(parts[2] as integer) as idx,
             try_cast(trim(iv[2]) as double) as value from pparts{tag} where len(parts) = 2"""),
