@@ -332,3 +332,16 @@ def _misc(o: dict[str, str]) -> None:
     o["sink_overwrite_partition"] = _q(FEATURE_VIEWS, feature_ctes(), f"""
         select device_id, feature, {D} as stat_date from feats
         union all select device_id, feature, {D + 1} as stat_date from feats""")
+    bucket = BUCKET.format(k="d.device_id")
+    o["doc_dataset_counts"] = _q(("doc_catalog", "doc_items", "doc_labels"),
+                                 catalog_ctes("doc_catalog") + items_ctes("doc_items", "")
+                                 + parse_ctes("feats") + [
+        ("dds", """select p.device_id, coalesce(l.label, -1.0e0) as label
+            from (select distinct device_id from parsed) p
+            left join doc_labels l on p.device_id = l.device_id""")], f"""
+        select count(*) as n_total,
+               count(*) filter (where label <> -1.0e0) as n_labelled,
+               count(*) filter (where label = -1.0e0) as n_unlabelled,
+               count(*) filter (where label <> -1.0e0 and {bucket} < {C.TRAIN_PERCENT}) as n_train,
+               count(*) filter (where label <> -1.0e0 and not ({bucket} < {C.TRAIN_PERCENT})) as n_valid
+        from dds d""")

@@ -425,3 +425,10 @@ def _sink_overwrite_partition(ctx: JobContext) -> DataFrame:
 def _infer_all(ctx: JobContext) -> DataFrame:
     """PIPE-2..12 together: one label pivot, one join, one scoring pass."""
     return pipe.infer_all(ctx).output
+
+
+@query("doc_dataset_counts")
+def _doc_dataset_counts(ctx: JobContext) -> DataFrame:
+    """AGG-5 / FEAT-7 on documents: sizes of the documents job's data sets."""
+    parsed = feat.parse(pipe.document_features(ctx))
+    return dsm.counts(dsm.attach_labels(parsed, ctx.view("doc_labels")))
