@@ -38,6 +38,8 @@ def test_coverage_and_length_stats(spark):
     assert (c["n_total"], c["n_empty"], c["n_refined"]) == (3, 1, 2)
     s = feat.length_stats(items).first()
     assert (s["min_items"], s["max_items"]) == (2, 2)
+    both = feat.item_stats(items).first().asDict()
+    assert both == {"n_total": 3, "n_empty": 1, "n_refined": 2, "min_items": 2, "max_items": 2}
 
 
 def test_length_stats_empty_is_null(spark):

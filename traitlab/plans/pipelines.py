@@ -124,8 +124,7 @@ def feature_job(ctx: JobContext, out_dir: str, top_k: int | None = None,
     try:
         sinks.overwrite_partitions(feat.encode(items).select("*", date), f"{out_dir}/features",
                                    files=files)
-        stats = feat.coverage(items).first().asDict()
-        stats.update(feat.length_stats(items).first().asDict())
+        stats = feat.item_stats(items).first().asDict()
     finally:
         items.unpersist()
     lookup = feat.lookup_for(main.catalog, "", top_k)
