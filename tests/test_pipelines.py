@@ -92,3 +92,15 @@ def test_feature_job_then_attribute_job_from_table(spark, scratch):
     assert out.where("attribute = 'car' and stat_date = 20180709").count() == ctx.parsed.count()
     import os
     assert os.path.isdir(f"{scratch}/models/car/20180709")
+
+
+def test_cli_infer_all_from_features_table(spark, scratch):
+    from traitlab.__main__ import main
+    assert main(["features", "--date", "20180709", "--input", "/root/testdata/sf0.001",
+                 "--out", scratch]) == 0
+    assert main(["infer-all", "--date", "20180709", "--input", "/root/testdata/sf0.001",
+                 "--features", f"{scratch}/features", "--out", f"{scratch}/attrs"]) == 0
+    out = spark.read.parquet(f"{scratch}/attrs").where("stat_date = 20180709")
+    per_attr = {r["attribute"]: r["count"] for r in out.groupBy("attribute").count().collect()}
+    assert set(per_attr) == set(pipe.ATTRIBUTES)
+    assert len(set(per_attr.values())) == 1          # every attribute covers every device
