@@ -102,3 +102,13 @@ def test_via_view_round_trip(spark):
     from traitlab.sources.snapshot import via_view
     df = spark.createDataFrame([("a", 1)], "k string, v int")
     assert via_view(df, "tl_view_test").collect() == df.collect()
+
+
+def test_gender_codes_stored_as_text(spark):
+    # D-1: a text sex column compares by value after an int cast
+    users = spark.createDataFrame([(1, "2", D), (2, "1", D), (3, "x", D)],
+                                  "user_id bigint, sex string, stat_date int")
+    devices = spark.createDataFrame([(1, "a", D), (2, "b", D), (3, "c", D)],
+                                    "uid bigint, device_id string, stat_date int")
+    got = {r["device_id"]: r["label"] for r in lbl.gender_label(users, devices, D).collect()}
+    assert got == {"a": 1.0, "b": 0.0}
