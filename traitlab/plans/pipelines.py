@@ -205,7 +205,7 @@ def infer_all(ctx: JobContext, attributes: list[str] | None = None,
               features: DataFrame | None = None, out_dir: str | None = None,
               model_dir: str | None = None,
               label_source: Callable[[JobContext, list[str]], DataFrame] = all_known_labels,
-              parallelism: int = 4, **params) -> Inference:
+              parallelism: int | None = None, **params) -> Inference:
     """All attribute jobs over shared work.
 
     Labels of every attribute are pivoted to one row per device (one
@@ -236,7 +236,8 @@ def infer_all(ctx: JobContext, attributes: list[str] | None = None,
 
     # The models are independent: fitting them from several driver threads
     # runs their small per-iteration jobs side by side on the executors.
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+    # One thread per attribute by default: eleven concurrent fits at most.
+    with ThreadPoolExecutor(max_workers=max(1, parallelism or len(attributes))) as pool:
         futures = {a: pool.submit(fit, a, c) for a, c in zip(attributes, cols)}
         results = {a: f.result() for a, f in futures.items()}
 
