@@ -110,3 +110,16 @@ def test_per_class_matches_ml_evaluator(spark):
             assert abs(ev.evaluate(df) - ours[k][col]) < 1e-12, (k, metric)
     acc = MulticlassClassificationEvaluator(metricName="accuracy").evaluate(df)
     assert abs(acc - met.accuracy(df).first()["accuracy"]) < 1e-12
+
+
+def test_summaries_equal_single_metrics(spark):
+    _, df = _scored(spark, 300, seed=5)
+    curve = met.ThresholdCurve(df)
+    s = curve.summary()
+    assert s["auc"] == met.auc(df).first()["auc"]
+    b = met.best_threshold(met.f1_by_threshold(df)).first()
+    assert (s["best_threshold"], s["best_f1"]) == (b["threshold"], b["f1"])
+    hard = df.withColumn("prediction", F.when(F.col("score") > 0.5, 1.0).otherwise(0.0))
+    h = met.hard_summary(hard)
+    assert h["accuracy"] == met.accuracy(hard).first()["accuracy"]
+    assert h["auc_hard"] == met.hard_auc(hard).first()["auc"]

@@ -55,7 +55,7 @@ def test_union_keeps_known_labels(spark):
 def test_holdout_and_seeded_split_options(ctx001):
     labelled, _ = _doc_labelled(ctx001)
     res = mdl.build_model(labelled, 2, refine=True, holdout_percent=10)
-    assert res.threshold is not None and "refined_auc" in res.report
+    assert res.threshold is not None and "refined_accuracy" in res.report
     a = mdl.build_model(labelled, 2, split_seed=42).model.coefficients.toArray().tolist()
     b = mdl.build_model(labelled, 2, split_seed=42).model.coefficients.toArray().tolist()
     assert a == b

@@ -59,6 +59,28 @@ class ThresholdCurve:
         den = float(2 * self.p * self.n)
         return num.select(F.try_divide(F.col("num").cast("double"), F.lit(den)).alias("auc"))
 
+    def _f1_col(self):
+        precision = F.col("cum_tp") / (F.col("cum_tp") + F.col("cum_fp"))
+        recall = F.col("cum_tp") / F.lit(float(self.p)) if self.p else F.lit(0.0)
+        return F.when(precision + recall == 0, F.lit(0.0)).otherwise(
+            F.lit(2.0) * precision * recall / (precision + recall))
+
+    def _auc_num(self):
+        return F.sum(F.col("fp").cast("decimal(38,0)")
+                     * (F.lit(2) * F.col("cum_tp") - F.col("tp")).cast("decimal(38,0)"))
+
+    def summary(self) -> dict[str, float]:
+        """AUC and the F1-best (threshold, f1) from one aggregate over the curve."""
+        row = self.cum.agg(
+            self._auc_num().alias("num"),
+            F.max(F.struct(self._f1_col().alias("f1"), F.col("score").alias("t"))).alias("b")
+        ).first()
+        den = float(2 * self.p * self.n)
+        auc = float(row["num"]) / den if den and row["num"] is not None else None
+        best = row["b"]
+        return {"auc": auc, "best_threshold": best["t"] if best else None,
+                "best_f1": best["f1"] if best else None}
+
     def f1(self) -> DataFrame:
         precision = F.col("cum_tp") / (F.col("cum_tp") + F.col("cum_fp"))
         recall = F.col("cum_tp") / F.lit(float(self.p)) if self.p else F.lit(0.0)
@@ -102,6 +124,20 @@ def hard_auc(pred: DataFrame, prediction: str = "prediction", label: str = "labe
     return c.select(F.try_divide(num.cast("double"), den).alias("auc"))
 
 
+def hard_summary(pred: DataFrame, prediction: str = "prediction",
+                 label: str = "label") -> dict[str, float]:
+    """Accuracy and hard AUC of 0/1 predictions from one aggregate."""
+    pos, hit = _positive(label), F.col(prediction) > F.lit(0.5)
+    r = pred.agg(F.count(F.lit(1)).alias("rows"),
+                 F.count_if(F.col(prediction) == F.col(label)).alias("same"),
+                 F.count_if(pos).alias("p"), F.count_if(~pos).alias("n"),
+                 F.count_if(pos & hit).alias("tp"), F.count_if(~pos & hit).alias("fp")).first()
+    p, n = r["p"], r["n"]
+    num = p * n + r["tp"] * n - r["fp"] * p          # exact Python integers
+    return {"accuracy": r["same"] / r["rows"] if r["rows"] else None,
+            "auc_hard": float(num) / float(2 * p * n) if p and n else None}
+
+
 def f1_by_threshold(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
     """(threshold, f1) for every distinct score (EVAL-4)."""
     return ThresholdCurve(scored, score, label).f1()

@@ -62,23 +62,30 @@ def evaluate(valid_scored: DataFrame, classes: int,
     """Validation scalars: hard AUC, score AUC and accuracy (binary);
     accuracy and per-class precision / recall / F1 (multi-class).
 
-    ``curve`` (of the probability scores) is reused when given.
+    ``curve`` (of the probability scores) is reused when given; its summary
+    also carries the F1-best threshold.
     """
-    report: dict[str, float] = {}
-    report["accuracy"] = met.accuracy(valid_scored).first()["accuracy"]
     if classes == 2:
-        report["auc_hard"] = met.hard_auc(valid_scored).first()["auc"]
+        report = met.hard_summary(valid_scored)
         curve = curve or met.ThresholdCurve(valid_scored)
-        report["auc"] = curve.auc().first()["auc"]
-    else:
-        for row in met.per_class_metrics(valid_scored).collect():
-            k = int(row["label"])
-            report[f"precision_{k}"] = row["precision"]
-            report[f"recall_{k}"] = row["recall"]
-            report[f"f1_{k}"] = row["f1"]
+        report.update(curve.summary())
+        return report
+    report = {"accuracy": met.accuracy(valid_scored).first()["accuracy"]}
+    for row in met.per_class_metrics(valid_scored).collect():
+        k = int(row["label"])
+        report[f"precision_{k}"] = row["precision"]
+        report[f"recall_{k}"] = row["recall"]
+        report[f"f1_{k}"] = row["f1"]
     return report
 
 
+def chosen_threshold(best: float | None) -> float:
+    """The F1-best threshold if within the default +/- tolerance, else the default."""
+    low = C.DEFAULT_THRESHOLD - C.THRESHOLD_TOLERANCE
+    high = C.DEFAULT_THRESHOLD + C.THRESHOLD_TOLERANCE
+    return best if best is not None and low <= best <= high else C.DEFAULT_THRESHOLD
+
+
 def refine_threshold(model: LogisticRegressionModel, valid: DataFrame,
                      curve: met.ThresholdCurve | None = None) -> tuple[float, float]:
     """Set the model threshold to the F1-best validation threshold when it
@@ -87,9 +94,10 @@ def refine_threshold(model: LogisticRegressionModel, valid: DataFrame,
     Returns (best threshold, threshold used).
     """
     curve = curve or met.ThresholdCurve(score(model, valid))
-    row = met.choose_threshold(met.best_threshold(curve.f1())).first()
-    model.setThreshold(float(row["threshold"]))
-    return float(row["best_threshold"]), float(row["threshold"])
+    best = curve.summary()["best_threshold"]
+    used = chosen_threshold(best)
+    model.setThreshold(float(used))
+    return best, float(used)
 
 
 def sized(df: DataFrame, rows_per_partition: int = C.TRAIN_ROWS_PER_PARTITION) -> DataFrame:
@@ -154,10 +162,14 @@ def build_model(labelled: DataFrame, classes: int, refine: bool = False,
         result.report = evaluate(scored, classes, curve)
         scored.unpersist()
         if classes == 2 and refine:
-            # probabilities do not depend on the threshold: a curve is reused
-            tune_curve = curve if not holdout_percent else None
-            result.best_threshold, result.threshold = refine_threshold(model, tune, tune_curve)
-            refined = evaluate(score(model, valid), classes, curve)
+            # probabilities do not depend on the threshold: the curve is reused
+            if holdout_percent:
+                result.best_threshold, result.threshold = refine_threshold(model, tune)
+            else:
+                result.best_threshold = result.report["best_threshold"]
+                result.threshold = chosen_threshold(result.best_threshold)
+                model.setThreshold(float(result.threshold))
+            refined = met.hard_summary(score(model, valid))
             result.report.update({f"refined_{k}": v for k, v in refined.items()})
         if model_dir:
             from ..sources.sinks import save_model
