@@ -110,8 +110,8 @@ def test_hot_device_split_equals_plain_grouping(spark):
     inst = feat.install_rows(installs, 20180709)
     hot = feat.hot_keys(inst, "device_id", 100)
     assert [r["device_id"] for r in hot.collect()] == ["hot"]
-    plain = feat.items_of(inst, lookup, hot_min_rows=None)
-    split = feat.items_of(inst, lookup, hot_min_rows=100, salt_buckets=4)
+    plain = feat.items_of(installs, 20180709, lookup, hot_min_rows=None)
+    split = feat.items_of(installs, 20180709, lookup, hot_min_rows=100, salt_buckets=4)
     key = lambda df: sorted((r["device_id"], r["feature"]) for r in feat.encode(df).collect())
     assert key(plain) == key(split)
     assert len(key(split)) == 301

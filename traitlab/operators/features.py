@@ -115,10 +115,19 @@ def device_items(tokens: DataFrame, lookup: DataFrame, hot: DataFrame | str | No
     return cold.unionByName(merged)
 
 
-def items_of(rows: DataFrame, lookup: DataFrame,
+def items_of(installs: DataFrame, job_date: int | None, lookup: DataFrame,
              hot_min_rows: int | None = C.HOT_DEVICE_MIN_ROWS, **join_opts) -> DataFrame:
-    """Per-device items of dated install rows, splitting hot devices."""
-    hot = hot_keys(rows, "device_id", hot_min_rows) if hot_min_rows else None
+    """Per-device items of one date of an install table, splitting hot devices.
+
+    Hot devices are counted on the ``device_id`` column alone (rows with a
+    null list count too, which only makes the split more eager), so the
+    detection never reads or computes the item lists.
+    """
+    hot = None
+    if hot_min_rows:
+        ids = not_null(dated_scan(installs, job_date, ["device_id"]), "device_id")
+        hot = hot_keys(ids, "device_id", hot_min_rows)
+    rows = install_rows(installs, job_date)
     return device_items(install_tokens(rows), lookup, hot, **join_opts)
 
 

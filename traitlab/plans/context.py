@@ -43,7 +43,7 @@ class JobContext:
     def items(self, installs_view: str = "user_installs", prefix: str = C.ITEM_PREFIX,
               top_k: int | None = None) -> DataFrame:
         lookup = feat.lookup_for(self.catalog_ranked, prefix, top_k)
-        return feat.items_of(feat.install_rows(self.view(installs_view), self.job_date), lookup)
+        return feat.items_of(self.view(installs_view), self.job_date, lookup)
 
     @cached_property
     def main_items(self) -> DataFrame:

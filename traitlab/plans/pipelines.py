@@ -100,7 +100,7 @@ def build_features(ctx: JobContext, installs_view: str = "user_installs",
     dedup = cat.keep_max_installs(cat.catalog_rows(ctx.view(catalog_view), ctx.job_date))
     ranked = cat.rank_catalog(dedup)          # checkpointed inside
     lookup = feat.lookup_for(ranked, prefix, top_k)
-    items = feat.items_of(feat.install_rows(ctx.view(installs_view), ctx.job_date), lookup)
+    items = feat.items_of(ctx.view(installs_view), ctx.job_date, lookup)
     features = feat.encode(items)
     if out_dir:
         date = F.lit(int(ctx.job_date)).alias("stat_date")
@@ -128,8 +128,7 @@ def feature_job(ctx: JobContext, out_dir: str, top_k: int | None = None,
     finally:
         items.unpersist()
     lookup = feat.lookup_for(main.catalog, "", top_k)
-    push = feat.encode(feat.items_of(
-        feat.install_rows(ctx.view("user_installs_push"), ctx.job_date), lookup))
+    push = feat.encode(feat.items_of(ctx.view("user_installs_push"), ctx.job_date, lookup))
     sinks.overwrite_partitions(push.select("*", date), f"{out_dir}/features_push", files=files)
     stats["n_catalog"] = main.catalog.count()
     return stats
