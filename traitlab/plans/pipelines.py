@@ -177,7 +177,9 @@ def infer_labels(vectors: DataFrame, labels: DataFrame, attribute: str, classes:
     is checkpointed for training and for the known half of the output; one
     scores the unlabelled devices.
     """
-    ds = dsm.attach_labels(vectors, labels)
+    # The labels feed a size proof and then the join: materialize them once so
+    # their upstream (e.g. the account-device join) runs once.
+    ds = dsm.attach_labels(vectors, materialize(labels))
     # checkpointed, not cached: the returned plan reads it long after this call
     labelled = materialize(ds.where(dsm.is_labelled()))
     unlabelled = ds.where(~dsm.is_labelled())
