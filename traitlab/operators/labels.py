@@ -112,12 +112,14 @@ def child_label(child_stage: DataFrame) -> DataFrame:
 
 
 def questionnaire_long(questionnaire: DataFrame, child_stage: DataFrame | None = None,
-                       attributes: tuple[str, ...] = tuple(QUESTION_RULES)) -> DataFrame:
+                       attributes: tuple[str, ...] = tuple(QUESTION_RULES),
+                       raw: bool = False) -> DataFrame:
     """(attribute, device_id, label) for all questionnaire attributes.
 
     One scan: the answer columns are unpivoted with ``stack``, every rule
     table folds into one literal map keyed by ``attribute=answer``, and one
-    shuffle dedups all attributes together.
+    shuffle dedups all attributes together (``raw=True`` leaves the dedup to
+    the caller's own aggregate).
     """
     rules = [answer_rule(a) for a in attributes]
     pairs = ", ".join(f"'{r.attribute}', {r.column}" for r in rules)
@@ -147,7 +149,7 @@ def questionnaire_long(questionnaire: DataFrame, child_stage: DataFrame | None =
         label = F.coalesce(label, F.try_element_at(_literal_map(defaults), F.col("attribute")))
     labelled = long.select("attribute", "device_id", label.alias("label")).where(
         F.col("label").isNotNull())
-    return dedup(labelled, ("attribute", "device_id"))
+    return labelled if raw else dedup(labelled, ("attribute", "device_id"))
 
 
 # --- account-record labelers ------------------------------------------------
@@ -180,6 +182,38 @@ def gender_label(users: DataFrame, devices: DataFrame, job_date: int) -> DataFra
     return dedup(gender_rows(users, devices, job_date))
 
 
+def account_rows(users: DataFrame, devices: DataFrame, job_date: int,
+                 attributes: tuple[str, ...] = ("gender", "age")) -> DataFrame:
+    """(attribute, device_id, label) rows of the account attributes from ONE
+    users-devices join, before dedup.
+
+    Each attribute keeps its own user filter and label rule, so after a
+    per-(attribute, device) ``min`` the result equals :func:`gender_label`
+    and :func:`age_label`.
+    """
+    sex = F.col("sex").try_cast("int")
+    gender_ok = sex.isin(*GENDER_CODES)
+    age_ok = F.length("birthdate") > 0
+    keep = {"gender": gender_ok, "age": age_ok}
+    cond = F.lit(False)
+    for a in attributes:
+        cond = cond | keep[a]
+    joined = user_devices(users, devices, job_date, ["sex", "birthdate"], cond)
+    joined = joined.where(F.col("device_id").isNotNull())
+    pairs = []
+    if "gender" in attributes:
+        g = F.when(gender_ok, F.try_element_at(_literal_map(GENDER_CODES), sex))
+        pairs.append(F.struct(F.lit("gender").alias("attribute"),
+                              F.col("device_id").alias("device_id"), g.alias("label")))
+    if "age" in attributes:
+        age = F.lit(int(str(job_date)[:4])) - leading_int(F.trim("birthdate"), 4)
+        a_lbl = F.when(age_ok & F.col("birthdate").isNotNull(), age_band(age))
+        pairs.append(F.struct(F.lit("age").alias("attribute"),
+                              F.trim("device_id").alias("device_id"), a_lbl.alias("label")))
+    rows = joined.select(F.explode(F.array(*pairs)).alias("r")).select("r.*")
+    return rows.where(F.col("label").isNotNull())
+
+
 def age_band(age: Column) -> Column:
     out = None
     for low, high, cls in AGE_BANDS:

@@ -60,19 +60,21 @@ def known_labels(ctx: JobContext, attribute: str) -> DataFrame:
     return lbl.question_label(ctx.view("questionnaire"), attribute)
 
 
-def all_known_labels(ctx: JobContext, attributes: list[str]) -> DataFrame:
-    """(attribute, device_id, label) of many attributes; the questionnaire
-    ones come from a single scan."""
+def all_known_labels(ctx: JobContext, attributes: list[str], raw: bool = False) -> DataFrame:
+    """(attribute, device_id, label) of many attributes: the questionnaire
+    ones from a single scan, the account ones from a single users-devices
+    join. ``raw=True`` skips the per-labeler dedup (the caller aggregates
+    with ``min`` anyway)."""
     qs = tuple(a for a in attributes if a in lbl.QUESTION_RULES)
     parts = []
     if qs or "child" in attributes:
-        long = lbl.questionnaire_long(
+        parts.append(lbl.questionnaire_long(
             ctx.view("questionnaire"),
-            ctx.view("child_stage") if "child" in attributes else None, qs)
-        parts.append(long)
-    for a in ("gender", "age"):
-        if a in attributes:
-            parts.append(known_labels(ctx, a).select(F.lit(a).alias("attribute"), "device_id", "label"))
+            ctx.view("child_stage") if "child" in attributes else None, qs, raw=raw))
+    acct = tuple(a for a in ("gender", "age") if a in attributes)
+    if acct:
+        rows = lbl.account_rows(ctx.view("users_info"), ctx.view("device_rel"), ctx.job_date, acct)
+        parts.append(rows if raw else lbl.dedup(rows, ("attribute", "device_id")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -205,7 +207,7 @@ def infer(ctx: JobContext, attribute: str, features: DataFrame | None = None,
 def infer_all(ctx: JobContext, attributes: list[str] | None = None,
               features: DataFrame | None = None, out_dir: str | None = None,
               model_dir: str | None = None,
-              label_source: Callable[[JobContext, list[str]], DataFrame] = all_known_labels,
+              label_source: Callable[..., DataFrame] = all_known_labels,
               parallelism: int | None = None, **params) -> Inference:
     """All attribute jobs over shared work.
 
@@ -218,10 +220,12 @@ def infer_all(ctx: JobContext, attributes: list[str] | None = None,
     attributes = attributes or list(ATTRIBUTES)
     vectors = vectors_from(features if features is not None else materialize(ctx.features))
     cols = [f"label_{a}" for a in attributes]
-    wide = (label_source(ctx, attributes).groupBy("device_id")
-            .pivot("attribute", attributes).agg(F.first("label")))
-    wide = materialize(
-        wide.select("device_id", *[F.col(a).alias(c) for a, c in zip(attributes, cols)]))
+    # One shuffle: a conditional min per attribute is both the pivot and the
+    # per-(attribute, device) dedup (a pivot would aggregate twice).
+    rows = label_source(ctx, attributes, raw=True)
+    wide = materialize(rows.groupBy("device_id").agg(
+        *[F.min(F.when(F.col("attribute") == a, F.col("label"))).alias(c)
+          for a, c in zip(attributes, cols)]))
     ds = dsm.attach_labels(vectors, wide, cols)
     any_known = F.lit(False)
     for c in cols:
