@@ -40,3 +40,12 @@ def test_dated_scan_prunes_partitions(spark, scratch):
 def test_questionnaire_labels_single_shuffle(spark):
     p = plan(REGISTRY["labels_long"](spark, SF))
     assert p.count("Exchange hashpartitioning(attribute") == 1
+
+
+def test_label_matrix_one_shuffle_one_account_join(spark):
+    ctx = JobContext(spark, SF)
+    p = plan(pipe.label_matrix(ctx, list(pipe.ATTRIBUTES)))
+    # the only hash exchange is the device aggregate (joins may broadcast)
+    assert p.count("Exchange hashpartitioning(device_id") == 1
+    assert p.count("Exchange hashpartitioning(attribute") == 0
+    assert p.count("HashJoin") + p.count("SortMergeJoin") == 1

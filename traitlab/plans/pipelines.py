@@ -81,6 +81,19 @@ def all_known_labels(ctx: JobContext, attributes: list[str], raw: bool = False)
     return out
 
 
+def label_matrix(ctx: JobContext, attributes: list[str],
+                 label_source: Callable[..., DataFrame] = all_known_labels) -> DataFrame:
+    """One row per labelled device with a ``label_<attribute>`` column each.
+
+    One shuffle: a conditional min per attribute is both the pivot and the
+    per-(attribute, device) dedup (a pivot would aggregate twice).
+    """
+    rows = label_source(ctx, attributes, raw=True)
+    return rows.groupBy("device_id").agg(
+        *[F.min(F.when(F.col("attribute") == a, F.col("label"))).alias(f"label_{a}")
+          for a in attributes])
+
+
 # --- PIPE-1 ------------------------------------------------------------------------
 
 @dataclass
@@ -211,8 +224,8 @@ def infer_all(ctx: JobContext, attributes: list[str] | None = None,
               parallelism: int | None = None, **params) -> Inference:
     """All attribute jobs over shared work.
 
-    Labels of every attribute are pivoted to one row per device (one
-    shuffle) and joined to the vectors once. Only labelled devices are
+    Labels of every attribute become one row per device (one shuffle,
+    :func:`label_matrix`) and are joined to the vectors once. Only labelled devices are
     checkpointed for training; the models are fitted concurrently; the
     scoring pass reads the vectors once and applies every model in the same
     projection.
@@ -220,12 +233,7 @@ def infer_all(ctx: JobContext, attributes: list[str] | None = None,
     attributes = attributes or list(ATTRIBUTES)
     vectors = vectors_from(features if features is not None else materialize(ctx.features))
     cols = [f"label_{a}" for a in attributes]
-    # One shuffle: a conditional min per attribute is both the pivot and the
-    # per-(attribute, device) dedup (a pivot would aggregate twice).
-    rows = label_source(ctx, attributes, raw=True)
-    wide = materialize(rows.groupBy("device_id").agg(
-        *[F.min(F.when(F.col("attribute") == a, F.col("label"))).alias(c)
-          for a, c in zip(attributes, cols)]))
+    wide = materialize(label_matrix(ctx, attributes, label_source))
     ds = dsm.attach_labels(vectors, wide, cols)
     any_known = F.lit(False)
     for c in cols:
