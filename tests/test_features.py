@@ -79,11 +79,14 @@ def test_parse_token_grammar(spark):
 
 
 def test_vectorize_binary_and_general(spark):
-    df = spark.createDataFrame([("a", [3, 1, 3], [1.0, 1.0, 1.0]), ("b", [4, 2], [2.5, 1.0])],
+    df = spark.createDataFrame([("a", [3, 1, 3], [1.0, 1.0, 1.0]), ("b", [4, 2], [2.5, 1.0]),
+                                ("c", [5, 2, 5, 0], [0.5, 1.0, 0.25, -2.0])],
                                "device_id string, indices array<int>, values array<double>")
     got = {r["device_id"]: r["features"] for r in feat.vectorize(df, dim=6).collect()}
     assert got["a"] == SparseVector(6, [1, 3], [1.0, 1.0])
     assert got["b"] == SparseVector(6, [2, 4], [1.0, 2.5])
+    # general branch (pandas UDF): repeated indexes are summed, indexes sorted
+    assert got["c"] == SparseVector(6, [0, 2, 5], [-2.0, 1.0, 0.75])
 
 
 def test_hot_item_salted_join_keeps_every_row(spark):

@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from .. import constants as C
@@ -218,7 +220,7 @@ def vectorize(parsed: DataFrame, dim: int = C.FEATURE_DIM, out_col: str = "featu
 
     Rows whose values are all 1.0 (everything the encoder writes) go through
     a vocabulary model of the index strings, which builds sparse vectors
-    JVM-side. Other rows use a row-wise Python UDF; ``values="binary"``
+    JVM-side. Other rows use an Arrow-batched pandas UDF; ``values="binary"``
     skips that branch entirely.
     """
     from pyspark.ml.feature import CountVectorizerModel
@@ -258,14 +260,25 @@ def vectors(features: DataFrame, dim: int = C.FEATURE_DIM, out_col: str = "featu
 
 
 def _sparse_udf(dim: int):
-    from pyspark.ml.linalg import SparseVector, VectorUDT
+    """Arrow-batched builder of sparse vectors with arbitrary values.
 
-    def build(indices, values):
-        pairs = sorted(zip(indices, values))
-        merged: dict[int, float] = {}
-        for i, v in pairs:
-            merged[i] = merged.get(i, 0.0) + v
-        keys = sorted(merged)
-        return SparseVector(dim, keys, [merged[k] for k in keys])
-
-    return F.udf(build, VectorUDT())
+    A vector column crosses Arrow as its struct form (type 0 = sparse, size,
+    indices, values). Repeated indexes are summed in (index, value) order.
+    """
+    from pyspark.ml.linalg import VectorUDT
+
+    def build(indices: pd.Series, values: pd.Series) -> pd.DataFrame:
+        keys_out, sums_out = [], []
+        for i, v in zip(indices, values):
+            i = np.asarray(i, dtype=np.int64)
+            v = np.asarray(v, dtype=np.float64)
+            order = np.lexsort((v, i))
+            keys, inverse = np.unique(i[order], return_inverse=True)
+            keys_out.append(keys.astype(np.int32))
+            sums_out.append(np.bincount(inverse, weights=v[order], minlength=len(keys)))
+        n = len(keys_out)
+        return pd.DataFrame({"type": np.zeros(n, dtype=np.int8),
+                             "size": np.full(n, dim, dtype=np.int32),
+                             "indices": keys_out, "values": sums_out})
+
+    return F.pandas_udf(build, VectorUDT())
