@@ -1,3 +1,5 @@
+import json
+
 from pyspark.sql import functions as F
 
 from traitlab.plans import pipelines as pipe
@@ -104,3 +106,14 @@ def test_cli_infer_all_from_features_table(spark, scratch):
     per_attr = {r["attribute"]: r["count"] for r in out.groupBy("attribute").count().collect()}
     assert set(per_attr) == set(pipe.ATTRIBUTES)
     assert len(set(per_attr.values())) == 1          # every attribute covers every device
+
+
+def test_cli_infer_training_options(spark, scratch, capsys):
+    from traitlab.__main__ import main
+    assert main(["infer", "--date", "20180709", "--input", "/root/testdata/sf0.001",
+                 "--attribute", "gender", "--out", f"{scratch}/attrs", "--max-iter", "5",
+                 "--reg-param", "0.1", "--fit-intercept", "--holdout-percent", "10"]) == 0
+    printed = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert 0.0 <= printed["result"]["gender"]["report"]["auc"] <= 1.0
+    out = spark.read.parquet(f"{scratch}/attrs").where("stat_date = 20180709")
+    assert {r["attribute"] for r in out.select("attribute").distinct().collect()} == {"gender"}

@@ -5,6 +5,9 @@
                                  [--features DIR/features] [--out DIR] [--models DIR]
     python -m traitlab infer-all --date 20180709 --input SF_DIR [--features ...] [--out ...]
 
+Training options for ``infer`` / ``infer-all``: ``--max-iter``, ``--reg-param``,
+``--[no-]fit-intercept``, ``--holdout-percent``, ``--split-seed``.
+
 ``--input`` is the directory of the source tables; ``--features`` reads the
 dated features table written by the ``features`` job instead of encoding
 again. The run date is read leniently (20180732 means 20180801).
@@ -34,7 +37,17 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--top-k", type=int)
     ap.add_argument("--files", type=int)
     ap.add_argument("--master")
+    # training options (library defaults mirror the original settings)
+    ap.add_argument("--max-iter", type=int)
+    ap.add_argument("--reg-param", type=float)
+    ap.add_argument("--fit-intercept", action=argparse.BooleanOptionalAction, default=None)
+    ap.add_argument("--holdout-percent", type=int)
+    ap.add_argument("--split-seed", type=int)
     a = ap.parse_args(argv)
+    train = {k: v for k, v in (("max_iter", a.max_iter), ("reg_param", a.reg_param),
+                               ("fit_intercept", a.fit_intercept),
+                               ("holdout_percent", a.holdout_percent),
+                               ("split_seed", a.split_seed)) if v is not None}
 
     spark = build_session(a.master)
     ctx = JobContext(spark, a.input, normalise_job_date(a.date))
@@ -47,9 +60,9 @@ def main(argv: list[str] | None = None) -> int:
         if a.job == "infer":
             if not a.attribute:
                 ap.error("infer needs --attribute")
-            res = pipe.infer(ctx, a.attribute, feats, a.out, a.models)
+            res = pipe.infer(ctx, a.attribute, feats, a.out, a.models, **train)
         else:
-            res = pipe.infer_all(ctx, None, feats, a.out, a.models)
+            res = pipe.infer_all(ctx, None, feats, a.out, a.models, **train)
         report = {name: {"report": r.report, "threshold": r.threshold, "model": r.model_path}
                   for name, r in res.results.items()}
     print(json.dumps({"job": a.job, "date": ctx.job_date, "result": report}, default=str))
