@@ -158,8 +158,7 @@ def _labels(o: dict[str, str]) -> None:
     gender = f"select device_id, min(label) as label from ({gender_rows}) g group by device_id"
     o["label_gender"] = _q(("users_info", "device_rel"), [], gender)
     year = int(str(D)[:4])
-    o["label_age"] = _q(("users_info", "device_rel"), [], f"""
-        select device_id, min(label) as label from (
+    age_rows = f"""
           select trim(device_id) as device_id,
                  case when age between 7 and 14 then 0.0e0 when age between 15 and 22 then 1.0e0
                       when age between 23 and 35 then 2.0e0 when age between 36 and 45 then 3.0e0
@@ -168,7 +167,9 @@ def _labels(o: dict[str, str]) -> None:
                        {year} - try_cast(trim(substr(trim(u.birthdate), 1, 4)) as integer) as age
                 from users_info u join device_rel r on u.user_id = r.uid
                 where u.stat_date = {D} and r.stat_date = {D} and length(u.birthdate) > 0
-                  and r.device_id is not null and u.birthdate is not null) a) b
+                  and r.device_id is not null and u.birthdate is not null) a"""
+    o["label_age"] = _q(("users_info", "device_rel"), [], f"""
+        select device_id, min(label) as label from ({age_rows}) b
         where label is not null group by device_id""")
     o["label_marital_age"] = _q(("age_collect",), [], f"""
         select device_id, min(label) as label from (
@@ -189,6 +190,17 @@ def _labels(o: dict[str, str]) -> None:
     o["labels_long"] = _q(("questionnaire", "child_stage"), [], f"""
         select attribute, device_id, min(label) as label from ({parts}) u
         where label is not null group by attribute, device_id""")
+    # label_matrix: every attribute's raw rows, one conditional min per attribute
+    from .pipelines import ATTRIBUTES
+    raw = {"gender": gender_rows, "age": age_rows}
+    rows = " union all ".join(
+        f"select '{a}' as attribute, device_id, label from ({raw.get(a) or answer_rows_sql(a)}) m{i}"
+        for i, a in enumerate(ATTRIBUTES))
+    cols = ", ".join(f"min(case when attribute = '{a}' then label end) as label_{a}"
+                     for a in ATTRIBUTES)
+    o["label_matrix"] = _q(("questionnaire", "child_stage", "users_info", "device_rel"), [], f"""
+        select device_id, {cols} from ({rows}) u
+        where label is not null group by device_id""")
     o["dedup_labels"] = _q(("questionnaire", "users_info", "device_rel"), [], f"""
         select attribute, cast(sum(n) as bigint) as n_rows, count(*) as n_devices, sum(label) as label_sum
         from (select attribute, device_id, count(*) as n, min(label) as label from (

@@ -341,6 +341,13 @@ def _job_date_normalise(ctx: JobContext) -> DataFrame:
 # --- models and jobs ----------------------------------------------------------------------
 
 
+@query("label_matrix")
+def _label_matrix(ctx: JobContext) -> DataFrame:
+    """LBL-0..12 of every attribute as one row per labelled device (the
+    all-attribute job's labels): one account join, one aggregate."""
+    return pipe.label_matrix(ctx, list(pipe.ATTRIBUTES))
+
+
 @query("union_known_predicted")
 def _union_known_predicted(ctx: JobContext) -> DataFrame:
     """SET-1 with a deterministic stand-in scorer: unlabelled devices get
