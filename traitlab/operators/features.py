@@ -214,6 +214,26 @@ def feature_rows(features: DataFrame, job_date: int | None) -> DataFrame:
 # FEAT-6: vectors
 
 
+_VOCABULARY_MODELS: dict = {}
+
+
+def _vocabulary_model(spark, dim: int, out_col: str):
+    """The binary vocabulary model of the index strings "0" .. dim-1.
+
+    Built once per Spark application: handing a 30,000-term vocabulary to
+    the JVM goes element by element through the gateway (over a second).
+    """
+    from pyspark.ml.feature import CountVectorizerModel
+
+    key = (spark.sparkContext.applicationId, dim, out_col)
+    model = _VOCABULARY_MODELS.get(key)
+    if model is None:
+        model = CountVectorizerModel.from_vocabulary(
+            [str(i) for i in range(dim)], inputCol="_idx_terms", outputCol=out_col, binary=True)
+        _VOCABULARY_MODELS[key] = model
+    return model
+
+
 def vectorize(parsed: DataFrame, dim: int = C.FEATURE_DIM, out_col: str = "features",
               values: str = "auto") -> DataFrame:
     """Sparse ML vectors of size ``dim`` from (indices, values) arrays.
@@ -223,10 +243,7 @@ def vectorize(parsed: DataFrame, dim: int = C.FEATURE_DIM, out_col: str = "featu
     JVM-side. Other rows use an Arrow-batched pandas UDF; ``values="binary"``
     skips that branch entirely.
     """
-    from pyspark.ml.feature import CountVectorizerModel
-
-    vocab = CountVectorizerModel.from_vocabulary(
-        [str(i) for i in range(dim)], inputCol="_idx_terms", outputCol=out_col, binary=True)
+    vocab = _vocabulary_model(parsed.sparkSession, dim, out_col)
     terms = F.col("indices").cast("array<string>")
     if values == "binary":
         return vocab.transform(parsed.withColumn("_idx_terms", terms)).drop("_idx_terms")
