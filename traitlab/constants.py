@@ -48,3 +48,8 @@ HOT_KEYS_MAX = 10_000
 HOT_SAMPLE_ROWS = 200
 # Salt buckets for the shuffle-join fallback of the catalog lookup and hot devices.
 LOOKUP_SALT_BUCKETS = 16
+# Cluster sessions without their own shuffle sizing: shuffles start this wide
+# and AQE merges neighbouring partitions up to the advisory size, so a 100 TB
+# input never lands in the default 200 partitions.
+CLUSTER_INITIAL_SHUFFLE_PARTITIONS = 32_768
+CLUSTER_ADVISORY_PARTITION_BYTES = "256m"

@@ -37,7 +37,36 @@ def build_session(master: str | None = None, app_name: str = "traitlab",
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if not _is_local(spark) and not shuffle_partitions:
+        apply_cluster_shuffle_defaults(spark)
+    return spark
+
+
+def apply_cluster_shuffle_defaults(spark: SparkSession) -> dict[str, str]:
+    """Size shuffles for cluster-scale inputs unless the job configured them.
+
+    Every shuffle starts with ``CLUSTER_INITIAL_SHUFFLE_PARTITIONS`` and AQE
+    coalesces contiguous small partitions to the advisory size, so reducers
+    get partitions that fit in memory at any input size (Spark's default of
+    200 would mean hundreds of GB per reducer at 100 TB). Keys set at launch
+    or earlier in the session are left alone. Returns what was set.
+    """
+    from .constants import CLUSTER_ADVISORY_PARTITION_BYTES, CLUSTER_INITIAL_SHUFFLE_PARTITIONS
+    launch = spark.sparkContext.getConf()
+    wanted = {
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum":
+            str(CLUSTER_INITIAL_SHUFFLE_PARTITIONS),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": CLUSTER_ADVISORY_PARTITION_BYTES,
+    }
+    if launch.contains("spark.sql.shuffle.partitions"):
+        return {}
+    applied = {}
+    for key, value in wanted.items():
+        if not launch.contains(key) and spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
+            applied[key] = value
+    return applied
 
 
 def _is_local(spark: SparkSession) -> bool:
