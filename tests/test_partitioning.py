@@ -6,7 +6,7 @@ import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
 NAMES = ["catalog_index", "features_encoded", "labels_long", "f1_by_threshold",
-         "split_train_valid", "doc_features"]
+         "split_train_valid", "doc_features", "label_matrix"]
 
 
 def _rows(spark, name, partitions):
