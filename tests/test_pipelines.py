@@ -117,3 +117,10 @@ def test_cli_infer_training_options(spark, scratch, capsys):
     assert 0.0 <= printed["result"]["gender"]["report"]["auc"] <= 1.0
     out = spark.read.parquet(f"{scratch}/attrs").where("stat_date = 20180709")
     assert {r["attribute"] for r in out.select("attribute").distinct().collect()} == {"gender"}
+
+
+def test_materialize_table_round_trip_and_pruning(spark, ctx001):
+    feats = pipe.materialize_table(ctx001.features, "features")
+    assert sorted(map(tuple, feats.collect())) == sorted(map(tuple, ctx001.features.collect()))
+    p = feats.select("device_id")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<device_id:string>" in p

@@ -8,6 +8,7 @@ applies every model to each device row.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -21,7 +22,7 @@ from ..operators import dataset as dsm
 from ..operators import features as feat
 from ..operators import labels as lbl
 from ..operators import model as mdl
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, scratch_path
 from ..sources import sinks
 from .context import JobContext
 
@@ -183,6 +184,21 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialize_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and
+    read it back.
+
+    For the large feature intermediates: compressed and columnar (later
+    passes read only the columns they use), and, like a checkpoint, a lost
+    executor costs a re-read. The folder belongs to the application's
+    checkpoint directory.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def infer_labels(vectors: DataFrame, labels: DataFrame, attribute: str, classes: int,
                  refine: bool, job_date: int, model_dir: str | None = None,
                  **params) -> Inference:
@@ -209,7 +225,8 @@ def infer(ctx: JobContext, attribute: str, features: DataFrame | None = None,
           out_dir: str | None = None, model_dir: str | None = None, **params) -> Inference:
     """One attribute job (PIPE-2..12)."""
     spec = ATTRIBUTES[attribute]
-    vectors = vectors_from(features if features is not None else materialize(ctx.features))
+    vectors = vectors_from(features if features is not None
+                           else materialize_table(ctx.features, "features"))
     res = infer_labels(vectors, known_labels(ctx, attribute), attribute, spec.classes,
                        spec.refine, ctx.job_date, model_dir, **params)
     if out_dir:
@@ -231,7 +248,8 @@ def infer_all(ctx: JobContext, attributes: list[str] | None = None,
     projection.
     """
     attributes = attributes or list(ATTRIBUTES)
-    vectors = vectors_from(features if features is not None else materialize(ctx.features))
+    vectors = vectors_from(features if features is not None
+                           else materialize_table(ctx.features, "features"))
     cols = [f"label_{a}" for a in attributes]
     wide = materialize(label_matrix(ctx, attributes, label_source))
     ds = dsm.attach_labels(vectors, wide, cols)
@@ -285,5 +303,5 @@ def infer_documents(ctx: JobContext, target: str = "quality", refine: bool = Tru
                     **params) -> Inference:
     """Binary inference of a partially known document label."""
     labels = ctx.view("doc_labels" if target == "quality" else "doc_labels_toxic")
-    vectors = vectors_from(materialize(document_features(ctx)))
+    vectors = vectors_from(materialize_table(document_features(ctx), "doc-features"))
     return infer_labels(vectors, labels, target, 2, refine, ctx.job_date, **params)

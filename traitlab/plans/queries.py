@@ -367,7 +367,7 @@ def _doc_features(ctx: JobContext) -> DataFrame:
 @query("train_binary")
 def _train_binary(ctx: JobContext) -> DataFrame:
     """ML-1/ML-5 binary (documents, quality): validation predictions."""
-    vectors = pipe.vectors_from(pipe.materialize(pipe.document_features(ctx)))
+    vectors = pipe.vectors_from(pipe.materialize_table(pipe.document_features(ctx), "doc-features"))
     labelled, _ = dsm.split_labelled(dsm.attach_labels(vectors, ctx.view("doc_labels")))
     res = mdl.build_model(labelled, 2, refine=True)
     _, valid = dsm.split_train_valid(labelled)
@@ -377,7 +377,7 @@ def _train_binary(ctx: JobContext) -> DataFrame:
 @query("train_multiclass")
 def _train_multiclass(ctx: JobContext) -> DataFrame:
     """ML-1/ML-5 multi-class (age bands, 5 classes): validation predictions."""
-    vectors = pipe.vectors_from(pipe.materialize(ctx.features))
+    vectors = pipe.vectors_from(pipe.materialize_table(ctx.features, "features"))
     labels = pipe.known_labels(ctx, "age")
     labelled, _ = dsm.split_labelled(dsm.attach_labels(vectors, labels))
     res = mdl.build_model(labelled, 5)
