@@ -124,3 +124,13 @@ def test_materialize_table_round_trip_and_pruning(spark, ctx001):
     assert sorted(map(tuple, feats.collect())) == sorted(map(tuple, ctx001.features.collect()))
     p = feats.select("device_id")._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<device_id:string>" in p
+
+
+def test_date_without_rows(spark, scratch):
+    import pytest
+    ctx = JobContext(spark, "/root/testdata/sf0.001", 20990101)
+    report = pipe.feature_job(ctx, scratch)
+    assert report["n_catalog"] == 0 and report["n_total"] == 0
+    assert report["min_items"] is None and report["max_items"] is None
+    with pytest.raises(ValueError, match="no labelled training rows"):
+        pipe.infer(ctx, "gender")
