@@ -20,13 +20,6 @@ def _positive(label: str) -> F.Column:
     return F.col(label) > F.lit(0.5)
 
 
-def class_totals(scored: DataFrame, label: str = "label") -> tuple[int, int]:
-    """(positives, negatives): two scalars."""
-    row = scored.agg(F.count_if(_positive(label)).alias("p"),
-                     F.count_if(~_positive(label)).alias("n")).first()
-    return int(row["p"]), int(row["n"])
-
-
 def score_counts(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
     """(score, tp, fp): positives and negatives per distinct score."""
     return scored.groupBy(F.col(score).alias("score")).agg(
