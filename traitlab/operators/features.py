@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 from .. import constants as C
 from ..functions.text import before_first, split_dropping_trailing
 from ..sources.snapshot import dated_scan, not_null
-from .sizing import broadcast_if_small
+from .sizing import rows_at_most
 
 # --------------------------------------------------------------------------
 # FEAT-2: encode
@@ -38,17 +38,20 @@ def install_tokens(rows: DataFrame) -> DataFrame:
 
 def match_catalog(tokens: DataFrame, lookup: DataFrame, how: str = "inner",
                   max_broadcast_rows: int = C.BROADCAST_MAX_ROWS,
-                  salt_buckets: int = C.LOOKUP_SALT_BUCKETS) -> DataFrame:
+                  salt_buckets: int = C.LOOKUP_SALT_BUCKETS,
+                  small: bool | None = None) -> DataFrame:
     """Join tokens to the catalog lookup on the item key (JOIN-3, FLT-9).
 
     The lookup is broadcast when a count proves it small (the common case:
     one row per catalog item). Beyond the bound it is a shuffle join salted
     on the device, so one very popular item is spread over
-    ``salt_buckets`` reducers instead of landing in one.
+    ``salt_buckets`` reducers instead of landing in one. ``small`` passes an
+    earlier size proof of the lookup.
     """
-    small, is_small = broadcast_if_small(lookup, max_broadcast_rows)
-    if is_small:
-        return tokens.join(small, "key", how)
+    if small is None:
+        small = rows_at_most(lookup, max_broadcast_rows)
+    if small:
+        return tokens.join(F.broadcast(lookup), "key", how)
     salt = F.pmod(F.xxhash64("device_id"), F.lit(salt_buckets)).cast("int")
     big = tokens.withColumn("_salt", salt)
     replicated = lookup.withColumn(
@@ -84,24 +87,54 @@ def hot_keys(rows: DataFrame, key: str, min_rows: int, max_keys: int = C.HOT_KEY
     return rows.sparkSession.createDataFrame([(r[0],) for r in found], f"{key} string")
 
 
+def _with_tokens(sets: DataFrame, keys: list[str], lookup: DataFrame) -> DataFrame:
+    """Sorted (idx, token) items from the index sets ``ix`` of each ``keys`` group.
+
+    Runs after the shuffle: explode, broadcast join to the token text and a
+    regroup on the same keys, which the rows are already partitioned by, so
+    no exchange is added.
+    """
+    ex = sets.select(*keys, F.explode_outer("ix").alias("idx"))
+    joined = ex.join(F.broadcast(lookup.select("idx", "token")), "idx", "left")
+    item = F.when(F.col("idx").isNotNull(), F.struct("idx", "token"))
+    return joined.groupBy(*keys).agg(F.sort_array(F.collect_list(item)).alias("items"))
+
+
 def device_items(tokens: DataFrame, lookup: DataFrame, hot: DataFrame | str | None = None,
-                 salt_buckets: int = C.LOOKUP_SALT_BUCKETS, **join_opts) -> DataFrame:
+                 salt_buckets: int = C.LOOKUP_SALT_BUCKETS,
+                 max_broadcast_rows: int = C.BROADCAST_MAX_ROWS) -> DataFrame:
     """(device_id, items): catalog items of each device, sorted by index.
 
     Devices without any catalog hit keep an empty array (FLT-10). Repeated
     items collapse to one entry (collect_set).
 
+    When the lookup is proven small (broadcast), only the item indexes go
+    through the per-device shuffle and the token text is attached after it
+    (see :func:`_with_tokens`); otherwise the (idx, token) pairs are shuffled.
+
     ``hot`` lists devices with very many rows (or is ``ALL_HOT``). Their tokens are salted by
     item over ``salt_buckets`` groups, so each reducer merges a share of
     their partial sets; a second, small aggregate merges the at most
     ``salt_buckets`` sets per hot device. Both branches read the same
     shuffle (exchange reuse), so the input is scanned once.
     """
-    matched = match_catalog(tokens, lookup, how="left", **join_opts)
-    item = F.when(F.col("idx").isNotNull(), F.struct("idx", "token"))
+    small = rows_at_most(lookup, max_broadcast_rows)
+    matched = match_catalog(tokens, lookup, how="left", max_broadcast_rows=max_broadcast_rows,
+                            salt_buckets=salt_buckets, small=small)
+    if small:
+        elem = F.col("idx")
+
+        def finish(sets: DataFrame, keys: list[str]) -> DataFrame:
+            return _with_tokens(sets, keys, lookup).select("device_id", "items")
+    else:
+        elem = F.when(F.col("idx").isNotNull(), F.struct("idx", "token"))
+
+        def finish(sets: DataFrame, keys: list[str]) -> DataFrame:
+            return sets.select("device_id", F.sort_array("ix").alias("items"))
+
     if hot is None:
-        return matched.groupBy("device_id").agg(
-            F.sort_array(F.collect_set(item)).alias("items"))
+        return finish(matched.groupBy("device_id").agg(F.collect_set(elem).alias("ix")),
+                      ["device_id"])
     if isinstance(hot, str):            # ALL_HOT: every device takes the salted path
         flagged, is_hot = matched, F.lit(True)
     else:
@@ -110,10 +143,10 @@ def device_items(tokens: DataFrame, lookup: DataFrame, hot: DataFrame | str | No
         is_hot = F.coalesce(F.col("_hot"), F.lit(False))
     salt = F.when(is_hot, F.pmod(F.xxhash64("key"), F.lit(salt_buckets))).otherwise(F.lit(0))
     level1 = flagged.groupBy("device_id", is_hot.alias("_h"), salt.alias("_s")).agg(
-        F.collect_set(item).alias("items"))
-    cold = level1.where(~F.col("_h")).select("device_id", F.sort_array("items").alias("items"))
-    merged = level1.where(F.col("_h")).groupBy("device_id").agg(
-        F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+        F.collect_set(elem).alias("ix"))
+    cold = finish(level1.where(~F.col("_h")), ["device_id", "_h", "_s"])
+    merged = finish(level1.where(F.col("_h")).groupBy("device_id").agg(
+        F.array_distinct(F.flatten(F.collect_list("ix"))).alias("ix")), ["device_id"])
     return cold.unionByName(merged)
 
 
