@@ -49,14 +49,3 @@ def test_label_matrix_one_shuffle_one_account_join(spark):
     assert p.count("Exchange hashpartitioning(device_id") == 1
     assert p.count("Exchange hashpartitioning(attribute") == 0
     assert p.count("HashJoin") + p.count("SortMergeJoin") == 1
-
-
-def test_device_shuffle_carries_indexes_only(spark):
-    # per-device partial sets hold item indexes only; the token text is joined
-    # on afterwards and regrouped without another exchange
-    p = plan(REGISTRY["features_encoded"](spark, SF))
-    assert "partial_collect_set(idx" in p
-    assert p.count("Exchange hashpartitioning(device_id") <= 1
-    between = p.split("partial_collect_list(")[1].split("partial_collect_set(idx")[0]
-    assert "Exchange" not in between.split("BroadcastExchange")[0]
-    assert "BroadcastHashJoin [idx" in between
