@@ -134,3 +134,16 @@ def test_date_without_rows(spark, scratch):
     assert report["min_items"] is None and report["max_items"] is None
     with pytest.raises(ValueError, match="no labelled training rows"):
         pipe.infer(ctx, "gender")
+
+
+def test_cli_removes_its_intermediate_tables(spark, scratch):
+    import os
+    from traitlab.__main__ import main
+    from traitlab.session import scratch_path
+    tables = scratch_path(spark, "").replace("file:", "")
+    pipe.materialize_table(spark.range(3), "probe")
+    assert os.path.isdir(tables)
+    assert main(["infer", "--date", "20180709", "--input", "/root/testdata/sf0.001",
+                 "--attribute", "gender", "--out", f"{scratch}/attrs"]) == 0
+    assert not os.path.exists(tables)
+    assert spark.read.parquet(f"{scratch}/attrs").count() > 0

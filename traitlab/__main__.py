@@ -22,7 +22,7 @@ import sys
 from .functions.dates import normalise_job_date
 from .plans import pipelines as pipe
 from .plans.context import JobContext
-from .session import build_session
+from .session import build_session, remove_scratch_tables
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -50,6 +50,16 @@ def main(argv: list[str] | None = None) -> int:
                                ("split_seed", a.split_seed)) if v is not None}
 
     spark = build_session(a.master)
+    try:
+        report, ctx = _run(ap, a, train, spark)
+    finally:
+        # the outputs are written: drop this run's intermediate tables
+        remove_scratch_tables(spark)
+    print(json.dumps({"job": a.job, "date": ctx.job_date, "result": report}, default=str))
+    return 0
+
+
+def _run(ap: argparse.ArgumentParser, a: argparse.Namespace, train: dict, spark):
     ctx = JobContext(spark, a.input, normalise_job_date(a.date))
     if a.job == "features":
         if not a.out:
@@ -65,8 +75,7 @@ def main(argv: list[str] | None = None) -> int:
             res = pipe.infer_all(ctx, None, feats, a.out, a.models, **train)
         report = {name: {"report": r.report, "threshold": r.threshold, "model": r.model_path}
                   for name, r in res.results.items()}
-    print(json.dumps({"job": a.job, "date": ctx.job_date, "result": report}, default=str))
-    return 0
+    return report, ctx
 
 
 if __name__ == "__main__":

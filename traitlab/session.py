@@ -100,3 +100,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = checkpoint_dir(spark)
     return os.path.join(base, "tables", name) if "://" not in base else \
         base.rstrip("/") + "/tables/" + name
+
+
+def remove_scratch_tables(spark: SparkSession) -> bool:
+    """Delete this application's intermediate tables (``<checkpoint dir>/tables``).
+
+    Checkpoint files are cleaned by Spark once unreferenced; the Parquet
+    intermediates are not, so a job removes them when its outputs are
+    written. Returns whether anything was deleted.
+    """
+    if not spark.sparkContext.getCheckpointDir():
+        return False
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(scratch_path(spark, ""))
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(path) and fs.delete(path, True))
