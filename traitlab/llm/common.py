@@ -29,18 +29,24 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACES), "")
 
 
+def scratch_file(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared checkpoint folder, deleted when the
+    application ends."""
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
+    return path
+
+
 def scratch_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared checkpoint folder and reread it.
 
     Later jobs read the written rows instead of recomputing them, also after
-    executors are lost. The files go when the application ends.
+    executors are lost.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    path = scratch_file(df.sparkSession, name)
     df.write.parquet(path)
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def small_enough(df: DataFrame, *text_columns: str) -> bool:

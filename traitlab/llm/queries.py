@@ -8,10 +8,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import oracle, quality
-from .common import table
+from . import oracle, packing, quality, token_table
+from .common import scratch_file, table
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+        "sequence_id", "offset", "context", "step_id")
+
+
+def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_file(spark, "tokens")
+    token_table.write_tokens(table(spark, sf_dir, "documents"), path)
+    return token_table.read_tokens(spark, path).select(
+        "doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"))
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,7 +36,9 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_packing": op6_packing,
     "op9_quality_rules": op9_quality_rules,
+    "op10_token_ids": op10_token_ids,
 }
 
 ORACLE: dict[str, str] = oracle.STATEMENTS
