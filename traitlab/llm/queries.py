@@ -10,10 +10,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import oracle, packing, quality, token_table
+from . import licenses, oracle, packing, quality, token_table
 from .common import scratch_file, table
 
 
+def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    starts = F.transform("base", lambda b: b["start"])
+    return found.select(
+        "doc_id", "n_words", F.size("base").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        "base_labels", "labels", "score", F.coalesce(F.size("detections"), F.lit(0)).alias("n_detections"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"))
     return pieces.select(
@@ -36,6 +45,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_license_scans": op4_license_scans,
     "op6_packing": op6_packing,
     "op9_quality_rules": op9_quality_rules,
     "op10_token_ids": op10_token_ids,
