@@ -53,6 +53,69 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from j left join z using (source)
 """
 
+_DOUBLE = ", ".join(f"'{x}'" for x in (
+    "co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "net.au", "org.au", "co.nz", "co.jp", "ne.jp",
+    "or.jp", "com.br", "com.cn", "com.mx", "com.tr", "co.in", "co.kr", "co.za", "com.ar", "com.tw"))
+
+
+def _rate_and_strength(level: str) -> str:
+    return f"""
+  select coalesce(p, 0) as p,
+         case when p is null or excess <= 1e-9 then 1e4
+              else least(greatest((noise - spread) / excess, 2.0), 1e4) end as k
+  from (select p, p * (1 - p) as noise, sq / n - p * p as spread,
+               (sq / n - p * p) - p * (1 - p) * g / n as excess
+        from (select sum(n) as n, count(*) as g, sum(bad)::double / sum(n) as p,
+                     sum(n * (bad / n) * (bad / n)) as sq from {level} where n > 0))"""
+
+
+OP3 = rf"""
+with p as (
+  select page_id,
+         coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1),
+                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') as host,
+         coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') as path,
+         case when coalesce(html, '') <> '' then regexp_matches(html,
+           '(?i)idiot|stupid|pathetic|disgusting|worthless|moron|cheap pills|[%]{{3}}|[#]{{3}}|[*]{{3}}')::int
+         end as outcome
+  from pages),
+h as (
+  select host, count(outcome) as n, coalesce(sum(outcome), 0) as bad,
+         regexp_extract(host, '([^.]*\.[^.]*)$', 1) as two,
+         regexp_extract(host, '([^.]*\.[^.]*\.[^.]*)$', 1) as three
+  from p where host <> '' group by host),
+hh as (
+  select host, n, bad,
+         case when two in ({_DOUBLE}) then two else regexp_extract(host, '([^.]*)$', 1) end as suffix,
+         case when two in ({_DOUBLE}) then coalesce(nullif(three, ''), host)
+              else coalesce(nullif(two, ''), host) end as domain
+  from h),
+d as (select domain, suffix, sum(n) as n, sum(bad) as bad from hh group by domain, suffix),
+s as (select suffix, sum(n) as n, sum(bad) as bad from d group by suffix),
+ks as ({_rate_and_strength("s")}),
+kd as ({_rate_and_strength("d")}),
+kh as ({_rate_and_strength("hh")}),
+sr as (select suffix, (p * k + bad) / (k + n) as r from s, ks),
+dr as (select domain, (sr.r * k + bad) / (k + n) as r from d join sr using (suffix), kd),
+hr as (select host, (dr.r * k + bad) / (k + n) as m, k + n as w from hh join dr using (domain), kh),
+b as (select host from hr where m - 1.645 * sqrt(m * (1 - m) / (w + 1)) > 0.5),
+r as (
+  select page_id, host, path,
+         case when (host = 'example.net' or host like '%.example.net') and path like '/en/%'
+              then 'example.net/en/'
+              when (host = 'example.com' or host like '%.example.com') and path like '/de/%'
+              then 'example.com/de/'
+              when (host = 'org' or host like '%.org') and path like '/fr/%' then 'org/fr/'
+              when (host = 'net' or host like '%.net') and path like '/%' then 'net/' end as rule
+  from p)
+select page_id, host, path, rule,
+       case when rule in ('net/', 'example.com/de/') then 'block'
+            when rule is not null then 'allow'
+            when host in (select host from b) then 'block' else 'allow' end as verdict
+from r
+"""
+
 STATEMENTS: dict[str, str] = {
+    "op3_url_filters": OP3,
     "op9_quality_rules": OP9,
 }

@@ -10,10 +10,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import licenses, oracle, packing, quality, token_table
+from . import licenses, oracle, packing, quality, reputation, token_table
 from .common import scratch_file, table
 
 
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = reputation.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url", "html"),
+                                    reputation.page_outcome(F.col("html")))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     starts = F.transform("base", lambda b: b["start"])
@@ -45,6 +51,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_url_filters": op3_url_filters,
     "op4_license_scans": op4_license_scans,
     "op6_packing": op6_packing,
     "op9_quality_rules": op9_quality_rules,
