@@ -10,10 +10,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import licenses, oracle, packing, quality, reputation, token_table
+from . import licenses, oracle, packing, quality, reputation, sharding, token_table
 from .common import scratch_file, table
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
+        F.crc32(F.coalesce(F.col("text"), F.lit(""))).alias("text_crc32"))
+    return sharding.shuffle(docs).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = reputation.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url", "html"),
                                     reputation.page_outcome(F.col("html")))
@@ -51,6 +60,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_sharding": op2_sharding,
     "op3_url_filters": op3_url_filters,
     "op4_license_scans": op4_license_scans,
     "op6_packing": op6_packing,
