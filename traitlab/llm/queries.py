@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import licenses, oracle, packing, quality, reputation, sharding, token_table
+from . import licenses, oracle, packing, pii, quality, reputation, sharding, token_table
 from .common import scratch_file, table
 
 
@@ -38,6 +38,13 @@ def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_labels", "labels", "score", F.coalesce(F.size("detections"), F.lit(0)).alias("n_detections"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.detect(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [F.regexp_count("base_spans", F.lit(kind + ":")).cast("long").alias("n_" + kind)
+              for kind in pii.BASE_KINDS]
+    return found.select("doc_id", *counts, F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"))
     return pieces.select(
@@ -63,6 +70,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sharding": op2_sharding,
     "op3_url_filters": op3_url_filters,
     "op4_license_scans": op4_license_scans,
+    "op5_pii": op5_pii,
     "op6_packing": op6_packing,
     "op9_quality_rules": op9_quality_rules,
     "op10_token_ids": op10_token_ids,
