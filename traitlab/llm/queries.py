@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import licenses, oracle, packing, pii, quality, reputation, sharding, token_table
+from . import decontamination, licenses, oracle, packing, pii, quality, reputation, sharding, token_table
 from .common import scratch_file, table
 
 
@@ -60,6 +60,12 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.crc32("ids").alias("ids_crc32"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_overlaps(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    ).select("doc_id", "item_id", "score", "first_word")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
@@ -72,6 +78,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_license_scans": op4_license_scans,
     "op5_pii": op5_pii,
     "op6_packing": op6_packing,
+    "op7_decontamination": op7_decontamination,
     "op9_quality_rules": op9_quality_rules,
     "op10_token_ids": op10_token_ids,
 }
