@@ -177,11 +177,12 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                                  ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()),
                                  ("offset", pa.int64()), ("context", pa.int32()),
                                  ("step_id", pa.int64())])
-            ids, offsets = coder.encode(batch.column(1))
-            for n, doc in enumerate(batch.column(0).to_pylist()):
-                own = np.append(ids[offsets[n]:offsets[n + 1]], np.uint16(END_ID))
-                packer.add(doc, own)
-                if len(packer.rows) > 5000:
+            docs_here = batch.column(0).to_pylist()
+            for row, ids, offsets in coder.chunks(batch.column(1)):
+                for n in range(len(offsets) - 1):
+                    own = np.append(ids[offsets[n]:offsets[n + 1]], np.uint16(END_ID))
+                    packer.add(docs_here[row + n], own)
+                if packer.rows:
                     yield drain()
         if out is not None:
             packer.finish()

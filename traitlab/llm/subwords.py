@@ -10,6 +10,8 @@ Texts with any other white space pattern are encoded whole.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -18,7 +20,9 @@ from tokenizers import Tokenizer
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 # Units remembered by one worker process before it starts afresh.
-MAX_UNITS = 600_000
+MAX_UNITS = 2_000_000
+# Bytes of text encoded at a time; bounds the memory of one call.
+CHUNK_BYTES = 8 << 20
 # Texts that are encoded whole: white space other than single inner spaces
 # and line feeds, or the mark itself.
 MARK = "\x02"
@@ -45,84 +49,94 @@ class Encoder:
         self._reset()
 
     def _reset(self) -> None:
-        self.units: dict[str, int] = {}
-        self.start = np.zeros(1 << 16, np.int64)
-        self.length = np.zeros(1 << 16, np.int32)
-        self.ids = np.zeros(1 << 18, np.uint16)
-        self.used = 0
+        self.units = pa.array([], pa.large_string())
+        self.start = np.zeros(0, np.int32)
+        self.length = np.zeros(0, np.int32)
+        self.ids = np.zeros(0, np.uint16)
 
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, fresh: list[str]) -> None:
+    def _learn(self, fresh: pa.Array) -> None:
         """Encode new units and append their ids to the buffer.
 
         Units are joined into longer texts; a unit's ids are those covering
         its bytes, since byte-level ids stand for fixed byte strings. Units
         that begin a text have no white space in front and go one by one.
         """
-        first = [u for u in fresh if u[0] == MARK]
-        inner = [u if u[0] == "\n" else " " + u for u in fresh if u[0] != MARK]
-        texts = ["".join(inner[k:k + _PIECE]) for k in range(0, len(inner), _PIECE)]
+        first = pc.starts_with(fresh, MARK)
+        begin, fresh = fresh.filter(first), fresh.filter(pc.invert(first))
+        inner = pc.if_else(pc.starts_with(fresh, "\n"), fresh, pc.binary_join_element_wise(
+            _text(""), fresh, _text(" ")))
+        names = inner.to_pylist()
+        texts = ["".join(names[k:k + _PIECE]) for k in range(0, len(names), _PIECE)]
         joined = [np.asarray(x, np.uint16) for x in self._whole(texts)]
-        bare = [np.asarray(x, np.uint16) for x in self._whole([u[1:] for u in first])]
+        bare = [np.asarray(x, np.uint16) for x in self._whole([u[1:] for u in begin.to_pylist()])]
         flat = np.concatenate([*joined, np.zeros(0, np.uint16)])
-        ends = np.cumsum(pc.binary_length(pa.array(inner, pa.large_string())).to_numpy())
+        ends = np.cumsum(pc.binary_length(inner).to_numpy(zero_copy_only=False))
         counts = np.diff(np.searchsorted(np.cumsum(self.width[flat]), ends, "left") + 1, prepend=0)
-        flat = np.concatenate([flat, *bare])
         counts = np.concatenate([counts, np.fromiter(map(len, bare), np.int64, len(bare))])
-        a, n = len(self.units), len(self.units) + len(fresh)
-        if n > len(self.start):
-            self.start = np.resize(self.start, 2 * n)
-            self.length = np.resize(self.length, 2 * n)
-        if self.used + len(flat) > len(self.ids):
-            self.ids = np.resize(self.ids, 2 * (self.used + len(flat)))
-        self.ids[self.used:self.used + len(flat)] = flat
-        self.length[a:n] = counts
-        self.start[a:n] = self.used + np.cumsum(counts) - counts
-        self.used += len(flat)
-        self.units.update(zip([u for u in fresh if u[0] != MARK] + first, range(a, n), strict=True))
+        starts = len(self.ids) + np.cumsum(counts) - counts
+        self.units = pa.concat_arrays([self.units, fresh, begin])
+        self.start = np.concatenate([self.start, starts.astype(np.int32)])
+        self.length = np.concatenate([self.length, counts.astype(np.int32)])
+        self.ids = np.concatenate([self.ids, flat, *bare])
+
+    def chunks(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(first row, ids, offsets) of consecutive slices of about
+        ``CHUNK_BYTES`` of text each; a longer text is a slice of its own."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+        row = 0
+        while row < len(texts):
+            floor = ends[row - 1] if row else 0
+            stop = max(row + 1, int(np.searchsorted(ends, floor + CHUNK_BYTES, "right")))
+            yield row, *self.encode(texts.slice(row, stop - row))
+            row = stop
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """``ids`` of all texts one after another, and ``offsets`` (n + 1)."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         odd = pc.or_(pc.match_substring_regex(texts, IRREGULAR), pc.equal(texts, ""))
         odd = odd.to_numpy(zero_copy_only=False)
-        ids, lengths = self._regular(texts.filter(pa.array(~odd)))
         if not odd.any():
+            ids, lengths = self._regular(texts)
             return ids, np.concatenate([[0], np.cumsum(lengths)])
+        ids, lengths = self._regular(texts.filter(pa.array(~odd)))
         whole = [np.asarray(x, np.uint16) for x in self._whole(texts.filter(pa.array(odd)).to_pylist())]
         regular = np.split(ids, np.cumsum(lengths)[:-1]) if len(lengths) else []
-        parts, a, b = [], iter(regular), iter(whole)
-        for x in odd:
-            parts.append(next(b) if x else next(a))
+        a, b = iter(regular), iter(whole)
+        parts = [next(b) if x else next(a) for x in odd]
         sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-        flat = np.concatenate(parts) if parts else ids
-        return flat, np.concatenate([[0], np.cumsum(sizes)])
+        return np.concatenate(parts), np.concatenate([[0], np.cumsum(sizes)])
 
     def _regular(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if not len(texts):
             return np.zeros(0, np.uint16), np.zeros(0, np.int64)
         marked = pc.binary_join_element_wise(
             _text(MARK), pc.replace_substring(texts, "\n", " \n"), _text(""))
-        units = pc.split_pattern(marked, " ")
-        coded = units.flatten().dictionary_encode()
-        names = coded.dictionary.to_pylist()
-        known = self.units
-        fresh = [u for u in names if u not in known]
-        if self.units and len(self.units) + len(fresh) > MAX_UNITS:
+        split = pc.split_pattern(marked, " ")
+        bounds, units = split.offsets.to_numpy(), split.flatten()
+        place = pc.index_in(units, value_set=self.units)
+        unknown = pc.is_null(place)
+        missing = units.filter(unknown)
+        fresh = missing.unique()
+        if len(self.units) and len(self.units) + len(fresh) > MAX_UNITS:
             self._reset()
-            known, fresh = self.units, names
-        if fresh:
+            return self._regular(texts)
+        if len(fresh):
             self._learn(fresh)
-        place = np.fromiter(map(known.__getitem__, names), np.int64, len(names))
-        place = place[coded.indices.to_numpy()]
-        length = self.length[place].astype(np.int64)
-        ends = np.cumsum(length)
-        take = np.repeat(self.start[place] - (ends - length), length)
-        take += np.arange(len(take))
-        bounds = np.concatenate([[0], ends])[units.offsets.to_numpy()]
-        return self.ids[take], np.diff(bounds)
+            place = pc.replace_with_mask(place, unknown, pc.index_in(
+                missing, value_set=self.units.slice(len(self.units) - len(fresh))).cast(pa.int32()))
+            place = place.to_numpy(zero_copy_only=False)
+            place = place + np.where(unknown.to_numpy(zero_copy_only=False), len(self.units) - len(fresh), 0)
+        else:
+            place = place.to_numpy(zero_copy_only=False)
+        length = self.length[place]
+        ends = np.cumsum(length, dtype=np.int64)
+        take = np.repeat(self.start[place] - (ends - length).astype(np.int32), length)
+        take += np.arange(len(take), dtype=np.int32)
+        return self.ids[take], np.diff(np.concatenate([[0], ends])[bounds])
 
 
 _ENCODERS: dict[str, Encoder] = {}

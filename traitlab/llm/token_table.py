@@ -64,14 +64,15 @@ def write_tokens(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str =
                 out = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("n_ids", pa.int64()),
                                  ("doc_ids", pa.list_(batch.schema.field(0).type)),
                                  ("lengths", pa.list_(pa.int64())), ("data", pa.binary())])
-            ids, offsets = coder.encode(batch.column(1))
-            for n, doc in enumerate(batch.column(0).to_pylist()):
-                own = np.append(ids[offsets[n]:offsets[n + 1]], np.uint16(END_ID))
-                docs_held.append(doc)
-                ids_held.append(own)
-                held += len(own)
-                if held >= BLOCK_IDS:
-                    yield close()
+            docs_here = batch.column(0).to_pylist()
+            for row, ids, offsets in coder.chunks(batch.column(1)):
+                for n in range(len(offsets) - 1):
+                    own = np.append(ids[offsets[n]:offsets[n + 1]], np.uint16(END_ID))
+                    docs_held.append(docs_here[row + n])
+                    ids_held.append(own)
+                    held += len(own)
+                    if held >= BLOCK_IDS:
+                        yield close()
         if docs_held:
             yield close()
 
