@@ -10,10 +10,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontamination, licenses, oracle, packing, pii, quality, reputation, sharding, token_table
+from . import decontamination, jaccard, licenses, oracle, packing, pii, quality, reputation, sharding, token_table
 from .common import scratch_file, table
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join_groups(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id")
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
@@ -73,6 +78,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_sharding": op2_sharding,
     "op3_url_filters": op3_url_filters,
     "op4_license_scans": op4_license_scans,
