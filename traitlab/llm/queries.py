@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontamination, jaccard, licenses, oracle, packing, pii, quality, reputation, sharding, token_table
+from . import decontamination, jaccard, licenses, lm, oracle, packing, pii, quality, reputation, sharding, token_table
 from .common import scratch_file, table
 
 
@@ -71,6 +71,10 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("doc_id", "item_id", "score", "first_word")
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
@@ -85,6 +89,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_pii": op5_pii,
     "op6_packing": op6_packing,
     "op7_decontamination": op7_decontamination,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_quality_rules": op9_quality_rules,
     "op10_token_ids": op10_token_ids,
 }

@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 import xxhash
 
 WORDS = 5
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _FOLD = bytes.maketrans(_UPPER.encode(), _LOWER.encode())
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -24,8 +24,11 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of the texts, and the offsets of each text's words."""
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words (A-Z lowered) of large-string texts without nulls,
+    and the offsets of each text's words."""
+    # a copy, since buffers of a slice would be folded whole
+    texts = texts.take(pa.array(np.arange(len(texts))))
     # A-Z are single bytes in UTF-8 and no part of another character
     raw = texts.buffers()[2]
     if raw is not None:
@@ -56,8 +59,7 @@ def shingle_sets(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, bytes]]:
     while row < len(texts):
         floor = ends[row - 1] if row else 0
         stop = max(row + 1, int(np.searchsorted(ends, floor + CHUNK_BYTES, "right")))
-        part = pa.concat_arrays([texts.slice(row, stop - row)])
-        words, bounds = _word_hashes(part)
+        words, bounds = word_hashes(texts.slice(row, stop - row))
         rolled = words.copy()
         for k in range(1, WORDS):
             rolled[:len(words) - k] = _mixed(rolled[:len(words) - k] + _MIX) ^ words[k:]
@@ -72,4 +74,5 @@ def shingle_sets(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, bytes]]:
                 yield row + n, np.frombuffer(digest[:8], np.uint64), digest
             else:
                 yield row + n, np.zeros(0, np.uint64), digest
+        pa.default_memory_pool().release_unused()
         row = stop
