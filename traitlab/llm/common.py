@@ -29,12 +29,22 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACES), "")
 
 
+# Scratch paths of this process that have not been released yet.
+_SCRATCH: list[str] = []
+
+
+def _file_system(spark: SparkSession, path: str):
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path, hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def scratch_file(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared checkpoint folder, deleted when the
-    application ends."""
+    """A fresh path in the shared checkpoint folder, deleted when it is
+    released or the application ends."""
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
+    hadoop_path, fs = _file_system(spark, path)
+    fs.deleteOnExit(hadoop_path)
+    _SCRATCH.append(path)
     return path
 
 
@@ -45,10 +55,23 @@ def scratch_table(df: DataFrame, name: str) -> DataFrame:
     executors are lost.
     """
     path = scratch_file(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def scratch_paths() -> set[str]:
+    """The scratch tables that exist now."""
+    return set(_SCRATCH)
+
+
+def release_scratch(spark: SparkSession, paths: set[str]) -> None:
+    """Delete scratch tables, once all results that read them are written."""
+    for path in paths.intersection(_SCRATCH):
+        hadoop_path, fs = _file_system(spark, path)
+        fs.delete(hadoop_path, True)
+        _SCRATCH.remove(path)
+
+
 def small_enough(df: DataFrame, *text_columns: str) -> bool:
     """Whether ``df`` (already materialised) stays below the broadcast bounds,
     counting the bytes of the named variable-length columns."""

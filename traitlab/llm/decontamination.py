@@ -3,15 +3,16 @@
 Documents and benchmark items become lower-cased words. At every position,
 fixed masks pick some of the next ``SPAN`` words and ignore the others; the
 picked words' hash is a seed, so passages with substituted words still share
-seeds. Seeds of documents and items are joined, and every hit is verified on
-its alignment: over at most ``REACH`` words to either side, the best stretch
+seeds. Seeds of documents and items are joined, hits on the same alignment are
+combined, and each alignment is verified: over ``REACH`` words before its first
+seed and twice as many after it, the best stretch
 (one point for an equal word, ``MISMATCH`` off for another) must reach
 ``MIN_SCORE`` points, or as many as the item has words.
 
 Long texts are cut into chunks that overlap by the reach, so a row stays small
 whatever the text's length. The benchmark's seeds are broadcast in blocks below
-a checked size; documents are never shuffled by word. Only verified hits, one
-row of numbers each, are aggregated.
+a checked size; documents are never shuffled by word. Only hits, one row of
+numbers each, are aggregated.
 
 Defined results: null or empty texts and items match nothing, nor do items of
 fewer than ``SPAN`` words; repeated documents are judged by their text alone;
@@ -24,6 +25,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import checkpoint_dir
 from .common import BROADCAST_BYTES, broadcast_if_small, unclashed
 from .licenses import normalized
 
@@ -60,7 +62,7 @@ def _alignment_score(words: Column, item: Column, place: Column, item_place: Col
     """Best stretch of the alignment that puts ``place`` on ``item_place``."""
     shift = place - item_place
     low = F.greatest(F.lit(0), -shift, item_place - REACH)
-    high = F.least(F.size(item), F.size(words) - shift, item_place + SPAN + REACH) - 1
+    high = F.least(F.size(item), F.size(words) - shift, item_place + SPAN + 2 * REACH) - 1
     points = F.transform(F.sequence(low, high), lambda j: F.when(
         F.get(item, j) == F.get(words, j + shift), 1).otherwise(-MISMATCH))
     start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("best"))
@@ -74,8 +76,9 @@ def _alignment_score(words: Column, item: Column, place: Column, item_place: Col
 
 def find_overlaps(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
                   item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """Verified overlaps: (``doc_id``, ``text_md5``, ``item_id``, ``score``,
-    ``first_word``: where the first aligned seed lies in the document)."""
+    """Verified overlaps: (``doc_id``, the text's key ``k1`` and ``k2``,
+    ``item_id``, ``score``, ``first_word``: the place of the first seed)."""
+    checkpoint_dir(docs.sparkSession)
     items = (benchmark.select(F.col(item_id).alias("item"), text_words(F.col(item_text)).alias("item_words"))
              .where(F.size("item_words") >= SPAN).dropDuplicates()
              .withColumn("item_key", F.xxhash64("item", "item_words")).checkpoint())
@@ -86,38 +89,50 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     words_bytes = items.agg(F.coalesce(F.sum(F.octet_length(F.concat_ws(" ", "item_words"))), F.lit(0))).first()[0]
     blocks = max(1, math.ceil(max(seeds.count() * SEED_BYTES, 4 * words_bytes) / BROADCAST_BYTES))
 
-    own = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text"))
-    worded = own.select("doc", F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"),
-                        text_words(F.col("text")).alias("words")).where(F.size("words") >= SPAN)
-    chunks = worded.withColumn("chunk", F.explode(F.sequence(
-        F.lit(0), F.size("words") - 1, F.lit(CHUNK))))
+    own = docs.select(F.col(doc_id).alias("doc"), *_key(F.col(text)),
+                      text_words(F.col(text)).alias("words"))
     left = F.greatest(F.col("chunk") - REACH, F.lit(0))
-    cut = chunks.select("doc", "text_md5", left.alias("left"), (F.col("chunk") - left).alias("first"),
-                        F.slice("words", left + 1, F.col("chunk") - left + CHUNK + SPAN + REACH).alias("words"))
-    seeded = cut.withColumn("_seeds", _seeds(F.col("words"), F.col("first"), F.lit(CHUNK)))
-    places = (seeded.select("doc", "text_md5", "left", "words", F.explode("_seeds").alias("s"))
-              .select("doc", "text_md5", "left", "words", F.col("s.seed").alias("seed"),
-                      F.col("s.place").alias("place")))
+    cut = (own.withColumn("chunk", F.explode(F.when(F.size("words") >= SPAN, F.sequence(
+        F.lit(0), F.size("words") - 1, F.lit(CHUNK)))))
+        .select("doc", "k1", "k2", "chunk", left.alias("left"),
+                F.slice("words", left + 1, F.col("chunk") - left + CHUNK + SPAN + 2 * REACH).alias("words")))
+    # the words stay behind: a row per place has only numbers
+    places = (cut.select("k1", "k2", "chunk", F.explode(_seeds(
+        F.col("words"), F.col("chunk") - F.col("left"), F.lit(CHUNK))).alias("s"))
+        .select("k1", "k2", "chunk", F.col("s.seed").alias("seed"), F.col("s.place").alias("place")))
     found = None
     for k in range(blocks):
         # each block is a bounded part of the benchmark, see above
-        here = [F.broadcast(x.where(F.pmod("item_key", F.lit(blocks)) == k)) for x in (seeds, items)]
-        hits = (places.join(here[0], "seed").join(here[1], "item_key")
-                .withColumn("score", _alignment_score(F.col("words"), F.col("item_words"),
-                                                      F.col("place"), F.col("item_place")))
-                .where(F.col("score") >= F.least(F.lit(MIN_SCORE), F.size("item_words")))
-                .select("doc", "text_md5", "item", "score", (F.col("left") + F.col("place")).alias("word")))
+        here = F.broadcast(seeds.where(F.pmod("item_key", F.lit(blocks)) == k))
+        hits = (places.join(here, "seed")
+                .groupBy("k1", "k2", "chunk", "item_key", (F.col("place") - F.col("item_place")).alias("shift"),
+                         F.floor(F.col("item_place") / REACH).alias("part"))
+                .agg(F.min("item_place").alias("item_place")))
         found = hits if found is None else found.unionByName(hits)
-    return (found.groupBy("doc", "text_md5", "item")
-            .agg(F.max("score").alias("score"), F.min("word").alias("first_word"))
-            .withColumnsRenamed({"doc": doc_id, "item": item_id if item_id != doc_id else "item_id"}))
+    found = found.drop("part").checkpoint()
+    small = 4 * words_bytes <= BROADCAST_BYTES
+    place = F.col("item_place") + F.col("shift")
+    return (cut.join(broadcast_if_small(found), ["k1", "k2", "chunk"])
+            .join(F.broadcast(items) if small else items, "item_key")
+            .withColumn("score", _alignment_score(F.col("words"), F.col("item_words"), place, F.col("item_place")))
+            .where(F.col("score") >= F.least(F.lit(MIN_SCORE), F.size("item_words")))
+            .groupBy("doc", "k1", "k2", "item")
+            .agg(F.max("score").alias("score"), F.min(F.col("left") + place).alias("first_word"))
+            .withColumnsRenamed({"doc": doc_id, "item": item_id}))
+
+
+def _key(text: Column) -> list[Column]:
+    """128 bits that stand for a text."""
+    t = F.coalesce(text, F.lit(""))
+    return [F.xxhash64(t).alias("k1"), F.xxhash64(F.lit(1), t).alias("k2")]
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", **names: str) -> DataFrame:
     """The rows of ``docs`` whose text overlaps no benchmark item."""
-    key = unclashed(docs, "md5") + "md5"
+    p = unclashed(docs, "k1", "k2")
     numbered = docs.select(F.lit(0).alias("doc"), F.col(text).alias("text"))
     dirty = (find_overlaps(numbered, benchmark, "doc", "text", **names)
-             .select(F.col("text_md5").alias(key)).distinct().checkpoint())
-    return (docs.withColumn(key, F.md5(F.coalesce(F.col(text), F.lit(""))))
-            .join(broadcast_if_small(dirty, key), key, "left_anti").select(*docs.columns))
+             .select(F.col("k1").alias(p + "k1"), F.col("k2").alias(p + "k2")).distinct().checkpoint())
+    k1, k2 = _key(F.col(text))
+    return (docs.withColumns({p + "k1": k1, p + "k2": k2})
+            .join(broadcast_if_small(dirty), [p + "k1", p + "k2"], "left_anti").select(*docs.columns))

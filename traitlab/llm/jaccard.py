@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import checkpoint_dir
-from .common import broadcast_if_small, scratch_table
+from .common import broadcast_if_small, scratch_table, unclashed
 from .components import connected_components
 from .shingles import shingle_sets
 
@@ -415,3 +415,17 @@ def join_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
             .select(F.col("id").alias(doc_id), "node", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
                     .alias("component_id")))
+
+
+def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row of each component: the least id, and of rows equal
+    in that one of them. Rows without words are kept all."""
+    row = unclashed(docs, "row") + "row"
+    rows = scratch_table(docs.withColumn(row, F.monotonically_increasing_id()), "deduplicate")
+    classes = join_groups(rows, row, text).where("n_shingles > 0").select(row, "component_id")
+    ranked = rows.select(row, F.struct(F.col(doc_id).isNull(), F.col(doc_id), F.col(row)).alias("rank"))
+    classes = classes.join(ranked, row).checkpoint()
+    first = classes.groupBy("component_id").agg(F.min("rank").alias("first"))
+    dropped = (classes.join(first, "component_id").where(F.col("rank") != F.col("first"))
+               .select(row).checkpoint())
+    return rows.join(broadcast_if_small(dropped), row, "left_anti").select(*docs.columns)

@@ -122,9 +122,10 @@ def host_verdicts(judged: DataFrame, host: str = "source") -> DataFrame:
         "host_strict": (mean - Z * sd > BAD_RATE) & F.col(host).isNotNull()})
 
 
-def judge(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
-    """All columns of ``docs`` plus the metrics, ``base_failed``,
-    ``soft_failed``, ``host_strict`` and ``kept``.
+def judge(docs: DataFrame, text: str = "text", host: str = "source",
+          keep_text: bool = True) -> DataFrame:
+    """All columns of ``docs`` (the text only on demand) plus the metrics,
+    ``base_failed``, ``soft_failed``, ``host_strict`` and ``kept``.
 
     The metrics are computed once and written to the shared folder; the host
     aggregation combines on the map side, so a host with a third of all rows
@@ -133,6 +134,8 @@ def judge(docs: DataFrame, text: str = "text", host: str = "source") -> DataFram
     results = [*METRICS, "base_failed", "soft_failed", "host_strict", "kept"]
     docs = docs.drop(*results)
     measured = text_metrics(docs, text)
+    if not keep_text:
+        measured = measured.drop(text)
     judged = scratch_table(
         measured.withColumns({"base_failed": base_failed(), "soft_failed": soft_failed()}),
         "quality")

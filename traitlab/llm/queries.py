@@ -10,6 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import corpus_pipeline
+
 from . import decontamination, jaccard, licenses, lm, oracle, packing, pii, quality, reputation, sharding, token_table
 from .common import scratch_file, table
 
@@ -76,11 +78,16 @@ def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    judged = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text", "source"),
+                           keep_text=False)
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
                          "n_repeat_words", "base_failed", "kept", "host_strict")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_sharding": op2_sharding,
@@ -92,6 +99,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_quality_rules": op9_quality_rules,
     "op10_token_ids": op10_token_ids,
+    "pipeline": pipeline,
 }
 
 ORACLE: dict[str, str] = oracle.STATEMENTS

@@ -20,9 +20,9 @@ from tokenizers import Tokenizer
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 # Units remembered by one worker process before it starts afresh.
-MAX_UNITS = 2_000_000
+MAX_UNITS = 1_200_000
 # Bytes of text encoded at a time; bounds the memory of one call.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 # Texts that are encoded whole: white space other than single inner spaces
 # and line feeds, or the mark itself.
 MARK = "\x02"
@@ -92,6 +92,7 @@ class Encoder:
             floor = ends[row - 1] if row else 0
             stop = max(row + 1, int(np.searchsorted(ends, floor + CHUNK_BYTES, "right")))
             yield row, *self.encode(texts.slice(row, stop - row))
+            pa.default_memory_pool().release_unused()
             row = stop
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -25,6 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from . import simple8b
+from .common import broadcast_if_small
 from .subwords import VOCABULARY, encoder
 
 END_ID = 0
@@ -95,28 +96,26 @@ def read_tokens(spark: SparkSession, path: str, doc_id: str = "doc_id") -> DataF
     within = Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = (counts.withColumn("in_part", F.coalesce(F.sum("n_ids").over(within), F.lit(0)))
               .join(F.broadcast(parts), "part")
-              .select("part", "block", (F.col("part_start") + F.col("in_part")).alias("block_start")))
+              .select("part", "block", (F.col("part_start") + F.col("in_part")).alias("block_start"))
+              .checkpoint())
     id_type = blocks.schema["doc_ids"].dataType.elementType
-    schema = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("block", T.IntegerType()),
-                           T.StructField(doc_id, id_type), T.StructField("in_block", T.LongType()),
+    schema = T.StructType([T.StructField(doc_id, id_type), T.StructField("start", T.LongType()),
                            T.StructField("ids", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for n in range(batch.num_rows):
-                part, block, doc_ids, lengths = (batch.column(c)[n] for c in range(4))
+                block_start, doc_ids, lengths = (batch.column(c)[n] for c in range(3))
                 lengths = lengths.values.to_numpy()
-                ids = simple8b.decode(batch.column(4)[n].as_py()).astype("<u4").tobytes()
+                ids = simple8b.decode(batch.column(3)[n].as_py()).astype("<u4").tobytes()
                 ends = np.cumsum(lengths)
-                k = len(lengths)
+                offsets = np.concatenate([[0], 4 * ends]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.repeat(part, k), pa.repeat(block, k), doc_ids.values,
-                     pa.array(ends - lengths),
-                     pa.Array.from_buffers(pa.binary(), k, [
-                         None, pa.py_buffer(np.concatenate([[0], 4 * ends]).astype(np.int32).tobytes()),
-                         pa.py_buffer(ids)])],
-                    names=["part", "block", doc_id, "in_block", "ids"])
-
-    decoded = blocks.select("part", "block", "doc_ids", "lengths", "data").mapInArrow(run, schema)
-    return (decoded.join(starts, ["part", "block"])
-            .select(doc_id, (F.col("block_start") + F.col("in_block")).alias("start"), "ids"))
+                    [doc_ids.values, pa.array(block_start.as_py() + ends - lengths),
+                     pa.Array.from_buffers(pa.binary(), len(lengths), [
+                         None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(ids)])],
+                    names=[doc_id, "start", "ids"])
+
+    # a block meets its one row of starts before it is decoded
+    return (blocks.join(broadcast_if_small(starts), ["part", "block"])
+            .select("block_start", "doc_ids", "lengths", "data").mapInArrow(run, schema))
