@@ -124,28 +124,32 @@ class Packer:
         self.held = left
 
     def _deal(self, last: bool) -> None:
-        """Number the sequences and deal them into step groups."""
+        """Number the sequences and deal them into step groups; what fills no
+        group waits for more, or makes a last short one."""
         for context, found in self.ready.items():
             per_step = max(1, STEP_TOKENS // context)
-            steps = len(found) // per_step + (last and len(found) % per_step > 0)
-            if not steps:
-                continue
-            now = found if last else found[:steps * per_step]
-            self.ready[context] = found[len(now):]
-            cost = [sum(len(p[2]) ** 2 for p in pieces) for pieces in now]
-            for rank, n in enumerate(sorted(range(len(now)), key=cost.__getitem__)):
-                turn, place = divmod(rank, steps)
-                step = self.steps + (place if turn % 2 == 0 else steps - 1 - place)
-                offset = 0
-                for doc, start, ids, total in now[n]:
-                    self.rows.append((doc, start, len(ids), ids.astype("<u4").tobytes(), total,
-                                      self.base + self.sequences, offset, context, self.base + step))
-                    offset += len(ids)
-                self.sequences += 1
-            self.steps += steps
+            whole = len(found) - len(found) % per_step
+            self._step(found[:whole], whole // per_step, context)
+            if last:
+                self._step(found[whole:], 1, context)
+            self.ready[context] = [] if last else found[whole:]
         self.held = sum(n for n, _ in self.pool) + sum(
             context * len(found) for context, found in self.ready.items())
 
+    def _step(self, sequences: list, steps: int, context: int) -> None:
+        """Deal sequences of one context in serpentine order of their cost."""
+        cost = [sum(len(p[2]) ** 2 for p in pieces) for pieces in sequences]
+        for rank, n in enumerate(sorted(range(len(sequences)), key=cost.__getitem__)):
+            turn, place = divmod(rank, steps)
+            step = self.base + self.steps + (place if turn % 2 == 0 else steps - 1 - place)
+            offset = 0
+            for doc, start, ids, total in sequences[n]:
+                self.rows.append((doc, start, len(ids), ids.astype("<u4").tobytes(), total,
+                                  self.base + self.sequences, offset, context, step))
+                offset += len(ids)
+            self.sequences += 1
+        self.steps += steps if sequences else 0
+
 
 def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
          tiers: tuple[int, ...] = TIERS, vocabulary: str = VOCABULARY) -> DataFrame:
