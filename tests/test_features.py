@@ -103,47 +103,25 @@ def test_hot_item_salted_join_keeps_every_row(spark):
     assert len(key(b)) == 100 + 200 * 2
 
 
-def test_hot_device_split_equals_plain_grouping(spark):
-    # device "hot" holds a third of all install rows
-    rows = [("hot", f"11{1 + i % 4}:1 11{1 + (i + 1) % 4}:1") for i in range(150)] + \
-           [(f"d{i}", f"11{1 + i % 4}:1 119:1") for i in range(300)]
+def test_row_items_equal_shuffled_items(spark):
+    rows = [("d1", "111:1 113:1 119:1 111:1"), ("d1", "114:1"), ("d2", "115:1 116:1"),
+            ("d3", "114:1 112:3 "), (None, "111:1"), ("d4", None), ("d5", "")]
     installs = spark.createDataFrame(rows, "device_id string, value string").withColumn(
-        "stat_date", F.lit(20180709)).repartition(6)
+        "stat_date", F.lit(20180709))
     lookup = feat.lookup_for(_ranked(spark), "11", None)
-    inst = feat.install_rows(installs, 20180709)
-    hot = feat.hot_keys(inst, "device_id", 100)
-    assert [r["device_id"] for r in hot.collect()] == ["hot"]
-    plain = feat.items_of(installs, 20180709, lookup, hot_min_rows=None)
-    split = feat.items_of(installs, 20180709, lookup, hot_min_rows=100, salt_buckets=4)
-    key = lambda df: sorted((r["device_id"], r["feature"]) for r in feat.encode(df).collect())
-    assert key(plain) == key(split)
-    assert len(key(split)) == 301
-    got = dict(key(split))["hot"]
-    assert got == "[111_one]_wind_0:1 [112_two words]_wind_1:1 [113_c:pro]_wind_2:1 [114_four]_wind_3:1"
-
-
-def test_hot_keys_none_when_no_hot(spark):
-    df = spark.createDataFrame([("a",), ("b",)], "device_id string")
-    assert feat.hot_keys(df, "device_id", 2) is None
+    local = feat.items_of(installs, 20180709, lookup)
+    shuffled = feat.items_of(installs, 20180709, lookup, max_lookup_rows=0, salt_buckets=3)
+    key = lambda df: sorted((r["device_id"], [tuple(i) for i in r["items"]]) for r in df.collect())
+    assert key(local) == key(shuffled)
+    # one result per install row: d1 has two
+    assert [d for d, _ in key(local)] == ["d1", "d1", "d2", "d3", "d5"]
 
 
-def test_hot_keys_sampled_and_all_hot(spark):
-    rows = [("hot",)] * 20000 + [(f"d{i}",) for i in range(5000)]
-    df = spark.createDataFrame(rows, "device_id string")
-    # threshold 10000 rows: sampled at 200 / 10000, flagged with 100 sampled rows
-    hot = feat.hot_keys(df, "device_id", 10000)
-    assert [r["device_id"] for r in hot.collect()] == ["hot"]
-    assert feat.hot_keys(df, "device_id", 1, max_keys=3) == feat.ALL_HOT
-
-
-def test_all_hot_path_equals_plain(spark):
+def test_row_items_without_exchange(spark, scratch):
+    _installs(spark).write.parquet(f"{scratch}/installs")
     lookup = feat.lookup_for(_ranked(spark), "11", None)
-    inst = feat.install_rows(_installs(spark), 20180709)
-    tokens = feat.install_tokens(inst)
-    a = sorted(tuple(r) for r in feat.encode(feat.device_items(tokens, lookup)).collect())
-    b = sorted(tuple(r) for r in feat.encode(
-        feat.device_items(tokens, lookup, feat.ALL_HOT, salt_buckets=3)).collect())
-    assert a == b
+    out = feat.encode(feat.items_of(spark.read.parquet(f"{scratch}/installs"), 20180709, lookup))
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
 
 
 def test_vectors_route_rows_by_raw_values(spark):

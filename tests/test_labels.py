@@ -114,16 +114,13 @@ def test_gender_codes_stored_as_text(spark):
     assert got == {"a": 1.0, "b": 0.0}
 
 
-def test_account_rows_equal_separate_labelers(spark, ctx001):
-    users, devices = ctx001.view("users_info"), ctx001.view("device_rel")
-    rows = lbl.dedup(lbl.account_rows(users, devices, D), ("attribute", "device_id"))
-    for attr, one in (("gender", lbl.gender_label(users, devices, D)),
-                      ("age", lbl.age_label(users, devices, D))):
-        a = sorted((r["device_id"], r["label"]) for r in one.collect())
-        b = sorted((r["device_id"], r["label"]) for r in rows.where(F.col("attribute") == attr).collect())
-        assert a == b, attr
-    users2, devices2 = _accounts(spark)
-    rows2 = lbl.dedup(lbl.account_rows(users2, devices2, D), ("attribute", "device_id"))
-    got = sorted((r["attribute"], r["device_id"], r["label"]) for r in rows2.collect())
-    assert got == [("age", "a", 0.0), ("gender", "a", 0.0), ("gender", "c", 0.0),
-                   ("gender", "d", 1.0), ("gender", "e", 0.0)]
+def test_matrix_takes_age_from_its_own_device_relation(spark, ctx001):
+    from traitlab.plans import pipelines as pipe
+    matrix = pipe.label_matrix(ctx001, list(pipe.ATTRIBUTES))
+    for attr in ("gender", "age"):
+        a = sorted((r["device_id"], r["label"]) for r in pipe.known_labels(ctx001, attr).collect())
+        rows = matrix.where(F.col(f"label_{attr}").isNotNull()).collect()
+        assert a == sorted((r["device_id"], r[f"label_{attr}"]) for r in rows), attr
+    shared = lbl.age_label(ctx001.view("users_info"), ctx001.view("device_rel"), D)
+    own = pipe.known_labels(ctx001, "age")
+    assert sorted(map(tuple, shared.collect())) != sorted(map(tuple, own.collect()))

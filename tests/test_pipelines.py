@@ -147,3 +147,23 @@ def test_cli_removes_its_intermediate_tables(spark, scratch):
                  "--attribute", "gender", "--out", f"{scratch}/attrs"]) == 0
     assert not os.path.exists(tables)
     assert spark.read.parquet(f"{scratch}/attrs").count() > 0
+
+
+def test_inputs_by_name_and_another_date(spark, scratch):
+    """The jobs read named Parquet inputs of any date, and append on demand."""
+    from pyspark.sql import functions as F
+    sample = JobContext(spark, "/root/testdata/sf0.001")
+    views = ("app_catalog", "user_installs", "user_installs_push", "users_info", "device_rel")
+    for v in views:
+        (sample.view(v).where("stat_date = 20180709").withColumn("stat_date", F.lit(20200101))
+         .write.parquet(f"{scratch}/{v}"))
+    ctx = JobContext(spark, None, 20200101, {v: f"{scratch}/{v}" for v in views})
+    stats = pipe.feature_job(ctx, f"{scratch}/out")
+    features = pipe.read_features(spark, f"{scratch}/out/features", 20200101)
+    assert stats["n_refined"] == features.count() > 0
+    expected = sorted((r["device_id"], r["feature"]) for r in sample.features.collect())
+    assert sorted((r["device_id"], r["feature"]) for r in features.collect()) == expected
+    for _ in range(2):
+        pipe.infer(ctx, "gender", features, f"{scratch}/labels", append=True, max_iter=1)
+    rows = spark.read.parquet(f"{scratch}/labels")
+    assert rows.count() == 2 * rows.distinct().count() == 2 * features.count()

@@ -8,7 +8,9 @@
 Training options for ``infer`` / ``infer-all``: ``--max-iter``, ``--reg-param``,
 ``--[no-]fit-intercept``, ``--holdout-percent``, ``--split-seed``.
 
-``--input`` is the directory of the source tables; ``--features`` reads the
+``--input`` is the directory of the sample tables; ``--source VIEW=TABLE`` (repeated)
+reads an input view from a named table or a path instead; ``--append`` adds to the
+output instead of replacing the date's partitions; ``--features`` reads the
 dated features table written by the ``features`` job instead of encoding
 again. The run date is read leniently (20180732 means 20180801).
 """
@@ -29,7 +31,9 @@ def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="traitlab")
     ap.add_argument("job", choices=["features", "infer", "infer-all"])
     ap.add_argument("--date", required=True)
-    ap.add_argument("--input", required=True)
+    ap.add_argument("--input")
+    ap.add_argument("--source", action="append", default=[], metavar="VIEW=TABLE_OR_PATH")
+    ap.add_argument("--append", action="store_true")
     ap.add_argument("--out")
     ap.add_argument("--features")
     ap.add_argument("--attribute", choices=sorted(pipe.ATTRIBUTES))
@@ -60,7 +64,10 @@ def main(argv: list[str] | None = None) -> int:
 
 
 def _run(ap: argparse.ArgumentParser, a: argparse.Namespace, train: dict, spark):
-    ctx = JobContext(spark, a.input, normalise_job_date(a.date))
+    if not a.input and not a.source:
+        ap.error("name the inputs with --input or --source")
+    ctx = JobContext(spark, a.input, normalise_job_date(a.date),
+                     dict(x.split("=", 1) for x in a.source))
     if a.job == "features":
         if not a.out:
             ap.error("features needs --out")
@@ -70,9 +77,9 @@ def _run(ap: argparse.ArgumentParser, a: argparse.Namespace, train: dict, spark)
         if a.job == "infer":
             if not a.attribute:
                 ap.error("infer needs --attribute")
-            res = pipe.infer(ctx, a.attribute, feats, a.out, a.models, **train)
+            res = pipe.infer(ctx, a.attribute, feats, a.out, a.models, append=a.append, **train)
         else:
-            res = pipe.infer_all(ctx, None, feats, a.out, a.models, **train)
+            res = pipe.infer_all(ctx, None, feats, a.out, a.models, append=a.append, **train)
         report = {name: {"report": r.report, "threshold": r.threshold, "model": r.model_path}
                   for name, r in res.results.items()}
     return report, ctx

@@ -16,6 +16,8 @@ Fixed values: these must equal the original pipeline's for the same results.
 
 FEATURE_DIM = 30000
 TOP_K = 30000
+# A catalog size that leaves items of the sample catalog out.
+SMALL_K = 500
 ITEM_PREFIX = "11"
 TRAIN_PERCENT = 80
 DEFAULT_THRESHOLD = 0.5
@@ -34,19 +36,14 @@ LR_FIT_INTERCEPT = False
 SAMPLE_JOB_DATE = 20180709
 
 # Size bounds that gate broadcasts and single-task steps. A side is broadcast
-# only after a count proves it is at most this many rows.
+# only after a count proves it is at most this many rows and bytes.
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 64 << 20
 # Most rows one task may merge for an ordered top-k (partitions x k).
-TOPK_MAX_MERGE_ROWS = 20_000_000
+TOPK_MAX_MERGE_ROWS = 2_000_000
 # Training rows per partition (sparse rows of a few hundred nonzeros).
 TRAIN_ROWS_PER_PARTITION = 250_000
-# A device with at least this many install rows is split over salt buckets.
-HOT_DEVICE_MIN_ROWS = 100_000
-# Most hot keys collected and broadcast; beyond it every device is salted.
-HOT_KEYS_MAX = 10_000
-# Expected sampled rows of a key at the hot threshold (sets the sampling fraction).
-HOT_SAMPLE_ROWS = 200
-# Salt buckets for the shuffle-join fallback of the catalog lookup and hot devices.
+# Salt buckets for the shuffle-join fallback of the catalog lookup.
 LOOKUP_SALT_BUCKETS = 16
 # Cluster sessions without their own shuffle sizing: shuffles start this wide
 # and AQE merges neighbouring partitions up to the advisory size, so a 100 TB

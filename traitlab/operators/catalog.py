@@ -12,8 +12,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from .. import constants as C
 from ..sources.snapshot import dated_scan, not_null
-from .ordering import global_index
-
+from .ordering import global_index, shuffle_width
 
 
 def catalog_order() -> tuple:
@@ -54,10 +53,7 @@ def top_k(dedup: DataFrame, k: int, max_merge_rows: int = C.TOPK_MAX_MERGE_ROWS,
     ``max_merge_rows``; otherwise (or when the ranked catalog is at hand) the
     top k are the rows of the range-partitioned global index below k.
     """
-    conf = dedup.sparkSession.conf
-    # AQE may start a shuffle wider than spark.sql.shuffle.partitions
-    parts = max(int(conf.get("spark.sql.shuffle.partitions")),
-                int(conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or 0))
+    parts = shuffle_width(dedup.sparkSession)
     if ranked is None and parts * k <= max_merge_rows:
         best = dedup.orderBy(*catalog_order()).limit(k)
         w = Window.orderBy(*catalog_order())

@@ -2,9 +2,8 @@
 
 FEAT-2 turns each device's ``id:count`` list into tokens of catalog items,
 ordered by catalog index. FEAT-5 reads such a string back into index/value
-arrays. Both directions stay row-local except the one lookup join and the
-one group-by-device of FEAT-2 (with a map-side partial aggregate, so a
-device's tokens are combined inside the task that read them).
+arrays. Both directions are row-local; only a lookup too large to send to the
+executors is joined by shuffle.
 """
 
 from __future__ import annotations
@@ -13,12 +12,14 @@ import re
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from .. import constants as C
 from ..functions.text import before_first, split_dropping_trailing
 from ..sources.snapshot import dated_scan, not_null
-from .sizing import broadcast_if_small
+from .sizing import broadcast_if_small, small
 
 # --------------------------------------------------------------------------
 # FEAT-2: encode
@@ -56,81 +57,72 @@ def match_catalog(tokens: DataFrame, lookup: DataFrame, how: str = "inner",
     return big.join(replicated, ["key", "_salt"], how).drop("_salt")
 
 
-ALL_HOT = "all"
-
-
-def hot_keys(rows: DataFrame, key: str, min_rows: int, max_keys: int = C.HOT_KEYS_MAX,
-             sample_rows: int = C.HOT_SAMPLE_ROWS, seed: int = 7):
-    """Keys holding about ``min_rows`` rows or more: a small DataFrame,
-    ``ALL_HOT`` when there are too many to broadcast, or None.
-
-    The count runs on a seeded Bernoulli sample that keeps about
-    ``sample_rows`` rows of a key at the threshold, and flags keys with half
-    that many, so a hot key is missed only with negligible probability while
-    the count shuffle shrinks by the sampling fraction. A false positive
-    only sends a key through the salted path. At most
-    ``total_rows / min_rows`` keys can be hot; the list is broadcast only
-    after a bounded count proves at most ``max_keys`` keys.
-    """
-    fraction = min(1.0, sample_rows / min_rows)
-    src = rows if fraction >= 1.0 else rows.sample(fraction=fraction, seed=seed)
-    need = min_rows if fraction >= 1.0 else max(1, int(sample_rows / 2))
-    hot = src.groupBy(key).count().where(F.col("count") >= need).select(key)
-    found = hot.limit(max_keys + 1).collect()
-    if not found:
-        return None
-    if len(found) > max_keys:
-        return ALL_HOT
-    return rows.sparkSession.createDataFrame([(r[0],) for r in found], f"{key} string")
-
-
-def device_items(tokens: DataFrame, lookup: DataFrame, hot: DataFrame | str | None = None,
-                 salt_buckets: int = C.LOOKUP_SALT_BUCKETS, **join_opts) -> DataFrame:
-    """(device_id, items): catalog items of each device, sorted by index.
+def device_items(tokens: DataFrame, lookup: DataFrame, keys: tuple[str, ...] = ("device_id",),
+                 **join_opts) -> DataFrame:
+    """(device_id, items) by shuffle: catalog items of each key, sorted by index.
 
     Devices without any catalog hit keep an empty array (FLT-10). Repeated
-    items collapse to one entry (collect_set).
-
-    ``hot`` lists devices with very many rows (or is ``ALL_HOT``). Their tokens are salted by
-    item over ``salt_buckets`` groups, so each reducer merges a share of
-    their partial sets; a second, small aggregate merges the at most
-    ``salt_buckets`` sets per hot device. Both branches read the same
-    shuffle (exchange reuse), so the input is scanned once.
+    items collapse to one entry. Used when the lookup is too large for
+    :func:`row_items`.
     """
     matched = match_catalog(tokens, lookup, how="left", **join_opts)
     item = F.when(F.col("idx").isNotNull(), F.struct("idx", "token"))
-    if hot is None:
-        return matched.groupBy("device_id").agg(
-            F.sort_array(F.collect_set(item)).alias("items"))
-    if isinstance(hot, str):            # ALL_HOT: every device takes the salted path
-        flagged, is_hot = matched, F.lit(True)
-    else:
-        flagged = matched.join(F.broadcast(hot.withColumn("_hot", F.lit(True))),
-                               "device_id", "left")
-        is_hot = F.coalesce(F.col("_hot"), F.lit(False))
-    salt = F.when(is_hot, F.pmod(F.xxhash64("key"), F.lit(salt_buckets))).otherwise(F.lit(0))
-    level1 = flagged.groupBy("device_id", is_hot.alias("_h"), salt.alias("_s")).agg(
-        F.collect_set(item).alias("items"))
-    cold = level1.where(~F.col("_h")).select("device_id", F.sort_array("items").alias("items"))
-    merged = level1.where(F.col("_h")).groupBy("device_id").agg(
-        F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    return cold.unionByName(merged)
+    return (matched.groupBy(*keys).agg(F.sort_array(F.collect_set(item)).alias("items"))
+            .select("device_id", "items"))
+
+
+def row_items(rows: DataFrame, lookup: DataFrame) -> DataFrame:
+    """(device_id, items) row by row: split, look up, sort by index, rejoin.
+
+    The lookup (checked to be small) is sent to the executors once; a batch
+    of lists is matched as one flat array of keys and cut back into rows by
+    offsets, so nothing is exploded or shuffled.
+    """
+    table = lookup.select("key", "idx", "token").toArrow()
+    shared = rows.sparkSession.sparkContext.broadcast(table)
+
+    def run(batches):
+        table = shared.value.combine_chunks()
+        keys = table["key"].combine_chunks()
+        idx, tokens = table["idx"].to_numpy(), table["token"].combine_chunks()
+        for batch in batches:
+            lists = pc.split_pattern(pc.utf8_rtrim(batch.column(1), characters=C.LIST_SEP), C.LIST_SEP)
+            parts = pc.split_pattern(lists.flatten(), C.VALUE_SEP, max_splits=1)
+            at = pc.index_in(pc.list_element(parts, 0), value_set=keys)
+            of = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
+            hit = at.is_valid().to_numpy(zero_copy_only=False)
+            at, of = at.drop_null().to_numpy(), of[hit]
+            order = np.lexsort((idx[at], of))
+            at, of = at[order], of[order]
+            new = np.ones(len(at), bool)
+            new[1:] = (at[1:] != at[:-1]) | (of[1:] != of[:-1])
+            at, of = at[new], of[new]
+            ends = np.cumsum(np.bincount(of, minlength=batch.num_rows))
+            entries = pa.StructArray.from_arrays(
+                [pa.array(idx[at], pa.int64()), tokens.take(pa.array(at))], names=["idx", "token"])
+            items = pa.ListArray.from_arrays(
+                pa.array(np.concatenate([[0], ends]).astype(np.int32)), entries)
+            yield pa.RecordBatch.from_arrays([batch.column(0), items], names=["device_id", "items"])
+
+    return rows.select("device_id", "value").mapInArrow(
+        run, "device_id string, items array<struct<idx:bigint,token:string>>")
 
 
 def items_of(installs: DataFrame, job_date: int | None, lookup: DataFrame,
-             hot_min_rows: int | None = C.HOT_DEVICE_MIN_ROWS, **join_opts) -> DataFrame:
-    """Per-device items of one date of an install table, splitting hot devices.
+             max_lookup_rows: int = C.BROADCAST_MAX_ROWS, **join_opts) -> DataFrame:
+    """(device_id, items) of one date of an install table, one per install row.
 
-    Hot devices are counted on the ``device_id`` column alone (rows with a
-    null list count too, which only makes the split more eager), so the
-    detection never reads or computes the item lists.
+    Row-local while the lookup is small; beyond the bound the tokens are
+    joined by shuffle and grouped by the install row's content.
     """
-    hot = None
-    if hot_min_rows:
-        ids = not_null(dated_scan(installs, job_date, ["device_id"]), "device_id")
-        hot = hot_keys(ids, "device_id", hot_min_rows)
     rows = install_rows(installs, job_date)
-    return device_items(install_tokens(rows), lookup, hot, **join_opts)
+    if small(lookup, max_lookup_rows):
+        return row_items(rows, lookup)
+    keyed = rows.withColumn("_row", F.xxhash64("device_id", "value"))
+    tok = F.explode(split_dropping_trailing(F.col("value"), C.LIST_SEP)).alias("tok")
+    tokens = (keyed.select("device_id", "_row", tok)
+              .select("device_id", "_row", before_first(F.col("tok"), C.VALUE_SEP).alias("key")))
+    return device_items(tokens, lookup, ("device_id", "_row"), max_broadcast_rows=0, **join_opts)
 
 
 def encode(items: DataFrame) -> DataFrame:
@@ -187,11 +179,17 @@ _TOKEN = (rf"(?:^| )(?:(?!{_MARK})[^: ])*{_MARK}([+-]?[0-9]+)(?:{_MARK})*"
 
 
 def parse(features: DataFrame, dim: int = C.FEATURE_DIM) -> DataFrame:
-    """(device_id, indices, values) per device with a non-empty result.
+    """(device_id, indices, values) per device with a non-empty result (FLT-8)."""
+    return parse_rows(features, dim).where(F.size("indices") > 0)
+
+
+def parse_rows(features: DataFrame, dim: int = C.FEATURE_DIM) -> DataFrame:
+    """(device_id, indices, values) of every feature string, maybe empty.
 
-    Row-local and shuffle-free: one regex pass per string finds the valid
+    Row-local and shuffle-free: one regex pass per field finds the valid
     tokens, array casts read index and value (malformed -> null), and one
-    filter keeps indexes in [0, dim) (FEAT-5, FLT-7, FLT-8).
+    filter keeps indexes in [0, dim) (FEAT-5, FLT-7). Write these rows before
+    filtering on them: a filter pushed below would run the regexes again.
     """
     pat = F.lit(_TOKEN)
     raw = features.select(
@@ -201,7 +199,7 @@ def parse(features: DataFrame, dim: int = C.FEATURE_DIM) -> DataFrame:
     kept = F.filter(F.arrays_zip("i", "v"),
                     lambda p: p["i"].isNotNull() & p["v"].isNotNull()
                     & (p["i"] >= 0) & (p["i"] < dim))
-    out = raw.select("device_id", kept.alias("p")).where(F.size("p") > 0)
+    out = raw.select("device_id", kept.alias("p"))
     return out.select("device_id", F.col("p.i").alias("indices"), F.col("p.v").alias("values"))
 
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import leading_int
 from ..sources.snapshot import answered, dated_scan, not_null
@@ -182,38 +182,6 @@ def gender_label(users: DataFrame, devices: DataFrame, job_date: int) -> DataFra
     return dedup(gender_rows(users, devices, job_date))
 
 
-def account_rows(users: DataFrame, devices: DataFrame, job_date: int,
-                 attributes: tuple[str, ...] = ("gender", "age")) -> DataFrame:
-    """(attribute, device_id, label) rows of the account attributes from ONE
-    users-devices join, before dedup.
-
-    Each attribute keeps its own user filter and label rule, so after a
-    per-(attribute, device) ``min`` the result equals :func:`gender_label`
-    and :func:`age_label`.
-    """
-    sex = F.col("sex").try_cast("int")
-    gender_ok = sex.isin(*GENDER_CODES)
-    age_ok = F.length("birthdate") > 0
-    keep = {"gender": gender_ok, "age": age_ok}
-    cond = F.lit(False)
-    for a in attributes:
-        cond = cond | keep[a]
-    joined = user_devices(users, devices, job_date, ["sex", "birthdate"], cond)
-    joined = joined.where(F.col("device_id").isNotNull())
-    pairs = []
-    if "gender" in attributes:
-        g = F.when(gender_ok, F.try_element_at(_literal_map(GENDER_CODES), sex))
-        pairs.append(F.struct(F.lit("gender").alias("attribute"),
-                              F.col("device_id").alias("device_id"), g.alias("label")))
-    if "age" in attributes:
-        age = F.lit(int(str(job_date)[:4])) - leading_int(F.trim("birthdate"), 4)
-        a_lbl = F.when(age_ok & F.col("birthdate").isNotNull(), age_band(age))
-        pairs.append(F.struct(F.lit("age").alias("attribute"),
-                              F.trim("device_id").alias("device_id"), a_lbl.alias("label")))
-    rows = joined.select(F.explode(F.array(*pairs)).alias("r")).select("r.*")
-    return rows.where(F.col("label").isNotNull())
-
-
 def age_band(age: Column) -> Column:
     out = None
     for low, high, cls in AGE_BANDS:
@@ -255,13 +223,13 @@ def marital_from_age(age_collect: DataFrame, job_date: int) -> DataFrame:
 def distribution(labels: DataFrame, label_col: str = "label") -> DataFrame:
     """(label, n, total, ratio) per class (AGG-3 / AGG-4, any label type).
 
-    Counts are partially aggregated per class; the total is one scalar
-    aggregate over the class rows, so no step gathers rows into one task.
+    Counts are partially aggregated per class; the total is a window over
+    the class rows alone, so counts and total come from one execution.
     """
     per = labels.groupBy(F.col(label_col).alias("label")).agg(F.count(F.lit(1)).alias("n"))
-    total = per.agg(F.sum("n")).first()[0] or 0
-    return per.select("label", "n", F.lit(int(total)).cast("long").alias("total"),
-                      F.try_divide(F.col("n"), F.lit(int(total))).alias("ratio"))
+    total = F.sum("n").over(Window.partitionBy(F.lit(0)))
+    return (per.withColumn("total", total.cast("long"))
+            .select("label", "n", "total", F.try_divide("n", "total").alias("ratio")))
 
 
 def answered_rows(questionnaire: DataFrame, column: str) -> DataFrame:

@@ -22,7 +22,13 @@ _POS = "_tl_pos"
 def _partitions(df: DataFrame, partitions: int | None) -> int:
     if partitions:
         return partitions
-    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return shuffle_width(df.sparkSession)
+
+
+def shuffle_width(spark) -> int:
+    """How wide shuffles start: AQE's initial width where it is set."""
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")),
+               int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or 0))
 
 
 def _ranged(df: DataFrame, order: Sequence[Column], partitions: int | None) -> DataFrame:

@@ -20,14 +20,24 @@ class JobContext:
     per-device item lists) are computed once per context.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, job_date: int = C.SAMPLE_JOB_DATE):
+    def __init__(self, spark: SparkSession, sf_dir: str | None, job_date: int = C.SAMPLE_JOB_DATE,
+                 sources: dict[str, str] | None = None):
+        """``sources`` maps input views (``app_catalog``, ``user_installs``,
+        ``users_info``, ``device_rel``, ``age_device_rel``, ``questionnaire``,
+        ``child_stage``, ``age_collect``, ...) to table names, or to paths
+        where the value has a slash; other views are derived from the sample
+        tables in ``sf_dir``."""
+        self.sources = dict(sources or {})
         self.spark = spark
         self.sf_dir = sf_dir
         self.job_date = job_date
-        self.tables = TableSet(spark, sf_dir)
+        self.tables = TableSet(spark, sf_dir or "")
         self.views = Fixtures(self.tables)
 
     def view(self, name: str) -> DataFrame:
+        if name in self.sources:
+            source = self.sources[name]
+            return self.spark.read.parquet(source) if "/" in source else self.spark.table(source)
         return self.views[name]
 
     # --- feature build over the main install table ------------------------

@@ -165,10 +165,10 @@ def _labels(o: dict[str, str]) -> None:
                       when age between 46 and 76 then 4.0e0 end as label
           from (select r.device_id,
                        {year} - try_cast(trim(substr(trim(u.birthdate), 1, 4)) as integer) as age
-                from users_info u join device_rel r on u.user_id = r.uid
+                from users_info u join age_device_rel r on u.user_id = r.uid
                 where u.stat_date = {D} and r.stat_date = {D} and length(u.birthdate) > 0
                   and r.device_id is not null and u.birthdate is not null) a"""
-    o["label_age"] = _q(("users_info", "device_rel"), [], f"""
+    o["label_age"] = _q(("users_info", "age_device_rel"), [], f"""
         select device_id, min(label) as label from ({age_rows}) b
         where label is not null group by device_id""")
     o["label_marital_age"] = _q(("age_collect",), [], f"""
@@ -198,7 +198,7 @@ def _labels(o: dict[str, str]) -> None:
         for i, a in enumerate(ATTRIBUTES))
     cols = ", ".join(f"min(case when attribute = '{a}' then label end) as label_{a}"
                      for a in ATTRIBUTES)
-    o["label_matrix"] = _q(("questionnaire", "child_stage", "users_info", "device_rel"), [], f"""
+    o["label_matrix"] = _q(("questionnaire", "child_stage", "users_info", "device_rel", "age_device_rel"), [], f"""
         select device_id, {cols} from ({rows}) u
         where label is not null group by device_id""")
     o["dedup_labels"] = _q(("questionnaire", "users_info", "device_rel"), [], f"""
@@ -341,6 +341,24 @@ def _misc(o: dict[str, str]) -> None:
     o["doc_features"] = _q(("doc_catalog", "doc_items"),
                            catalog_ctes("doc_catalog") + items_ctes("doc_items", ""),
                            "select device_id, feature from feats")
+    doc_ctes = catalog_ctes("doc_catalog") + items_ctes("doc_items", "")
+    o["doc_catalog_topk"] = _q(("doc_catalog",), catalog_ctes("doc_catalog"),
+                               f"select appid, app_name, installnum, idx from cat_ranked where idx < {C.TOP_K}")
+    o["doc_features_parsed"] = _q(("doc_catalog", "doc_items"), doc_ctes + parse_ctes("feats"),
+                                  "select device_id, idx, value from parsed")
+    o["feature_vectors"] = _q(FEATURE_VIEWS, feature_ctes() + parse_ctes("feats"),
+                              "select device_id, idx, sum(value) as value from parsed group by device_id, idx")
+    o["features_encoded_topk"] = _q(
+        FEATURE_VIEWS, [(n, q + f" where idx < {C.SMALL_K}" if n == "lookup" else q) for n, q in feature_ctes()],
+        "select device_id, feature from feats")
+    o["union_distribution"] = _q(GENDER_DS_VIEWS, gender_dataset_ctes() + [
+        ("ntok", "select device_id, count(*) as n from parsed group by device_id"),
+        ("un", """select g.label from gds g where g.label <> -1.0e0 union all
+            select cast(t.n % 2 as double) from gds g join ntok t on g.device_id = t.device_id
+            where g.label = -1.0e0""")], """
+        select label, n, cast(sum(n) over () as bigint) as total, n / sum(n) over () as ratio
+        from (select label, count(*) as n from un group by label) c""")
+    _known(o)
     o["sink_overwrite_partition"] = _q(FEATURE_VIEWS, feature_ctes(), f"""
         select device_id, feature, {D} as stat_date from feats
         union all select device_id, feature, {D + 1} as stat_date from feats""")
@@ -357,3 +375,25 @@ def _misc(o: dict[str, str]) -> None:
                count(*) filter (where label <> -1.0e0 and {bucket} < {C.TRAIN_PERCENT}) as n_train,
                count(*) filter (where label <> -1.0e0 and not ({bucket} < {C.TRAIN_PERCENT})) as n_valid
         from dds d""")
+
+
+def _known(o: dict[str, str]) -> None:
+    """What the jobs return whatever the model: devices, known labels, and
+    which labels are predicted."""
+    from .pipelines import ATTRIBUTES
+    views = FEATURE_VIEWS + ("questionnaire", "child_stage", "users_info", "device_rel", "age_device_rel")
+    parts = []
+    for a in ATTRIBUTES:
+        label = o[f"label_{a}"]
+        body = label[label.index("select device_id, min(label)"):]
+        body = f"""select p.device_id, '{a}' as attribute, l.label, l.label is null as is_predicted
+            from pdev p left join ({body}) l on p.device_id = l.device_id"""
+        parts.append(body)
+        o[f"infer_{a}_known"] = _q(views, feature_ctes() + parse_ctes("feats") + [
+            ("pdev", "select distinct device_id from parsed")], body)
+    o["infer_all_known"] = _q(views, feature_ctes() + parse_ctes("feats") + [
+        ("pdev", "select distinct device_id from parsed")], " union all ".join(f"({p})" for p in parts))
+    docs = catalog_ctes("doc_catalog") + items_ctes("doc_items", "") + parse_ctes("feats")
+    o["infer_quality_known"] = _q(("doc_catalog", "doc_items", "doc_labels"), docs, """
+        select p.device_id, 'quality' as attribute, l.label, l.label is null as is_predicted
+        from (select distinct device_id from parsed) p left join doc_labels l on p.device_id = l.device_id""")

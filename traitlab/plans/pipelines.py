@@ -55,7 +55,7 @@ def known_labels(ctx: JobContext, attribute: str) -> DataFrame:
     if attribute == "gender":
         return lbl.gender_label(ctx.view("users_info"), ctx.view("device_rel"), ctx.job_date)
     if attribute == "age":
-        return lbl.age_label(ctx.view("users_info"), ctx.view("device_rel"), ctx.job_date)
+        return lbl.age_label(ctx.view("users_info"), ctx.view("age_device_rel"), ctx.job_date)
     if attribute == "child":
         return lbl.child_label(ctx.view("child_stage"))
     return lbl.question_label(ctx.view("questionnaire"), attribute)
@@ -63,19 +63,21 @@ def known_labels(ctx: JobContext, attribute: str) -> DataFrame:
 
 def all_known_labels(ctx: JobContext, attributes: list[str], raw: bool = False) -> DataFrame:
     """(attribute, device_id, label) of many attributes: the questionnaire
-    ones from a single scan, the account ones from a single users-devices
-    join. ``raw=True`` skips the per-labeler dedup (the caller aggregates
-    with ``min`` anyway)."""
+    ones from a single scan, the account ones each from the join with its own
+    device relation. ``raw=True`` skips the per-labeler dedup (the caller
+    aggregates with ``min`` anyway)."""
     qs = tuple(a for a in attributes if a in lbl.QUESTION_RULES)
     parts = []
     if qs or "child" in attributes:
         parts.append(lbl.questionnaire_long(
             ctx.view("questionnaire"),
             ctx.view("child_stage") if "child" in attributes else None, qs, raw=raw))
-    acct = tuple(a for a in ("gender", "age") if a in attributes)
-    if acct:
-        rows = lbl.account_rows(ctx.view("users_info"), ctx.view("device_rel"), ctx.job_date, acct)
-        parts.append(rows if raw else lbl.dedup(rows, ("attribute", "device_id")))
+    account = {"gender": (lbl.gender_rows, "device_rel"), "age": (lbl.age_rows, "age_device_rel")}
+    for a, (rows, devices) in account.items():
+        if a in attributes:
+            found = rows(ctx.view("users_info"), ctx.view(devices), ctx.job_date)
+            found = found.select(F.lit(a).alias("attribute"), "device_id", "label")
+            parts.append(found if raw else lbl.dedup(found, ("attribute", "device_id")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -160,12 +162,20 @@ def vectors_from(features: DataFrame, dim: int = C.FEATURE_DIM) -> DataFrame:
     return feat.vectors(features, dim)
 
 
+def parsed_table(features: DataFrame, dim: int = C.FEATURE_DIM) -> DataFrame:
+    """(device_id, indices, values) written once, so that the regexes run once
+    per string; devices without an index are left out on reading (FLT-8)."""
+    rows = materialize_table(feat.parse_rows(features, dim), "parsed")
+    return rows.where(F.size("indices") > 0)
+
+
 # --- PIPE-2..12 ------------------------------------------------------------------------
 
 @dataclass
 class Inference:
     output: DataFrame                     # (device_id, attribute, label, is_predicted, stat_date)
     results: dict[str, mdl.TrainResult]
+    skipped: tuple[str, ...] = ()         # attributes without a labelled device
 
 
 def _long_output(df: DataFrame, attribute: str, job_date: int) -> DataFrame:
@@ -173,6 +183,11 @@ def _long_output(df: DataFrame, attribute: str, job_date: int) -> DataFrame:
                      F.lit(int(job_date)).alias("stat_date"))
 
 
+def _write(out: DataFrame, out_dir: str, append: bool) -> None:
+    write = sinks.append_partitions if append else sinks.overwrite_partitions
+    write(out, out_dir, ["stat_date", "attribute"])
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it from there.
 
@@ -199,21 +214,23 @@ def materialize_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def infer_labels(vectors: DataFrame, labels: DataFrame, attribute: str, classes: int,
+def infer_labels(parsed: DataFrame, labels: DataFrame, attribute: str, classes: int,
                  refine: bool, job_date: int, model_dir: str | None = None,
-                 **params) -> Inference:
+                 dim: int = C.FEATURE_DIM, **params) -> Inference:
     """Train on devices with a known label, predict the rest, union both.
 
-    Two passes over the vectors: one keeps the (small) labelled set, which
-    is checkpointed for training and for the known half of the output; one
-    scores the unlabelled devices.
+    ``parsed`` holds index arrays. Labels are joined to them first; only the
+    rows that a pass uses are vectorized: one pass keeps the (small) labelled
+    set, which is checkpointed for training and for the known half of the
+    output, one scores the unlabelled devices.
     """
     # The labels feed a size proof and then the join: materialize them once so
     # their upstream (e.g. the account-device join) runs once.
-    ds = dsm.attach_labels(vectors, materialize(labels))
+    ds = dsm.attach_labels(parsed, materialize(labels))
     # checkpointed, not cached: the returned plan reads it long after this call
-    labelled = materialize(ds.where(dsm.is_labelled()))
-    unlabelled = ds.where(~dsm.is_labelled())
+    labelled = materialize(feat.vectorize(ds.where(dsm.is_labelled()), dim)
+                           .select("device_id", "label", "features"))
+    unlabelled = feat.vectorize(ds.where(~dsm.is_labelled()), dim)
     result = mdl.build_model(labelled, classes, refine, model_dir=model_dir, name=attribute,
                              job_date=job_date, **params)
     predicted = mdl.predict(result.model, unlabelled)
@@ -222,15 +239,16 @@ def infer_labels(vectors: DataFrame, labels: DataFrame, attribute: str, classes:
 
 
 def infer(ctx: JobContext, attribute: str, features: DataFrame | None = None,
-          out_dir: str | None = None, model_dir: str | None = None, **params) -> Inference:
-    """One attribute job (PIPE-2..12)."""
+          out_dir: str | None = None, model_dir: str | None = None, append: bool = False,
+          **params) -> Inference:
+    """One attribute job (PIPE-2..12); ``append`` adds rows to the output
+    instead of replacing the date's partition."""
     spec = ATTRIBUTES[attribute]
-    vectors = vectors_from(features if features is not None
-                           else materialize_table(ctx.features, "features"))
-    res = infer_labels(vectors, known_labels(ctx, attribute), attribute, spec.classes,
+    parsed = parsed_table(features if features is not None else ctx.features)
+    res = infer_labels(parsed, known_labels(ctx, attribute), attribute, spec.classes,
                        spec.refine, ctx.job_date, model_dir, **params)
     if out_dir:
-        sinks.overwrite_partitions(res.output, out_dir, ["stat_date", "attribute"])
+        _write(res.output, out_dir, append)
     return res
 
 
@@ -238,25 +256,29 @@ def infer_all(ctx: JobContext, attributes: list[str] | None = None,
               features: DataFrame | None = None, out_dir: str | None = None,
               model_dir: str | None = None,
               label_source: Callable[..., DataFrame] = all_known_labels,
-              parallelism: int | None = None, **params) -> Inference:
+              parallelism: int | None = None, append: bool = False, **params) -> Inference:
     """All attribute jobs over shared work.
 
     Labels of every attribute become one row per device (one shuffle,
     :func:`label_matrix`) and are joined to the vectors once. Only labelled devices are
     checkpointed for training; the models are fitted concurrently; the
     scoring pass reads the vectors once and applies every model in the same
-    projection.
+    projection. Attributes without any labelled device are skipped and named
+    in the result.
     """
     attributes = attributes or list(ATTRIBUTES)
-    vectors = vectors_from(features if features is not None
-                           else materialize_table(ctx.features, "features"))
+    parsed = parsed_table(features if features is not None else ctx.features)
     cols = [f"label_{a}" for a in attributes]
     wide = materialize(label_matrix(ctx, attributes, label_source))
-    ds = dsm.attach_labels(vectors, wide, cols)
+    ds = dsm.attach_labels(parsed, wide, cols)
     any_known = F.lit(False)
     for c in cols:
         any_known = any_known | dsm.is_labelled(c)
-    labelled = materialize(ds.where(any_known))
+    labelled = materialize(feat.vectorize(ds.where(any_known)).select("device_id", "features", *cols))
+    present = labelled.agg(*[F.count_if(dsm.is_labelled(c)).alias(c) for c in cols]).first()
+    skipped = [a for a, c in zip(attributes, cols) if not present[c]]
+    attributes = [a for a in attributes if a not in skipped]
+    cols = [f"label_{a}" for a in attributes]
 
     def fit(a: str, c: str) -> mdl.TrainResult:
         spec = ATTRIBUTES[a]
@@ -272,7 +294,7 @@ def infer_all(ctx: JobContext, attributes: list[str] | None = None,
         futures = {a: pool.submit(fit, a, c) for a, c in zip(attributes, cols)}
         results = {a: f.result() for a, f in futures.items()}
 
-    scored = ds
+    scored = feat.vectorize(ds)
     for a in attributes:
         m = mdl.with_output_cols(results[a].model, f"_{a}")
         scored = m.transform(scored).drop(m.getRawPredictionCol(), m.getProbabilityCol())
@@ -288,8 +310,8 @@ def infer_all(ctx: JobContext, attributes: list[str] | None = None,
            .select("device_id", "r.attribute", "r.label", "r.is_predicted",
                    F.lit(int(ctx.job_date)).alias("stat_date")))
     if out_dir:
-        sinks.overwrite_partitions(out, out_dir, ["stat_date", "attribute"])
-    return Inference(out, results)
+        _write(out, out_dir, append)
+    return Inference(out, results, tuple(skipped))
 
 
 # --- documents: the learning check ------------------------------------------------------
@@ -303,5 +325,4 @@ def infer_documents(ctx: JobContext, target: str = "quality", refine: bool = Tru
                     **params) -> Inference:
     """Binary inference of a partially known document label."""
     labels = ctx.view("doc_labels" if target == "quality" else "doc_labels_toxic")
-    vectors = vectors_from(materialize_table(document_features(ctx), "doc-features"))
-    return infer_labels(vectors, labels, target, 2, refine, ctx.job_date, **params)
+    return infer_labels(parsed_table(document_features(ctx)), labels, target, 2, refine, ctx.job_date, **params)

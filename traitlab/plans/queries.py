@@ -152,7 +152,7 @@ def _label_gender(ctx: JobContext) -> DataFrame:
 @query("label_age")
 def _label_age(ctx: JobContext) -> DataFrame:
     """LBL-2."""
-    return lbl.age_label(ctx.view("users_info"), ctx.view("device_rel"), ctx.job_date)
+    return lbl.age_label(ctx.view("users_info"), ctx.view("age_device_rel"), ctx.job_date)
 
 
 @query("label_marital_age")
@@ -367,8 +367,9 @@ def _doc_features(ctx: JobContext) -> DataFrame:
 @query("train_binary")
 def _train_binary(ctx: JobContext) -> DataFrame:
     """ML-1/ML-5 binary (documents, quality): validation predictions."""
-    vectors = pipe.vectors_from(pipe.materialize_table(pipe.document_features(ctx), "doc-features"))
-    labelled, _ = dsm.split_labelled(dsm.attach_labels(vectors, ctx.view("doc_labels")))
+    parsed = pipe.parsed_table(pipe.document_features(ctx))
+    labelled, _ = dsm.split_labelled(dsm.attach_labels(parsed, ctx.view("doc_labels")))
+    labelled = feat.vectorize(labelled)
     res = mdl.build_model(labelled, 2, refine=True)
     _, valid = dsm.split_train_valid(labelled)
     return mdl.score(res.model, valid).select("device_id", "label", "prediction")
@@ -377,9 +378,10 @@ def _train_binary(ctx: JobContext) -> DataFrame:
 @query("train_multiclass")
 def _train_multiclass(ctx: JobContext) -> DataFrame:
     """ML-1/ML-5 multi-class (age bands, 5 classes): validation predictions."""
-    vectors = pipe.vectors_from(pipe.materialize_table(ctx.features, "features"))
+    parsed = pipe.parsed_table(ctx.features)
     labels = pipe.known_labels(ctx, "age")
-    labelled, _ = dsm.split_labelled(dsm.attach_labels(vectors, labels))
+    labelled, _ = dsm.split_labelled(dsm.attach_labels(parsed, labels))
+    labelled = feat.vectorize(labelled)
     res = mdl.build_model(labelled, 5)
     _, valid = dsm.split_train_valid(labelled)
     return mdl.score(res.model, valid).select("device_id", "label", "prediction")
@@ -439,3 +441,71 @@ def _doc_dataset_counts(ctx: JobContext) -> DataFrame:
     """AGG-5 / FEAT-7 on documents: sizes of the documents job's data sets."""
     parsed = feat.parse(pipe.document_features(ctx))
     return dsm.counts(dsm.attach_labels(parsed, ctx.view("doc_labels")))
+
+
+# --- queries whose bound or whose known part is checked --------------------------------
+
+
+@query("features_encoded_topk")
+def _features_encoded_topk(ctx: JobContext) -> DataFrame:
+    """FEAT-2 with the top-K catalog, at a K that leaves items out."""
+    return feat.encode(ctx.items("user_installs", C.ITEM_PREFIX, C.SMALL_K))
+
+
+@query("doc_catalog_topk")
+def _doc_catalog_topk(ctx: JobContext) -> DataFrame:
+    """RNK-2 on the word catalog, which has more rows than TOP_K."""
+    rows = cat.catalog_rows(ctx.view("doc_catalog"), ctx.job_date)
+    return cat.top_k(cat.keep_max_installs(rows), C.TOP_K).select("appid", "app_name", "installnum", "idx")
+
+
+@query("doc_features_parsed")
+def _doc_features_parsed(ctx: JobContext) -> DataFrame:
+    """FEAT-5 / FLT-7 on documents: words beyond the dimension are left out."""
+    p = feat.parse(pipe.document_features(ctx))
+    return p.select("device_id", F.inline(F.arrays_zip(
+        F.col("indices").alias("idx"), F.col("values").alias("value"))))
+
+
+@query("feature_vectors")
+def _feature_vectors(ctx: JobContext) -> DataFrame:
+    """FEAT-6: the non-zero entries of every device's vector."""
+    from pyspark.ml.functions import vector_to_array
+    dense = pipe.vectors_from(ctx.features).select("device_id", vector_to_array("features").alias("v"))
+    entries = F.array_compact(F.transform("v", lambda x, i: F.when(
+        x != 0, F.struct(i.alias("idx"), x.alias("value")))))
+    return dense.select("device_id", F.inline(entries))
+
+
+@query("union_distribution")
+def _union_distribution(ctx: JobContext) -> DataFrame:
+    """AGG-3 over SET-1: classes of known and predicted labels together."""
+    return lbl.distribution(REGISTRY["union_known_predicted"](ctx.spark, ctx.sf_dir))
+
+
+def _known_part(output: DataFrame) -> DataFrame:
+    return output.select("device_id", "attribute",
+                         F.when(~F.col("is_predicted"), F.col("label")).alias("label"), "is_predicted")
+
+
+def _register_known(attribute: str) -> None:
+    def fn(ctx: JobContext) -> DataFrame:
+        return _known_part(pipe.infer(ctx, attribute, max_iter=1).output)
+    fn.__doc__ = f"The {attribute} job's devices, known labels and which ones are predicted."
+    query(f"infer_{attribute}_known")(fn)
+
+
+for _attr in pipe.ATTRIBUTES:
+    _register_known(_attr)
+
+
+@query("infer_all_known")
+def _infer_all_known(ctx: JobContext) -> DataFrame:
+    """The all-attribute job's devices, known labels and which ones are predicted."""
+    return _known_part(pipe.infer_all(ctx, max_iter=1).output)
+
+
+@query("infer_quality_known")
+def _infer_quality_known(ctx: JobContext) -> DataFrame:
+    """The documents job's known labels and which ones are predicted."""
+    return _known_part(pipe.infer_documents(ctx, max_iter=1).output)

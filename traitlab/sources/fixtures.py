@@ -29,9 +29,8 @@ _recipe("app_catalog", ("part", "lineitem"), """
 select cast(p_partkey as string) as appid,
   case when p_partkey % 50 = 7 then null
        else p_name || (case l_returnflag when 'A' then '' when 'N' then ' lite' else ':pro' end) end as app_name,
-  count(*) as installnum, 20180709 as stat_date
+  count(*) as installnum, case when p_partkey % 10 = 9 then 20180708 else 20180709 end as stat_date
 from {part} join {lineitem} on p_partkey = l_partkey
-where p_partkey % 10 <> 9
 group by p_partkey, p_name, l_returnflag
 """)
 
@@ -41,6 +40,9 @@ select c_custkey as user_id, c_nationkey % 3 as sex,
        else cast(1935 + c_custkey % 80 as string) || '-01-01' end as birthdate,
   20180709 as stat_date
 from {customer}
+union all
+select c_custkey as user_id, (c_nationkey + 1) % 3 as sex, '1990-01-01' as birthdate, 20180708 as stat_date
+from {customer}
 """)
 
 _recipe("device_rel", ("customer",), """
@@ -49,6 +51,21 @@ select c_custkey as uid,
        else cast(c_custkey - (case when c_custkey % 5 = 4 then 1 else 0 end) as string) end as device_id,
   20180709 as stat_date
 from {customer}
+union all
+select c_custkey as uid, cast(c_custkey + 1 as string) as device_id, 20180708 as stat_date
+from {customer}
+""")
+
+# The age labels have a device relation of their own, which shares other devices.
+_recipe("age_device_rel", ("customer",), """
+select c_custkey as uid,
+  case when c_custkey % 43 = 0 then null
+       else cast(c_custkey - (case when c_custkey % 5 = 3 then 1 else 0 end) as string) end as device_id,
+  20180709 as stat_date
+from {customer}
+union all
+select c_custkey as uid, cast(c_custkey + 2 as string) as device_id, 20180708 as stat_date
+from {customer}
 """)
 
 _recipe("questionnaire", ("customer",), """
@@ -75,10 +92,13 @@ _recipe("age_collect", ("customer",), """
 select cast(c_custkey - (case when c_custkey % 5 = 4 then 1 else 0 end) as string) as device_id,
   c_name as src, cast(20 + c_nationkey as string) as age, 20180709 as stat_date
 from {customer}
+union all
+select cast(c_custkey as string) as device_id, c_name as src, '90' as age, 20180708 as stat_date
+from {customer}
 """)
 
 _recipe("scored", ("customer",), """
-select c_custkey as id, round((c_acctbal + 1000.0e0) / 11000.0e0, 2) as score,
+select c_custkey as id, (c_acctbal + 1000.0e0) / 11000.0e0 as score,
   case when c_nationkey % 2 = 0 then 1.0e0 else 0.0e0 end as label
 from {customer}
 """)
@@ -88,8 +108,10 @@ select device_id,
   concat_ws(' ', transform(sort_array(collect_set(l_partkey)), x -> concat('{prefix}', cast(x as string), ':1'))) as value,
   20180709 as stat_date
 from (select cast(o_custkey - (case when o_custkey % 5 = 4 then 1 else 0 end) as string) as device_id, l_partkey
-      from {orders} join {lineitem} on o_orderkey = l_orderkey where l_quantity <= 10) t
+      from {orders} join {lineitem} on o_orderkey = l_orderkey) t
 group by device_id
+union all
+select distinct cast(o_custkey as string) as device_id, '{prefix}1:1' as value, 20180708 as stat_date from {orders}
 """
 
 _INSTALLS_DUCK = """
@@ -97,10 +119,13 @@ select device_id,
   string_agg('{prefix}' || cast(l_partkey as string) || ':1', ' ' order by l_partkey) as value,
   20180709 as stat_date
 from (select distinct cast(o_custkey - (case when o_custkey % 5 = 4 then 1 else 0 end) as string) as device_id, l_partkey
-      from {orders} join {lineitem} on o_orderkey = l_orderkey where l_quantity <= 10) t
+      from {orders} join {lineitem} on o_orderkey = l_orderkey) t
 group by device_id
+union all
+select distinct cast(o_custkey as string) as device_id, '{prefix}1:1' as value, 20180708 as stat_date from {orders}
 """
 
+# A second snapshot of a table carries other values, which the dated scan leaves out.
 _recipe("user_installs", ("orders", "lineitem"),
         _INSTALLS_SPARK.replace("{prefix}", "11"),
         _INSTALLS_DUCK.replace("{prefix}", "11"))
@@ -114,11 +139,11 @@ _recipe("doc_items", ("documents",), """
 select device_id, case when size(w) > 0 then concat(array_join(w, ':1 '), ':1') else '' end as value,
   20180709 as stat_date
 from (select cast(doc_id as string) as device_id,
-             array_distinct(array_remove(split(lower(text), '[^a-z]+'), '')) as w
+             array_distinct(array_remove(split(lower(text), '[^\\\\pL]+'), '')) as w
       from {documents}) t
 """, """
 select cast(doc_id as string) as device_id,
-  array_to_string(list_transform(list_distinct(list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda w: w <> '')),
+  array_to_string(list_transform(list_distinct(list_filter(regexp_split_to_array(lower(text), '[^\\pL]+'), lambda w: w <> '')),
                            lambda w: w || ':1'), ' ') as value,
   20180709 as stat_date
 from {documents}
@@ -126,11 +151,11 @@ from {documents}
 
 _recipe("doc_catalog", ("documents",), """
 select w as appid, w as app_name, count(*) as installnum, 20180709 as stat_date
-from (select explode(array_distinct(array_remove(split(lower(text), '[^a-z]+'), ''))) as w from {documents}) t
+from (select explode(array_distinct(array_remove(split(lower(text), '[^\\\\pL]+'), ''))) as w from {documents}) t
 group by w
 """, """
 select w as appid, w as app_name, count(*) as installnum, 20180709 as stat_date
-from (select unnest(list_distinct(list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda w: w <> ''))) as w
+from (select unnest(list_distinct(list_filter(regexp_split_to_array(lower(text), '[^\\pL]+'), lambda w: w <> ''))) as w
       from {documents}) t
 group by w
 """)
