@@ -100,18 +100,19 @@ def refine_threshold(model: LogisticRegressionModel, valid: DataFrame,
     return best, float(used)
 
 
-def sized(df: DataFrame, rows_per_partition: int = C.TRAIN_ROWS_PER_PARTITION) -> DataFrame:
-    """Narrow ``df`` to about one partition per ``rows_per_partition`` rows.
+def sized(kept: DataFrame, rows_per_partition: int = C.TRAIN_ROWS_PER_PARTITION) -> tuple[DataFrame, int]:
+    """A persisted set narrowed to about one partition per
+    ``rows_per_partition`` rows, and its row count.
 
     Every L-BFGS iteration is one job over all partitions of the training
     set; small labelled sets inherit the partitioning of the much larger
     feature table, and each extra near-empty task costs latency on every
-    iteration. ``coalesce`` merges partitions without a shuffle; large sets
-    keep one task per ``rows_per_partition`` rows.
+    iteration. The one count fills the cache; ``coalesce`` merges the cached
+    partitions without a shuffle.
     """
-    have = df.rdd.getNumPartitions()
-    want = max(1, -(-df.count() // rows_per_partition))
-    return df.coalesce(want) if want < have else df
+    rows, have = kept.count(), kept.rdd.getNumPartitions()
+    want = max(1, -(-rows // rows_per_partition))
+    return (kept.coalesce(want) if want < have else kept), rows
 
 
 @dataclass
@@ -149,11 +150,13 @@ def build_model(labelled: DataFrame, classes: int, refine: bool = False,
     if holdout_percent:
         cut = dsm.hash_bucket("device_id") < train_percent + holdout_percent
         tune, valid = valid.where(cut), valid.where(~cut)
-    train = sized(train).persist(StorageLevel.MEMORY_AND_DISK)
-    valid = sized(valid).persist(StorageLevel.MEMORY_AND_DISK)
-    tune = valid if not holdout_percent else sized(tune).persist(StorageLevel.MEMORY_AND_DISK)
+    kept = [df.persist(StorageLevel.MEMORY_AND_DISK)
+            for df in ((train, valid, tune) if holdout_percent else (train, valid))]
     try:
-        if not train.take(1):
+        train, rows = sized(kept[0])
+        valid, _ = sized(kept[1])
+        tune = sized(kept[2])[0] if holdout_percent else valid
+        if not rows:
             raise ValueError(f"no labelled training rows for {name} on {job_date}")
         model = estimator(classes, **params).fit(train)
         result = TrainResult(model, classes)
@@ -176,6 +179,5 @@ def build_model(labelled: DataFrame, classes: int, refine: bool = False,
             result.model_path = save_model(model, model_dir, name, job_date)
         return result
     finally:
-        train.unpersist()
-        valid.unpersist()
-        tune.unpersist()
+        for df in kept:
+            df.unpersist()

@@ -115,29 +115,31 @@ def build() -> dict[str, str]:
     return o
 
 
-def _case(answer: str, classes: dict, default) -> str:
-    whens = " ".join(f"when '{a}' then {float(c)}e0" for a, c in classes.items())
-    other = f"{float(default)}e0" if default is not None else "null"
-    return f"case {answer} {whens} else {other} end"
+# The answer rules written out on their own, so that a wrong table in the
+# labelers shows: attribute -> (source, label expression, condition).
+ANSWER_SQL = {
+    "education": ("questionnaire", """case when q3 in ('A', 'B', 'C', 'D') then 0.0e0
+        when q3 = 'E' then 1.0e0 when q3 in ('F', 'G') then 2.0e0 end""", "q3 <> ''"),
+    "marital": ("questionnaire", "case q4 when 'A' then 0.0e0 when 'B' then 1.0e0 end",
+                "q4 in ('A', 'B', 'C', 'D')"),
+    "career": ("questionnaire", """case when q6 = 'A' then 0.0e0
+        when q6 in ('B', 'C', 'D', 'E', 'F', 'G', 'I', 'J', 'Q') then 1.0e0 end""", "q6 <> ''"),
+    "parent": ("questionnaire", """case when q7 in ('A', 'B', 'C', 'D', 'E', 'F') then 1.0e0
+        when q7 = 'H' then 0.0e0 end""", "length(q7) = 1"),
+    "car": ("questionnaire", "case q8 when 'A' then 1.0e0 when 'B' then 0.0e0 end", "q8 <> ''"),
+    "estate": ("questionnaire", "case q9 when 'A' then 1.0e0 when 'B' then 0.0e0 end", "q9 <> ''"),
+    "income": ("questionnaire", "case q10 when 'A' then 0.0e0 else 1.0e0 end", "q10 <> ''"),
+    "consumption": ("questionnaire", "case q11 when 'A' then 0.0e0 else 1.0e0 end", "q11 <> ''"),
+    "child": ("child_stage", """case child_stage when '婴幼儿' then 0.0e0 when '孕育期' then 1.0e0
+        when '青少年' then 2.0e0 end""", "child_stage in ('婴幼儿', '孕育期', '青少年')"),
+}
 
 
 def answer_rows_sql(attribute: str) -> str:
     """Pre-dedup (device_id, label) rows of one questionnaire attribute."""
-    from ..operators.labels import CHILD_STAGE_RULES, answer_rule
-    if attribute == "child":
-        src, col, classes, default, single, selected = (
-            "child_stage", "child_stage", CHILD_STAGE_RULES, None, False, tuple(CHILD_STAGE_RULES))
-    else:
-        r = answer_rule(attribute)
-        src, col, classes, default, single, selected = (
-            "questionnaire", r.column, r.classes, r.default, r.single_choice, r.selected)
-    conds = ["device_id is not null", f"{col} is not null", f"{col} <> ''"]
-    if selected:
-        conds.append(f"{col} in ({', '.join(repr(x) for x in selected)})")
-    if single:
-        conds.append(f"length({col}) = 1")
-    return (f"select device_id, {_case(col, classes, default)} as label from {src} "
-            f"where {' and '.join(conds)}")
+    source, label, condition = ANSWER_SQL[attribute]
+    return (f"select device_id, {label} as label from {source} "
+            f"where device_id is not null and {condition}")
 
 
 def _labels(o: dict[str, str]) -> None:

@@ -22,7 +22,7 @@ from ..operators import dataset as dsm
 from ..operators import features as feat
 from ..operators import labels as lbl
 from ..operators import model as mdl
-from ..session import checkpoint_dir, scratch_path
+from ..session import checkpoint_dir, delete_on_exit, scratch_path
 from ..sources import sinks
 from .context import JobContext
 
@@ -209,7 +209,7 @@ def materialize_table(df: DataFrame, name: str) -> DataFrame:
     checkpoint directory.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    path = delete_on_exit(spark, scratch_path(spark, f"{name}-{uuid.uuid4().hex}"))
     df.write.parquet(path)
     return spark.read.parquet(path)
 

@@ -18,7 +18,7 @@ from ..operators import features as feat
 from ..operators import labels as lbl
 from ..operators import metrics as met
 from ..operators import model as mdl
-from ..session import scratch_path
+from ..session import delete_on_exit, scratch_path
 from ..sources import sinks
 from ..sources import snapshot as snap
 from . import pipelines as pipe
@@ -422,7 +422,7 @@ def _sink_overwrite_partition(ctx: JobContext) -> DataFrame:
     holds every feature row twice (once per date).
     """
     import uuid
-    path = scratch_path(ctx.spark, f"sink-{uuid.uuid4().hex}")
+    path = delete_on_exit(ctx.spark, scratch_path(ctx.spark, f"sink-{uuid.uuid4().hex}"))
     feats = ctx.features.persist()
     for d in (ctx.job_date, ctx.job_date + 1, ctx.job_date):
         sinks.overwrite_partitions(feats.withColumn("stat_date", F.lit(d)), path)

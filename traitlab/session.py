@@ -102,6 +102,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         base.rstrip("/") + "/tables/" + name
 
 
+def delete_on_exit(spark: SparkSession, path: str) -> str:
+    """Have the file system delete ``path`` when the application ends."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
+    return path
+
+
 def remove_scratch_tables(spark: SparkSession) -> bool:
     """Delete this application's intermediate tables (``<checkpoint dir>/tables``).
 
