@@ -14,6 +14,7 @@ from conftest_rows import awkward_rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_reference import components, words
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from traitlab.llm import attention, jaccard, lm, packing, simple8b, token_table
@@ -311,6 +312,20 @@ def test_pipeline_stages_on_awkward_rows(spark, scratch, awkward, empty):
             assert docs.count() == 0
 
 
+def test_pipeline_stages_leave_clashing_columns_alone(spark, scratch, awkward):
+    extra = {"kept": F.lit("a"), "n_words": F.lit("b"), "_row": F.lit("c"), "row": F.lit("d"), "spans": F.lit("e"),
+             "redacted": F.lit("f"), "k1": F.lit("g"), "_k1": F.lit("h"), "node": F.lit("i"), "component_id": F.lit("j"),
+             "_words": F.lit("k"), "Host_Strict": F.lit("l"), "doc": F.lit("m"), "item": F.lit("n")}
+    docs = awkward.withColumns(extra)
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+        out = stage(spark, docs, SF)
+        assert out.columns == awkward.columns + list(extra), name
+        out.write.parquet(f"{scratch}/{k}")
+        docs = spark.read.parquet(f"{scratch}/{k}")
+    rows = docs.collect()
+    assert rows and all("".join(r[c] for c in extra) == "abcdefghijklmn" for r in rows)
+
+
 def test_pipeline_keeps_clean_documents_and_catches_planted_ones(spark, scratch):
     clean = {i: " ".join(f"clean{i}x{k}" for k in range(90)) for i in range(100, 130)}
     item = spark.read.parquet(f"{SF}/benchmark.parquet").first().text

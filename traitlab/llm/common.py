@@ -92,6 +92,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shielded(df: DataFrame, names: tuple[str, ...]) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with the columns that are called like ``names`` renamed, and how
+    to rename them back."""
+    taken = {n.lower() for n in names}
+    clash = [c for c in df.columns if c.lower() in taken]
+    prefix = unclashed(df, *clash) + "own" if clash else ""
+    return df.withColumnsRenamed({c: prefix + c for c in clash}), {prefix + c: c for c in clash}
+
+
 def unclashed(df: DataFrame, *names: str) -> str:
     """A column name prefix under which none of ``names`` exists in ``df``."""
     prefix = "_"

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import broadcast_if_small, scratch_table, words_of
+from .common import broadcast_if_small, scratch_table, shielded, words_of
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -36,6 +36,8 @@ MAX_STRENGTH = 1e6
 WHITE = " \t\n\x0b\x0c\r"
 
 METRICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
+RESULTS = (*METRICS, "base_failed", "soft_failed", "host_strict", "kept")
+INTERNAL = ("_words", "_lines", "_windows", "_strict_host")
 
 
 def _covered(windows: Column) -> Column:
@@ -131,8 +133,7 @@ def judge(docs: DataFrame, text: str = "text", host: str = "source",
     aggregation combines on the map side, so a host with a third of all rows
     costs one row per task. Only strict hosts are joined back.
     """
-    results = [*METRICS, "base_failed", "soft_failed", "host_strict", "kept"]
-    docs = docs.drop(*results)
+    docs = docs.drop(*RESULTS, *INTERNAL)
     measured = text_metrics(docs, text)
     if not keep_text:
         measured = measured.drop(text)
@@ -150,5 +151,7 @@ def judge(docs: DataFrame, text: str = "text", host: str = "source",
 
 
 def filter_quality(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
-    """The kept documents, with the columns of ``docs``."""
-    return judge(docs, text, host).where("kept").select(*docs.columns)
+    """The kept documents, with all columns of ``docs`` as they were."""
+    own, back = shielded(docs, RESULTS + INTERNAL)
+    return (judge(own, text, host).where("kept").select(*own.columns)
+            .withColumnsRenamed(back))
