@@ -405,8 +405,18 @@ def join_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
                      & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * PERCENT))
               .select("a", "b").distinct().checkpoint())
     more = _overlaps(second, sets).where(_linked()).select("a", "b").checkpoint()
-    if not more.isEmpty():
-        labels = connected_components(links.union(more))
+    # components that these links join
+    roots = labels.select(F.col("node").alias("a"), F.col("root").alias("ra")), \
+        labels.select(F.col("node").alias("b"), F.col("root").alias("rb"))
+    joins = (more.join(roots[0], "a", "left").join(roots[1], "b", "left")
+             .select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
+             .where("a <> b").checkpoint())
+    if not joins.isEmpty():
+        above = connected_components(joins).toDF("root", "top")
+        # nodes without a link until now are roots of their own
+        alone = above.join(labels, above["root"] == labels["node"], "left_anti")
+        labels = (labels.union(alone.select("root", "root")).join(above, "root", "left")
+                  .select("node", F.coalesce("top", "root").alias("root")).checkpoint())
 
     ids = nodes.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = ids.groupBy("root").agg(F.min("id").alias("component_id"))
