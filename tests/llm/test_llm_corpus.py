@@ -295,6 +295,22 @@ def test_lm_beats_unigrams_on_held_out_documents(spark):
     assert per_id > logs[test].mean() + 0.03
 
 
+def test_lm_trains_on_every_training_document_once(spark, monkeypatch):
+    texts = [np.full(2 + k % 5, k, "<u2") for k in range(3000)]
+    rows = spark.createDataFrame([(k, k % 5 == 1, bytearray(x.tobytes())) for k, x in enumerate(texts)],
+                                 "row long, held_out boolean, ids binary")
+    rounds = []
+
+    def average(trained, start):
+        rounds.append(sum(r.n for r in trained.collect()))
+        return start
+
+    monkeypatch.setattr(lm, "_average", average)
+    lm.train_weights(rows, attention.Vocabulary(np.ones(lm.N_IDS)))
+    assert len(rounds) == lm.ROUNDS and min(rounds) > 0
+    assert sum(rounds) == sum(len(x) + 1 for k, x in enumerate(texts) if k % 5 != 1)
+
+
 # --- pipeline ----------------------------------------------------------------------------------
 
 def test_pipeline_stages_on_awkward_rows(spark, scratch, awkward, empty):
