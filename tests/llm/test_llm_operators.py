@@ -96,6 +96,57 @@ def test_license_scan_equals_python(spark):
     assert len(licenses.build_rules()) > 200
 
 
+def matches_of(pattern):
+    """Texts that match a rule: each branch, and least and most repeats."""
+    from re import _parser
+
+    def text(parsed, pick):
+        out = []
+        for op, value in parsed:
+            name = str(op)
+            if name == "LITERAL":
+                out.append(chr(value))
+            elif name == "NOT_LITERAL":
+                out.append("q")
+            elif name == "IN":
+                out.append(chr(value[pick % len(value)][1]))
+            elif name == "BRANCH":
+                out.append(text(value[1][pick % len(value[1])], pick))
+            elif name == "SUBPATTERN":
+                out.append(text(value[-1], pick))
+            else:
+                least, most, inner = value
+                out.append(text(inner, pick) * (min(most, 12) if pick % 2 else least))
+        return "".join(out)
+
+    return {text(_parser.parse(pattern), pick) for pick in range(6)}
+
+
+LICENSE_FORMS = [
+    "released under the MIT terms", "Attribution-NonCommercial-ShareAlike 4.0 International",
+    "altered source versions must be plainly marked as such", "Boost Software 1.0",
+    "to deal in the Software without restriction, including without limitation the rights",
+    "covered by the X11 license", "under the Expat license",
+    "no part of this book may be reproduced in any form without prior written permission",
+    "you can redistribute it and/or modify it under the terms of the GNU General Public License",
+]
+
+
+def test_license_keywords_lose_no_match(spark, monkeypatch):
+    rules = licenses.build_rules()
+    texts = list(LICENSE_FORMS)
+    for *_, keyword, pattern in rules:
+        for text in matches_of(pattern):
+            assert re.fullmatch(pattern, text) and keyword in f" {text} ", (keyword, text)
+            texts.append(f"before {text} after")
+    texts = list(dict.fromkeys(texts))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").repartition(4)
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.scan(df).select("doc_id", "labels", "score").collect()}
+    monkeypatch.setattr(licenses, "build_rules", lambda: [(*r[:3], "", r[4]) for r in rules])
+    for n, text in enumerate(texts):
+        assert got[n] == scan_in_python(text)[-2:] and got[n][0], text
+
+
 def test_license_scan_of_awkward_and_empty(spark, awkward, empty):
     assert licenses.scan(awkward).count() == awkward.count()
     assert licenses.scan(empty).count() == 0

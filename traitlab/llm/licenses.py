@@ -1,9 +1,9 @@
 """License scans: ordered signature rules over normalized words.
 
 A text becomes its lower-cased words with single spaces between. Rules are
-regular expressions over that form, each behind a keyword: a document first
-passes a gate of keywords, then only rules whose keyword occurs are tried, and
-only those that match are located. Detections are word intervals; sorted by
+regular expressions over that form, each behind a keyword that every match of
+it holds: only rules whose keyword occurs are tried, and only those that match
+are located. Detections are word intervals; sorted by
 start, longer first, then by rule priority, one that lies inside an earlier
 one is suppressed, so the most specific reading of a place survives.
 
@@ -26,10 +26,13 @@ BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public l
 # Rule classes in priority order: (priority, score of a detection).
 TAG, GRANT, VERSIONED, NOTICE, NAME = (0, 1.0), (1, 0.95), (2, 0.85), (3, 0.8), (4, 0.7)
 
-# label, keyword, name (over normalized words), versions that may follow
+# label, keyword (part of every match, with the spaces around it), name (over
+# normalized words), versions that may follow
 FAMILIES = (
-    ("mit", "mit", "(?:mit|expat|x11)(?: style)?", ""),
-    ("mit-0", "mit", "mit (?:no attribution|0)", ""),
+    ("mit", " mit ", "mit(?: style)?", ""),
+    ("mit", " expat ", "expat(?: style)?", ""),
+    ("mit", " x11 ", "x11(?: style)?", ""),
+    ("mit-0", " mit ", "mit (?:no attribution|0)", ""),
     ("apache-2.0", "apache", "apache(?: software)?(?: foundation)?(?: license)?(?: version)? 2(?: 0)?", ""),
     ("apache-1.1", "apache", "apache(?: software)?(?: license)?(?: version)? 1 1", ""),
     ("apache", "apache", "apache(?: software)?", ""),
@@ -61,7 +64,7 @@ FAMILIES = (
     ("bsd-3-clause", "bsd", "bsd (?:three clause|3 clause)", ""),
     ("bsd-4-clause", "bsd", "(?:four clause|4 clause|original) bsd", ""),
     ("bsd", "bsd", "bsd(?: style)?", ""),
-    ("isc", "isc", "isc", ""),
+    ("isc", " isc ", "isc", ""),
     ("mpl-2.0", "mozilla", "mozilla public license(?: version| v)? 2(?: 0)?", ""),
     ("mpl-1.1", "mozilla", "mozilla public license(?: version| v)? 1 1", ""),
     ("mpl", "mozilla", "mozilla public", ""),
@@ -83,8 +86,8 @@ FAMILIES = (
     ("wtfpl", "do what the", "do what the fuck you want to public", "2"),
     ("postgresql", "postgresql", "postgresql", ""),
     ("python-2.0", "python software", "python software foundation", "2"),
-    ("php-3.01", "php", "php license(?: version)? 3(?: 01)?", ""),
-    ("ruby", "ruby", "ruby", ""),
+    ("php-3.01", " php ", "php license(?: version)? 3(?: 01)?", ""),
+    ("ruby", " ruby ", "ruby", ""),
     ("openssl", "openssl", "openssl", ""),
     ("ofl-1.1", "open font", "(?:sil )?open font", "1 1"),
     ("odbl-1.0", "open database", "open database", "1 0"),
@@ -124,9 +127,9 @@ NOTICES = (
     ("bsd-3-clause", "neither the name", "neither the name of (?:[^ ]+ ){1,12}may be used to endorse or promote products"),
     ("bsd-4-clause", "all advertising materials", "all advertising materials mentioning features or use of this software"),
     ("apache-2.0", "you may not use", "you may not use this file except in compliance with the license"),
-    ("gpl", "free software", "you can redistribute it and or modify it under the terms of the gnu general public license"),
-    ("lgpl", "free software", "you can redistribute it and or modify it under the terms of the gnu lesser general public license"),
-    ("agpl", "free software", "you can redistribute it and or modify it under the terms of the gnu affero general public license"),
+    ("gpl", "you can redistribute", "you can redistribute it and or modify it under the terms of the gnu general public license"),
+    ("lgpl", "you can redistribute", "you can redistribute it and or modify it under the terms of the gnu lesser general public license"),
+    ("agpl", "you can redistribute", "you can redistribute it and or modify it under the terms of the gnu affero general public license"),
     ("gpl", "copyleft", "copyleft license"),
     ("mpl-2.0", "source code form", "this source code form is subject to the terms of the mozilla public license"),
     ("epl", "accompanying materials", "this program and the accompanying materials are made available under the terms of the eclipse public license"),
@@ -140,7 +143,7 @@ NOTICES = (
     ("cc", "some rights", "some rights reserved"),
     ("proprietary", "all rights", "all rights reserved"),
     ("proprietary", "proprietary", "proprietary and confidential"),
-    ("proprietary", "without permission", "(?:may not be|no part of this) (?:[^ ]+ ){0,8}reproduced (?:[^ ]+ ){0,8}without (?:the )?(?:prior )?(?:written )?permission"),
+    ("proprietary", "reproduced", "(?:may not be|no part of this) (?:[^ ]+ ){0,8}reproduced (?:[^ ]+ ){0,8}without (?:the )?(?:prior )?(?:written )?permission"),
 )
 
 _LICENSE = " licen[cs]e"
@@ -221,8 +224,6 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     other contains), ``base_labels``, ``labels`` and ``score``."""
     rules = build_rules()
     keywords = sorted({r[3] for r in rules})
-    gate = "|".join(["licen[cs]e", "copyleft", "public domain", "rights reserved", "spdx", "gpl", "cc0",
-                     "creative commons", "cc by", "permission", "proprietary", "redistribut"])
     table = F.array(*[F.struct(
         F.lit(p).alias("priority"), F.lit(s).alias("score"), F.lit(label).alias("label"),
         F.lit(k).alias("keyword"), F.lit(_whole(x)).alias("pattern")) for p, s, label, k, x in rules])
@@ -249,7 +250,7 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
             r["label"].alias("label"), r["score"].alias("score"), s["end"].alias("end")))))
     two = one.withColumns({
         "base": F.concat(*[base_places(p, x) for p, x in BASE]),
-        "_present": F.when(norm.rlike(gate), present)})
+        "_present": present})
     three = two.withColumn("_found", F.when(F.size("_present") > 0, found))
     four = three.withColumn("detections", F.when(F.size("_found") > 0, _suppressed(F.col("_found"))))
     own = F.coalesce(F.transform("detections", lambda d: d["label"]), F.array().cast("array<string>"))
