@@ -307,6 +307,27 @@ def test_pii_rare_kinds_pass_by_their_strict_check(spark, n):
         assert not {"ip", "iban", "national_id"} & {x.split(":")[0] for x in got[k].split(",")}
 
 
+def test_pii_long_secrets_are_one_span():
+    part = "".join(hashlib.sha256(str(i).encode()).hexdigest() for i in range(20))
+    for value in (part, f"{part}.{part}.{part}", f"{part[:90]}==", part * 400):
+        text = f"then token = {value} follows"
+        start = text.index(value)
+        assert ("secret", start, start + len(value)) in pii.candidates(text)
+        assert pii.features(text, "secret", start, start + len(value))[len(pii.KINDS)] == len(value)
+        for model in (pii.Model(None, {}, strict=True), pii.Model(Always(), {"secret": 0.9})):
+            assert model.select(text, []) == [("secret", start, start + len(value))]
+            # a base span in the whole leaves the other parts
+            cut = (start + len(value) - 1, start + len(value))
+            assert ("secret", start, start + len(value)) not in model.select(text, [("ip", *cut)])
+
+
+class Always:
+    """Trees that find shorter spans more probable."""
+
+    def probability(self, x):
+        return 1 - x[:, len(pii.KINDS)] / 1e9
+
+
 def test_pii_of_awkward_and_empty(spark, awkward, empty):
     out = pii.redacted(awkward)
     assert out.columns == awkward.columns and out.count() == awkward.count()
