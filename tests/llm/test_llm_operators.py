@@ -240,6 +240,26 @@ def test_decontamination_tolerates_substitutions(spark):
     assert sorted(r.doc_id for r in left.collect()) == [3, 4, 5, 6, 8]
 
 
+def test_decontamination_of_short_items(spark):
+    """Items of 1 to 19 words: exact copies, and substitutions that leave a seed."""
+    items, docs, expected = [], [], set()
+    for n in (1, 2, 5, 7, 8, 10, 12, 15, 16, 19):
+        words = [f"w{n}x{k}" for k in range(n)]
+        items.append((n, " ".join(words)))
+        forms = [()] if n < 8 else [(), (2,), (5,)] if n < 15 else [(), (5,), (10,)]
+        forms += [(3, 10), (2, 4)] if n >= 16 else []
+        for form in forms:
+            copy = " ".join("other" if k in form else w for k, w in enumerate(words))
+            docs.append((len(docs), f"some text {copy} more text" if n != 7 else copy))
+            expected.add((len(docs) - 1, n))
+        if n > 1:
+            docs.append((len(docs), " ".join(["far"] * 2000 + words[:n // 2] + ["away"] * 3 + words[n // 2:])[:14000]))
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontamination.find_overlaps(docs, bench).collect()}
+    assert {x for x in got if x[1] != 1} == expected - {(0, 1)} and (0, 1) in got
+
+
 def test_decontamination_of_empty_tables(spark, awkward, empty):
     bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
     assert decontamination.decontaminate(empty, bench).count() == 0

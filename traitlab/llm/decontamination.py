@@ -7,15 +7,16 @@ seeds. Seeds of documents and items are joined, hits on the same alignment are
 combined, and each alignment is verified: over ``REACH`` words before its first
 seed and twice as many after it, the best stretch
 (one point for an equal word, ``MISMATCH`` off for another) must reach
-``MIN_SCORE`` points, or as many as the item has words.
+``MIN_SCORE`` points, or the share ``MIN_SHARE`` of the item's words must be
+equal, so that short items tolerate substitutions as well. Items of fewer than
+``SPAN`` words match exactly, by the hash of their whole word sequence.
 
 Long texts are cut into chunks that overlap by the reach, so a row stays small
 whatever the text's length. The benchmark's seeds are broadcast in blocks below
 a checked size; documents are never shuffled by word. Only hits, one row of
 numbers each, are aggregated.
 
-Defined results: null or empty texts and items match nothing, nor do items of
-fewer than ``SPAN`` words; repeated documents are judged by their text alone;
+Defined results: null or empty texts and items match nothing; repeated documents are judged by their text alone;
 empty tables give no hits and remove nothing; input columns are carried.
 """
 
@@ -36,6 +37,7 @@ CHUNK = 1024
 REACH = 64
 MISMATCH = 3
 MIN_SCORE = 12
+MIN_SHARE = 0.85
 # Bytes that a seed row takes in a broadcast hash table, about.
 SEED_BYTES = 64
 
@@ -58,20 +60,34 @@ def _seeds(words: Column, first: Column, count: Column) -> Column:
     return F.concat(*map(picked, MASKS))
 
 
+def _sequences(words: Column, first: Column, count: Column, lengths: list[int]) -> Column:
+    """(hash, place) of all sequences of ``lengths`` words at places ``first``
+    to ``first + count``."""
+    def of(n: int) -> Column:
+        last = F.least(first + count, F.size(words) - n + 1) - 1
+        places = F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+        return F.transform(places, lambda i: F.struct(
+            F.xxhash64(F.lit(n), *[F.get(words, i + k) for k in range(n)]).alias("seed"), i.alias("place")))
+
+    return F.concat(*map(of, lengths))
+
+
 def _alignment_score(words: Column, item: Column, place: Column, item_place: Column) -> Column:
-    """Best stretch of the alignment that puts ``place`` on ``item_place``."""
+    """``best`` stretch and ``equal`` words of the alignment that puts
+    ``place`` on ``item_place``."""
     shift = place - item_place
     low = F.greatest(F.lit(0), -shift, item_place - REACH)
     high = F.least(F.size(item), F.size(words) - shift, item_place + SPAN + 2 * REACH) - 1
     points = F.transform(F.sequence(low, high), lambda j: F.when(
         F.get(item, j) == F.get(words, j + shift), 1).otherwise(-MISMATCH))
-    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("best"))
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("best"), F.lit(0).alias("equal"))
 
     def step(state: Column, x: Column) -> Column:
         now = F.greatest(state["now"] + x, F.lit(0))
-        return F.struct(now.alias("now"), F.greatest(state["best"], now).alias("best"))
+        return F.struct(now.alias("now"), F.greatest(state["best"], now).alias("best"),
+                        (state["equal"] + F.when(x > 0, 1).otherwise(0)).alias("equal"))
 
-    return F.aggregate(points, start, step, lambda s: s["best"])
+    return F.aggregate(points, start, step)
 
 
 def find_overlaps(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -80,19 +96,21 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     ``item_id``, ``score``, ``first_word``: the place of the first seed)."""
     checkpoint_dir(docs.sparkSession)
     items = (benchmark.select(F.col(item_id).alias("item"), text_words(F.col(item_text)).alias("item_words"))
-             .where(F.size("item_words") >= SPAN).dropDuplicates()
+             .where(F.size("item_words") > 0).dropDuplicates()
              .withColumn("item_key", F.xxhash64("item", "item_words")).checkpoint())
     seeds = (items.select("item_key", F.explode(_seeds(
         F.col("item_words"), F.lit(0), F.size("item_words"))).alias("s"))
         .select("item_key", F.col("s.seed").alias("seed"), F.col("s.place").alias("item_place"))
         .checkpoint())
+    lengths = sorted(r["n"] for r in items.select(F.size("item_words").alias("n"))
+                     .where(F.col("n") < SPAN).distinct().collect())  # fewer than SPAN
     words_bytes = items.agg(F.coalesce(F.sum(F.octet_length(F.concat_ws(" ", "item_words"))), F.lit(0))).first()[0]
     blocks = max(1, math.ceil(max(seeds.count() * SEED_BYTES, 4 * words_bytes) / BROADCAST_BYTES))
 
     own = docs.select(F.col(doc_id).alias("doc"), *_key(F.col(text)),
                       text_words(F.col(text)).alias("words"))
     left = F.greatest(F.col("chunk") - REACH, F.lit(0))
-    cut = (own.withColumn("chunk", F.explode(F.when(F.size("words") >= SPAN, F.sequence(
+    cut = (own.withColumn("chunk", F.explode(F.when(F.size("words") >= min([SPAN, *lengths]), F.sequence(
         F.lit(0), F.size("words") - 1, F.lit(CHUNK)))))
         .select("doc", "k1", "k2", "chunk", left.alias("left"),
                 F.slice("words", left + 1, F.col("chunk") - left + CHUNK + SPAN + 2 * REACH).alias("words")))
@@ -109,13 +127,30 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
                          F.floor(F.col("item_place") / REACH).alias("part"))
                 .agg(F.min("item_place").alias("item_place")))
         found = hits if found is None else found.unionByName(hits)
-    found = found.drop("part").checkpoint()
+    found = found.drop("part")
+    if lengths:
+        # the first exact place in a chunk stands for all
+        whole = F.concat(*[F.when(F.size("item_words") == n, _sequences(
+            F.col("item_words"), F.lit(0), F.lit(1), [n])).otherwise(
+                F.array().cast("array<struct<seed:bigint,place:int>>")) for n in lengths])
+        short = (items.where(F.size("item_words") < SPAN)
+                 .select("item_key", F.get(whole, F.lit(0))["seed"].alias("seed")))
+        exact = (cut.select("k1", "k2", "chunk", F.explode(_sequences(
+            F.col("words"), F.col("chunk") - F.col("left"), F.lit(CHUNK), lengths)).alias("s"))
+            .select("k1", "k2", "chunk", F.col("s.seed").alias("seed"), F.col("s.place").alias("place"))
+            .join(broadcast_if_small(short), "seed")
+            .groupBy("k1", "k2", "chunk", "item_key").agg(F.min("place").alias("shift"))
+            .withColumn("item_place", F.lit(0)))
+        found = found.unionByName(exact)
+    found = found.checkpoint()
     small = 4 * words_bytes <= BROADCAST_BYTES
     place = F.col("item_place") + F.col("shift")
     return (cut.join(broadcast_if_small(found), ["k1", "k2", "chunk"])
             .join(F.broadcast(items) if small else items, "item_key")
-            .withColumn("score", _alignment_score(F.col("words"), F.col("item_words"), place, F.col("item_place")))
-            .where(F.col("score") >= F.least(F.lit(MIN_SCORE), F.size("item_words")))
+            .withColumn("s", _alignment_score(F.col("words"), F.col("item_words"), place, F.col("item_place")))
+            .withColumn("score", F.col("s.best"))
+            .where((F.col("score") >= MIN_SCORE) | (F.col("s.equal") >= F.ceil(
+                F.when(F.size("item_words") < SPAN, 1.0).otherwise(MIN_SHARE) * F.size("item_words"))))
             .groupBy("doc", "k1", "k2", "item")
             .agg(F.max("score").alias("score"), F.min(F.col("left") + place).alias("first_word"))
             .withColumnsRenamed({"doc": doc_id, "item": item_id}))
