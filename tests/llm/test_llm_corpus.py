@@ -19,6 +19,7 @@ from tokenizers import Tokenizer
 
 from traitlab.llm import attention, jaccard, lm, packing, simple8b, token_table
 from traitlab.llm.components import connected_components
+from traitlab.llm.shingles import shingle_sets
 from traitlab.llm.subwords import Encoder
 
 SF = "/root/testdata/sf0.001"
@@ -226,6 +227,13 @@ def test_components_of_paths_stars_and_loops(spark):
     assert sorted(map(sorted, groups.values())) == [list(range(41)), list(range(100, 140)), [200, 201]]
 
 
+@pytest.mark.parametrize("n", range(7))
+def test_shingles_of_a_chunk_of_few_words(n):
+    text = " ".join(f"w{k}" for k in range(n))
+    (row, hashes, _), = shingle_sets(pa.array([text]))
+    assert row == 0 and len(hashes) == (0 if n == 0 else max(1, n - 4))
+
+
 # --- language model ------------------------------------------------------------------------
 
 def test_lm_base_score_equals_plain_counts(spark, awkward, empty, monkeypatch):

@@ -62,7 +62,8 @@ def shingle_sets(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, bytes]]:
         words, bounds = word_hashes(texts.slice(row, stop - row))
         rolled = words.copy()
         for k in range(1, WORDS):
-            rolled[:len(words) - k] = _mixed(rolled[:len(words) - k] + _MIX) ^ words[k:]
+            n = max(len(words) - k, 0)
+            rolled[:n] = _mixed(rolled[:n] + _MIX) ^ words[k:]
         rolled = _mixed(rolled + _MIX)
         for n in range(stop - row):
             a, b = int(bounds[n]), int(bounds[n + 1])
