@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
 
-from . import decontamination, jaccard, licenses, lm, oracle, packing, pii, quality, reputation, sharding, token_table
+from . import (decontamination, fim, fingerprints, jaccard, licenses, lm, merkle, oracle, packing, pii, quality,
+               reputation, sharding, token_table)
 from .common import scratch_file, table
 
 
@@ -84,6 +85,42 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "n_repeat_words", "base_failed", "kept", "host_strict")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    even = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    # rows whose text the tampering changes; the others fold their own leaf
+    changed = F.when(even & F.contains("text", F.lit("\n")),
+                     merkle.digest(*fields, F.translate("text", "\n", "")))
+    proved = merkle.manifest(docs.withColumn("_changed", changed), merkle.digest(*fields, F.col("text")),
+                             "source", "doc_id", ["doc_id", "_changed"])
+    folded = proved.withColumn("folded_root", merkle.fold(F.coalesce("_changed", "leaf"), F.col("path")))
+    return folded.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("path")), 256).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    docs = fingerprints.with_fingerprint(docs, "text", "fingerprint")
+    docs = fingerprints.with_next(docs, "doc_id", "text", ["text", "fingerprint"])
+    docs = docs.withColumn("edited", fingerprints.edited(F.col("text"), F.col("next_text")))
+    docs = fingerprints.with_fingerprint(docs, "edited", "edited_fingerprint")
+    near = lambda other: fingerprints.likeness(F.col("fingerprint"), F.col(other))
+    return docs.select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        "fingerprint", "edited_fingerprint", near("edited_fingerprint").alias("near_edited"),
+        near("next_fingerprint").alias("near_next"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fim.transform(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select(
+        "doc_id", F.col("n_units").alias("n"), "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fim.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -99,6 +136,9 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_quality_rules": op9_quality_rules,
     "op10_token_ids": op10_token_ids,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_fingerprints": op12_fingerprints,
+    "op13_fill_in_middle": op13_fill_in_middle,
     "pipeline": pipeline,
 }
 
