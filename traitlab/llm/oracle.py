@@ -115,7 +115,98 @@ select page_id, host, path, rule,
 from r
 """
 
+# crc32 of the id's decimal digits, bit by bit: 256 stands for one shift.
+OP11 = r"""
+with recursive d as (
+  select doc_id, source, lang, n_chars, text,
+         doc_id is not null and xor(list_reduce(list_concat([4294967295::ubigint],
+           list_reduce(list_transform(string_split(cast(doc_id as varchar), ''),
+                                      lambda c: list_concat([ascii(c)::ubigint], list_transform(range(8), lambda i: 256::ubigint))),
+                       lambda a, b: list_concat(a, b))),
+           lambda a, x: case when x = 256 then xor(a >> 1, (a & 1) * 3988292384::ubigint) else xor(a, x) end),
+           4294967295::ubigint) % 2 = 0 as even
+  from documents),
+f as (
+  select *, coalesce(strlen(cast(doc_id as varchar)) || ':' || doc_id, '-')
+         || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+         || coalesce(strlen(cast(n_chars as varchar)) || ':' || n_chars, '-') as head,
+         replace(text, chr(10), '') as cut
+  from d),
+h as (
+  select doc_id, dense_rank() over (order by source nulls first) - 1 as g,
+         sha256(head || coalesce(strlen(text) || ':' || text, '-')) as leaf,
+         case when even then sha256(head || coalesce(strlen(cut) || ':' || cut, '-')) end as changed
+  from f),
+l as (
+  select *, row_number() over () as rid,
+         row_number() over (partition by g order by doc_id nulls first, leaf) - 1 as pos from h),
+n as (
+  select g, 0 as lvl, pos, leaf as d from l
+  union all
+  select g, lvl + 1, pos // 3, sha256(string_agg(d, '' order by pos))
+  from (select *, count(*) over (partition by g) as k from n) where k > 1 group by g, lvl, pos // 3),
+depth as (select g, max(lvl) as deep from n group by g),
+s as (select n.g as pos, n.d, n.g from n join depth on n.g = depth.g and n.lvl = deep),
+t as (
+  select 0 as lvl, pos, d from s
+  union all
+  select lvl + 1, pos // 3, sha256(string_agg(d, '' order by pos))
+  from (select *, count(*) over () as k from t) where k > 1 group by lvl, pos // 3),
+top as (select max(lvl) as deep from t),
+root as (select d from t, top where lvl = deep),
+nodes as (select g as scope, lvl, pos, d from n union all select -1, lvl, pos, d from t),
+steps as (
+  select rid, i as step, l.g as scope, i as lvl, pos // cast(3 ** i as bigint) as p
+  from l join depth using (g), unnest(range(deep)) as u(i)
+  union all
+  select rid, depth.deep + i, -1, i, l.g // cast(3 ** i as bigint)
+  from l join depth using (g), top, unnest(range(top.deep)) as u(i)),
+path as (
+  select rid, step, coalesce(string_agg(d, '' order by pos) filter (pos < p), '') as a,
+         coalesce(string_agg(d, '' order by pos) filter (pos > p), '') as b
+  from steps left join nodes on nodes.scope = steps.scope and nodes.lvl = steps.lvl and pos // 3 = p // 3
+  group by rid, step),
+proof as (select rid, string_agg(a || b, '' order by step) as x, count(*) as n from path group by rid),
+fold as (
+  select rid, 0 as step, coalesce(changed, leaf) as d from l
+  union all
+  select fold.rid, fold.step + 1, sha256(a || d || b) from fold join path on fold.rid = path.rid and fold.step = path.step)
+select l.doc_id, l.leaf, s.d as subroot, root.d as root, sha256(coalesce(x, '')) as proof_sha256,
+       fold.d as folded_root, fold.d = root.d as verified
+from l join s using (g) cross join root left join proof using (rid)
+join fold on fold.rid = l.rid and fold.step = coalesce(proof.n, 0)
+"""
+
+OP13 = r"""
+with d as (
+  select doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as u,
+         sha256('1:' || coalesce(cast(doc_id as varchar), '')) as k
+  from documents),
+h as (
+  select doc_id, t, u, len(u) as n, cast('0x' || k[1:8] as bigint) as h1, cast('0x' || k[9:16] as bigint) as h2,
+         cast('0x' || k[17:24] as bigint) as h3, cast('0x' || k[25:32] as bigint) as h4
+  from d),
+c as (
+  select *, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+         case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 90
+              then 'plain' when h4 % 100 < 20 then 'spm' else 'psm' end as form
+  from h),
+p as (
+  select *, array_to_string(u[1:a], '') as x, array_to_string(u[a + 1:b], '') as y,
+         array_to_string(u[b + 1:n], '') as z
+  from c)
+select doc_id, cast(n as bigint) as n, form,
+       case when form <> 'plain' then length(x) end as prefix_chars,
+       case when form <> 'plain' then length(y) end as middle_chars,
+       sha256(case form when 'plain' then t when 'spm' then '<S>' || z || '<P>' || x || '<M>' || y
+                        else '<P>' || x || '<S>' || z || '<M>' || y end) as output_sha256,
+       sha256(t) as restored_sha256
+from p
+"""
+
 STATEMENTS: dict[str, str] = {
     "op3_url_filters": OP3,
     "op9_quality_rules": OP9,
+    "op11_merkle_manifest": OP11,
+    "op13_fill_in_middle": OP13,
 }
