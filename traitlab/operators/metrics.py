@@ -26,6 +26,14 @@ def score_counts(scored: DataFrame, score: str = "score", label: str = "label")
         F.count_if(_positive(label)).alias("tp"), F.count_if(~_positive(label)).alias("fp"))
 
 
+def f1_of(cum_tp: str, cum_fp: str, positives) -> F.Column:
+    """F1 of the rows at or above a threshold, among ``positives`` in all."""
+    precision = F.col(cum_tp) / (F.col(cum_tp) + F.col(cum_fp))
+    recall = F.coalesce(F.try_divide(F.col(cum_tp), positives), F.lit(0.0))
+    return F.when(precision + recall == 0, F.lit(0.0)).otherwise(
+        F.lit(2.0) * precision * recall / (precision + recall))
+
+
 class ThresholdCurve:
     """Cumulative counts along descending score, computed once and shared by
     the ROC points, the AUC and the F1 curve of one scored set."""

@@ -361,6 +361,7 @@ def _misc(o: dict[str, str]) -> None:
         select label, n, cast(sum(n) over () as bigint) as total, n / sum(n) over () as ratio
         from (select label, count(*) as n from un group by label) c""")
     _known(o)
+    _models(o)
     o["sink_overwrite_partition"] = _q(FEATURE_VIEWS, feature_ctes(), f"""
         select device_id, feature, {D} as stat_date from feats
         union all select device_id, feature, {D + 1} as stat_date from feats""")
@@ -379,6 +380,130 @@ def _misc(o: dict[str, str]) -> None:
         from dds d""")
 
 
+def model_ctes(classes: dict[str, int], refine: tuple[str, ...], known: str) -> list[tuple[str, str]]:
+    """Training and scoring as joins and sums over ``parsed`` (device_id, idx, value).
+
+    ``known`` has (a, device_id, label). Coefficients are whole numbers of 1e-9,
+    residuals of 1e-6, one recursion step per iteration for all attributes:
+    margins are a join of entries and coefficients, gradients one of entries and
+    residuals. ``guess`` has (a, device_id, score, pred) of every device.
+    """
+    cols = ", ".join(f"('{a}', {k}, {n}, {4000.0 if n == 2 else 2000.0}e0)" for a, n in classes.items()
+                     for k in (range(1, 2) if n == 2 else range(n)))
+    bucket = BUCKET.format(k="device_id")
+    low = C.DEFAULT_THRESHOLD - C.THRESHOLD_TOLERANCE
+    high = C.DEFAULT_THRESHOLD + C.THRESHOLD_TOLERANCE
+    names = ", ".join(f"'{a}'" for a in refine) or "''"
+    sigmoid = "1.0e0 / (1.0e0 + exp(-greatest(least({z} / 1e9, 40.0e0), -40.0e0)))"
+    return [
+        ("kl", known),
+        ("cols", f"select * from (values {cols}) c(a, k, classes, f)"),
+        ("ent", "select device_id, idx, value from parsed"),
+        ("tk", f"select a, device_id, label from kl where {bucket} < {C.TRAIN_PERCENT}"),
+        ("txy", "select t.a, p.device_id, p.idx, p.value, t.label from ent p join tk t on p.device_id = t.device_id"),
+        ("tn", """select device_id, sum(floor(abs(value) * 1e6 + 0.5)) as s from ent group by device_id"""),
+        ("td", """select a, idx, sum(floor(abs(value) * s / 1e6 + 0.5)) as d
+            from txy join tn on txy.device_id = tn.device_id group by a, idx"""),
+        ("tr", f"""select 0 as t, td.a, k, classes, idx, 0.0e0 as w, 0.0e0 as v, d, f, true as live
+            from td join cols on td.a = cols.a
+            union all (
+            with y as (select *, w + floor(cast(t as double) / cast(t + 3 as double) * (w - v) + 0.5) as y
+                       from tr where live and t < {C.LR_MAX_ITER}),
+            z as (select y.a, y.k, y.classes, x.device_id, x.label, sum(floor(y.y * x.value + 0.5)) as z
+                  from txy x join y on x.a = y.a and x.idx = y.idx
+                  group by y.a, y.k, y.classes, x.device_id, x.label),
+            e as (select *, case when classes = 2 then {sigmoid.format(z="z")}
+                    else exp(greatest(z / 1e9 - max(z / 1e9) over (partition by a, device_id), -40.0e0)) end as e from z),
+            r as (select a, k, device_id, floor((case when classes = 2 then e
+                    else e / sum(e) over (partition by a, device_id) end) * 1e6 + 0.5)
+                    - case when label = k then 1e6 else 0 end as r from e),
+            g as (select x.a, r.k, x.idx, sum(floor(r.r * x.value + 0.5)) as g
+                  from txy x join r on x.a = r.a and x.device_id = r.device_id group by x.a, r.k, x.idx),
+            n as (select y.t + 1 as t, y.a, y.k, classes, y.idx, floor(y.y - g * f / greatest(d, 1) + 0.5) as w, y.w as v, d, f
+                  from y join g on y.a = g.a and y.k = g.k and y.idx = g.idx)
+            select t, a, k, classes, idx, w, v, d, f, max(abs(w - v)) over (partition by a) > {C.LR_TOL * 1e9} as live
+            from n)"""),
+        ("wt", "select a, k, idx, w from (select *, max(t) over (partition by a) as last from tr) x where t = last"),
+        ("sz", """select p.device_id, w.a, w.k, sum(floor(w.w * p.value + 0.5)) as z
+            from ent p join wt w on p.idx = w.idx group by p.device_id, w.a, w.k"""),
+        ("sa", """select d.device_id, c.a, c.k, c.classes, coalesce(z, 0.0e0) as z
+            from (select distinct device_id from ent) d cross join cols c
+            left join sz on sz.device_id = d.device_id and sz.a = c.a and sz.k = c.k"""),
+        ("ss", f"""select a, device_id, floor({sigmoid.format(z="z")} * 1e6 + 0.5) / 1e6 as score from sa where classes = 2"""),
+        ("vs", f"""select ss.a, score, label from ss join kl on ss.a = kl.a and ss.device_id = kl.device_id
+            where ss.a in ({names}) and cast('0x' || substr(md5(ss.device_id), 1, 8) as bigint) % 100 >= {C.TRAIN_PERCENT}"""),
+        ("vc", """select a, score, tp, fp, sum(tp) over w as ctp, sum(fp) over w as cfp, sum(tp) over (partition by a) as p
+            from (select a, score, count(*) filter (where label > 0.5e0) as tp,
+                         count(*) filter (where not (label > 0.5e0)) as fp from vs group by a, score) c
+            window w as (partition by a order by score desc rows between unbounded preceding and current row)"""),
+        ("vf", """select a, score, case when pr + rc = 0 then 0.0e0 else 2.0e0 * pr * rc / (pr + rc) end as f1
+            from (select a, score, cast(ctp as double) / cast(ctp + cfp as double) as pr,
+                         case when p = 0 then 0.0e0 else cast(ctp as double) / cast(p as double) end as rc from vc) x"""),
+        ("thr", f"""select a, case when score >= {low!r}e0 and score <= {high!r}e0 then score
+                else {C.DEFAULT_THRESHOLD!r}e0 end as thr
+            from (select a, score, row_number() over (partition by a order by f1 desc, score desc) as rn from vf) b
+            where rn = 1"""),
+        ("guess", f"""select ss.a, device_id, score,
+                case when score > coalesce(thr, {C.DEFAULT_THRESHOLD!r}e0) then 1.0e0 else 0.0e0 end as pred
+            from ss left join thr on ss.a = thr.a
+            union all
+            select a, device_id, null, cast(k as double) from (
+              select *, row_number() over (partition by a, device_id order by z desc, k) as rn from sa where classes > 2) m
+            where rn = 1"""),
+    ]
+
+
+def _model_q(views: tuple[str, ...], ctes: list[tuple[str, str]], classes: dict[str, int], refine: tuple[str, ...],
+             known: str, body: str) -> str:
+    parts = [(n, q) for n, q in ctes + model_ctes(classes, refine, known)]
+    text = _q(views, parts, body).replace("WITH ", "WITH RECURSIVE ", 1)
+    # read by every step of the recursion
+    for name in ("ent", "txy", "td", "cols", "kl"):
+        text = text.replace(f"\n{name} AS (", f"\n{name} AS MATERIALIZED (")
+    return text
+
+
+_JOB_OUTPUT = f"""
+    select g.device_id, g.a as attribute, coalesce(l.label, g.pred) as label, l.label is null as is_predicted,
+           {D} as stat_date
+    from guess g left join kl l on g.a = l.a and g.device_id = l.device_id"""
+_VALIDATION = f"""
+    select g.device_id, l.label, g.pred as prediction
+    from guess g join kl l on g.a = l.a and g.device_id = l.device_id
+    where {BUCKET.format(k="g.device_id")} >= {C.TRAIN_PERCENT}"""
+
+
+def _label_body(o: dict[str, str], attribute: str) -> str:
+    text = o[f"label_{attribute}"]
+    return text[text.index("select device_id, min(label)"):]
+
+
+def _models(o: dict[str, str]) -> None:
+    """Trained models and their predictions (ML-1..5, PIPE-2..12)."""
+    from .pipelines import ATTRIBUTES
+    views = FEATURE_VIEWS + ("questionnaire", "child_stage", "users_info", "device_rel", "age_device_rel")
+    feats = feature_ctes() + parse_ctes("feats")
+    known = {a: f"select '{a}' as a, device_id, label from ({_label_body(o, a)}) l" for a in ATTRIBUTES}
+    for a, spec in ATTRIBUTES.items():
+        o[f"infer_{a}"] = _model_q(views, feats, {a: spec.classes}, (a,) if spec.refine else (), known[a], _JOB_OUTPUT)
+    o["infer_all"] = _model_q(views, feats, {a: s.classes for a, s in ATTRIBUTES.items()},
+                              tuple(a for a, s in ATTRIBUTES.items() if s.refine), " union all ".join(known.values()),
+                              _JOB_OUTPUT)
+    o["train_multiclass"] = _model_q(views, feats, {"age": 5}, (), known["age"], _VALIDATION)
+    o["model_weights"] = _model_q(
+        views, feats, {a: s.classes for a, s in ATTRIBUTES.items()}, (), " union all ".join(known.values()),
+        """select a as attribute, cast(k as integer) as class, cast(idx as integer) as idx, cast(w as bigint) as weight
+           from wt where w <> 0""")
+    docs = catalog_ctes("doc_catalog") + items_ctes("doc_items", "") + parse_ctes("feats")
+    quality = "select 'quality' as a, device_id, label from doc_labels"
+    doc_views = ("doc_catalog", "doc_items", "doc_labels")
+    o["infer_quality"] = _model_q(doc_views, docs, {"quality": 2}, ("quality",), quality, _JOB_OUTPUT)
+    o["predict_unlabelled"] = _model_q(doc_views, docs, {"quality": 2}, ("quality",), quality, """
+        select device_id, pred as label from guess
+        where device_id not in (select device_id from kl)""")
+    o["train_binary"] = _model_q(doc_views, docs, {"quality": 2}, ("quality",), quality, _VALIDATION)
+
+
 def _known(o: dict[str, str]) -> None:
     """What the jobs return whatever the model: devices, known labels, and
     which labels are predicted."""

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 from .. import constants as C
 from ..operators import catalog as cat
 from ..operators import dataset as dsm
+from ..operators import exact
 from ..operators import features as feat
 from ..operators import labels as lbl
 from ..operators import model as mdl
@@ -214,19 +215,36 @@ def materialize_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+# Options that only the L-BFGS estimator has.
+_LBFGS_ONLY = ("reg_param", "fit_intercept")
+
+
+def solver_for(solver: str | None, params: dict) -> str:
+    """``exact`` (order-independent, all attributes per pass) unless asked for
+    ``lbfgs`` or for an option that only L-BFGS has."""
+    asked = [k for k in _LBFGS_ONLY if params.get(k)]
+    if solver not in (None, "exact", "lbfgs"):
+        raise ValueError(f"unknown solver {solver}")
+    if solver == "exact" and asked:
+        raise ValueError(f"the exact solver has no {', '.join(asked)}")
+    return solver or ("lbfgs" if asked else "exact")
+
+
 def infer_labels(parsed: DataFrame, labels: DataFrame, attribute: str, classes: int,
                  refine: bool, job_date: int, model_dir: str | None = None,
-                 dim: int = C.FEATURE_DIM, **params) -> Inference:
+                 dim: int = C.FEATURE_DIM, solver: str | None = None, **params) -> Inference:
     """Train on devices with a known label, predict the rest, union both.
 
-    ``parsed`` holds index arrays. Labels are joined to them first; only the
-    rows that a pass uses are vectorized: one pass keeps the (small) labelled
-    set, which is checkpointed for training and for the known half of the
-    output, one scores the unlabelled devices.
+    ``parsed`` holds index arrays. Labels are joined to them first; the (small)
+    labelled set is written once for training and validation, and one row-local
+    pass scores the unlabelled devices.
     """
     # The labels feed a size proof and then the join: materialize them once so
     # their upstream (e.g. the account-device join) runs once.
     ds = dsm.attach_labels(parsed, materialize(labels))
+    if solver_for(solver, params) == "exact":
+        return exact_inference(ds, [exact.Target(attribute, classes, "label", refine)], job_date, model_dir,
+                               dim, **params)
     # checkpointed, not cached: the returned plan reads it long after this call
     labelled = materialize(feat.vectorize(ds.where(dsm.is_labelled()), dim)
                            .select("device_id", "label", "features"))
@@ -238,6 +256,68 @@ def infer_labels(parsed: DataFrame, labels: DataFrame, attribute: str, classes:
     return Inference(_long_output(out, attribute, job_date), {attribute: result})
 
 
+def _any_known(cols: list[str]):
+    known = F.lit(False)
+    for c in cols:
+        known = known | dsm.is_labelled(c)
+    return known
+
+
+def exact_models(labelled: DataFrame, targets: list[exact.Target], job_date: int, dim: int = C.FEATURE_DIM,
+                 train_percent: int = C.TRAIN_PERCENT, holdout_percent: int = 0, split_seed: int | None = None,
+                 reg_param: float = 0.0, fit_intercept: bool = False, **params):
+    """(weights, validation rows scored by them, reports) of several targets,
+    from (device_id, indices, values, label columns) rows (ML-1, ML-3..5).
+
+    The split hashes the device id, or the seed and the id; options are those
+    of :func:`model.build_model`.
+    """
+    if reg_param or fit_intercept:
+        raise ValueError("the exact solver has no penalty and no intercept")
+    key = F.col("device_id") if split_seed is None else F.concat_ws(":", F.lit(str(split_seed)), F.col("device_id"))
+    rows = labelled.withColumn("bucket", dsm.hash_bucket(key))
+    train, rest = rows.where(F.col("bucket") < train_percent), rows.where(F.col("bucket") >= train_percent)
+    sizes = train.agg(*[F.count_if(dsm.is_labelled(t.label)).alias(t.name) for t in targets]).first()
+    for t in targets:
+        if not sizes[t.name]:
+            raise ValueError(f"no labelled training rows for {t.name} on {job_date}")
+    weights = exact.fit(train, targets, dim, **params)
+    scored = exact.score(rest, weights)
+    scores = exact.long_scores(scored, targets, "bucket").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if holdout_percent:
+            tuning = F.col("bucket") < train_percent + holdout_percent
+            reports = exact.validate(scores.where(~tuning), weights, scores.where(tuning))
+        else:
+            reports = exact.validate(scores, weights)
+    finally:
+        scores.unpersist()
+    return weights, scored, reports
+
+
+def exact_inference(ds: DataFrame, targets: list[exact.Target], job_date: int, model_dir: str | None = None,
+                    dim: int = C.FEATURE_DIM, **params) -> Inference:
+    """Train all targets together on the labelled rows of ``ds`` (device_id,
+    indices, values, label columns), then score every row once."""
+    cols = [t.label for t in targets]
+    labelled = materialize_table(ds.where(_any_known(cols)).select("device_id", "indices", "values", *cols), "labelled")
+    weights, _, reports = exact_models(labelled, targets, job_date, dim, **params)
+    results = {}
+    for t in targets:
+        report = reports[t.name]
+        results[t.name] = res = mdl.TrainResult(weights, t.classes, report, weights.thresholds.get(t.name),
+                                                report.pop("tuned_threshold", None))
+        if model_dir:
+            res.model_path = sinks.model_path(model_dir, t.name, job_date)
+            weights.save(ds.sparkSession, res.model_path, t.name)
+    scored = exact.score(ds.select("device_id", "indices", "values", *cols), weights)
+    pairs = [F.struct(F.lit(t.name).alias("attribute"),
+                      F.when(dsm.is_labelled(t.label), F.col(t.label)).otherwise(F.col(f"prediction_{t.name}")).alias("label"),
+                      (~dsm.is_labelled(t.label)).alias("is_predicted")) for t in targets]
+    out = scored.select("device_id", F.inline(F.array(*pairs))).withColumn("stat_date", F.lit(int(job_date)))
+    return Inference(out, results)
+
+
 def infer(ctx: JobContext, attribute: str, features: DataFrame | None = None,
           out_dir: str | None = None, model_dir: str | None = None, append: bool = False,
           **params) -> Inference:
@@ -256,36 +336,47 @@ def infer_all(ctx: JobContext, attributes: list[str] | None = None,
               features: DataFrame | None = None, out_dir: str | None = None,
               model_dir: str | None = None,
               label_source: Callable[..., DataFrame] = all_known_labels,
-              parallelism: int | None = None, append: bool = False, **params) -> Inference:
+              parallelism: int | None = None, append: bool = False, solver: str | None = None,
+              **params) -> Inference:
     """All attribute jobs over shared work.
 
     Labels of every attribute become one row per device (one shuffle,
-    :func:`label_matrix`) and are joined to the vectors once. Only labelled devices are
-    checkpointed for training; the models are fitted concurrently; the
-    scoring pass reads the vectors once and applies every model in the same
-    projection. Attributes without any labelled device are skipped and named
-    in the result.
+    :func:`label_matrix`) and are joined to the index arrays once. The exact
+    solver trains all attributes in the same passes over the labelled rows, one
+    job per iteration; L-BFGS fits one model per attribute from concurrent
+    threads. One scoring pass applies every model. Attributes without any
+    labelled device are skipped and named in the result.
     """
     attributes = attributes or list(ATTRIBUTES)
     parsed = parsed_table(features if features is not None else ctx.features)
     cols = [f"label_{a}" for a in attributes]
     wide = materialize(label_matrix(ctx, attributes, label_source))
     ds = dsm.attach_labels(parsed, wide, cols)
-    any_known = F.lit(False)
-    for c in cols:
-        any_known = any_known | dsm.is_labelled(c)
-    labelled = materialize(feat.vectorize(ds.where(any_known)).select("device_id", "features", *cols))
-    present = labelled.agg(*[F.count_if(dsm.is_labelled(c)).alias(c) for c in cols]).first()
-    skipped = [a for a, c in zip(attributes, cols) if not present[c]]
+    present = ds.agg(*[F.count_if(dsm.is_labelled(c)).alias(c) for c in cols]).first()
+    skipped = tuple(a for a, c in zip(attributes, cols) if not present[c])
     attributes = [a for a in attributes if a not in skipped]
+    if solver_for(solver, params) == "exact":
+        targets = [exact.Target(a, ATTRIBUTES[a].classes, f"label_{a}", ATTRIBUTES[a].refine) for a in attributes]
+        res = exact_inference(ds, targets, ctx.job_date, model_dir, **params)
+    else:
+        res = _lbfgs_inference(ds, attributes, ctx.job_date, model_dir, parallelism, **params)
+    res.skipped = skipped
+    if out_dir:
+        _write(res.output, out_dir, append)
+    return res
+
+
+def _lbfgs_inference(ds: DataFrame, attributes: list[str], job_date: int, model_dir: str | None,
+                     parallelism: int | None, **params) -> Inference:
     cols = [f"label_{a}" for a in attributes]
+    labelled = materialize(feat.vectorize(ds.where(_any_known(cols))).select("device_id", "features", *cols))
 
     def fit(a: str, c: str) -> mdl.TrainResult:
         spec = ATTRIBUTES[a]
         train_set = labelled.where(dsm.is_labelled(c)).select(
             "device_id", "features", F.col(c).alias("label"))
         return mdl.build_model(train_set, spec.classes, spec.refine, model_dir=model_dir,
-                               name=a, job_date=ctx.job_date, **params)
+                               name=a, job_date=job_date, **params)
 
     # The models are independent: fitting them from several driver threads
     # runs their small per-iteration jobs side by side on the executors.
@@ -308,10 +399,8 @@ def infer_all(ctx: JobContext, attributes: list[str] | None = None,
             (~known).alias("is_predicted")))
     out = (scored.select("device_id", F.explode(F.array(*pairs)).alias("r"))
            .select("device_id", "r.attribute", "r.label", "r.is_predicted",
-                   F.lit(int(ctx.job_date)).alias("stat_date")))
-    if out_dir:
-        _write(out, out_dir, append)
-    return Inference(out, results, tuple(skipped))
+                   F.lit(int(job_date)).alias("stat_date")))
+    return Inference(out, results)
 
 
 # --- documents: the learning check ------------------------------------------------------

@@ -14,6 +14,7 @@ from .. import constants as C
 from ..functions.dates import normalise_date_col
 from ..operators import catalog as cat
 from ..operators import dataset as dsm
+from ..operators import exact
 from ..operators import features as feat
 from ..operators import labels as lbl
 from ..operators import metrics as met
@@ -364,29 +365,69 @@ def _doc_features(ctx: JobContext) -> DataFrame:
     return pipe.document_features(ctx)
 
 
+def _labelled(ctx: JobContext, parsed: DataFrame, labels: DataFrame) -> DataFrame:
+    return dsm.split_labelled(dsm.attach_labels(parsed, labels))[0]
+
+
+def _doc_labelled(ctx: JobContext) -> DataFrame:
+    return _labelled(ctx, pipe.parsed_table(pipe.document_features(ctx)), ctx.view("doc_labels"))
+
+
+def _age_labelled(ctx: JobContext) -> DataFrame:
+    return _labelled(ctx, pipe.parsed_table(ctx.features), pipe.known_labels(ctx, "age"))
+
+
+def _validated(labelled: DataFrame, target: exact.Target, job_date: int) -> DataFrame:
+    weights, _, _ = pipe.exact_models(labelled, [target], job_date)
+    _, valid = dsm.split_train_valid(labelled)
+    return exact.score(valid.select("device_id", "indices", "values", "label"), weights).select(
+        "device_id", "label", F.col(f"prediction_{target.name}").alias("prediction"))
+
+
 @query("train_binary")
 def _train_binary(ctx: JobContext) -> DataFrame:
     """ML-1/ML-5 binary (documents, quality): validation predictions."""
-    parsed = pipe.parsed_table(pipe.document_features(ctx))
-    labelled, _ = dsm.split_labelled(dsm.attach_labels(parsed, ctx.view("doc_labels")))
-    labelled = feat.vectorize(labelled)
-    res = mdl.build_model(labelled, 2, refine=True)
-    _, valid = dsm.split_train_valid(labelled)
-    return mdl.score(res.model, valid).select("device_id", "label", "prediction")
+    return _validated(_doc_labelled(ctx), exact.Target("quality", 2, "label", refine=True), ctx.job_date)
 
 
 @query("train_multiclass")
 def _train_multiclass(ctx: JobContext) -> DataFrame:
     """ML-1/ML-5 multi-class (age bands, 5 classes): validation predictions."""
-    parsed = pipe.parsed_table(ctx.features)
-    labels = pipe.known_labels(ctx, "age")
-    labelled, _ = dsm.split_labelled(dsm.attach_labels(parsed, labels))
+    return _validated(_age_labelled(ctx), exact.Target("age", 5, "label"), ctx.job_date)
+
+
+def _validated_lbfgs(labelled: DataFrame, classes: int, refine: bool) -> DataFrame:
     labelled = feat.vectorize(labelled)
-    res = mdl.build_model(labelled, 5)
+    res = mdl.build_model(labelled, classes, refine=refine)
     _, valid = dsm.split_train_valid(labelled)
     return mdl.score(res.model, valid).select("device_id", "label", "prediction")
 
 
+@query("train_binary_lbfgs")
+def _train_binary_lbfgs(ctx: JobContext) -> DataFrame:
+    """ML-1/ML-5 binary by L-BFGS: validation predictions."""
+    return _validated_lbfgs(_doc_labelled(ctx), 2, True)
+
+
+@query("train_multiclass_lbfgs")
+def _train_multiclass_lbfgs(ctx: JobContext) -> DataFrame:
+    """ML-1/ML-5 multi-class by L-BFGS: validation predictions."""
+    return _validated_lbfgs(_age_labelled(ctx), 5, False)
+
+
+@query("model_weights")
+def _model_weights(ctx: JobContext) -> DataFrame:
+    """ML-1 of all eleven attributes: every non-zero coefficient, in 1e-9."""
+    res = pipe.infer_all(ctx)
+    weights = next(iter(res.results.values())).model
+    out = None
+    for name in res.results:
+        one = weights.table(ctx.spark, name).where("class >= 0").select(
+            F.lit(name).alias("attribute"), "class", "idx", "weight")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @query("predict_unlabelled")
 def _predict_unlabelled(ctx: JobContext) -> DataFrame:
     """ML-2: predicted quality of the documents without a label."""
@@ -483,15 +524,23 @@ def _union_distribution(ctx: JobContext) -> DataFrame:
     return lbl.distribution(REGISTRY["union_known_predicted"](ctx.spark, ctx.sf_dir))
 
 
-def _known_part(output: DataFrame) -> DataFrame:
-    return output.select("device_id", "attribute",
-                         F.when(~F.col("is_predicted"), F.col("label")).alias("label"), "is_predicted")
+def _known_part(ctx: JobContext, parsed: DataFrame, labels: dict[str, DataFrame]) -> DataFrame:
+    """The part of a job's output that no model decides: its devices, their
+    known labels, and which labels are left to predict."""
+    out = None
+    for name, known in labels.items():
+        ds = dsm.attach_labels(parsed.select("device_id"), known)
+        one = ds.select("device_id", F.lit(name).alias("attribute"),
+                        F.when(dsm.is_labelled(), F.col("label")).alias("label"),
+                        (~dsm.is_labelled()).alias("is_predicted"))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def _register_known(attribute: str) -> None:
     def fn(ctx: JobContext) -> DataFrame:
-        return _known_part(pipe.infer(ctx, attribute, max_iter=1).output)
-    fn.__doc__ = f"The {attribute} job's devices, known labels and which ones are predicted."
+        return _known_part(ctx, ctx.parsed, {attribute: pipe.known_labels(ctx, attribute)})
+    fn.__doc__ = f"SET-1: the {attribute} job's devices, known labels and which ones are predicted."
     query(f"infer_{attribute}_known")(fn)
 
 
@@ -501,11 +550,16 @@ for _attr in pipe.ATTRIBUTES:
 
 @query("infer_all_known")
 def _infer_all_known(ctx: JobContext) -> DataFrame:
-    """The all-attribute job's devices, known labels and which ones are predicted."""
-    return _known_part(pipe.infer_all(ctx, max_iter=1).output)
+    """SET-1 of the all-attribute job: known labels from the label matrix."""
+    wide = pipe.materialize(pipe.label_matrix(ctx, list(pipe.ATTRIBUTES)))
+    cols = [f"label_{a}" for a in pipe.ATTRIBUTES]
+    ds = dsm.attach_labels(ctx.parsed.select("device_id"), wide, cols)
+    return ds.select("device_id", F.inline(F.array(*[F.struct(
+        F.lit(a).alias("attribute"), F.when(dsm.is_labelled(c), F.col(c)).alias("label"),
+        (~dsm.is_labelled(c)).alias("is_predicted")) for a, c in zip(pipe.ATTRIBUTES, cols)])))
 
 
 @query("infer_quality_known")
 def _infer_quality_known(ctx: JobContext) -> DataFrame:
-    """The documents job's known labels and which ones are predicted."""
-    return _known_part(pipe.infer_documents(ctx, max_iter=1).output)
+    """SET-1 of the documents job: known labels and which ones are predicted."""
+    return _known_part(ctx, feat.parse(pipe.document_features(ctx)), {"quality": ctx.view("doc_labels")})

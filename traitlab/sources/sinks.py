@@ -42,9 +42,13 @@ def append_partitions(df: DataFrame, path: str,
      .mode("append").partitionBy(*partition_cols).save(path))
 
 
+def model_path(model_dir: str, name: str, job_date: int) -> str:
+    return f"{model_dir.rstrip('/')}/{name}/{job_date}"
+
+
 def save_model(model, model_dir: str, name: str, job_date: int) -> str:
     """Save under ``<dir>/<name>/<date>``, replacing an older copy (SNK-5)."""
-    path = f"{model_dir.rstrip('/')}/{name}/{job_date}"
+    path = model_path(model_dir, name, job_date)
     model.write().overwrite().save(path)
     return path
 
