@@ -1,8 +1,14 @@
+import time
+
+import numpy as np
+import pyarrow as pa
+import pytest
 from pyspark.ml.linalg import SparseVector
 from pyspark.sql import functions as F
 
 from traitlab.operators import catalog as cat
 from traitlab.operators import features as feat
+from traitlab.operators import lookup
 
 
 def _ranked(spark):
@@ -48,10 +54,10 @@ def test_length_stats_empty_is_null(spark):
     assert (s["min_items"], s["max_items"]) == (None, None)
 
 
-def test_salted_shuffle_join_equals_broadcast_join(spark):
+def test_shuffle_join_equals_broadcast_join(spark):
     a = sorted((r["device_id"], r["feature"]) for r in feat.encode(_items(spark)).collect())
     b = sorted((r["device_id"], r["feature"]) for r in
-               feat.encode(_items(spark, max_broadcast_rows=0, salt_buckets=3)).collect())
+               feat.encode(_items(spark, max_broadcast_rows=0)).collect())
     assert a == b
 
 
@@ -89,7 +95,7 @@ def test_vectorize_binary_and_general(spark):
     assert got["c"] == SparseVector(6, [0, 2, 5], [-2.0, 1.0, 0.75])
 
 
-def test_hot_item_salted_join_keeps_every_row(spark):
+def test_hot_item_join_keeps_every_row(spark):
     # one item sits in a third of all install lists
     rows = [(f"d{i}", "111:1" if i % 3 == 0 else f"11{2 + i % 3}:1 111:1") for i in range(300)]
     installs = spark.createDataFrame(rows, "device_id string, value string").withColumn(
@@ -97,12 +103,88 @@ def test_hot_item_salted_join_keeps_every_row(spark):
     lookup = feat.lookup_for(_ranked(spark), "11", None)
     tokens = feat.install_tokens(feat.install_rows(installs, 20180709))
     a = feat.match_catalog(tokens, lookup)
-    b = feat.match_catalog(tokens, lookup, max_broadcast_rows=0, salt_buckets=8)
+    b = feat.match_catalog(tokens, lookup, max_broadcast_rows=0)
     key = lambda df: sorted((r["device_id"], r["key"], r["idx"]) for r in df.collect())
     assert key(a) == key(b)
     assert len(key(b)) == 100 + 200 * 2
 
 
+def test_hot_keys_are_found_and_bounded(spark, monkeypatch):
+    """A key in a third of all tokens is sent to the tasks; the catalog is not replicated."""
+    rows = [(f"d{i}", "111" if i % 3 == 0 else f"x{i}") for i in range(9000)] + [("n", None)]
+    tokens = spark.createDataFrame(rows, "device_id string, key string").repartition(7)
+    monkeypatch.setattr(feat.C, "HOT_KEYS", 50)
+    monkeypatch.setattr(feat.C, "HOT_KEYS_TRACKED", 200)
+    hot = feat.hot_keys(tokens)
+    assert "111" in hot and len(hot) <= 50
+    assert feat.hot_keys(tokens.limit(0)) == []
+    lookup = spark.range(12000).select(F.concat(F.lit("x"), "id").alias("key"), F.col("id").alias("idx"),
+                                       F.lit("t").alias("token")).unionByName(
+        spark.createDataFrame([("111", -1, "t")], "key string, idx long, token string"))
+    for how, n in (("inner", 9000), ("left", 9001)):
+        out = feat.match_catalog(tokens, lookup, how, max_broadcast_rows=0)
+        assert out.count() == n and out.where("idx = -1").count() == 3000
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Generate" not in plan and "explode" not in plan      # no replicated rows
+    few = feat.match_catalog(tokens.where("key <> '111'").limit(40), lookup, max_broadcast_rows=0)
+    assert few.count() == 40
+
+
+def test_key_index_finds_exactly_its_keys():
+    rng = np.random.default_rng(5)
+    keys = ["", "a", "b", "ab", "ba", "é", "漢字", "k" * 5000] + [f"11{i}" for i in range(3000)]
+    index = lookup.KeyIndex(pa.chunked_array([keys[:10], keys[10:]]))
+    asked = [keys[i] if i < len(keys) else f"no{i}" for i in rng.integers(0, 2 * len(keys), 5000)] + [None, "", "aa"]
+    place = {k: i for i, k in enumerate(keys)}
+    expected = [-1 if x is None else place.get(x, -1) for x in asked]
+    assert index.find(pa.array(asked)).tolist() == expected
+    assert index.find(pa.array(asked)[7:90]).tolist() == expected[7:90]
+    assert lookup.KeyIndex(pa.array([], pa.string())).find(pa.array(["x"])).tolist() == [-1]
+    assert index.find(pa.array([], pa.string())).tolist() == []
+
+
+def test_key_index_separates_keys_of_one_hash(monkeypatch):
+    """Keys that share a hash under one multiplier get the next one."""
+    plain = lookup._hashed
+    monkeypatch.setattr(lookup, "_hashed", lambda s, m: plain(s, m) * np.uint64(m != lookup._MULTIPLIERS[0]))
+    index = lookup.KeyIndex(pa.array(["a", "b"]))
+    assert index.multiplier == lookup._MULTIPLIERS[1] and index.find(pa.array(["b", "c", "a"])).tolist() == [1, -1, 0]
+    with pytest.raises(ValueError, match="not distinct"):
+        lookup.KeyIndex(pa.array(["a", "a"]))
+
+
+def test_batches_cost_what_their_strings_cost():
+    """Two hundred times the keys, the same batch: far from two hundred times the time."""
+    batch = pa.array([f"key{i * 37 % 500_000}" for i in range(20_000)])
+    took = []
+    for n in (2_000, 400_000):
+        index = lookup.KeyIndex(pa.array([f"key{i}" for i in range(n)]))
+        index.find(batch)
+        t0 = time.perf_counter()
+        for _ in range(5):
+            index.find(batch)
+        took.append(time.perf_counter() - t0)
+    assert took[1] < 20 * took[0]
+
+
+def test_repeated_and_empty_rows_give_one_result_at_every_lookup_size(spark):
+    """Rows that are alike stay rows of their own, also beyond the bound."""
+    rows = [("d1", "111:1 113:1"), ("d1", "111:1 113:1"), ("d1", "113:1 111:1"), ("d1", "114:1"), ("d2", ""),
+            ("d2", ""), ("d2", "  "), ("d3", "119:1"), ("d3", "119:1"), ("d4", "112")]
+    installs = spark.createDataFrame(rows, "device_id string, value string").withColumn(
+        "stat_date", F.lit(20180709)).repartition(4)
+    names = feat.lookup_for(_ranked(spark), "11", None)
+    local = feat.items_of(installs, 20180709, names)
+    shuffled = feat.items_of(installs, 20180709, names, max_lookup_rows=0)
+    key = lambda df: sorted((r["device_id"], [tuple(i) for i in r["items"]]) for r in df.collect())
+    assert key(local) == key(shuffled) and len(key(local)) == len(rows)
+    for df in (local, shuffled):
+        assert feat.item_stats(df).first().asDict() == {
+            "n_total": 10, "n_empty": 5, "n_refined": 5, "min_items": 1, "max_items": 2}
+    features = lambda df: sorted(tuple(r) for r in feat.encode(df).collect())
+    assert features(local) == features(shuffled) and len(features(local)) == 5
+
+
 def test_row_items_equal_shuffled_items(spark):
     rows = [("d1", "111:1 113:1 119:1 111:1"), ("d1", "114:1"), ("d2", "115:1 116:1"),
             ("d3", "114:1 112:3 "), (None, "111:1"), ("d4", None), ("d5", "")]
@@ -110,7 +192,7 @@ def test_row_items_equal_shuffled_items(spark):
         "stat_date", F.lit(20180709))
     lookup = feat.lookup_for(_ranked(spark), "11", None)
     local = feat.items_of(installs, 20180709, lookup)
-    shuffled = feat.items_of(installs, 20180709, lookup, max_lookup_rows=0, salt_buckets=3)
+    shuffled = feat.items_of(installs, 20180709, lookup, max_lookup_rows=0)
     key = lambda df: sorted((r["device_id"], [tuple(i) for i in r["items"]]) for r in df.collect())
     assert key(local) == key(shuffled)
     # one result per install row: d1 has two

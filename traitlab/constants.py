@@ -43,8 +43,10 @@ BROADCAST_MAX_BYTES = 64 << 20
 TOPK_MAX_MERGE_ROWS = 2_000_000
 # Training rows per partition (sparse rows of a few hundred nonzeros).
 TRAIN_ROWS_PER_PARTITION = 250_000
-# Salt buckets for the shuffle-join fallback of the catalog lookup.
-LOOKUP_SALT_BUCKETS = 16
+# Shuffle join of the catalog lookup: a key with more than one in HOT_KEYS of all
+# tokens is hot; the sketch that finds them tracks this many keys.
+HOT_KEYS = 1_000
+HOT_KEYS_TRACKED = 10_000
 # Cluster sessions without their own shuffle sizing: shuffles start this wide
 # and AQE merges neighbouring partitions up to the advisory size, so a 100 TB
 # input never lands in the default 200 partitions.

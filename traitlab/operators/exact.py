@@ -11,10 +11,10 @@ give the same coefficients on any partitioning, cluster and engine:
   (``bound`` times the sum of ``|x| * (sum of |x| of the row)``), which never
   overshoots; momentum ``(t - 1) / (t + 2)`` speeds it up; the result is rounded.
 
-All attributes train together: an iteration is one pass over the labelled rows that
-sums every attribute's gradient, keyed by coefficient, and an attribute drops out
-once no coefficient of it moves by more than ``tol``. Rows are packed into blocks of
-flat arrays once, so a pass hands a few buffers to each task.
+All attributes train together: an iteration is one pass (one job) over the labelled
+rows that sums every attribute's gradient, keyed by coefficient, and an attribute
+drops out once no coefficient of it moves by more than ``tol``. Rows are packed into
+blocks of flat arrays once, so a pass hands a few buffers to each task.
 
 Scoring is row-local with the coefficients broadcast (at most ``dim`` times the
 number of classes). Scores are the rounded probabilities, so thresholds compare
@@ -32,7 +32,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import StorageLevel
+from pyspark import StorageLevel, TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from .. import constants as C
@@ -44,13 +44,14 @@ from .model import chosen_threshold
 WEIGHT_UNIT = 1_000_000_000
 RESIDUAL_UNIT = 1_000_000
 MARGIN_CAP = 40.0
-# Entries of a block of packed rows, and of one gather in a task.
+# Entries of a block of packed rows.
 BLOCK_ENTRIES = 1 << 18
-GATHER_CELLS = 1 << 22
 # Gradient cells one task should add up per iteration, and the tasks whose sums
 # are merged on the driver (each at most one number per coefficient).
-CELLS_PER_TASK = 2_000_000
+CELLS_PER_TASK = 1_000_000
 DIRECT_TASKS = 8
+# Gradient cells of a pass that one task adds up faster than a job starts.
+ONE_TASK_CELLS = 8_000_000
 
 
 @dataclass(frozen=True)
@@ -122,33 +123,26 @@ def pack(rows: DataFrame, labels: Sequence[str]) -> DataFrame:
     return rows.select("indices", "values", *[F.col(c).cast("double") for c in labels]).mapInArrow(run, _BLOCK)
 
 
-def _unpacked(batch: pa.RecordBatch, width: int):
-    for k in range(batch.num_rows):
-        n, offsets, idx, val, known = (batch.column(c)[k].as_py() for c in range(5))
-        yield (np.frombuffer(idx, "<i4"), None if val is None else np.frombuffer(val, "<f8"),
-               np.frombuffer(offsets, "<i8"), np.frombuffer(known, "<f8").reshape(n, width))
-
-
-def _parts(offsets: np.ndarray, width: int) -> Iterator[tuple[int, int]]:
-    """Runs of rows whose entries times ``width`` stay near ``GATHER_CELLS``."""
-    at, n = 0, len(offsets) - 1
-    while at < n:
-        stop = max(at + 1, int(np.searchsorted(offsets, offsets[at] + GATHER_CELLS // max(width, 1), "right")) - 1)
-        yield at, min(stop, n)
-        at = min(stop, n)
+def _parts(batches: Iterator[pa.RecordBatch], n_labels: int):
+    """(idx, val or None, offsets, labels) of every block."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            n, offsets, idx, val, known = (batch.column(c)[k].as_py() for c in range(5))
+            yield (np.frombuffer(idx, "<i4"), None if val is None else np.frombuffer(val, "<f8"),
+                   np.frombuffer(offsets, "<i8"), np.frombuffer(known, "<f8").reshape(n, n_labels))
 
 
 # --- the model ----------------------------------------------------------------------------
 
 def margins(weights: np.ndarray, idx: np.ndarray, val: np.ndarray | None, offsets: np.ndarray) -> np.ndarray:
     """Integer margins (rows x columns) in ``WEIGHT_UNIT``; an empty row has 0."""
-    terms = weights[idx]
-    if val is not None:
-        terms = _rounded(terms * val[:, None])
-    out = np.zeros((len(offsets) - 1, weights.shape[1]))
+    out = np.zeros((len(offsets) - 1, weights.shape[1]), order="F")
     filled = np.flatnonzero(np.diff(offsets))
-    if len(filled):
-        out[filled] = np.add.reduceat(terms, offsets[filled], axis=0)
+    for k in range(weights.shape[1] if len(filled) else 0):
+        terms = np.ascontiguousarray(weights[:, k])[idx]
+        if val is not None:
+            terms = _rounded(terms * val)
+        out[filled, k] = np.add.reduceat(terms, offsets[filled])
     return out
 
 
@@ -173,72 +167,70 @@ def _residuals(targets: Sequence[Target], margin: np.ndarray, known: np.ndarray)
     return out
 
 
-def _column_sums(idx: np.ndarray, terms: np.ndarray, dim: int) -> np.ndarray:
-    return np.stack([np.bincount(idx, terms[:, k], dim) for k in range(terms.shape[1])], 1)
-
-
-def _summed(blocks: DataFrame, run, dim: int, width: int, tasks: int) -> np.ndarray:
-    """Sums (dim x width) of what ``run`` adds up in each task; integers, so
-    neither the order nor the number of tasks matters."""
-    cells = blocks.mapInArrow(run, "cell long, g long")
-    if tasks > DIRECT_TASKS:
-        cells = cells.groupBy("cell").agg(F.sum("g").alias("g"))
-    found = cells.toArrow()
-    return np.bincount(found["cell"].to_numpy(), found["g"].to_numpy().astype(np.float64), dim * width).reshape(dim, width)
-
+def _cells(total: np.ndarray) -> tuple[bytes, bytes]:
+    flat = total.ravel()
+    cell = np.flatnonzero(flat)
+    return cell.astype("<i8").tobytes(), flat[cell].astype("<i8").tobytes()
 
-def _task_sums(width: int, dim: int, add):
-    """A task's function: ``add`` gives the sums of one block; the non-zero
-    sums of all its blocks are the task's rows."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((dim, width))
-        for batch in batches:
-            add(batch, total)
-        flat = total.ravel()
-        cell = np.flatnonzero(flat)
-        yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int64()), pa.array(flat[cell].astype(np.int64))],
-                                         names=["cell", "g"])
-    return run
-
-
-def curvature(blocks: DataFrame, targets: Sequence[Target], dim: int, tasks: int) -> np.ndarray:
-    """Per index and target the sum of ``|x| * (sum of |x| of the row)`` over its rows."""
-    width = len(targets)
-
-    def add(batch: pa.RecordBatch, total: np.ndarray) -> None:
-        for idx, val, offsets, known in _unpacked(batch, width):
-            size = np.diff(offsets)
-            x = np.ones(len(idx)) if val is None else np.abs(val)
-            row = np.repeat(np.arange(len(size)), size)
-            whole = np.bincount(row, _rounded(x * RESIDUAL_UNIT), len(size))
-            term = _rounded(x * whole[row] / RESIDUAL_UNIT)
-            total += _column_sums(idx, term[:, None] * (known[row] >= 0), dim)
-
-    return _summed(blocks, _task_sums(width, dim, add), dim, width, tasks)
 
+def _added(cells, sums, size: int) -> np.ndarray:
+    """The sparse sums of several tasks, added up."""
+    out = np.zeros(size)
+    for c, s in zip(cells, sums, strict=True):
+        out[np.frombuffer(c, "<i8")] += np.frombuffer(s, "<i8")
+    return out
 
-def gradient(blocks: DataFrame, targets: Sequence[Target], known_at: Sequence[int], n_labels: int,
-             weights: np.ndarray, tasks: int) -> np.ndarray:
-    """Gradients (dim x columns) of all targets in one pass over the blocks."""
-    dim, width = weights.shape
-    shared = blocks.sparkSession.sparkContext.broadcast(weights)
 
-    def add(batch: pa.RecordBatch, total: np.ndarray) -> None:
-        w = shared.value
-        for idx, val, offsets, known in _unpacked(batch, n_labels):
-            for a, b in _parts(offsets, width):
-                some, bounds = slice(offsets[a], offsets[b]), offsets[a:b + 1] - offsets[a]
-                own = None if val is None else val[some]
-                r = _residuals(targets, margins(w, idx[some], own, bounds), known[a:b, known_at])
-                terms = np.repeat(r, np.diff(bounds), axis=0)
-                if own is not None:
-                    terms = _rounded(terms * own[:, None])
-                total += _column_sums(idx[some], terms, dim)
+def _summed(blocks: DataFrame, n_labels: int, add, shape: tuple[int, int], tasks: int) -> np.ndarray:
+    """Sums of what ``add`` adds up over all blocks: each task sends one row
+    with its non-zero sums. They are whole numbers, so neither the order nor
+    the number of tasks matters; many tasks' rows are first merged in groups."""
+    size = shape[0] * shape[1]
+    groups = max(1, int(tasks ** 0.5))
 
-    try:
-        return _summed(blocks, _task_sums(width, dim, add), dim, width, tasks)
-    finally:
-        shared.destroy()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(shape, order="F")
+        for part in _parts(batches, n_labels):
+            add(part, total)
+        cells, sums = _cells(total)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([TaskContext.get().partitionId() % groups], pa.int32()), pa.array([cells], pa.binary()),
+             pa.array([sums], pa.binary())], names=["grp", "cells", "sums"])
+
+    def merge(table: pa.Table) -> pa.Table:
+        cells, sums = _cells(_added(table["cells"].to_pylist(), table["sums"].to_pylist(), size))
+        return pa.table({"cells": pa.array([cells], pa.binary()), "sums": pa.array([sums], pa.binary())})
+
+    found = blocks.mapInArrow(run, "grp int, cells binary, sums binary")
+    if tasks > DIRECT_TASKS:
+        found = found.groupBy("grp").applyInArrow(merge, "cells binary, sums binary")
+    found = found.select("cells", "sums").toArrow()
+    return _added(found["cells"].to_pylist(), found["sums"].to_pylist(), size).reshape(shape)
+
+
+def _curvature(part, total: np.ndarray) -> None:
+    """Add per index and target the sum of ``|x| * (sum of |x| of the row)``."""
+    idx, val, offsets, known = part
+    size = np.diff(offsets)
+    x = np.ones(len(idx)) if val is None else np.abs(val)
+    row = np.repeat(np.arange(len(size)), size)
+    whole = np.bincount(row, _rounded(x * RESIDUAL_UNIT), len(size))
+    term = _rounded(x * whole[row] / RESIDUAL_UNIT)
+    for k in range(total.shape[1]):
+        total[:, k] += np.bincount(idx, term * (known[row, k] >= 0), len(total))
+
+
+def _gradient(part, total: np.ndarray, targets: Sequence[Target], known_at: Sequence[int],
+              weights: np.ndarray) -> None:
+    """Add the gradients (dim x columns) of all targets over a block."""
+    idx, val, offsets, known = part
+    r = _residuals(targets, margins(weights, idx, val, offsets), known[:, known_at])
+    row = np.repeat(np.arange(len(r)), np.diff(offsets))
+    for k in range(total.shape[1]):
+        terms = r[:, k][row]
+        if val is not None:
+            terms = _rounded(terms * val)
+        total[:, k] += np.bincount(idx, terms, len(total))
 
 
 @dataclass
@@ -282,48 +274,97 @@ def load(spark: SparkSession, path: str, target: Target, dim: int = C.FEATURE_DI
     return Weights([target], values, {}, {target.name: float(threshold[~own][0])})
 
 
+def _descend(targets: Sequence[Target], bounds: np.ndarray, gradient, max_iter: int,
+             tol: float) -> tuple[np.ndarray, list[int]]:
+    """Coefficients (dim x columns) and iterations of all targets.
+
+    ``gradient(active, weights)`` gives the gradients of the targets with the
+    numbers ``active`` at their columns' ``weights``.
+    """
+    spans = _spans(targets)
+    support = np.flatnonzero(bounds.any(axis=1))
+    limit = np.concatenate([np.repeat(bounds[support, k:k + 1], t.columns, 1) for k, t in enumerate(targets)], 1)
+    step = np.concatenate([np.full(t.columns, WEIGHT_UNIT / RESIDUAL_UNIT * t.bound) for t in targets])
+    now, before = np.zeros_like(limit), np.zeros_like(limit)
+    turns = [0] * len(targets)
+    active = list(range(len(targets)))
+    for turn in range(1, max_iter + 1):
+        some = [targets[k] for k in active]
+        columns = np.concatenate([np.arange(spans[k].start, spans[k].stop) for k in active])
+        w, v, d = now[:, columns], before[:, columns], limit[:, columns]
+        ahead = w + _rounded((turn - 1) / (turn + 2) * (w - v))
+        sent = np.zeros((len(bounds), len(columns)), order="F")
+        sent[support] = ahead
+        g = gradient(active, sent)[support]
+        new = np.where(d > 0, _rounded(ahead - g * step[columns] / np.maximum(d, 1)), 0.0)
+        moved = np.abs(new - w)
+        before[:, columns], now[:, columns] = w, new
+        for k in active:
+            turns[k] = turn
+        active = [k for k, span in zip(active, _spans(some), strict=True) if moved[:, span].max() > tol * WEIGHT_UNIT]
+        if not active:
+            break
+    out = np.zeros((len(bounds), limit.shape[1]))
+    out[support] = now
+    return out, turns
+
+
+def _in_one_task(blocks: DataFrame, targets: Sequence[Target], dim: int, max_iter: int,
+                 tol: float) -> tuple[np.ndarray, list[int]]:
+    """All iterations over a bounded set of blocks in one task."""
+    width = sum(t.columns for t in targets)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = list(_parts(batches, len(targets)))
+        bounds = np.zeros((dim, len(targets)), order="F")
+        for part in parts:
+            _curvature(part, bounds)
+
+        def gradient(active: list[int], weights: np.ndarray) -> np.ndarray:
+            total = np.zeros(weights.shape, order="F")
+            for part in parts:
+                _gradient(part, total, [targets[k] for k in active], active, weights)
+            return total
+
+        found, turns = _descend(targets, bounds, gradient, max_iter, tol)
+        cells, sums = _cells(found)
+        yield pa.RecordBatch.from_arrays([pa.array([cells], pa.binary()), pa.array([sums], pa.binary()),
+                                          pa.array([turns], pa.list_(pa.int32()))], names=["cells", "sums", "turns"])
+
+    row = blocks.coalesce(1).mapInArrow(run, "cells binary, sums binary, turns array<int>").first()
+    return _added([row["cells"]], [row["sums"]], dim * width).reshape(dim, width), list(row["turns"])
+
+
 def fit(rows: DataFrame, targets: Sequence[Target], dim: int = C.FEATURE_DIM, max_iter: int = C.LR_MAX_ITER,
-        tol: float = C.LR_TOL) -> Weights:
+        tol: float = C.LR_TOL, one_task_cells: int = ONE_TASK_CELLS) -> Weights:
     """Train all targets on (indices, values, label columns) rows.
 
-    One job for the curvature bounds, then one per iteration; the blocks are
-    cached over them and narrowed to the tasks that the work asks for.
+    A pass over all rows per iteration: a job each, its gradients summed over
+    the tasks, or, while a pass is so small (``one_task_cells``) that starting a
+    job would take longer, all passes in one task. The numbers are the same.
     """
     targets = list(targets)
-    spans = _spans(targets)
-    width = spans[-1].stop if spans else 0
-    weights = np.zeros((dim, width))
-    out = Weights(targets, weights, {t.name: 0 for t in targets})
+    width = sum(t.columns for t in targets)
     kept = pack(rows, [t.label for t in targets]).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        entries = kept.agg(F.sum(F.octet_length("idx"))).first()[0]
+        entries = (kept.agg(F.sum(F.octet_length("idx"))).first()[0] or 0) // 4
         if not entries:
-            return out
-        tasks = min(max(1, -(-(entries // 4) * width // CELLS_PER_TASK)), kept.rdd.getNumPartitions())
-        blocks = kept.coalesce(tasks)
-        bounds = curvature(blocks, targets, dim, tasks)
-        before = weights.copy()
-        active = list(range(len(targets)))
-        for turn in range(1, max_iter + 1):
-            columns = np.concatenate([np.arange(spans[k].start, spans[k].stop) for k in active])
-            some = [targets[k] for k in active]
-            w, v = weights[:, columns], before[:, columns]
-            ahead = w + _rounded((turn - 1) / (turn + 2) * (w - v))
-            g = gradient(blocks, some, active, len(targets), ahead, tasks)
-            step = np.concatenate([np.full(t.columns, WEIGHT_UNIT / RESIDUAL_UNIT * t.bound) for t in some])
-            limit = bounds[:, np.concatenate([[k] * targets[k].columns for k in active])]
-            new = np.where(limit > 0, _rounded(ahead - g * step / np.maximum(limit, 1)), 0.0)
-            moved = np.abs(new - w)
-            before[:, columns], weights[:, columns] = w, new
-            still = []
-            for k, span in zip(active, _spans(some), strict=True):
-                out.iterations[targets[k].name] = turn
-                if moved[:, span].max() > tol * WEIGHT_UNIT:
-                    still.append(k)
-            active = still
-            if not active:
-                break
-        return out
+            return Weights(targets, np.zeros((dim, width)), {t.name: 0 for t in targets})
+        if entries * width <= one_task_cells:
+            values, turns = _in_one_task(kept, targets, dim, max_iter, tol)
+        else:
+            tasks = min(max(1, -(-entries * width // CELLS_PER_TASK)), kept.rdd.getNumPartitions())
+            blocks = kept.coalesce(tasks)
+            n = len(targets)
+            bounds = _summed(blocks, n, _curvature, (dim, n), tasks)
+
+            def gradient(active: list[int], weights: np.ndarray) -> np.ndarray:
+                some = [targets[k] for k in active]
+                return _summed(blocks, n, lambda part, total: _gradient(part, total, some, active, weights),
+                               weights.shape, tasks)
+
+            values, turns = _descend(targets, bounds, gradient, max_iter, tol)
+        return Weights(targets, values, {t.name: k for t, k in zip(targets, turns, strict=True)})
     finally:
         kept.unpersist()
 
@@ -343,18 +384,15 @@ def score(rows: DataFrame, weights: Weights) -> DataFrame:
         w = shared.value
         for batch in batches:
             idx, val, offsets = _arrays(batch.column(0), batch.column(1))
-            for a, b in _parts(offsets, w.shape[1]):
-                some = slice(offsets[a], offsets[b])
-                z = margins(w, idx[some], None if val is None else val[some], offsets[a:b + 1] - offsets[a])
-                found = []
-                for t, span in zip(targets, spans, strict=True):
-                    if t.classes == 2:
-                        p = probabilities(z[:, span])[:, 0] / RESIDUAL_UNIT
-                        found += [p, (p > thresholds[t.name]).astype(np.float64)]
-                    else:
-                        found.append(np.argmax(z[:, span], axis=1).astype(np.float64))
-                part = batch.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays([*part.columns[2:], *map(pa.array, found)], names=names)
+            z = margins(w, idx, val, offsets)
+            found = []
+            for t, span in zip(targets, spans, strict=True):
+                if t.classes == 2:
+                    p = probabilities(z[:, span])[:, 0] / RESIDUAL_UNIT
+                    found += [p, (p > thresholds[t.name]).astype(np.float64)]
+                else:
+                    found.append(np.argmax(z[:, span], axis=1).astype(np.float64))
+            yield pa.RecordBatch.from_arrays([*batch.columns[2:], *map(pa.array, found)], names=names)
 
     return rows.select("indices", "values", *[f.name for f in kept]).mapInArrow(run, T.StructType(kept + added))
 

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 from .. import constants as C
 from ..functions.text import before_first, split_dropping_trailing
 from ..sources.snapshot import dated_scan, not_null
+from .lookup import KeyIndex
 from .sizing import broadcast_if_small, small
 
 # --------------------------------------------------------------------------
@@ -37,24 +38,40 @@ def install_tokens(rows: DataFrame) -> DataFrame:
             .select("device_id", before_first(F.col("tok"), C.VALUE_SEP).alias("key")))
 
 
+def hot_keys(tokens: DataFrame) -> list[str]:
+    """Item keys that hold a large share of all tokens, at most ``HOT_KEYS``.
+
+    One mergeable frequent-items sketch over the keys, whatever their number:
+    it tracks ``HOT_KEYS_TRACKED`` keys and never misses one above a share of
+    about one in ``HOT_KEYS``. A key that it takes for hot by mistake costs
+    nothing but its place in a broadcast.
+    """
+    sketch = F.expr(f"approx_top_k(key, {C.HOT_KEYS}, {C.HOT_KEYS_TRACKED})")
+    row = tokens.where("key is not null").agg(sketch.alias("top"), F.count(F.lit(1)).alias("n")).first()
+    return [t["item"] for t in row["top"] or [] if t["count"] * C.HOT_KEYS >= row["n"]]
+
+
 def match_catalog(tokens: DataFrame, lookup: DataFrame, how: str = "inner",
-                  max_broadcast_rows: int = C.BROADCAST_MAX_ROWS,
-                  salt_buckets: int = C.LOOKUP_SALT_BUCKETS) -> DataFrame:
+                  max_broadcast_rows: int = C.BROADCAST_MAX_ROWS) -> DataFrame:
     """Join tokens to the catalog lookup on the item key (JOIN-3, FLT-9).
 
     The lookup is broadcast when a count proves it small (the common case:
-    one row per catalog item). Beyond the bound it is a shuffle join salted
-    on the device, so one very popular item is spread over
-    ``salt_buckets`` reducers instead of landing in one.
+    one row per catalog item). Beyond the bound, a sketch finds the few hot
+    keys: their catalog rows (one per key) are sent to all tasks, so hot
+    tokens never shuffle; the others meet the rest of the catalog in a plain
+    shuffle join, in which no key is large. No catalog row is replicated.
     """
-    small, is_small = broadcast_if_small(lookup, max_broadcast_rows)
+    found, is_small = broadcast_if_small(lookup, max_broadcast_rows)
     if is_small:
-        return tokens.join(small, "key", how)
-    salt = F.pmod(F.xxhash64("device_id"), F.lit(salt_buckets)).cast("int")
-    big = tokens.withColumn("_salt", salt)
-    replicated = lookup.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
-    return big.join(replicated, ["key", "_salt"], how).drop("_salt")
+        return tokens.join(found, "key", how)
+    hot = hot_keys(tokens)
+    if not hot:
+        return tokens.join(lookup, "key", how)
+    is_hot = F.col("key").isin(hot)
+    few = F.broadcast(lookup.where(is_hot))           # one row per hot key at most
+    cold = F.coalesce(~is_hot, F.lit(True))
+    return (tokens.where(is_hot).join(few, "key", how)
+            .unionByName(tokens.where(cold).join(lookup.where(~is_hot), "key", how)))
 
 
 def device_items(tokens: DataFrame, lookup: DataFrame, keys: tuple[str, ...] = ("device_id",),
@@ -62,36 +79,38 @@ def device_items(tokens: DataFrame, lookup: DataFrame, keys: tuple[str, ...] = (
     """(device_id, items) by shuffle: catalog items of each key, sorted by index.
 
     Devices without any catalog hit keep an empty array (FLT-10). Repeated
-    items collapse to one entry. Used when the lookup is too large for
-    :func:`row_items`.
+    items collapse to one entry. With a column ``first`` that marks one token
+    of each install row, a group gives as many rows as it has such tokens.
+    Used when the lookup is too large for :func:`row_items`.
     """
     matched = match_catalog(tokens, lookup, how="left", **join_opts)
     item = F.when(F.col("idx").isNotNull(), F.struct("idx", "token"))
-    return (matched.groupBy(*keys).agg(F.sort_array(F.collect_set(item)).alias("items"))
-            .select("device_id", "items"))
+    rows = F.count_if("first") if "first" in tokens.columns else F.lit(1)
+    return (matched.groupBy(*keys).agg(F.sort_array(F.collect_set(item)).alias("items"), rows.alias("n"))
+            .select("device_id", F.explode(F.array_repeat("items", F.col("n").cast("int"))).alias("items")))
 
 
 def row_items(rows: DataFrame, lookup: DataFrame) -> DataFrame:
     """(device_id, items) row by row: split, look up, sort by index, rejoin.
 
-    The lookup (checked to be small) is sent to the executors once; a batch
-    of lists is matched as one flat array of keys and cut back into rows by
-    offsets, so nothing is exploded or shuffled.
+    The lookup (checked to be small) is sent to the executors once, with its
+    keys indexed; a batch of lists is matched as one flat array of keys and cut
+    back into rows by offsets, so nothing is exploded or shuffled.
     """
-    table = lookup.select("key", "idx", "token").toArrow()
-    shared = rows.sparkSession.sparkContext.broadcast(table)
+    table = lookup.select("key", "idx", "token").toArrow().combine_chunks()
+    found = KeyIndex(table["key"])
+    shared = rows.sparkSession.sparkContext.broadcast((found, table["idx"].to_numpy(), table["token"]))
 
     def run(batches):
-        table = shared.value.combine_chunks()
-        keys = table["key"].combine_chunks()
-        idx, tokens = table["idx"].to_numpy(), table["token"].combine_chunks()
+        index, idx, tokens = shared.value
+        tokens = pa.concat_arrays(tokens.chunks) if tokens.num_chunks else pa.array([], pa.string())
         for batch in batches:
             lists = pc.split_pattern(pc.utf8_rtrim(batch.column(1), characters=C.LIST_SEP), C.LIST_SEP)
             parts = pc.split_pattern(lists.flatten(), C.VALUE_SEP, max_splits=1)
-            at = pc.index_in(pc.list_element(parts, 0), value_set=keys)
+            at = index.find(pc.list_element(parts, 0))
             of = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
-            hit = at.is_valid().to_numpy(zero_copy_only=False)
-            at, of = at.drop_null().to_numpy(), of[hit]
+            hit = at >= 0
+            at, of = at[hit], of[hit]
             order = np.lexsort((idx[at], of))
             at, of = at[order], of[order]
             new = np.ones(len(at), bool)
@@ -113,15 +132,17 @@ def items_of(installs: DataFrame, job_date: int | None, lookup: DataFrame,
     """(device_id, items) of one date of an install table, one per install row.
 
     Row-local while the lookup is small; beyond the bound the tokens are
-    joined by shuffle and grouped by the install row's content.
+    joined by shuffle and grouped by the install row's content. Rows that are
+    alike share a group, which gives one result for each of them: the result
+    is the same multiset at every lookup size.
     """
     rows = install_rows(installs, job_date)
     if small(lookup, max_lookup_rows):
         return row_items(rows, lookup)
-    keyed = rows.withColumn("_row", F.xxhash64("device_id", "value"))
-    tok = F.explode(split_dropping_trailing(F.col("value"), C.LIST_SEP)).alias("tok")
-    tokens = (keyed.select("device_id", "_row", tok)
-              .select("device_id", "_row", before_first(F.col("tok"), C.VALUE_SEP).alias("key")))
+    tok = F.posexplode_outer(split_dropping_trailing(F.col("value"), C.LIST_SEP)).alias("at", "tok")
+    tokens = rows.select("device_id", F.xxhash64("value").alias("_row"), tok).select(
+        "device_id", "_row", before_first(F.col("tok"), C.VALUE_SEP).alias("key"),
+        (F.coalesce("at", F.lit(0)) == 0).alias("first"))
     return device_items(tokens, lookup, ("device_id", "_row"), max_broadcast_rows=0, **join_opts)
 
 

@@ -122,14 +122,16 @@ def questionnaire_long(questionnaire: DataFrame, child_stage: DataFrame | None =
     the caller's own aggregate).
     """
     rules = [answer_rule(a) for a in attributes]
-    pairs = ", ".join(f"'{r.attribute}', {r.column}" for r in rules)
-    long = questionnaire.selectExpr(
-        "device_id", f"stack({len(rules)}, {pairs}) as (attribute, answer)")
+    parts = []
+    if rules:
+        pairs = ", ".join(f"'{r.attribute}', {r.column}" for r in rules)
+        parts.append(questionnaire.selectExpr(
+            "device_id", f"stack({len(rules)}, {pairs}) as (attribute, answer)"))
     if child_stage is not None:
-        long = long.unionByName(child_stage.select(
-            "device_id", F.lit("child").alias("attribute"),
-            F.col("child_stage").alias("answer")))
+        parts.append(child_stage.select("device_id", F.lit("child").alias("attribute"),
+                                        F.col("child_stage").alias("answer")))
         rules.append(child_rule())
+    long = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     long = not_null(long, "device_id", "answer").where(F.col("answer") != F.lit(""))
     # per-attribute restrictions, folded into one predicate
     keep = F.lit(True)

@@ -353,6 +353,14 @@ def _misc(o: dict[str, str]) -> None:
     o["features_encoded_topk"] = _q(
         FEATURE_VIEWS, [(n, q + f" where idx < {C.SMALL_K}" if n == "lookup" else q) for n, q in feature_ctes()],
         "select device_id, feature from feats")
+    o["join_install_catalog_shuffled"] = o["join_install_catalog"]
+    o["features_encoded_shuffled"] = o["features_encoded"]
+    stats = """select 2 * count(*) as n_total, 2 * count(*) filter (where n_items = 0) as n_empty,
+        2 * count(*) filter (where n_items > 0) as n_refined,
+        cast(min(n_items) filter (where n_items > 0) as bigint) as min_items,
+        cast(max(n_items) filter (where n_items > 0) as bigint) as max_items, '{0}' as lookup from devs"""
+    o["install_stats_repeated"] = _q(FEATURE_VIEWS, feature_ctes(),
+                                     stats.format("local") + " union all " + stats.format("shuffled"))
     o["union_distribution"] = _q(GENDER_DS_VIEWS, gender_dataset_ctes() + [
         ("ntok", "select device_id, count(*) as n from parsed group by device_id"),
         ("un", """select g.label from gds g where g.label <> -1.0e0 union all

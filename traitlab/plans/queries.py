@@ -493,6 +493,37 @@ def _features_encoded_topk(ctx: JobContext) -> DataFrame:
     return feat.encode(ctx.items("user_installs", C.ITEM_PREFIX, C.SMALL_K))
 
 
+def _shuffled_items(ctx: JobContext, installs: DataFrame) -> DataFrame:
+    """Items as encoded beyond the lookup bound: sketch of hot keys and shuffle join."""
+    lookup = feat.lookup_for(ctx.catalog_ranked, C.ITEM_PREFIX, None)
+    return feat.items_of(installs, ctx.job_date, lookup, max_lookup_rows=0)
+
+
+@query("join_install_catalog_shuffled")
+def _join_install_catalog_shuffled(ctx: JobContext) -> DataFrame:
+    """JOIN-3 beyond the lookup bound: hot keys broadcast, cold ones joined by shuffle."""
+    lookup = feat.lookup_for(ctx.catalog_ranked, C.ITEM_PREFIX, None)
+    tokens = feat.install_tokens(feat.install_rows(ctx.view("user_installs"), ctx.job_date))
+    return feat.match_catalog(tokens, lookup, max_broadcast_rows=0).select("device_id", "key", "idx")
+
+
+@query("features_encoded_shuffled")
+def _features_encoded_shuffled(ctx: JobContext) -> DataFrame:
+    """FEAT-2 beyond the lookup bound: the same strings as within it."""
+    return feat.encode(_shuffled_items(ctx, ctx.view("user_installs")))
+
+
+@query("install_stats_repeated")
+def _install_stats_repeated(ctx: JobContext) -> DataFrame:
+    """FLT-10 / AGG-6 of an install table that holds every row twice, within
+    and beyond the lookup bound."""
+    twice = ctx.view("user_installs").unionAll(ctx.view("user_installs"))
+    lookup = feat.lookup_for(ctx.catalog_ranked, C.ITEM_PREFIX, None)
+    local = feat.item_stats(feat.items_of(twice, ctx.job_date, lookup))
+    beyond = feat.item_stats(_shuffled_items(ctx, twice))
+    return local.withColumn("lookup", F.lit("local")).unionByName(beyond.withColumn("lookup", F.lit("shuffled")))
+
+
 @query("doc_catalog_topk")
 def _doc_catalog_topk(ctx: JobContext) -> DataFrame:
     """RNK-2 on the word catalog, which has more rows than TOP_K."""
