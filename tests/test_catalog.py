@@ -1,3 +1,4 @@
+import numpy as np
 from pyspark.sql import Window, functions as F
 
 from traitlab.operators import catalog as cat
@@ -61,3 +62,30 @@ def test_top_k_merge_and_index_paths_agree(spark):
     b = [tuple(r) for r in cat.top_k(df, 120, max_merge_rows=0).select(*df.columns, "idx")
          .orderBy("idx").collect()]
     assert a == b and len(a) == 120 and a[0][3] == 0
+
+
+def test_cut_off_keeps_the_top_and_few_more(spark):
+    """Heavy tails, ties across the cut, more than there is, negative and no values."""
+    rng = np.random.default_rng(2)
+    for values, k in [(rng.zipf(1.4, 3000) % 10**12, 50), (np.repeat([5, 5, 9, 1], 400), 900), (np.arange(10), 30),
+                      (np.array([-7, 0, 10**15, 3]), 2), (np.full(500, 8), 3)]:
+        rows = spark.createDataFrame([(int(v),) for v in values], "installnum long")
+        least = cat.cut_off(rows, k, buckets=16)
+        kth = sorted(values)[-min(k, len(values))]
+        assert least <= kth
+        assert (values >= least).sum() <= max(2 * k, (values >= kth).sum())
+    assert cat.cut_off(spark.createDataFrame([], "installnum long"), 3) is None
+
+
+def test_top_k_sorts_candidates_only(spark, monkeypatch):
+    """Beyond the merge bound only rows above the cut-off reach the range sort."""
+    rows = [(str(i), f"n{i}", i % 997) for i in range(4000)]
+    df = spark.createDataFrame(rows, "appid string, app_name string, installnum bigint").repartition(5)
+    seen = []
+    plain = cat.global_index
+    monkeypatch.setattr(cat, "global_index", lambda d, *a: (seen.append(d.count()), plain(d, *a))[1])
+    got = [tuple(r) for r in cat.top_k(df, 25, max_merge_rows=0).orderBy("idx").collect()]
+    expected = sorted(rows, key=lambda r: (-r[2], r[0]))[:25]
+    assert got == [(*r, i) for i, r in enumerate(expected)]
+    assert 25 <= seen[0] <= 50
+    assert cat.top_k(df.limit(0), 5, max_merge_rows=0).count() == 0

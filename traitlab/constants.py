@@ -41,6 +41,8 @@ BROADCAST_MAX_ROWS = 2_000_000
 BROADCAST_MAX_BYTES = 64 << 20
 # Most rows one task may merge for an ordered top-k (partitions x k).
 TOPK_MAX_MERGE_ROWS = 2_000_000
+# Rows of the histogram that finds a top-k cut-off.
+HISTOGRAM_BUCKETS = 1_024
 # Training rows per partition (sparse rows of a few hundred nonzeros).
 TRAIN_ROWS_PER_PARTITION = 250_000
 # Shuffle join of the catalog lookup: a key with more than one in HOT_KEYS of all

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from .. import constants as C
 from ..sources.snapshot import dated_scan, not_null
+from ..session import checkpoint_dir
 from .ordering import global_index, shuffle_width
 
 
@@ -43,6 +44,31 @@ def rank_catalog(dedup: DataFrame, partitions: int | None = None) -> DataFrame:
     return global_index(dedup, catalog_order(), "idx", partitions)
 
 
+def cut_off(rows: DataFrame, k: int, column: str = "installnum", buckets: int = C.HISTOGRAM_BUCKETS) -> int | None:
+    """A whole number that at least ``min(k, rows)`` rows reach, and few more.
+
+    A histogram of the column (one aggregate to at most ``buckets`` rows) finds
+    the bucket that holds the k-th largest value; the same within that bucket
+    narrows it, until the rows reaching it are fewer than 2 k or share one value.
+    """
+    value = F.floor(F.col(column)).cast("long")
+    low, high = rows.agg(F.min(value), F.max(value)).first()
+    if low is None:
+        return None
+    above = 0
+    while True:
+        width = (high - low) // buckets + 1
+        counts = (rows.where(value.between(low, high))
+                  .groupBy(F.floor((value - low) / width).cast("int").alias("b")).count().collect())
+        for r in sorted(counts, key=lambda r: -r["b"]):
+            if above + r["count"] >= k or r["b"] == min(c["b"] for c in counts):
+                break
+            above += r["count"]
+        low, high = low + r["b"] * width, min(high, low + (r["b"] + 1) * width - 1)
+        if width == 1 or above + r["count"] <= 2 * k:
+            return low
+
+
 def top_k(dedup: DataFrame, k: int, max_merge_rows: int = C.TOPK_MAX_MERGE_ROWS,
           ranked: DataFrame | None = None) -> DataFrame:
     """The k most installed items with their rank index (RNK-2).
@@ -50,16 +76,21 @@ def top_k(dedup: DataFrame, k: int, max_merge_rows: int = C.TOPK_MAX_MERGE_ROWS,
     ``orderBy().limit(k)`` plans as TakeOrderedAndProject: every task keeps
     its own k best rows and one task merges them, at most
     ``partitions * k`` rows. That is used only while this product is within
-    ``max_merge_rows``; otherwise (or when the ranked catalog is at hand) the
-    top k are the rows of the range-partitioned global index below k.
+    ``max_merge_rows``. Otherwise a histogram finds the cut-off value, and only
+    rows that reach it are range-sorted for the index; the rest of the catalog
+    never shuffles. With the ranked catalog at hand, its rows below k are taken.
     """
+    if ranked is not None:
+        return ranked.where(F.col("idx") < k)
     parts = shuffle_width(dedup.sparkSession)
-    if ranked is None and parts * k <= max_merge_rows:
+    if parts * k <= max_merge_rows:
         best = dedup.orderBy(*catalog_order()).limit(k)
         w = Window.orderBy(*catalog_order())
         return best.withColumn("idx", (F.row_number().over(w) - 1).cast("long"))
-    ranked = ranked if ranked is not None else rank_catalog(dedup)
-    return ranked.where(F.col("idx") < k)
+    checkpoint_dir(dedup.sparkSession)
+    rows = dedup.checkpoint()
+    least = cut_off(rows, k)
+    return rank_catalog(rows.where(F.col("installnum") >= (least or 0))).where(F.col("idx") < k)
 
 
 def lookup_table(ranked: DataFrame, prefix: str = "") -> DataFrame:

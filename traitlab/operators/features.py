@@ -168,15 +168,18 @@ def length_stats(items: DataFrame) -> DataFrame:
                      F.max(kept).cast("long").alias("max_items"))
 
 
-def item_stats(items: DataFrame) -> DataFrame:
-    """Coverage and list-length statistics in one aggregate (FLT-10, AGG-5, AGG-6)."""
+def item_metrics() -> list:
+    """Coverage and list-length statistics as aggregates (FLT-10, AGG-5, AGG-6)."""
     n = F.size("items")
     kept = F.when(n > 0, n)
-    return items.agg(F.count(F.lit(1)).alias("n_total"),
-                     F.count_if(n == 0).alias("n_empty"),
-                     F.count_if(n > 0).alias("n_refined"),
-                     F.min(kept).cast("long").alias("min_items"),
-                     F.max(kept).cast("long").alias("max_items"))
+    return [F.count(F.lit(1)).alias("n_total"), F.count_if(n == 0).alias("n_empty"),
+            F.count_if(n > 0).alias("n_refined"), F.min(kept).cast("long").alias("min_items"),
+            F.max(kept).cast("long").alias("max_items")]
+
+
+def item_stats(items: DataFrame) -> DataFrame:
+    """:func:`item_metrics` in one aggregate."""
+    return items.agg(*item_metrics())
 
 
 def lookup_for(ranked: DataFrame, prefix: str, top_k: int | None) -> DataFrame:

@@ -346,6 +346,7 @@ def _misc(o: dict[str, str]) -> None:
     doc_ctes = catalog_ctes("doc_catalog") + items_ctes("doc_items", "")
     o["doc_catalog_topk"] = _q(("doc_catalog",), catalog_ctes("doc_catalog"),
                                f"select appid, app_name, installnum, idx from cat_ranked where idx < {C.TOP_K}")
+    o["doc_catalog_topk_cut"] = o["doc_catalog_topk"].replace(f"idx < {C.TOP_K}", f"idx < {C.SMALL_K}")
     o["doc_features_parsed"] = _q(("doc_catalog", "doc_items"), doc_ctes + parse_ctes("feats"),
                                   "select device_id, idx, value from parsed")
     o["feature_vectors"] = _q(FEATURE_VIEWS, feature_ctes() + parse_ctes("feats"),

@@ -14,7 +14,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from .. import constants as C
 from ..operators import catalog as cat
@@ -134,18 +134,23 @@ def feature_job(ctx: JobContext, out_dir: str, top_k: int | None = None,
     push (plain ids) install tables with it, and write the three dated
     tables ``catalog/``, ``features/`` and ``features_push/``.
 
-    Returns row counts and the install coverage of the main table.
+    Returns row counts and the install coverage of the main table, observed
+    while it is written: the install table is read and encoded once and nothing
+    is cached. A task that ran twice would be observed twice, so the counts are
+    held against the written rows and taken anew if they differ.
     """
     main = build_features(ctx, "user_installs", "app_catalog", C.ITEM_PREFIX, top_k)
     date = F.lit(int(ctx.job_date)).alias("stat_date")
     sinks.overwrite_partitions(main.catalog.select("*", date), f"{out_dir}/catalog", files=files)
-    items = main.items.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        sinks.overwrite_partitions(feat.encode(items).select("*", date), f"{out_dir}/features",
-                                   files=files)
-        stats = feat.item_stats(items).first().asDict()
-    finally:
-        items.unpersist()
+    seen = Observation()
+    items = main.items.observe(seen, *feat.item_metrics())
+    sinks.overwrite_partitions(feat.encode(items).select("*", date), f"{out_dir}/features", files=files)
+    stats = dict(seen.get)
+    # without input rows there is no partition to read back
+    if not stats or stats["n_refined"]:
+        written = ctx.spark.read.parquet(f"{out_dir}/features").where(F.col("stat_date") == int(ctx.job_date)).count()
+        if written != stats.get("n_refined"):
+            stats = feat.item_stats(main.items).first().asDict()
     lookup = feat.lookup_for(main.catalog, "", top_k)
     push = feat.encode(feat.items_of(ctx.view("user_installs_push"), ctx.job_date, lookup))
     sinks.overwrite_partitions(push.select("*", date), f"{out_dir}/features_push", files=files)

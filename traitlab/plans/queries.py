@@ -531,6 +531,14 @@ def _doc_catalog_topk(ctx: JobContext) -> DataFrame:
     return cat.top_k(cat.keep_max_installs(rows), C.TOP_K).select("appid", "app_name", "installnum", "idx")
 
 
+@query("doc_catalog_topk_cut")
+def _doc_catalog_topk_cut(ctx: JobContext) -> DataFrame:
+    """RNK-2 beyond the merge bound: a histogram's cut-off, then candidates only."""
+    rows = cat.catalog_rows(ctx.view("doc_catalog"), ctx.job_date)
+    return cat.top_k(cat.keep_max_installs(rows), C.SMALL_K, max_merge_rows=0).select(
+        "appid", "app_name", "installnum", "idx")
+
+
 @query("doc_features_parsed")
 def _doc_features_parsed(ctx: JobContext) -> DataFrame:
     """FEAT-5 / FLT-7 on documents: words beyond the dimension are left out."""
