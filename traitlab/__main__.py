@@ -5,12 +5,13 @@
                                  [--features DIR/features] [--out DIR] [--models DIR]
     python -m traitlab infer-all --date 20180709 --input SF_DIR [--features ...] [--out ...]
 
-Training options for ``infer`` / ``infer-all``: ``--max-iter``, ``--reg-param``,
+Training options for ``infer`` / ``infer-all``: ``--solver exact|lbfgs``, ``--max-iter``, ``--reg-param``,
 ``--[no-]fit-intercept``, ``--holdout-percent``, ``--split-seed``.
 
 ``--input`` is the directory of the sample tables; ``--source VIEW=TABLE`` (repeated)
 reads an input view from a named table or a path instead; ``--append`` adds to the
-output instead of replacing the date's partitions; ``--features`` reads the
+output instead of replacing the date's partitions; ``--run-id`` makes the outputs
+published tables (replaced in one step, a run appended once); ``--features`` reads the
 dated features table written by the ``features`` job instead of encoding
 again. The run date is read leniently (20180732 means 20180801).
 """
@@ -34,6 +35,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--input")
     ap.add_argument("--source", action="append", default=[], metavar="VIEW=TABLE_OR_PATH")
     ap.add_argument("--append", action="store_true")
+    ap.add_argument("--run-id")
     ap.add_argument("--out")
     ap.add_argument("--features")
     ap.add_argument("--attribute", choices=sorted(pipe.ATTRIBUTES))
@@ -42,13 +44,14 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--files", type=int)
     ap.add_argument("--master")
     # training options (library defaults mirror the original settings)
+    ap.add_argument("--solver", choices=["exact", "lbfgs"])
     ap.add_argument("--max-iter", type=int)
     ap.add_argument("--reg-param", type=float)
     ap.add_argument("--fit-intercept", action=argparse.BooleanOptionalAction, default=None)
     ap.add_argument("--holdout-percent", type=int)
     ap.add_argument("--split-seed", type=int)
     a = ap.parse_args(argv)
-    train = {k: v for k, v in (("max_iter", a.max_iter), ("reg_param", a.reg_param),
+    train = {k: v for k, v in (("solver", a.solver), ("max_iter", a.max_iter), ("reg_param", a.reg_param),
                                ("fit_intercept", a.fit_intercept),
                                ("holdout_percent", a.holdout_percent),
                                ("split_seed", a.split_seed)) if v is not None}
@@ -71,15 +74,17 @@ def _run(ap: argparse.ArgumentParser, a: argparse.Namespace, train: dict, spark)
     if a.job == "features":
         if not a.out:
             ap.error("features needs --out")
-        report = pipe.feature_job(ctx, a.out, a.top_k, a.files)
+        report = pipe.feature_job(ctx, a.out, a.top_k, a.files, a.run_id)
     else:
         feats = pipe.read_features(spark, a.features, ctx.job_date) if a.features else None
         if a.job == "infer":
             if not a.attribute:
                 ap.error("infer needs --attribute")
-            res = pipe.infer(ctx, a.attribute, feats, a.out, a.models, append=a.append, **train)
+            res = pipe.infer(ctx, a.attribute, feats, a.out, a.models, append=a.append, run_id=a.run_id,
+                             **train)
         else:
-            res = pipe.infer_all(ctx, None, feats, a.out, a.models, append=a.append, **train)
+            res = pipe.infer_all(ctx, None, feats, a.out, a.models, append=a.append, run_id=a.run_id,
+                             **train)
         report = {name: {"report": r.report, "threshold": r.threshold, "model": r.model_path}
                   for name, r in res.results.items()}
     return report, ctx

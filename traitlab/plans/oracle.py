@@ -374,6 +374,13 @@ def _misc(o: dict[str, str]) -> None:
     o["sink_overwrite_partition"] = _q(FEATURE_VIEWS, feature_ctes(), f"""
         select device_id, feature, {D} as stat_date from feats
         union all select device_id, feature, {D + 1} as stat_date from feats""")
+    o["sink_published"] = o["sink_overwrite_partition"]
+    o["sink_append_once"] = _q(FEATURE_VIEWS, feature_ctes(), f"""
+        select device_id, feature, {D} as stat_date from feats
+        union all select device_id, feature, {D} as stat_date from feats""")
+    o["sink_fixed_files"] = _q(FEATURE_VIEWS, feature_ctes(), f"""
+        select {D} as stat_date, cast({C.ORIGINAL_FILES_PER_PARTITION} as bigint) as n_files, count(*) as n_rows from feats""")
+    o["scan_via_view"] = _q(("app_catalog",), catalog_ctes(), "select appid, app_name, installnum from cat_rows")
     bucket = BUCKET.format(k="d.device_id")
     o["doc_dataset_counts"] = _q(("doc_catalog", "doc_items", "doc_labels"),
                                  catalog_ctes("doc_catalog") + items_ctes("doc_items", "")
@@ -498,6 +505,10 @@ def _models(o: dict[str, str]) -> None:
     o["infer_all"] = _model_q(views, feats, {a: s.classes for a, s in ATTRIBUTES.items()},
                               tuple(a for a, s in ATTRIBUTES.items() if s.refine), " union all ".join(known.values()),
                               _JOB_OUTPUT)
+    o["model_saved_and_loaded"] = _model_q(views, feats, {"gender": 2}, ("gender",), known["gender"], """
+        select device_id, score, pred as label from guess where device_id not in (select device_id from kl)""")
+    o["result_table"] = _model_q(views, feats, {"car": 2, "child": 3}, (), known["car"] + " union all " + known["child"],
+                                 _JOB_OUTPUT)
     o["train_multiclass"] = _model_q(views, feats, {"age": 5}, (), known["age"], _VALIDATION)
     o["model_weights"] = _model_q(
         views, feats, {a: s.classes for a, s in ATTRIBUTES.items()}, (), " union all ".join(known.values()),

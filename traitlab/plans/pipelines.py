@@ -24,7 +24,7 @@ from ..operators import features as feat
 from ..operators import labels as lbl
 from ..operators import model as mdl
 from ..session import checkpoint_dir, delete_on_exit, scratch_path
-from ..sources import sinks
+from ..sources import publish, sinks
 from .context import JobContext
 
 
@@ -129,10 +129,11 @@ def build_features(ctx: JobContext, installs_view: str = "user_installs",
 
 
 def feature_job(ctx: JobContext, out_dir: str, top_k: int | None = None,
-                files: int | None = None) -> dict[str, int]:
+                files: int | None = None, run_id: str | None = None) -> dict[str, int]:
     """PIPE-1: rank the catalog once, encode the main (prefixed ids) and the
     push (plain ids) install tables with it, and write the three dated
-    tables ``catalog/``, ``features/`` and ``features_push/``.
+    tables ``catalog/``, ``features/`` and ``features_push/`` (published tables
+    with ``run_id``).
 
     Returns row counts and the install coverage of the main table, observed
     while it is written: the install table is read and encoded once and nothing
@@ -141,26 +142,34 @@ def feature_job(ctx: JobContext, out_dir: str, top_k: int | None = None,
     """
     main = build_features(ctx, "user_installs", "app_catalog", C.ITEM_PREFIX, top_k)
     date = F.lit(int(ctx.job_date)).alias("stat_date")
-    sinks.overwrite_partitions(main.catalog.select("*", date), f"{out_dir}/catalog", files=files)
+
+    def write(df: DataFrame, name: str) -> None:
+        df = df.select("*", date)
+        if run_id:
+            publish.publish(df, f"{out_dir}/{name}", run_id, files=files)
+        else:
+            sinks.overwrite_partitions(df, f"{out_dir}/{name}", files=files)
+
+    write(main.catalog, "catalog")
     seen = Observation()
     items = main.items.observe(seen, *feat.item_metrics())
-    sinks.overwrite_partitions(feat.encode(items).select("*", date), f"{out_dir}/features", files=files)
-    stats = dict(seen.get)
+    write(feat.encode(items), "features")
+    stats = sinks.observed(seen)
     # without input rows there is no partition to read back
     if not stats or stats["n_refined"]:
-        written = ctx.spark.read.parquet(f"{out_dir}/features").where(F.col("stat_date") == int(ctx.job_date)).count()
-        if written != stats.get("n_refined"):
+        if read_features(ctx.spark, f"{out_dir}/features", ctx.job_date).count() != stats.get("n_refined"):
             stats = feat.item_stats(main.items).first().asDict()
     lookup = feat.lookup_for(main.catalog, "", top_k)
     push = feat.encode(feat.items_of(ctx.view("user_installs_push"), ctx.job_date, lookup))
-    sinks.overwrite_partitions(push.select("*", date), f"{out_dir}/features_push", files=files)
+    write(push, "features_push")
     stats["n_catalog"] = main.catalog.count()
     return stats
 
 
 def read_features(spark, path: str, job_date: int) -> DataFrame:
     """The dated features table written by :func:`feature_job` (SRC-1)."""
-    return feat.feature_rows(spark.read.parquet(path), job_date)
+    table = publish.read_published(spark, path) if publish.is_published(spark, path) else spark.read.parquet(path)
+    return feat.feature_rows(table, job_date)
 
 
 def vectors_from(features: DataFrame, dim: int = C.FEATURE_DIM) -> DataFrame:
@@ -189,9 +198,13 @@ def _long_output(df: DataFrame, attribute: str, job_date: int) -> DataFrame:
                      F.lit(int(job_date)).alias("stat_date"))
 
 
-def _write(out: DataFrame, out_dir: str, append: bool) -> None:
+def _write(out: DataFrame, out_dir: str, append: bool, run_id: str | None = None) -> None:
+    columns = ["stat_date", "attribute"]
+    if run_id:
+        publish.publish(out, out_dir, run_id, columns, append)
+        return
     write = sinks.append_partitions if append else sinks.overwrite_partitions
-    write(out, out_dir, ["stat_date", "attribute"])
+    write(out, out_dir, columns)
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -325,15 +338,16 @@ def exact_inference(ds: DataFrame, targets: list[exact.Target], job_date: int, m
 
 def infer(ctx: JobContext, attribute: str, features: DataFrame | None = None,
           out_dir: str | None = None, model_dir: str | None = None, append: bool = False,
-          **params) -> Inference:
+          run_id: str | None = None, **params) -> Inference:
     """One attribute job (PIPE-2..12); ``append`` adds rows to the output
-    instead of replacing the date's partition."""
+    instead of replacing the date's partition; with ``run_id`` the output is a
+    published table, replaced in one step and appended to once per run."""
     spec = ATTRIBUTES[attribute]
     parsed = parsed_table(features if features is not None else ctx.features)
     res = infer_labels(parsed, known_labels(ctx, attribute), attribute, spec.classes,
                        spec.refine, ctx.job_date, model_dir, **params)
     if out_dir:
-        _write(res.output, out_dir, append)
+        _write(res.output, out_dir, append, run_id)
     return res
 
 
@@ -341,8 +355,8 @@ def infer_all(ctx: JobContext, attributes: list[str] | None = None,
               features: DataFrame | None = None, out_dir: str | None = None,
               model_dir: str | None = None,
               label_source: Callable[..., DataFrame] = all_known_labels,
-              parallelism: int | None = None, append: bool = False, solver: str | None = None,
-              **params) -> Inference:
+              parallelism: int | None = None, append: bool = False, run_id: str | None = None,
+              solver: str | None = None, **params) -> Inference:
     """All attribute jobs over shared work.
 
     Labels of every attribute become one row per device (one shuffle,
@@ -367,7 +381,7 @@ def infer_all(ctx: JobContext, attributes: list[str] | None = None,
         res = _lbfgs_inference(ds, attributes, ctx.job_date, model_dir, parallelism, **params)
     res.skipped = skipped
     if out_dir:
-        _write(res.output, out_dir, append)
+        _write(res.output, out_dir, append, run_id)
     return res
 
 

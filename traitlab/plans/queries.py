@@ -20,7 +20,7 @@ from ..operators import labels as lbl
 from ..operators import metrics as met
 from ..operators import model as mdl
 from ..session import delete_on_exit, scratch_path
-from ..sources import sinks
+from ..sources import publish, sinks
 from ..sources import snapshot as snap
 from . import pipelines as pipe
 from .context import JobContext
@@ -471,6 +471,72 @@ def _sink_overwrite_partition(ctx: JobContext) -> DataFrame:
     return ctx.spark.read.parquet(path).select("device_id", "feature", "stat_date")
 
 
+def _scratch_dir(ctx: JobContext, name: str) -> str:
+    import uuid
+    return delete_on_exit(ctx.spark, scratch_path(ctx.spark, f"{name}-{uuid.uuid4().hex}"))
+
+
+@query("sink_published")
+def _sink_published(ctx: JobContext) -> DataFrame:
+    """SNK-1/SNK-3 as a published table: two dates, the first replaced, and a
+    third attempt at it that writes but never publishes. Readers see the second."""
+    path, feats = _scratch_dir(ctx, "published"), ctx.features.persist()
+    dated = lambda d: feats.withColumn("stat_date", F.lit(d))
+    publish.publish(dated(ctx.job_date).withColumn("feature", F.lit("old")), path, "first")
+    publish.publish(dated(ctx.job_date + 1), path, "next")
+    publish.publish(dated(ctx.job_date), path, "second")
+    publish.stage(dated(ctx.job_date).withColumn("feature", F.lit("half")), path, "third")
+    feats.unpersist()
+    return publish.read_published(ctx.spark, path).select("device_id", "feature", "stat_date")
+
+
+@query("sink_append_once")
+def _sink_append_once(ctx: JobContext) -> DataFrame:
+    """SNK-2: one run appended twice and another once, so every row is there twice."""
+    path, feats = _scratch_dir(ctx, "appended"), ctx.features.persist()
+    for run in ("a", "a", "b"):
+        publish.publish(feats.withColumn("stat_date", F.lit(ctx.job_date)), path, run, append=True)
+    feats.unpersist()
+    return publish.read_published(ctx.spark, path).select("device_id", "feature", "stat_date")
+
+
+@query("sink_fixed_files")
+def _sink_fixed_files(ctx: JobContext) -> DataFrame:
+    """SNK-4: the feature table as a fixed number of files per date."""
+    path = _scratch_dir(ctx, "files")
+    sinks.overwrite_partitions(ctx.features.withColumn("stat_date", F.lit(ctx.job_date)), path,
+                               files=C.ORIGINAL_FILES_PER_PARTITION)
+    rows = ctx.spark.read.parquet(path).select("stat_date", F.col("_metadata.file_name").alias("file"))
+    return rows.groupBy("stat_date").agg(F.count_distinct("file").alias("n_files"), F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("scan_via_view")
+def _scan_via_view(ctx: JobContext) -> DataFrame:
+    """SRC-5: the dated catalog rows through a temporary view."""
+    return snap.via_view(cat.catalog_rows(ctx.view("app_catalog"), ctx.job_date), "catalog_of_the_day")
+
+
+@query("model_saved_and_loaded")
+def _model_saved_and_loaded(ctx: JobContext) -> DataFrame:
+    """SNK-5: the gender model written, read back, and applied to the devices
+    without a known label."""
+    path = _scratch_dir(ctx, "models")
+    res = pipe.infer(ctx, "gender", model_dir=path).results["gender"]
+    weights = exact.load(ctx.spark, res.model_path, exact.Target("gender", 2, "label"))
+    ds = _gender_dataset(ctx).where(~dsm.is_labelled())
+    scored = exact.score(ds.select("device_id", "indices", "values"), weights)
+    return scored.select("device_id", F.col("score_gender").alias("score"), F.col("prediction_gender").alias("label"))
+
+
+@query("result_table")
+def _result_table(ctx: JobContext) -> DataFrame:
+    """SNK-6: two attribute jobs into one result table, read back."""
+    path = _scratch_dir(ctx, "results")
+    for attribute in ("car", "child"):
+        pipe.infer(ctx, attribute, out_dir=path)
+    return ctx.spark.read.parquet(path).select("device_id", "attribute", "label", "is_predicted", "stat_date")
+
+
 @query("infer_all")
 def _infer_all(ctx: JobContext) -> DataFrame:
     """PIPE-2..12 together: one label pivot, one join, one scoring pass."""

@@ -4,7 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation
+
+
+def observed(seen: Observation) -> dict:
+    """What was observed, empty where the optimizer knew the plan to be empty
+    and left the observation out with it."""
+    try:
+        return dict(seen.get)
+    except Py4JJavaError as e:
+        if "AssertionError" not in e.java_exception.getClass().getName():
+            raise
+        return {}
 
 
 def _shape(df: DataFrame, files: int | None, partition_cols: Sequence[str]) -> DataFrame:
