@@ -1,5 +1,6 @@
 """Physical-plan checks: the shapes the design relies on."""
 
+from traitlab.operators import dataset as dsm
 from traitlab.plans import pipelines as pipe
 from traitlab.plans.context import JobContext
 from traitlab.plans.queries import REGISTRY
@@ -67,3 +68,33 @@ def test_label_matrix_one_shuffle_one_account_join(spark):
     assert p.count("Exchange hashpartitioning(attribute") == 0
     # gender and age have device relations of their own
     assert p.count("HashJoin") + p.count("SortMergeJoin") == 2
+
+
+def test_bucketed_features_join_without_exchange(spark, scratch, ctx001):
+    """Labels beyond the broadcast bound: only they move, into the features' buckets."""
+    import uuid
+    table = f"features_{uuid.uuid4().hex}"
+    pipe.feature_table(ctx001, table, buckets=6, path=f"{scratch}/t")
+    pipe.feature_table(ctx001, table, buckets=6)              # the same date again replaces it
+    assert spark.table(table).count() == ctx001.features.count()
+    parsed = pipe.read_feature_table(spark, table, ctx001.job_date)
+    labels = pipe.known_labels(ctx001, "gender")
+    labels.write.parquet(f"{scratch}/labels")
+    labels = spark.read.parquet(f"{scratch}/labels")
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = dsm.attach_labels(parsed, labels, max_broadcast_rows=0)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and plan.count("Exchange ") == 1
+        assert "Bucketed: true" in plan and plan.index("Bucketed: true") < plan.index("Exchange ")
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    expected = dsm.attach_labels(ctx001.parsed, labels)
+    rows = lambda df: sorted(map(tuple, df.select("device_id", "indices", "values", "label").collect()))
+    assert rows(joined) == rows(expected)
+    out = pipe.infer(ctx001, "gender", parsed=parsed, max_iter=5).output
+    plain = pipe.infer(ctx001, "gender", max_iter=5).output
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, plain.collect()))

@@ -12,8 +12,9 @@ Training options for ``infer`` / ``infer-all``: ``--solver exact|lbfgs``, ``--ma
 reads an input view from a named table or a path instead; ``--append`` adds to the
 output instead of replacing the date's partitions; ``--run-id`` makes the outputs
 published tables (replaced in one step, a run appended once); ``--features`` reads the
-dated features table written by the ``features`` job instead of encoding
-again. The run date is read leniently (20180732 means 20180801).
+dated features written by the ``features`` job instead of encoding again;
+``--features-table`` (with ``--buckets``) has that job also write a catalog table of
+parsed features bucketed by device, and the others read it. The run date is read leniently (20180732 means 20180801).
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ import argparse
 import json
 import sys
 
+from . import constants as C
 from .functions.dates import normalise_job_date
 from .plans import pipelines as pipe
 from .plans.context import JobContext
@@ -38,6 +40,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--run-id")
     ap.add_argument("--out")
     ap.add_argument("--features")
+    ap.add_argument("--features-table")
+    ap.add_argument("--buckets", type=int, default=C.FEATURE_BUCKETS)
     ap.add_argument("--attribute", choices=sorted(pipe.ATTRIBUTES))
     ap.add_argument("--models")
     ap.add_argument("--top-k", type=int)
@@ -75,16 +79,20 @@ def _run(ap: argparse.ArgumentParser, a: argparse.Namespace, train: dict, spark)
         if not a.out:
             ap.error("features needs --out")
         report = pipe.feature_job(ctx, a.out, a.top_k, a.files, a.run_id)
+        if a.features_table:
+            written = pipe.read_features(spark, f"{a.out}/features", ctx.job_date)
+            pipe.feature_table(ctx, a.features_table, a.buckets, features=written)
     else:
         feats = pipe.read_features(spark, a.features, ctx.job_date) if a.features else None
+        parsed = pipe.read_feature_table(spark, a.features_table, ctx.job_date) if a.features_table else None
         if a.job == "infer":
             if not a.attribute:
                 ap.error("infer needs --attribute")
             res = pipe.infer(ctx, a.attribute, feats, a.out, a.models, append=a.append, run_id=a.run_id,
-                             **train)
+                             parsed=parsed, **train)
         else:
             res = pipe.infer_all(ctx, None, feats, a.out, a.models, append=a.append, run_id=a.run_id,
-                             **train)
+                             parsed=parsed, **train)
         report = {name: {"report": r.report, "threshold": r.threshold, "model": r.model_path}
                   for name, r in res.results.items()}
     return report, ctx

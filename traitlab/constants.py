@@ -41,6 +41,9 @@ BROADCAST_MAX_ROWS = 2_000_000
 BROADCAST_MAX_BYTES = 64 << 20
 # Most rows one task may merge for an ordered top-k (partitions x k).
 TOPK_MAX_MERGE_ROWS = 2_000_000
+# Buckets of the daily feature table (100 TB: about 24 GB of features a bucket; a
+# cluster's table is created with the count that suits its size).
+FEATURE_BUCKETS = 4_096
 # Rows of the histogram that finds a top-k cut-off.
 HISTOGRAM_BUCKETS = 1_024
 # Training rows per partition (sparse rows of a few hundred nonzeros).

@@ -207,8 +207,9 @@ def parse(features: DataFrame, dim: int = C.FEATURE_DIM) -> DataFrame:
     return parse_rows(features, dim).where(F.size("indices") > 0)
 
 
-def parse_rows(features: DataFrame, dim: int = C.FEATURE_DIM) -> DataFrame:
-    """(device_id, indices, values) of every feature string, maybe empty.
+def parse_rows(features: DataFrame, dim: int = C.FEATURE_DIM, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(device_id, ``carry`` columns, indices, values) of every feature string,
+    maybe empty.
 
     Row-local and shuffle-free: one regex pass per field finds the valid
     tokens, array casts read index and value (malformed -> null), and one
@@ -217,14 +218,14 @@ def parse_rows(features: DataFrame, dim: int = C.FEATURE_DIM) -> DataFrame:
     """
     pat = F.lit(_TOKEN)
     raw = features.select(
-        "device_id",
+        "device_id", *carry,
         F.regexp_extract_all("feature", pat, 1).try_cast("array<int>").alias("i"),
         F.regexp_extract_all("feature", pat, 2).try_cast("array<double>").alias("v"))
     kept = F.filter(F.arrays_zip("i", "v"),
                     lambda p: p["i"].isNotNull() & p["v"].isNotNull()
                     & (p["i"] >= 0) & (p["i"] < dim))
-    out = raw.select("device_id", kept.alias("p"))
-    return out.select("device_id", F.col("p.i").alias("indices"), F.col("p.v").alias("values"))
+    out = raw.select("device_id", *carry, kept.alias("p"))
+    return out.select("device_id", *carry, F.col("p.i").alias("indices"), F.col("p.v").alias("values"))
 
 
 def feature_rows(features: DataFrame, job_date: int | None) -> DataFrame:

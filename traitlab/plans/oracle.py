@@ -242,6 +242,7 @@ def _dataset(o: dict[str, str]) -> None:
     o["join_features_labels"] = _q(GENDER_DS_VIEWS, feature_ctes() + [("gl", GENDER)], """
         select f.device_id, coalesce(g.label, -1.0e0) as label from feats f left join gl g
         on f.device_id = g.device_id""")
+    o["join_features_bucketed"] = _q(GENDER_DS_VIEWS, gender_dataset_ctes(), "select device_id, label from gds")
     o["split_labelled"] = _q(GENDER_DS_VIEWS, gender_dataset_ctes(), """
         select device_id, label, case when label <> -1.0e0 then 'labelled' else 'unlabelled' end as part
         from gds""")

@@ -184,6 +184,27 @@ def parsed_table(features: DataFrame, dim: int = C.FEATURE_DIM) -> DataFrame:
     return rows.where(F.size("indices") > 0)
 
 
+def feature_table(ctx: JobContext, table: str, buckets: int = C.FEATURE_BUCKETS, path: str | None = None,
+                  features: DataFrame | None = None) -> None:
+    """Write the date's feature strings with their parsed arrays as a table
+    bucketed by device (PIPE-1, FEAT-5).
+
+    The one shuffle of the features is here, once a day; every attribute job
+    that reads the table joins its labels to it in place (JOIN-2) and parses
+    nothing.
+    """
+    features = features if features is not None else ctx.features
+    parsed = feat.parse_rows(features.select("device_id", "feature"), carry=("feature",))
+    sinks.bucketed_table(parsed.withColumn("stat_date", F.lit(int(ctx.job_date))), table, "device_id", buckets,
+                         path=path)
+
+
+def read_feature_table(spark, table: str, job_date: int) -> DataFrame:
+    """(device_id, indices, values) of a date of :func:`feature_table` (FLT-8)."""
+    rows = feat.dated_scan(spark.table(table), job_date, ["device_id", "indices", "values"])
+    return rows.where(F.size("indices") > 0)
+
+
 # --- PIPE-2..12 ------------------------------------------------------------------------
 
 @dataclass
@@ -338,12 +359,14 @@ def exact_inference(ds: DataFrame, targets: list[exact.Target], job_date: int, m
 
 def infer(ctx: JobContext, attribute: str, features: DataFrame | None = None,
           out_dir: str | None = None, model_dir: str | None = None, append: bool = False,
-          run_id: str | None = None, **params) -> Inference:
+          run_id: str | None = None, parsed: DataFrame | None = None, **params) -> Inference:
     """One attribute job (PIPE-2..12); ``append`` adds rows to the output
     instead of replacing the date's partition; with ``run_id`` the output is a
-    published table, replaced in one step and appended to once per run."""
+    published table, replaced in one step and appended to once per run. ``parsed``
+    gives index arrays at hand (:func:`read_feature_table`) instead of features."""
     spec = ATTRIBUTES[attribute]
-    parsed = parsed_table(features if features is not None else ctx.features)
+    if parsed is None:
+        parsed = parsed_table(features if features is not None else ctx.features)
     res = infer_labels(parsed, known_labels(ctx, attribute), attribute, spec.classes,
                        spec.refine, ctx.job_date, model_dir, **params)
     if out_dir:
@@ -356,7 +379,7 @@ def infer_all(ctx: JobContext, attributes: list[str] | None = None,
               model_dir: str | None = None,
               label_source: Callable[..., DataFrame] = all_known_labels,
               parallelism: int | None = None, append: bool = False, run_id: str | None = None,
-              solver: str | None = None, **params) -> Inference:
+              solver: str | None = None, parsed: DataFrame | None = None, **params) -> Inference:
     """All attribute jobs over shared work.
 
     Labels of every attribute become one row per device (one shuffle,
@@ -367,7 +390,8 @@ def infer_all(ctx: JobContext, attributes: list[str] | None = None,
     labelled device are skipped and named in the result.
     """
     attributes = attributes or list(ATTRIBUTES)
-    parsed = parsed_table(features if features is not None else ctx.features)
+    if parsed is None:
+        parsed = parsed_table(features if features is not None else ctx.features)
     cols = [f"label_{a}" for a in attributes]
     wide = materialize(label_matrix(ctx, attributes, label_source))
     ds = dsm.attach_labels(parsed, wide, cols)

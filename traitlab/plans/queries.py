@@ -6,6 +6,7 @@ input; column names equal those of :mod:`traitlab.plans.oracle`.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -233,6 +234,16 @@ def _join_features_labels(ctx: JobContext) -> DataFrame:
     return dsm.attach_labels(ctx.features, _gender(ctx)).select("device_id", "label")
 
 
+@query("join_features_bucketed")
+def _join_features_bucketed(ctx: JobContext) -> DataFrame:
+    """JOIN-2 from the bucketed feature table, labels beyond the broadcast bound:
+    the features are not exchanged."""
+    table = f"features_{uuid.uuid4().hex}"
+    pipe.feature_table(ctx, table, buckets=8, path=_scratch_dir(ctx, table))
+    parsed = pipe.read_feature_table(ctx.spark, table, ctx.job_date)
+    return dsm.attach_labels(parsed, _gender(ctx), max_broadcast_rows=0).select("device_id", "label")
+
+
 @query("split_labelled")
 def _split_labelled(ctx: JobContext) -> DataFrame:
     """SPL-2: devices with a parsed vector, marked labelled / unlabelled."""
@@ -462,8 +473,7 @@ def _sink_overwrite_partition(ctx: JobContext) -> DataFrame:
     Dynamic overwrite must leave the second date in place, so the result
     holds every feature row twice (once per date).
     """
-    import uuid
-    path = delete_on_exit(ctx.spark, scratch_path(ctx.spark, f"sink-{uuid.uuid4().hex}"))
+    path = _scratch_dir(ctx, "sink")
     feats = ctx.features.persist()
     for d in (ctx.job_date, ctx.job_date + 1, ctx.job_date):
         sinks.overwrite_partitions(feats.withColumn("stat_date", F.lit(d)), path)
@@ -472,7 +482,6 @@ def _sink_overwrite_partition(ctx: JobContext) -> DataFrame:
 
 
 def _scratch_dir(ctx: JobContext, name: str) -> str:
-    import uuid
     return delete_on_exit(ctx.spark, scratch_path(ctx.spark, f"{name}-{uuid.uuid4().hex}"))
 
 

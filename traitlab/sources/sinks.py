@@ -46,6 +46,24 @@ def overwrite_partitions(df: DataFrame, path: str,
      .save(path))
 
 
+def bucketed_table(df: DataFrame, table: str, key: str, buckets: int,
+                   partition_cols: Sequence[str] = ("stat_date",), path: str | None = None) -> None:
+    """Replace the dates of ``df`` in a table bucketed and sorted by ``key``.
+
+    Rows are dealt by the key's hash as the buckets are, so every bucket of a
+    date is one sorted file, and joins on the key with another side dealt into
+    ``buckets`` need no exchange of this table. The table is created if absent.
+    """
+    spark = df.sparkSession
+    rows = df.repartition(buckets, key)
+    if spark.catalog.tableExists(table):
+        order = spark.table(table).columns
+        rows.select(*order).write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+        return
+    writer = rows.write.format("parquet").partitionBy(*partition_cols).bucketBy(buckets, key).sortBy(key)
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+
+
 def append_partitions(df: DataFrame, path: str,
                       partition_cols: Sequence[str] = ("stat_date",),
                       files: int | None = None, fmt: str = "parquet") -> None:
