@@ -27,9 +27,7 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def crc(ids):
@@ -39,6 +37,7 @@ def crc(ids):
 # --- subword ids --------------------------------------------------------------------
 
 ODD = ["", " a", "a ", "a  b", "a\n\nb", "\x02x y", "x\ty z", None, "a b c", "I'm 42 don't.\nNew <|endoftext|> x",
+       "a <|endoftext|> b", "<|endoftext|>", "a<|endoftext|>b c d", "<|endoftext|", "a <|end of text|> b",
        "\n", "é ß\n漢字 かな \U0001d4b3", "a \n b", "x" * 5000 + " y", "a b c", "a  b"]
 
 

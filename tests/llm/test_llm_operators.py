@@ -2,6 +2,8 @@
 
 import collections
 import hashlib
+import itertools
+import math
 import re
 
 import numpy as np
@@ -260,6 +262,27 @@ def test_decontamination_of_short_items(spark):
     assert {x for x in got if x[1] != 1} == expected - {(0, 1)} and (0, 1) in got
 
 
+def test_decontamination_recall_at_every_place(spark):
+    """Items of 8 to 16 words, each place substituted in turn, and each pair of places
+    where the verification allows two: single ones are all found, pairs at least 0.9."""
+    items, docs, pairs = [], [], collections.defaultdict(list)
+    for n in range(8, 17):
+        words = [f"w{n}x{k}" for k in range(n)]
+        items.append((n, " ".join(words)))
+        allowed = n - math.ceil(0.85 * n)
+        forms = [(k,) for k in range(n)]
+        forms += list(itertools.combinations(range(n), 2)) if allowed >= 2 else []
+        for form in forms:
+            docs.append((len(docs), "before it " + " ".join("no" if k in form else w for k, w in enumerate(words)) + " after"))
+            pairs[n, len(form)].append(len(docs) - 1)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    hits = decontamination.find_overlaps(spark.createDataFrame(docs, "doc_id long, text string").repartition(4), bench)
+    got = {r.doc_id for r in hits.collect()}
+    recall = {key: sum(d in got for d in ids) / len(ids) for key, ids in pairs.items()}
+    assert all(recall[n, 1] == 1.0 for n in range(8, 17)), recall
+    assert min(recall.values()) >= 0.9 and len(recall) > 9, recall
+
+
 def test_decontamination_of_empty_tables(spark, awkward, empty):
     bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
     assert decontamination.decontaminate(empty, bench).count() == 0
@@ -327,6 +350,29 @@ def test_pii_rare_kinds_pass_by_their_strict_check(spark, n):
         assert not {"ip", "iban", "national_id"} & {x.split(":")[0] for x in got[k].split(",")}
 
 
+def test_pii_sample_is_bounded_and_the_same_in_any_partitioning(spark, monkeypatch):
+    monkeypatch.setattr(pii, "SAMPLE_DOCUMENTS", 30)
+    rows = [(f"text {i} tel 555 123 {i:04d}",) for i in range(400)] + [("one text many times +1 555 123 4567",)] * 900
+    df = spark.createDataFrame(rows, "text string")
+    a, b = (sorted(r["t"] for r in pii.sample(d).collect()) for d in (df.repartition(3), df.repartition(7)))
+    assert a == b and 0 < len(a) <= 30 and len(set(a)) == len(a)
+    # more than there are: all different texts
+    monkeypatch.setattr(pii, "SAMPLE_DOCUMENTS", 5000)
+    assert pii.sample(df).count() == 401
+    assert pii.sample(df.limit(0)).count() == 0 and pii.sample(df.select(F.lit(None).cast("string").alias("text"))).count() <= 1
+
+
+def test_pii_candidates_are_bounded_before_they_meet(spark, monkeypatch):
+    monkeypatch.setattr(pii, "SAMPLE_CANDIDATES", 5)
+    df = spark.createDataFrame([(f"call 555 123 {i:04d} or 4111 1111 1111 {i:04d} now",) for i in range(200)], "t string")
+    for parts in (1, 4):
+        found = pii.labelled_candidates(df.repartition(parts)).groupBy("kind", F.spark_partition_id()).count()
+        assert max(r["count"] for r in found.collect()) <= 5
+    first = lambda parts: sorted(tuple(r)[:3] for r in pii.labelled_candidates(df.repartition(parts))
+                                 .orderBy("place").where("kind = 'card'").limit(5).collect())
+    assert first(1) == first(4)
+
+
 def test_pii_long_secrets_are_one_span():
     part = "".join(hashlib.sha256(str(i).encode()).hexdigest() for i in range(20))
     for value in (part, f"{part}.{part}.{part}", f"{part[:90]}==", part * 400):

@@ -41,6 +41,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from ..operators.ordering import shuffle_width
 from ..session import checkpoint_dir
 from .common import broadcast_if_small, scratch_table, unclashed
 from .components import connected_components
@@ -345,7 +346,7 @@ def join_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """
     spark = docs.sparkSession
     checkpoint_dir(spark)
-    parts = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = max(8, shuffle_width(spark))
     docs = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     hot = spark.sparkContext.broadcast(_hot_cells(docs, parts))
     documents = scratch_table(_documents(docs, hot), "jaccard-documents")

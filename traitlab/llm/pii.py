@@ -9,9 +9,9 @@ addresses, and kinds with few labelled candidates) add what passes their strict
 check (:func:`accepted`) instead.
 
 The trees are fitted on weakly labelled candidates (check digits, issued
-prefixes, key-value syntax) from a bounded sample of documents:
-``SAMPLE_DOCUMENTS`` texts chosen by hash, ``SAMPLE_CANDIDATES`` candidates of
-each kind.
+prefixes, key-value syntax) from a bounded sample of documents: at most
+``SAMPLE_DOCUMENTS`` different texts, chosen by hash, and ``SAMPLE_CANDIDATES``
+candidates of each kind.
 Detection then reads every whole text, one Arrow batch at a time, without a
 shuffle; each search is linear in the text.
 
@@ -22,6 +22,7 @@ empty result; input columns are carried, those named like results replaced.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from bisect import bisect_left, insort
@@ -40,6 +41,8 @@ KINDS = (*BASE_KINDS, "iban", "national_id", "secret")
 RESULTS = ("base_spans", "spans", "redacted")
 SAMPLE_DOCUMENTS = 20_000
 SAMPLE_CANDIDATES = 20_000
+# Tasks that read the sample.
+SAMPLE_TASKS = 16
 # A kind with fewer labelled candidates is not calibrated.
 LEAST_LABELS = 40
 PRECISION = 0.98
@@ -254,34 +257,58 @@ def _without_overlaps(taken: list[tuple[int, int]], ranked: list) -> list[tuple[
     return kept
 
 
-def fit(docs: DataFrame, text: str = "text") -> Model:
-    """Fit and calibrate on the bounded sample described above."""
-    total = docs.count()
-    share = min(1.0, SAMPLE_DOCUMENTS / max(total, 1))
-    some = docs.select(F.col(text).alias("t")).where(
-        F.pmod(F.xxhash64("t"), F.lit(1 << 20)) < int(share * (1 << 20)))
+def sample(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(``t``): at most ``SAMPLE_DOCUMENTS`` different texts, those of the least
+    hashes, whatever the number of rows and of copies of a text."""
+    own = docs.select(F.col(text).alias("t"), F.shiftrightunsigned(F.xxhash64(F.col(text)), 1).alias("h"))
+    bound = min(1.0, SAMPLE_DOCUMENTS / max(docs.count(), 1)) * 2.0 ** 63
+    near = own.where(F.col("h") < F.lit(min(int(bound), 2 ** 63 - 1)))
+    # about SAMPLE_DOCUMENTS numbers; the last of them to be used
+    last = near.select("h").distinct().orderBy("h").limit(SAMPLE_DOCUMENTS).agg(F.max("h")).first()[0]
+    some = near.where(F.col("h") <= F.lit(-1 if last is None else last))
+    return some.groupBy("h").agg(F.first("t").alias("t")).select("t").coalesce(SAMPLE_TASKS)
+
+
+def _order(x: list[float], label: int) -> int:
+    """A place in an order that no partitioning changes."""
+    return int.from_bytes(hashlib.blake2b(np.array([*x, label]).tobytes(), digest_size=8).digest(), "big") >> 1
+
 
+def labelled_candidates(some: DataFrame) -> DataFrame:
+    """(``place``, ``label``, ``kind``, ``x``) of the weakly labelled candidates
+    of texts ``t``; each task gives its ``SAMPLE_CANDIDATES`` first ones of a
+    kind, so that at most ``SAMPLE_TASKS`` times as many meet in one place."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list] = {}
         for batch in batches:
-            labels, rows, kinds = [], [], []
             for t in batch.column(0).to_pylist():
                 if not t or not _ANY.search(t):
                     continue
                 for c in dict.fromkeys(candidates(t)):
                     y = weak_label(t, *c)
-                    if y is not None:
-                        labels.append(y)
-                        kinds.append(c[0])
-                        rows.append(features(t, *c))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(labels, pa.int32()), pa.array(kinds, pa.string()),
-                 pa.array(rows, pa.list_(pa.float64()))], names=["label", "kind", "x"])
-
-    schema = "label int, kind string, x array<double>"
-    # at most so many rows of each kind leave a partition
-    place = F.row_number().over(Window.partitionBy("kind").orderBy(F.xxhash64("x"), "label"))
-    got = (some.mapInArrow(run, schema).withColumn("place", place).where(F.col("place") <= SAMPLE_CANDIDATES)
-           .orderBy("kind", "place").collect())
+                    if y is None:
+                        continue
+                    x = features(t, *c)
+                    own = held.setdefault(c[0], [])
+                    own.append((_order(x, y), y, x))
+                    if len(own) >= 2 * SAMPLE_CANDIDATES:
+                        own.sort()
+                        del own[SAMPLE_CANDIDATES:]
+        rows = [(o, y, kind, x) for kind, own in held.items() for o, y, x in sorted(own)[:SAMPLE_CANDIDATES]]
+        columns = list(zip(*rows, strict=True)) or [(), (), (), ()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.string()),
+             pa.array(columns[3], pa.list_(pa.float64()))], names=["place", "label", "kind", "x"])
+
+    return some.mapInArrow(run, "place long, label int, kind string, x array<double>")
+
+
+def fit(docs: DataFrame, text: str = "text") -> Model:
+    """Fit and calibrate on the bounded sample described above."""
+    found = labelled_candidates(sample(docs, text))
+    turn = F.row_number().over(Window.partitionBy("kind").orderBy("place", "label", "x"))
+    got = (found.withColumn("turn", turn).where(F.col("turn") <= SAMPLE_CANDIDATES)
+           .orderBy("kind", "turn").collect())
     model = calibrated([r["label"] for r in got], [r["kind"] for r in got], [r["x"] for r in got])
     return Model(model.trees, model.thresholds, strict=True)
 

@@ -5,7 +5,8 @@ stands between two other characters, so a text can be cut there and each unit
 (a word with the white space before it) encoded on its own: the ids of the
 units, put together, are the ids of the text. Units repeat a lot, so a batch
 encodes only those it has not met before and gathers the rest from a buffer.
-Texts with any other white space pattern are encoded whole.
+Texts with any other white space pattern, or with an added token of the
+vocabulary (such as an end-of-text mark) in them, are encoded whole.
 """
 
 from __future__ import annotations
@@ -36,12 +37,17 @@ def _text(value: str) -> pa.Scalar:
     return pa.scalar(value, pa.large_string())
 
 
+def _quoted(text: str) -> str:
+    return "".join(f"\\x{{{ord(c):x}}}" for c in text)
+
+
 class Encoder:
     """Encodes Arrow string arrays to (ids, offsets); keeps a unit cache."""
 
     def __init__(self, path: str = VOCABULARY):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.whole = "|".join([IRREGULAR, *map(_quoted, added)])
         # characters of the byte-level alphabet in an entry = bytes it stands for
         names = self.tokenizer.get_vocab(with_added_tokens=False)
         self.width = np.zeros(max(names.values()) + 2, np.int64)
@@ -98,7 +104,7 @@ class Encoder:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """``ids`` of all texts one after another, and ``offsets`` (n + 1)."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        odd = pc.or_(pc.match_substring_regex(texts, IRREGULAR), pc.equal(texts, ""))
+        odd = pc.or_(pc.match_substring_regex(texts, self.whole), pc.equal(texts, ""))
         odd = odd.to_numpy(zero_copy_only=False)
         if not odd.any():
             ids, lengths = self._regular(texts)

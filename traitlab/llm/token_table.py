@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
+from ..operators.ordering import shuffle_width
 from . import simple8b
 from .common import broadcast_if_small
 from .subwords import VOCABULARY, encoder
@@ -78,7 +79,7 @@ def write_tokens(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str =
             yield close()
 
     spark = docs.sparkSession
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = shuffle_width(spark)
     order = [F.col("doc"), F.xxhash64("text")]
     (docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text"))
      .repartitionByRange(ranges, *order).sortWithinPartitions(*order)
