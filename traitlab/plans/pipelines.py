@@ -14,7 +14,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from .. import constants as C
 from ..operators import catalog as cat
@@ -135,10 +135,10 @@ def feature_job(ctx: JobContext, out_dir: str, top_k: int | None = None,
     tables ``catalog/``, ``features/`` and ``features_push/`` (published tables
     with ``run_id``).
 
-    Returns row counts and the install coverage of the main table, observed
-    while it is written: the install table is read and encoded once and nothing
-    is cached. A task that ran twice would be observed twice, so the counts are
-    held against the written rows and taken anew if they differ.
+    Returns row counts and the install coverage of the main table, whose items
+    are kept for both. (``DataFrame.observe`` would give the counts in the writing
+    pass, but in Spark 4.1 a session that has observed anything can no longer
+    serialize ``CountVectorizerModel``, which the L-BFGS option needs.)
     """
     main = build_features(ctx, "user_installs", "app_catalog", C.ITEM_PREFIX, top_k)
     date = F.lit(int(ctx.job_date)).alias("stat_date")
@@ -151,14 +151,12 @@ def feature_job(ctx: JobContext, out_dir: str, top_k: int | None = None,
             sinks.overwrite_partitions(df, f"{out_dir}/{name}", files=files)
 
     write(main.catalog, "catalog")
-    seen = Observation()
-    items = main.items.observe(seen, *feat.item_metrics())
-    write(feat.encode(items), "features")
-    stats = sinks.observed(seen)
-    # without input rows there is no partition to read back
-    if not stats or stats["n_refined"]:
-        if read_features(ctx.spark, f"{out_dir}/features", ctx.job_date).count() != stats.get("n_refined"):
-            stats = feat.item_stats(main.items).first().asDict()
+    items = main.items.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        write(feat.encode(items), "features")
+        stats = feat.item_stats(items).first().asDict()
+    finally:
+        items.unpersist()
     lookup = feat.lookup_for(main.catalog, "", top_k)
     push = feat.encode(feat.items_of(ctx.view("user_installs_push"), ctx.job_date, lookup))
     write(push, "features_push")
@@ -295,11 +293,12 @@ def infer_labels(parsed: DataFrame, labels: DataFrame, attribute: str, classes:
     return Inference(_long_output(out, attribute, job_date), {attribute: result})
 
 
-def _any_known(cols: list[str]):
+def _labelled_table(ds: DataFrame, cols: list[str]) -> DataFrame:
+    """The rows of ``ds`` with any known label, written once."""
     known = F.lit(False)
     for c in cols:
         known = known | dsm.is_labelled(c)
-    return known
+    return materialize_table(ds.where(known).select("device_id", "indices", "values", *cols), "labelled")
 
 
 def exact_models(labelled: DataFrame, targets: list[exact.Target], job_date: int, dim: int = C.FEATURE_DIM,
@@ -335,11 +334,12 @@ def exact_models(labelled: DataFrame, targets: list[exact.Target], job_date: int
 
 
 def exact_inference(ds: DataFrame, targets: list[exact.Target], job_date: int, model_dir: str | None = None,
-                    dim: int = C.FEATURE_DIM, **params) -> Inference:
+                    dim: int = C.FEATURE_DIM, labelled: DataFrame | None = None, **params) -> Inference:
     """Train all targets together on the labelled rows of ``ds`` (device_id,
-    indices, values, label columns), then score every row once."""
+    indices, values, label columns; ``labelled`` where they are at hand), then
+    score every row once."""
     cols = [t.label for t in targets]
-    labelled = materialize_table(ds.where(_any_known(cols)).select("device_id", "indices", "values", *cols), "labelled")
+    labelled = labelled if labelled is not None else _labelled_table(ds, cols)
     weights, _, reports = exact_models(labelled, targets, job_date, dim, **params)
     results = {}
     for t in targets:
@@ -395,24 +395,25 @@ def infer_all(ctx: JobContext, attributes: list[str] | None = None,
     cols = [f"label_{a}" for a in attributes]
     wide = materialize(label_matrix(ctx, attributes, label_source))
     ds = dsm.attach_labels(parsed, wide, cols)
-    present = ds.agg(*[F.count_if(dsm.is_labelled(c)).alias(c) for c in cols]).first()
+    labelled = _labelled_table(ds, cols)
+    present = labelled.agg(*[F.count_if(dsm.is_labelled(c)).alias(c) for c in cols]).first()
     skipped = tuple(a for a, c in zip(attributes, cols) if not present[c])
     attributes = [a for a in attributes if a not in skipped]
     if solver_for(solver, params) == "exact":
         targets = [exact.Target(a, ATTRIBUTES[a].classes, f"label_{a}", ATTRIBUTES[a].refine) for a in attributes]
-        res = exact_inference(ds, targets, ctx.job_date, model_dir, **params)
+        res = exact_inference(ds, targets, ctx.job_date, model_dir, labelled=labelled, **params)
     else:
-        res = _lbfgs_inference(ds, attributes, ctx.job_date, model_dir, parallelism, **params)
+        res = _lbfgs_inference(ds, labelled, attributes, ctx.job_date, model_dir, parallelism, **params)
     res.skipped = skipped
     if out_dir:
         _write(res.output, out_dir, append, run_id)
     return res
 
 
-def _lbfgs_inference(ds: DataFrame, attributes: list[str], job_date: int, model_dir: str | None,
-                     parallelism: int | None, **params) -> Inference:
+def _lbfgs_inference(ds: DataFrame, labelled: DataFrame, attributes: list[str], job_date: int,
+                     model_dir: str | None, parallelism: int | None, **params) -> Inference:
     cols = [f"label_{a}" for a in attributes]
-    labelled = materialize(feat.vectorize(ds.where(_any_known(cols))).select("device_id", "features", *cols))
+    labelled = materialize(feat.vectorize(labelled).select("device_id", "features", *cols))
 
     def fit(a: str, c: str) -> mdl.TrainResult:
         spec = ATTRIBUTES[a]

@@ -3,7 +3,7 @@
 ``PATH/_runs/RUN/`` holds what one run wrote, partitioned as usual, and
 ``PATH/_manifest/v000000000012`` names, for every partition, the runs whose rows
 it consists of, with their row counts. Writing fills the run's folder only; its
-files are counted against the rows observed on the way in, and one rename then
+rows are counted against those to be written, and one rename then
 puts a new manifest version in place. Until that rename readers follow the
 version before, so a job that dies half-way, or a task that leaves files behind,
 is never seen, and a partition is replaced in one step however many files it has.
@@ -24,9 +24,9 @@ import uuid
 from collections.abc import Sequence
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .sinks import _shape, observed
+from .sinks import _shape
 
 
 class PublishError(RuntimeError):
@@ -99,7 +99,8 @@ def _key(columns: Sequence[str], row) -> list:
 def stage(df: DataFrame, path: str, run_id: str, partition_cols: Sequence[str] = ("stat_date",),
           files: int | None = None, published: Sequence[list] = ()) -> list[tuple[list, int]]:
     """Write a run's rows where no reader looks, and count them:
-    (partition values, rows) of every partition written.
+    (partition values, rows) of every partition written. The rows to be written
+    are counted by a second, column-pruned pass over the plan.
 
     ``published`` are partitions that the run already has; their rows are left out.
     """
@@ -114,9 +115,7 @@ def stage(df: DataFrame, path: str, run_id: str, partition_cols: Sequence[str] =
         for c, v in zip(partition_cols, values, strict=True):
             same = same & F.col(c).cast("string").eqNullSafe(F.lit(v))
         df = df.where(~same)
-    seen = Observation()
-    counted = df.observe(seen, F.count(F.lit(1)).alias("n"))
-    (_shape(counted, files, partition_cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (_shape(df, files, partition_cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_cols).parquet(f"{store.root}/{folder}"))
     if not any("=" in n for n in store.names(folder)):
         rows = []
@@ -125,9 +124,8 @@ def stage(df: DataFrame, path: str, run_id: str, partition_cols: Sequence[str] =
         rows = [(_key(partition_cols, r), r["n"]) for r in
                 back.groupBy(*partition_cols).agg(F.count(F.lit(1)).alias("n")).collect()]
         rows = [(values, n) for values, n in rows if values not in list(published)]
-    total = sum(n for _, n in rows)
-    # a task that ran twice is observed twice, so a difference is settled by a count
-    if total != observed(seen).get("n", 0) and total != (expected := df.count()):
+    total, expected = sum(n for _, n in rows), df.count()
+    if total != expected:
         raise PublishError(f"{total} of {expected} rows written by run {run_id} of {path}")
     return rows
 
