@@ -53,6 +53,18 @@ def test_quality_filter_keeps_columns_and_empty(spark, awkward, empty):
 
 # --- licenses ---------------------------------------------------------------------
 
+def resolve(found):
+    """Classes in order; inside one no detection within another; none on words taken."""
+    kept = []
+    for priority in range(5):
+        own = []
+        for d in sorted(d for d in found if d[2] == priority):
+            if all(d[5] > k[5] for k in own):
+                own.append(d)
+        kept += [d for d in own if all(d[5] < k[0] or d[0] > k[5] for k in kept)]
+    return kept
+
+
 def scan_in_python(text):
     w = license_words(text)
     norm = " " + " ".join(w) + " "
@@ -65,10 +77,7 @@ def scan_in_python(text):
                 start = norm[:m.start()].count(" ") - 1
                 end = start + m[0].count(" ")
                 found.append((start, -end, priority, label, score, end))
-    kept = []
-    for d in sorted(found):
-        if all(d[5] > k[5] for k in kept):
-            kept.append(d)
+    kept = resolve(found)
     labels = sorted({x for _, x in base} | {k[3] for k in kept})
     starts = [s for s, _ in base]
     score = max([k[4] for k in kept] + [0.7] * bool(base), default=0.0)
@@ -98,6 +107,25 @@ def test_license_scan_equals_python(spark):
     assert len(licenses.build_rules()) > 200
 
 
+def test_license_priority_resolves_overlaps(spark):
+    """Random intervals that cross, contain and repeat each other, many and few."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for n in (0, 1, 2, 5, 40, 2500):
+        for _ in range(4 if n < 100 else 1):
+            starts = rng.integers(0, max(3 * n, 1), n)
+            ends = starts + rng.integers(0, 9, n)
+            rows.append((len(rows), [(int(a), -int(b), int(p), "ab"[p % 2], 0.5, int(b))
+                                     for a, b, p in zip(starts, ends, rng.integers(0, 5, n), strict=True)]))
+    df = spark.createDataFrame(rows, f"k int, _found array<{licenses._DETECTION}>")
+    got = {r["k"]: r["kept"] for r in licenses._resolved(df, "_found", "kept").collect()}
+    for k, found in rows:
+        assert [tuple(x) for x in got[k] or []] == sorted(resolve(found)), k
+    text = "licensed under the mit license all rights reserved mit license"
+    out = licenses.scan(spark.createDataFrame([(1, text)], "doc_id int, text string")).first()
+    assert [d["priority"] for d in out["detections"]] == [1, 3, 4]
+
+
 def matches_of(pattern):
     """Texts that match a rule: each branch, and least and most repeats."""
     from re import _parser

@@ -3,9 +3,11 @@
 A text becomes its lower-cased words with single spaces between. Rules are
 regular expressions over that form, each behind a keyword that every match of
 it holds: only rules whose keyword occurs are tried, and only those that match
-are located. Detections are word intervals; sorted by
-start, longer first, then by rule priority, one that lies inside an earlier
-one is suppressed, so the most specific reading of a place survives.
+are located. Detections are word intervals. Where they overlap, priority
+decides: a class of rules takes its places first, and what shares a word with
+them is dropped from the classes after it. Within a class, one that lies inside
+another is suppressed (of equal ones the first label stands); those that only
+cross both stand.
 
 Defined results: null and empty texts have no words and no detections;
 repeated rows are scanned one by one; an empty table gives an empty result;
@@ -24,7 +26,7 @@ SEPARATORS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 
 # Rule classes in priority order: (priority, score of a detection).
-TAG, GRANT, VERSIONED, NOTICE, NAME = (0, 1.0), (1, 0.95), (2, 0.85), (3, 0.8), (4, 0.7)
+TAG, GRANT, VERSIONED, NOTICE, NAME = PRIORITIES = (0, 1.0), (1, 0.95), (2, 0.85), (3, 0.8), (4, 0.7)
 
 # label, keyword (part of every match, with the spaces around it), name (over
 # normalized words), versions that may follow
@@ -196,39 +198,76 @@ def _whole(pattern: str) -> str:
 _DETECTION = "struct<start:int,down:int,priority:int,label:string,score:double,end:int>"
 
 
-def _suppressed(detections: Column) -> Column:
-    """Detections that lie in no other, in one scan over them in order.
+def _swept(items: Column, edge: int, kept, moved, value=lambda x: x) -> Column:
+    """The ``value`` of items for which ``kept(edge, item)`` holds, in one scan
+    that moves the edge on with ``moved(edge, item)``.
 
     Kept ones are collected in runs of a thousand, so that a text with very
     many detections does not copy a growing list at every step.
     """
     empty = F.expr(f"cast(array() as array<{_DETECTION}>)")
     none = F.expr(f"cast(array() as array<array<{_DETECTION}>>)")
-    start = F.struct(F.lit(-1).alias("top"), empty.alias("run"), none.alias("runs"))
+    start = F.struct(F.lit(edge).alias("edge"), empty.alias("run"), none.alias("runs"))
 
     def step(state: Column, x: Column) -> Column:
-        run = F.when(x["end"] > state["top"], F.concat(state["run"], F.array(x))).otherwise(state["run"])
+        run = F.when(kept(state["edge"], x), F.concat(state["run"], F.array(value(x)))).otherwise(state["run"])
         full = F.size(run) >= 1000
-        return F.struct(F.greatest(state["top"], x["end"]).alias("top"),
+        return F.struct(moved(state["edge"], x).alias("edge"),
                         F.when(full, empty).otherwise(run).alias("run"),
                         F.when(full, F.concat(state["runs"], F.array(run)))
                         .otherwise(state["runs"]).alias("runs"))
 
-    return F.aggregate(F.sort_array(detections), start, step,
-                       lambda s: F.flatten(F.concat(s["runs"], F.array(s["run"]))))
+    return F.aggregate(items, start, step, lambda s: F.flatten(F.concat(s["runs"], F.array(s["run"]))))
+
+
+def _outermost(detections: Column) -> Column:
+    """Detections that lie in no other, equal ones once."""
+    return _swept(F.sort_array(detections), -1, lambda top, x: x["end"] > top,
+                  lambda top, x: F.greatest(top, x["end"]))
+
+
+def _clear(detections: Column, taken: Column) -> Column:
+    """Detections that share no word with one of ``taken``: none that begins
+    before reaches into them, and none begins in them."""
+    def both(own: Column, place) -> Column:
+        tagged = lambda of, mine: F.transform(of, lambda x: F.struct(
+            place(x).alias("place"), F.lit(mine).alias("mine"), x.alias("x")))
+        return F.sort_array(F.concat(tagged(taken, 0), tagged(own, 1)))
+
+    mine = lambda x: x["mine"] == 1
+    ahead = _swept(both(detections, lambda x: x["start"]), -1,
+                   lambda top, t: mine(t) & (t["x"]["start"] > top),
+                   lambda top, t: F.when(mine(t), top).otherwise(F.greatest(top, t["x"]["end"])), lambda t: t["x"])
+    return _swept(both(ahead, lambda x: -x["start"]), 2 ** 31 - 1,
+                  lambda low, t: mine(t) & (t["x"]["end"] < low),
+                  lambda low, t: F.when(mine(t), low).otherwise(F.least(low, t["x"]["start"])), lambda t: t["x"])
+
+
+def _resolved(df: DataFrame, found: str, out: str) -> DataFrame:
+    """``df`` with the detections of ``found`` that stand, as ``out``: a class
+    of rules takes its places before the next one, which gets only what shares
+    no word with them; within a class, one that lies in another gives way."""
+    none = F.expr(f"cast(array() as array<{_DETECTION}>)")
+    some = F.size(found) > 0
+    df = df.withColumn(out, none)
+    for priority in range(len(PRIORITIES)):
+        own = _outermost(F.filter(found, lambda x: x["priority"] == priority))  # noqa: B023
+        df = df.withColumn("_own", F.when(some, own)).withColumn(
+            out, F.when(F.size("_own") > 0, F.concat(out, _clear(F.col("_own"), F.col(out)))).otherwise(F.col(out)))
+    return df.withColumn(out, F.when(some, F.sort_array(out))).drop("_own")
 
 
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``n_words``, ``base`` (word places and labels of the base
-    phrases), ``detections`` (intervals with label, priority and score that no
-    other contains), ``base_labels``, ``labels`` and ``score``."""
+    phrases), ``detections`` (intervals with label, priority and score that
+    stand), ``base_labels``, ``labels`` and ``score``."""
     rules = build_rules()
     keywords = sorted({r[3] for r in rules})
     table = F.array(*[F.struct(
         F.lit(p).alias("priority"), F.lit(s).alias("score"), F.lit(label).alias("label"),
         F.lit(k).alias("keyword"), F.lit(_whole(x)).alias("pattern")) for p, s, label, k, x in rules])
     norm = F.col("_norm")
-    docs = docs.drop("n_words", "base", "detections", "base_labels", "labels", "score", "_norm")
+    docs = docs.drop("n_words", "base", "detections", "base_labels", "labels", "score", "_norm", "_own")
     one = docs.withColumn("_core", normalized(F.col(text)))
     one = one.withColumns({
         "_norm": F.concat(F.lit(" "), F.col("_core"), F.lit(" ")),
@@ -252,7 +291,7 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
         "base": F.concat(*[base_places(p, x) for p, x in BASE]),
         "_present": present})
     three = two.withColumn("_found", F.when(F.size("_present") > 0, found))
-    four = three.withColumn("detections", F.when(F.size("_found") > 0, _suppressed(F.col("_found"))))
+    four = _resolved(three, "_found", "detections")
     own = F.coalesce(F.transform("detections", lambda d: d["label"]), F.array().cast("array<string>"))
     base_labels = F.array_distinct(F.transform("base", lambda b: b["label"]))
     scores = F.concat(
