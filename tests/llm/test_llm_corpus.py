@@ -250,9 +250,46 @@ def test_lm_base_score_equals_plain_counts(spark, awkward, empty, monkeypatch):
     assert lm.score(empty).count() == 0
 
 
+def _vocabulary(rng, n: int, keep: int = 400) -> attention.Vocabulary:
+    """Counted on random texts; only the ``keep`` most frequent pairs are kept."""
+    texts = [np.append(np.minimum(rng.geometric(0.1, 40), n - 1) - 1, n - 1) for _ in range(50)]
+    ids, bounds = np.concatenate(texts), np.arange(51) * 41
+    keys, number = np.unique(attention.pair_keys(attention.ids_before(ids, bounds, n), ids), return_counts=True)
+    some = np.sort(np.argsort(-number, kind="stable")[:keep])
+    assert len(some) < len(keys)
+    return attention.Vocabulary(np.bincount(ids, minlength=n).astype(float), (keys[some], number[some]))
+
+
+def test_attention_equals_a_plain_scorer():
+    rng = np.random.default_rng(4)
+    vocabulary = _vocabulary(rng, 60)
+    w = {k: x * 2 for k, x in attention.initial().items()}
+    sizes = [1, attention.WINDOW, 90]
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    ids = rng.integers(0, 60, bounds[-1])
+    got = attention.log_probabilities(w, vocabulary, ids, bounds, block=2)
+    pairs = dict(zip(vocabulary.keys.tolist(), vocabulary.pair_share.tolist()))
+    expected = []
+    for a, b in zip(bounds, bounds[1:]):
+        text = [60, *ids[a:b].tolist()]
+        for t in range(1, len(text)):
+            # the last window that has the id past its overlap
+            turn = max(0, (t - 1 - attention.OVERLAP) // (attention.WINDOW - attention.OVERLAP))
+            start = turn * (attention.WINDOW - attention.OVERLAP)
+            x = [w["embed"][vocabulary.row_of[text[k]]] + w["place"][k - start] for k in range(start, t)]
+            q, k, v = (np.array(x) @ w["qkv"][:, n * attention.DIM:(n + 1) * attention.DIM] for n in range(3))
+            a_ = np.exp(k @ q[-1] / attention.DIM ** 0.5)
+            move = (x[-1] + (a_ @ v) / a_.sum() @ w["mix"]) @ w["out"] + w["bias"]
+            share = [pairs.get(text[t - 1] << 16 | i, 0) + vocabulary.left[text[t - 1]] * vocabulary.share[i]
+                     for i in range(60)]
+            share = np.array(share) * np.exp(move[vocabulary.class_of])
+            expected.append(math.log(share[text[t]] / share.sum()))
+    assert np.allclose(got, expected, atol=1e-4)
+
+
 def test_attention_scores_each_id_once_and_sums_to_one():
     rng = np.random.default_rng(1)
-    vocabulary = attention.Vocabulary(rng.integers(0, 50, 60).astype(float))
+    vocabulary = _vocabulary(rng, 60)
     sizes = [0, 1, 3, attention.WINDOW, attention.WINDOW + 1, 200, 0]
     bounds = np.concatenate([[0], np.cumsum(sizes)])
     ids = rng.integers(0, 60, bounds[-1])
@@ -287,7 +324,7 @@ def test_attention_gradients():
         assert abs((step[1] - step[-1]) / 2e-5 - grad[name][at]) < 1e-6
 
 
-def test_lm_beats_unigrams_on_held_out_documents(spark):
+def test_lm_beats_unigrams_and_bigrams_on_held_out_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = [r for r in lm.score(docs).collect() if r.held_out]
     per_id = sum(r.score for r in rows) / sum(r.n_ids for r in rows)
@@ -300,10 +337,23 @@ def test_lm_beats_unigrams_on_held_out_documents(spark):
     logs = np.log10(counts / counts.sum())
     test = np.concatenate([x for x, h in zip(own, held) if h])
     assert per_id > logs[test].mean() + 0.03
+    # an interpolated bigram of the same training documents, counted plainly
+    pairs, before = collections.Counter(), collections.Counter()
+    for x in (x for x, h in zip(own, held) if not h):
+        pairs.update(zip([-1, *x[:-1].tolist()], x.tolist()))
+        before.update([-1, *x[:-1].tolist()])
+    kinds = collections.Counter(a for a, _ in pairs)
+    shares, total = counts / counts.sum(), 0.0
+    for x in (x for x, h in zip(own, held) if h):
+        for a, b in zip([-1, *x[:-1].tolist()], x.tolist()):
+            n = before[a]
+            left = 0.75 * kinds[a] / n if n else 1.0
+            total += math.log10(max(pairs[a, b] - 0.75, 0) / max(n, 1) + left * shares[b])
+    assert per_id > total / len(test) + 0.001
 
 
 def test_lm_trains_on_every_training_document_once(spark, monkeypatch):
-    texts = [np.full(2 + k % 5, k, "<u2") for k in range(3000)]
+    texts = [np.append(np.full(2 + k % 5, k), lm.END_ID).astype("<u2") for k in range(3000)]
     rows = spark.createDataFrame([(k, k % 5 == 1, bytearray(x.tobytes())) for k, x in enumerate(texts)],
                                  "row long, held_out boolean, ids binary")
     rounds = []
@@ -315,7 +365,7 @@ def test_lm_trains_on_every_training_document_once(spark, monkeypatch):
     monkeypatch.setattr(lm, "_average", average)
     lm.train_weights(rows, attention.Vocabulary(np.ones(lm.N_IDS)))
     assert len(rounds) == lm.ROUNDS and min(rounds) > 0
-    assert sum(rounds) == sum(len(x) + 1 for k, x in enumerate(texts) if k % 5 != 1)
+    assert sum(rounds) == sum(len(x) for k, x in enumerate(texts) if k % 5 != 1)
 
 
 # --- pipeline ----------------------------------------------------------------------------------

@@ -13,7 +13,7 @@ import xxhash
 WORDS = 5
 CHUNK_BYTES = 4 << 20
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_FOLD = bytes.maketrans(_UPPER.encode(), _LOWER.encode())
+FOLD = bytes.maketrans(_UPPER.encode(), _LOWER.encode())
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -32,7 +32,7 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     # A-Z are single bytes in UTF-8 and no part of another character
     raw = texts.buffers()[2]
     if raw is not None:
-        folded = pa.py_buffer(raw.to_pybytes().translate(_FOLD))
+        folded = pa.py_buffer(raw.to_pybytes().translate(FOLD))
         texts = pa.Array.from_buffers(texts.type, len(texts), [None, texts.buffers()[1], folded],
                                       offset=texts.offset)
     for c in "\t\n\x0b\x0c\r":

@@ -17,8 +17,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import public_tokenizers
+import xxhash
 from tokenizers import Tokenizer
 
+from .shingles import FOLD, word_hashes
+
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 # Units remembered by one worker process before it starts afresh.
 MAX_UNITS = 1_200_000
@@ -59,6 +62,15 @@ class Encoder:
         self.start = np.zeros(0, np.int32)
         self.length = np.zeros(0, np.int32)
         self.ids = np.zeros(0, np.uint16)
+        self.hashed = np.zeros(0, np.uint64)
+
+    def _hashes(self) -> np.ndarray:
+        """Per unit the hash of its word, as ``word_hashes`` gives it."""
+        fresh = self.units.slice(len(self.hashed)).cast(pa.large_binary()).to_pylist()
+        # a unit that begins a text or a line has a mark in front
+        own = (xxhash.xxh3_64_intdigest(u[u[:1] in (MARK.encode(), b"\n"):].translate(FOLD)) for u in fresh)
+        self.hashed = np.concatenate([self.hashed, np.fromiter(own, np.uint64, len(fresh))])
+        return self.hashed
 
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -88,38 +100,49 @@ class Encoder:
         self.length = np.concatenate([self.length, counts.astype(np.int32)])
         self.ids = np.concatenate([self.ids, flat, *bare])
 
-    def chunks(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    def chunks(self, texts: pa.Array, words: bool = False) -> Iterator[tuple]:
         """(first row, ids, offsets) of consecutive slices of about
-        ``CHUNK_BYTES`` of text each; a longer text is a slice of its own."""
+        ``CHUNK_BYTES`` of text each; a longer text is a slice of its own.
+        With ``words``, also the slices' word hashes and their offsets."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
         row = 0
         while row < len(texts):
             floor = ends[row - 1] if row else 0
             stop = max(row + 1, int(np.searchsorted(ends, floor + CHUNK_BYTES, "right")))
-            yield row, *self.encode(texts.slice(row, stop - row))
+            yield row, *(self.encode_words if words else self.encode)(texts.slice(row, stop - row))
             pa.default_memory_pool().release_unused()
             row = stop
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """``ids`` of all texts one after another, and ``offsets`` (n + 1)."""
+        return self._encode(texts, False)[:2]
+
+    def encode_words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """As :meth:`encode`, and what ``word_hashes`` gives for the texts."""
+        return self._encode(texts, True)
+
+    def _encode(self, texts: pa.Array, words: bool):
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         odd = pc.or_(pc.match_substring_regex(texts, self.whole), pc.equal(texts, ""))
         odd = odd.to_numpy(zero_copy_only=False)
-        if not odd.any():
-            ids, lengths = self._regular(texts)
-            return ids, np.concatenate([[0], np.cumsum(lengths)])
-        ids, lengths = self._regular(texts.filter(pa.array(~odd)))
-        whole = [np.asarray(x, np.uint16) for x in self._whole(texts.filter(pa.array(odd)).to_pylist())]
-        regular = np.split(ids, np.cumsum(lengths)[:-1]) if len(lengths) else []
-        a, b = iter(regular), iter(whole)
-        parts = [next(b) if x else next(a) for x in odd]
-        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-        return np.concatenate(parts), np.concatenate([[0], np.cumsum(sizes)])
-
-    def _regular(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        ids, lengths, place, bounds = self._regular(texts.filter(pa.array(~odd)) if odd.any() else texts)
+        out = [(ids, lengths)]
+        if words:
+            out.append((self._hashes()[place], np.diff(bounds)))
+        if odd.any():
+            rest = texts.filter(pa.array(odd))
+            whole = [[np.asarray(x, np.uint16) for x in self._whole(rest.to_pylist())]]
+            if words:
+                hashes, ends = word_hashes(rest)
+                whole.append(np.split(hashes, ends[1:-1]))
+            out = [_merged(odd, *x, y) for x, y in zip(out, whole, strict=True)]
+        return [y for flat, sizes in out for y in (flat, np.concatenate([[0], np.cumsum(sizes)]))]
+
+    def _regular(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, ids per text, the texts' units and their bounds."""
         if not len(texts):
-            return np.zeros(0, np.uint16), np.zeros(0, np.int64)
+            return np.zeros(0, np.uint16), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(1, np.int64)
         marked = pc.binary_join_element_wise(
             _text(MARK), pc.replace_substring(texts, "\n", " \n"), _text(""))
         split = pc.split_pattern(marked, " ")
@@ -143,7 +166,15 @@ class Encoder:
         ends = np.cumsum(length, dtype=np.int64)
         take = np.repeat(self.start[place] - (ends - length).astype(np.int32), length)
         take += np.arange(len(take), dtype=np.int32)
-        return self.ids[take], np.diff(np.concatenate([[0], ends])[bounds])
+        return self.ids[take], np.diff(np.concatenate([[0], ends])[bounds]), place, bounds
+
+
+def _merged(odd: np.ndarray, flat: np.ndarray, sizes: np.ndarray, whole: list) -> tuple[np.ndarray, np.ndarray]:
+    """Values of regular and of odd texts in the texts' order, and their numbers."""
+    regular = np.split(flat, np.cumsum(sizes)[:-1]) if len(sizes) else []
+    a, b = iter(regular), iter(whole)
+    parts = [next(b) if x else next(a) for x in odd]
+    return np.concatenate(parts), np.fromiter(map(len, parts), np.int64, len(parts))
 
 
 _ENCODERS: dict[str, Encoder] = {}
