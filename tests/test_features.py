@@ -1,3 +1,4 @@
+import re
 import time
 
 import numpy as np
@@ -236,3 +237,31 @@ def test_regexes_survive_pathological_lengths(spark):
     inst = spark.createDataFrame([("d", "111:1" + " " * 50000)], "device_id string, value string")
     keys = [r["key"] for r in feat.install_tokens(inst).collect()]
     assert keys == ["111"]
+
+
+def test_chunks_give_the_rows_of_the_local_lookup(spark, monkeypatch):
+    """Chunks smaller than a row's list, some items sent and the others joined by chunk."""
+    rng = np.random.default_rng(6)
+    rows = [(f"d{i % 50}", " ".join(f"{10 + k}:1" for k in rng.integers(0, 60, i % 9))) for i in range(200)]
+    installs = spark.createDataFrame(rows, "device_id string, value string").withColumn(
+        "stat_date", F.lit(20180709)).repartition(3)
+    lookup_rows = [(f"1{k}", k, f"[1{k}_n]_wind_{k}:1") for k in range(40)]
+    names = spark.createDataFrame(lookup_rows, "key string, idx bigint, token string")
+    key = lambda df: sorted((r["device_id"], [tuple(i) for i in r["items"]]) for r in df.collect())
+    expected = key(feat.row_items(feat.install_rows(installs, 20180709), names))
+    for tokens, hot in ((1 << 20, 0), (5, 0), (7, 12), (1, 40)):
+        monkeypatch.setattr(feat.C, "CHUNK_TOKENS", tokens)
+        assert key(feat.chunk_items(feat.install_rows(installs, 20180709), names, hot)) == expected
+    assert len(expected) == 200
+
+
+def test_beyond_the_bound_a_frequent_key_is_joined_once_a_chunk(spark):
+    """No token leaves its row: the keys of all rows are joined once for each chunk."""
+    rows = [(f"d{i}", "111:1 112:1 111:1") for i in range(3000)]
+    installs = spark.createDataFrame(rows, "device_id string, value string").withColumn(
+        "stat_date", F.lit(20180709)).coalesce(1)
+    names = feat.lookup_for(_ranked(spark), "11", None)
+    df = feat.items_of(installs, 20180709, names, max_lookup_rows=0)
+    path = re.search(r"file:\S*chunks-\w+", df.inputFiles()[0]).group(0)
+    assert spark.read.parquet(path).selectExpr("sum(size(key))").first()[0] <= 2 * spark.read.parquet(path).count()
+    assert feat.item_stats(df).first()["n_refined"] == 3000

@@ -39,6 +39,14 @@ SAMPLE_JOB_DATE = 20180709
 # only after a count proves it is at most this many rows and bytes.
 BROADCAST_MAX_ROWS = 2_000_000
 BROADCAST_MAX_BYTES = 64 << 20
+# Bounds of a catalog lookup that every task holds as a whole (about 1.3 times its
+# bytes in each Python worker). Beyond them, the HOT_ITEMS most installed items are
+# held, within the bounds above, and the others are joined to chunks of install rows
+# with at most CHUNK_TOKENS tokens.
+LOOKUP_MAX_ROWS = 4_000_000
+LOOKUP_MAX_BYTES = 256 << 20
+HOT_ITEMS = 200_000
+CHUNK_TOKENS = 1 << 20
 # Most rows one task may merge for an ordered top-k (partitions x k).
 TOPK_MAX_MERGE_ROWS = 2_000_000
 # Buckets of the daily feature table (100 TB: about 24 GB of features a bucket; a

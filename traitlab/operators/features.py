@@ -9,15 +9,18 @@ executors is joined by shuffle.
 from __future__ import annotations
 
 import re
+import uuid
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from .. import constants as C
 from ..functions.text import before_first, split_dropping_trailing
+from ..session import delete_on_exit, scratch_path
 from ..sources.snapshot import dated_scan, not_null
 from .lookup import KeyIndex
 from .sizing import broadcast_if_small, small
@@ -81,7 +84,7 @@ def device_items(tokens: DataFrame, lookup: DataFrame, keys: tuple[str, ...] = (
     Devices without any catalog hit keep an empty array (FLT-10). Repeated
     items collapse to one entry. With a column ``first`` that marks one token
     of each install row, a group gives as many rows as it has such tokens.
-    Used when the lookup is too large for :func:`row_items`.
+    The general form, for tokens at hand; install rows go by :func:`items_of`.
     """
     matched = match_catalog(tokens, lookup, how="left", **join_opts)
     item = F.when(F.col("idx").isNotNull(), F.struct("idx", "token"))
@@ -90,6 +93,39 @@ def device_items(tokens: DataFrame, lookup: DataFrame, keys: tuple[str, ...] = (
             .select("device_id", F.explode(F.array_repeat("items", F.col("n").cast("int"))).alias("items")))
 
 
+def _indexed(lookup: DataFrame):
+    """(index of the keys, idx, tokens) of a small lookup, to be sent to the executors once."""
+    table = lookup.select("key", "idx", "token").toArrow().combine_chunks()
+    tokens = table["token"]
+    return (KeyIndex(table["key"]), table["idx"].to_numpy(),
+            pa.concat_arrays(tokens.chunks) if tokens.num_chunks else pa.array([], pa.string()))
+
+
+def _keys(values: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The item keys of a batch of install lists, one after another, and their
+    number in each list (STR-1)."""
+    lists = pc.split_pattern(pc.utf8_rtrim(values, characters=C.LIST_SEP), C.LIST_SEP)
+    parts = pc.split_pattern(lists.flatten(), C.VALUE_SEP, max_splits=1)
+    return pc.list_element(parts, 0), np.diff(lists.offsets.to_numpy())
+
+
+def _item_lists(n: int, at: np.ndarray, of: np.ndarray, idx: np.ndarray, tokens: pa.Array) -> pa.ListArray:
+    """Lists of the items at the places ``at`` of ``idx`` and ``tokens``, in the
+    order of their index and each once, for ``n`` rows; ``of`` holds the rows."""
+    order = np.lexsort((idx[at], of))
+    at, of = at[order], of[order]
+    new = np.ones(len(at), bool)
+    new[1:] = (at[1:] != at[:-1]) | (of[1:] != of[:-1])
+    at, of = at[new], of[new]
+    ends = np.cumsum(np.bincount(of, minlength=n))
+    entries = pa.StructArray.from_arrays(
+        [pa.array(idx[at], pa.int64()), tokens.take(pa.array(at))], names=["idx", "token"])
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), entries)
+
+
+_ITEMS = "device_id string, items array<struct<idx:bigint,token:string>>"
+
+
 def row_items(rows: DataFrame, lookup: DataFrame) -> DataFrame:
     """(device_id, items) row by row: split, look up, sort by index, rejoin.
 
@@ -97,53 +133,102 @@ def row_items(rows: DataFrame, lookup: DataFrame) -> DataFrame:
     keys indexed; a batch of lists is matched as one flat array of keys and cut
     back into rows by offsets, so nothing is exploded or shuffled.
     """
-    table = lookup.select("key", "idx", "token").toArrow().combine_chunks()
-    found = KeyIndex(table["key"])
-    shared = rows.sparkSession.sparkContext.broadcast((found, table["idx"].to_numpy(), table["token"]))
+    shared = rows.sparkSession.sparkContext.broadcast(_indexed(lookup))
 
     def run(batches):
         index, idx, tokens = shared.value
-        tokens = pa.concat_arrays(tokens.chunks) if tokens.num_chunks else pa.array([], pa.string())
         for batch in batches:
-            lists = pc.split_pattern(pc.utf8_rtrim(batch.column(1), characters=C.LIST_SEP), C.LIST_SEP)
-            parts = pc.split_pattern(lists.flatten(), C.VALUE_SEP, max_splits=1)
-            at = index.find(pc.list_element(parts, 0))
-            of = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
+            keys, size = _keys(batch.column(1))
+            at, of = index.find(keys), np.repeat(np.arange(batch.num_rows), size)
             hit = at >= 0
-            at, of = at[hit], of[hit]
-            order = np.lexsort((idx[at], of))
-            at, of = at[order], of[order]
-            new = np.ones(len(at), bool)
-            new[1:] = (at[1:] != at[:-1]) | (of[1:] != of[:-1])
-            at, of = at[new], of[new]
-            ends = np.cumsum(np.bincount(of, minlength=batch.num_rows))
-            entries = pa.StructArray.from_arrays(
-                [pa.array(idx[at], pa.int64()), tokens.take(pa.array(at))], names=["idx", "token"])
-            items = pa.ListArray.from_arrays(
-                pa.array(np.concatenate([[0], ends]).astype(np.int32)), entries)
+            items = _item_lists(batch.num_rows, at[hit], of[hit], idx, tokens)
             yield pa.RecordBatch.from_arrays([batch.column(0), items], names=["device_id", "items"])
 
-    return rows.select("device_id", "value").mapInArrow(
-        run, "device_id string, items array<struct<idx:bigint,token:string>>")
+    return rows.select("device_id", "value").mapInArrow(run, _ITEMS)
+
+
+def _hot_items(lookup: DataFrame, limit: int) -> int:
+    """How many of the most installed items (they have the lowest indexes) are
+    sent to all tasks."""
+    while limit and not small(lookup.where(F.col("idx") < limit)):
+        limit //= 2
+    return limit
+
+
+def chunk_items(rows: DataFrame, lookup: DataFrame, max_hot: int = C.HOT_ITEMS) -> DataFrame:
+    """(device_id, items) as :func:`row_items` gives them, for a lookup of any size.
+
+    The most installed items are sent to all tasks and matched in place. Rows
+    are packed into chunks of at most ``CHUNK_TOKENS`` tokens, in which a token
+    is a number: of an item sent, or of one of the chunk's other keys. The chunks
+    are written once; each of their other keys, once a chunk, meets the rest of
+    the catalog in a shuffle join, and the items found return to their chunk.
+    So no row is taken apart, and a frequent key is at most once in a chunk.
+    """
+    spark = rows.sparkSession
+    limit = _hot_items(lookup, max_hot)
+    shared = spark.sparkContext.broadcast(_indexed(lookup.where(F.col("idx") < limit)))
+    schema = "chunk long, device_id array<string>, size array<int>, item array<int>, key array<string>"
+
+    def pack(batches):
+        index, chunk = shared.value[0], TaskContext.get().partitionId() << 33
+        one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
+        for batch in batches:
+            keys, size = _keys(batch.column(1))
+            ends, row = np.cumsum(size), 0
+            while row < batch.num_rows:
+                done = int(ends[row - 1]) if row else 0
+                stop = max(row + 1, int(np.searchsorted(ends, done + C.CHUNK_TOKENS, "right")))
+                own = keys.slice(done, int(ends[stop - 1]) - done)
+                item = index.find(own)
+                other = pc.filter(own, pa.array(item < 0)).dictionary_encode()
+                item[item < 0] = -1 - other.indices.to_numpy(zero_copy_only=False)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([chunk], pa.int64()), one(batch.column(0).slice(row, stop - row)),
+                     one(pa.array(size[row:stop].astype(np.int32))), one(pa.array(item.astype(np.int32))),
+                     one(other.dictionary)], names=["chunk", "device_id", "size", "item", "key"])
+                chunk, row = chunk + 1, stop
+
+    path = delete_on_exit(spark, scratch_path(spark, f"chunks-{uuid.uuid4().hex}"))
+    (rows.select("device_id", "value").mapInArrow(pack, schema)
+     .write.option("compression", "zstd").parquet(path))
+    chunks = spark.read.parquet(path)
+    found = (chunks.select("chunk", F.posexplode("key").alias("pos", "key"))
+             .join(lookup.where(F.col("idx") >= limit), "key")
+             .select(F.col("chunk").alias("to"), "pos", "idx", "token"))
+
+    def fill(chunk: pa.Table, found: pa.Table) -> pa.Table:
+        _, idx, tokens = shared.value
+        if not chunk.num_rows:
+            return pa.table({"device_id": pa.array([], pa.string()),
+                             "items": pa.array([], pa.list_(pa.struct([("idx", pa.int64()), ("token", pa.string())])))})
+        devices, size, item = (pa.concat_arrays(chunk[c].chunks).flatten() for c in ("device_id", "size", "item"))
+        size, item = size.to_numpy(), item.to_numpy().astype(np.int64)
+        # the items found follow those sent
+        place = np.full(max(-int(item.min(initial=0)), 1), -1, np.int64)
+        place[found["pos"].to_numpy()] = len(idx) + np.arange(found.num_rows)
+        item[item < 0] = place[-1 - item[item < 0]]
+        of, hit = np.repeat(np.arange(len(size)), size), item >= 0
+        items = _item_lists(len(size), item[hit], of[hit], np.concatenate([idx, found["idx"].to_numpy()]),
+                            pa.concat_arrays([tokens, *found["token"].chunks]))
+        return pa.table({"device_id": devices, "items": items})
+
+    return (chunks.drop("key").groupBy("chunk").cogroup(found.groupBy("to"))
+            .applyInArrow(fill, _ITEMS))
 
 
 def items_of(installs: DataFrame, job_date: int | None, lookup: DataFrame,
-             max_lookup_rows: int = C.BROADCAST_MAX_ROWS, **join_opts) -> DataFrame:
+             max_lookup_rows: int = C.LOOKUP_MAX_ROWS) -> DataFrame:
     """(device_id, items) of one date of an install table, one per install row.
 
-    Row-local while the lookup is small; beyond the bound the tokens are
-    joined by shuffle and grouped by the install row's content. Rows that are
-    alike share a group, which gives one result for each of them: the result
-    is the same multiset at every lookup size.
+    Row-local while the lookup is small; beyond the bound in chunks of rows,
+    whose less frequent keys are joined by shuffle. The result is the same
+    multiset at every lookup size.
     """
     rows = install_rows(installs, job_date)
-    if small(lookup, max_lookup_rows):
+    if small(lookup, max_lookup_rows, C.LOOKUP_MAX_BYTES):
         return row_items(rows, lookup)
-    tok = F.posexplode_outer(split_dropping_trailing(F.col("value"), C.LIST_SEP)).alias("at", "tok")
-    tokens = rows.select("device_id", F.xxhash64("value").alias("_row"), tok).select(
-        "device_id", "_row", before_first(F.col("tok"), C.VALUE_SEP).alias("key"),
-        (F.coalesce("at", F.lit(0)) == 0).alias("first"))
-    return device_items(tokens, lookup, ("device_id", "_row"), max_broadcast_rows=0, **join_opts)
+    return chunk_items(rows, lookup, min(max_lookup_rows, C.HOT_ITEMS))
 
 
 def encode(items: DataFrame) -> DataFrame:
