@@ -364,7 +364,7 @@ def _label_matrix(ctx: JobContext) -> DataFrame:
 def _union_known_predicted(ctx: JobContext) -> DataFrame:
     """SET-1 with a deterministic stand-in scorer: unlabelled devices get
     (number of parsed tokens) mod 2 as their predicted class."""
-    ds = _gender_dataset(ctx)
+    ds = dsm.attach_labels(pipe.parsed_table(ctx.features), pipe.materialize(_gender(ctx)))  # read by both parts
     labelled, unlabelled = dsm.split_labelled(ds)
     stand_in = unlabelled.select("device_id", (F.size("indices") % 2).cast("double").alias("label"))
     return mdl.union_known_predicted(labelled.select("device_id", "label"), stand_in)
@@ -529,10 +529,10 @@ def _scan_via_view(ctx: JobContext) -> DataFrame:
 def _model_saved_and_loaded(ctx: JobContext) -> DataFrame:
     """SNK-5: the gender model written, read back, and applied to the devices
     without a known label."""
-    path = _scratch_dir(ctx, "models")
-    res = pipe.infer(ctx, "gender", model_dir=path).results["gender"]
+    path, parsed = _scratch_dir(ctx, "models"), pipe.parsed_table(ctx.features)
+    res = pipe.infer(ctx, "gender", model_dir=path, parsed=parsed).results["gender"]
     weights = exact.load(ctx.spark, res.model_path, exact.Target("gender", 2, "label"))
-    ds = _gender_dataset(ctx).where(~dsm.is_labelled())
+    ds = dsm.attach_labels(parsed, _gender(ctx)).where(~dsm.is_labelled())
     scored = exact.score(ds.select("device_id", "indices", "values"), weights)
     return scored.select("device_id", F.col("score_gender").alias("score"), F.col("prediction_gender").alias("label"))
 
@@ -540,9 +540,9 @@ def _model_saved_and_loaded(ctx: JobContext) -> DataFrame:
 @query("result_table")
 def _result_table(ctx: JobContext) -> DataFrame:
     """SNK-6: two attribute jobs into one result table, read back."""
-    path = _scratch_dir(ctx, "results")
+    path, parsed = _scratch_dir(ctx, "results"), pipe.parsed_table(ctx.features)
     for attribute in ("car", "child"):
-        pipe.infer(ctx, attribute, out_dir=path)
+        pipe.infer(ctx, attribute, out_dir=path, parsed=parsed)
     return ctx.spark.read.parquet(path).select("device_id", "attribute", "label", "is_predicted", "stat_date")
 
 
@@ -592,7 +592,8 @@ def _features_encoded_shuffled(ctx: JobContext) -> DataFrame:
 def _install_stats_repeated(ctx: JobContext) -> DataFrame:
     """FLT-10 / AGG-6 of an install table that holds every row twice, within
     and beyond the lookup bound."""
-    twice = ctx.view("user_installs").unionAll(ctx.view("user_installs"))
+    installs = pipe.materialize_table(ctx.view("user_installs"), "installs")  # read four times
+    twice = installs.unionAll(installs)
     lookup = feat.lookup_for(ctx.catalog_ranked, C.ITEM_PREFIX, None)
     local = feat.item_stats(feat.items_of(twice, ctx.job_date, lookup))
     beyond = feat.item_stats(_shuffled_items(ctx, twice))
