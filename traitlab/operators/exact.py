@@ -26,6 +26,7 @@ go to the smaller one; an attribute without training rows has coefficients of 0.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -47,7 +48,7 @@ MARGIN_CAP = 40.0
 # Entries of a block of packed rows.
 BLOCK_ENTRIES = 1 << 18
 # Gradient cells one task should add up per iteration, and the tasks whose sums
-# are merged on the driver (each at most one number per coefficient).
+# (each at most one number per coefficient) are merged at once.
 CELLS_PER_TASK = 1_000_000
 DIRECT_TASKS = 8
 # Gradient cells of a pass that one task adds up faster than a job starts.
@@ -167,24 +168,28 @@ def _residuals(targets: Sequence[Target], margin: np.ndarray, known: np.ndarray)
     return out
 
 
-def _cells(total: np.ndarray) -> tuple[bytes, bytes]:
+def _cells(total: np.ndarray) -> tuple[bytes | None, bytes]:
+    """The non-zero sums and their cells, or all sums without cells where that is shorter."""
     flat = total.ravel()
     cell = np.flatnonzero(flat)
-    return cell.astype("<i8").tobytes(), flat[cell].astype("<i8").tobytes()
+    if 3 * len(cell) > 2 * len(flat):
+        return None, flat.astype("<i8").tobytes()
+    return cell.astype("<i4").tobytes(), flat[cell].astype("<i8").tobytes()
 
 
 def _added(cells, sums, size: int) -> np.ndarray:
-    """The sparse sums of several tasks, added up."""
+    """The sums of several tasks, added up."""
     out = np.zeros(size)
     for c, s in zip(cells, sums, strict=True):
-        out[np.frombuffer(c, "<i8")] += np.frombuffer(s, "<i8")
+        out[slice(None) if c is None else np.frombuffer(c, "<i4")] += np.frombuffer(s, "<i8")
     return out
 
 
 def _summed(blocks: DataFrame, n_labels: int, add, shape: tuple[int, int], tasks: int) -> np.ndarray:
     """Sums of what ``add`` adds up over all blocks: each task sends one row
-    with its non-zero sums. They are whole numbers, so neither the order nor
-    the number of tasks matters; many tasks' rows are first merged in groups."""
+    with its sums. They are whole numbers, so neither the order nor the number of
+    tasks matters; many tasks' rows are merged in groups, and the groups' to the
+    one compressed row that the driver gets, whatever the number of tasks."""
     size = shape[0] * shape[1]
     groups = max(1, int(tasks ** 0.5))
 
@@ -201,11 +206,15 @@ def _summed(blocks: DataFrame, n_labels: int, add, shape: tuple[int, int], tasks
         cells, sums = _cells(_added(table["cells"].to_pylist(), table["sums"].to_pylist(), size))
         return pa.table({"cells": pa.array([cells], pa.binary()), "sums": pa.array([sums], pa.binary())})
 
+    def one_row(table: pa.Table) -> pa.Table:
+        merged = merge(table)
+        return merged.set_column(1, "sums", pa.array([zlib.compress(merged["sums"][0].as_py(), 1)], pa.binary()))
+
     found = blocks.mapInArrow(run, "grp int, cells binary, sums binary")
     if tasks > DIRECT_TASKS:
         found = found.groupBy("grp").applyInArrow(merge, "cells binary, sums binary")
-    found = found.select("cells", "sums").toArrow()
-    return _added(found["cells"].to_pylist(), found["sums"].to_pylist(), size).reshape(shape)
+    row = found.select("cells", "sums").groupBy().applyInArrow(one_row, "cells binary, sums binary").toArrow()
+    return _added(row["cells"].to_pylist(), map(zlib.decompress, row["sums"].to_pylist()), size).reshape(shape)
 
 
 def _curvature(part, total: np.ndarray) -> None:
