@@ -47,6 +47,9 @@ LOOKUP_MAX_ROWS = 4_000_000
 LOOKUP_MAX_BYTES = 256 << 20
 HOT_ITEMS = 200_000
 CHUNK_TOKENS = 1 << 20
+# Rows of an input join that one task sorts; beyond them both sides are dealt out by the
+# join key into as many partitions as that asks for.
+JOIN_ROWS_PER_PARTITION = 1 << 20
 # Most rows one task may merge for an ordered top-k (partitions x k).
 TOPK_MAX_MERGE_ROWS = 2_000_000
 # Buckets of the daily feature table (100 TB: about 24 GB of features a bucket; a

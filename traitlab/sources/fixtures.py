@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from .. import constants as C
 from .tables import TableSet
 
 JOB_DATE = 20180709
@@ -171,10 +172,27 @@ select cast(doc_id as string) as device_id, cast(toxic as double) as label from
 FIXTURE_NAMES = tuple(_RECIPES)
 
 
-def fixture(tables: TableSet, name: str) -> DataFrame:
+# The join keys of recipes that collect the joined rows into lists: merged shuffle
+# partitions (sized by compressed bytes) would be sorted there beyond a task's memory.
+_JOIN_KEYS = {"user_installs": {"orders": "o_orderkey", "lineitem": "l_orderkey"},
+              "user_installs_push": {"orders": "o_orderkey", "lineitem": "l_orderkey"}}
+
+
+def _dealt_out(tables: TableSet, name: str, rows_per_partition: int) -> dict[str, DataFrame]:
+    """The tables a recipe reads; those of a large join by its key, in partitions
+    that hold about ``rows_per_partition`` rows (a count reads file footers only)."""
+    read = {t: tables.table(t) for t in _RECIPES[name][0]}
+    keys = _JOIN_KEYS.get(name, {})
+    n = max((-(-read[t].count() // rows_per_partition) for t in keys), default=1)
+    if n > 1:
+        n = max(n, tables.spark.sparkContext.defaultParallelism)
+        read.update({t: read[t].repartition(n, k) for t, k in keys.items()})
+    return read
+
+
+def fixture(tables: TableSet, name: str, rows_per_partition: int = C.JOIN_ROWS_PER_PARTITION) -> DataFrame:
     """The Spark DataFrame of one derived input view."""
-    reads, spark_sql, _ = _RECIPES[name]
-    return tables.spark.sql(spark_sql, **{t: tables.table(t) for t in reads})
+    return tables.spark.sql(_RECIPES[name][1], **_dealt_out(tables, name, rows_per_partition))
 
 
 def duck_fixture_sql(name: str) -> str:
