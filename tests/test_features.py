@@ -265,3 +265,25 @@ def test_beyond_the_bound_a_frequent_key_is_joined_once_a_chunk(spark):
     path = re.search(r"file:\S*chunks-\w+", df.inputFiles()[0]).group(0)
     assert spark.read.parquet(path).selectExpr("sum(size(key))").first()[0] <= 2 * spark.read.parquet(path).count()
     assert feat.item_stats(df).first()["n_refined"] == 3000
+
+
+def test_beyond_the_bound_most_items_are_sent_and_a_token_takes_few_bytes(spark, monkeypatch):
+    """As many items are sent as the bounds of a lookup allow, and a chunk holds a
+    row's items as small differences, each once."""
+    monkeypatch.setattr(feat.C, "CHUNK_TOKENS", 1 << 14)
+    names = spark.range(3000).selectExpr(
+        "cast(id as string) key", "id idx", "concat('[', id, '_n]_wind_', id, ':1') token")
+    assert feat._hot_items(names, 4000) >= 3000 and feat._hot_items(names, 2500) == 2500
+    assert 0 < feat._hot_items(names, 4000, 100_000) < 3000
+    rng = np.random.default_rng(8)
+    rows = [(f"d{i}", " ".join(f"{k}:1" for k in rng.zipf(1.3, 300) % 3500)) for i in range(300)]
+    installs = spark.createDataFrame(rows, "device_id string, value string").withColumn(
+        "stat_date", F.lit(20180709)).coalesce(1)
+    df = feat.chunk_items(feat.install_rows(installs, 20180709), names, 2500)
+    path = re.search(r"file:\S*chunks-\w+", df.inputFiles()[0]).group(0)
+    chunks = spark.read.parquet(path)
+    n, packed = chunks.selectExpr("sum(aggregate(size, 0L, (a, x) -> a + x))", "sum(octet_length(codes))").first()
+    tokens = feat.install_tokens(installs)
+    assert n == tokens.distinct().count() < tokens.count() and packed < 2 * n
+    key = lambda df: sorted((r["device_id"], [tuple(i) for i in r["items"]]) for r in df.collect())
+    assert key(df) == key(feat.row_items(feat.install_rows(installs, 20180709), names))

@@ -40,12 +40,11 @@ SAMPLE_JOB_DATE = 20180709
 BROADCAST_MAX_ROWS = 2_000_000
 BROADCAST_MAX_BYTES = 64 << 20
 # Bounds of a catalog lookup that every task holds as a whole (about 1.3 times its
-# bytes in each Python worker). Beyond them, the HOT_ITEMS most installed items are
-# held, within the bounds above, and the others are joined to chunks of install rows
+# bytes in each Python worker). Beyond them, as many of the most installed items as the
+# same bounds allow are held, and the others are joined to chunks of install rows
 # with at most CHUNK_TOKENS tokens.
 LOOKUP_MAX_ROWS = 4_000_000
 LOOKUP_MAX_BYTES = 256 << 20
-HOT_ITEMS = 200_000
 CHUNK_TOKENS = 1 << 20
 # Rows of an input join that one task sorts; beyond them both sides are dealt out by the
 # join key into as many partitions as that asks for.

@@ -23,7 +23,7 @@ from ..functions.text import before_first, split_dropping_trailing
 from ..session import delete_on_exit, scratch_path
 from ..sources.snapshot import dated_scan, not_null
 from .lookup import KeyIndex
-from .sizing import broadcast_if_small, small
+from .sizing import broadcast_if_small, measured, small
 
 # --------------------------------------------------------------------------
 # FEAT-2: encode
@@ -94,8 +94,8 @@ def device_items(tokens: DataFrame, lookup: DataFrame, keys: tuple[str, ...] = (
 
 
 def _indexed(lookup: DataFrame):
-    """(index of the keys, idx, tokens) of a small lookup, to be sent to the executors once."""
-    table = lookup.select("key", "idx", "token").toArrow().combine_chunks()
+    """(index of the keys, idx, tokens) of a small lookup by ascending idx, to be sent to the executors once."""
+    table = lookup.select("key", "idx", "token").toArrow().sort_by("idx").combine_chunks()
     tokens = table["token"]
     return (KeyIndex(table["key"]), table["idx"].to_numpy(),
             pa.concat_arrays(tokens.chunks) if tokens.num_chunks else pa.array([], pa.string()))
@@ -147,20 +147,34 @@ def row_items(rows: DataFrame, lookup: DataFrame) -> DataFrame:
     return rows.select("device_id", "value").mapInArrow(run, _ITEMS)
 
 
-def _hot_items(lookup: DataFrame, limit: int) -> int:
+def _hot_items(lookup: DataFrame, max_rows: int, max_bytes: int = C.LOOKUP_MAX_BYTES) -> int:
     """How many of the most installed items (they have the lowest indexes) are
-    sent to all tasks."""
-    while limit and not small(lookup.where(F.col("idx") < limit)):
-        limit //= 2
+    sent to all tasks: as many as the bounds of a lookup held as a whole allow."""
+    rows, total = measured(lookup)
+    limit = min(max_rows, rows * max_bytes // max(total, 1))
+    while limit and not small(lookup.where(F.col("idx") < limit), max_rows, max_bytes):
+        limit -= limit // 8 + 1
     return limit
 
 
-def chunk_items(rows: DataFrame, lookup: DataFrame, max_hot: int = C.HOT_ITEMS) -> DataFrame:
+def _packed(codes: np.ndarray) -> bytes:
+    """Whole numbers as the compressed byte planes of their differences."""
+    planes = np.diff(codes, prepend=0).astype("<i4").view(np.uint8).reshape(-1, 4).T
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(packed: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(packed, 4 * n, codec="zstd"), np.uint8).reshape(4, n)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<i4").ravel(), dtype=np.int64)
+
+
+def chunk_items(rows: DataFrame, lookup: DataFrame, max_hot: int = C.LOOKUP_MAX_ROWS) -> DataFrame:
     """(device_id, items) as :func:`row_items` gives them, for a lookup of any size.
 
     The most installed items are sent to all tasks and matched in place. Rows
     are packed into chunks of at most ``CHUNK_TOKENS`` tokens, in which a token
-    is a number: of an item sent, or of one of the chunk's other keys. The chunks
+    is a number: of one of the chunk's keys that were not sent, or of an item sent;
+    a row's numbers ascend, each once, and are held as differences. The chunks
     are written once; each of their other keys, once a chunk, meets the rest of
     the catalog in a shuffle join, and the items found return to their chunk.
     So no row is taken apart, and a frequent key is at most once in a chunk.
@@ -168,7 +182,7 @@ def chunk_items(rows: DataFrame, lookup: DataFrame, max_hot: int = C.HOT_ITEMS)
     spark = rows.sparkSession
     limit = _hot_items(lookup, max_hot)
     shared = spark.sparkContext.broadcast(_indexed(lookup.where(F.col("idx") < limit)))
-    schema = "chunk long, device_id array<string>, size array<int>, item array<int>, key array<string>"
+    schema = "chunk long, device_id array<string>, size array<int>, codes binary, key array<string>"
 
     def pack(batches):
         index, chunk = shared.value[0], TaskContext.get().partitionId() << 33
@@ -180,13 +194,21 @@ def chunk_items(rows: DataFrame, lookup: DataFrame, max_hot: int = C.HOT_ITEMS)
                 done = int(ends[row - 1]) if row else 0
                 stop = max(row + 1, int(np.searchsorted(ends, done + C.CHUNK_TOKENS, "right")))
                 own = keys.slice(done, int(ends[stop - 1]) - done)
-                item = index.find(own)
-                other = pc.filter(own, pa.array(item < 0)).dictionary_encode()
-                item[item < 0] = -1 - other.indices.to_numpy(zero_copy_only=False)
+                code = index.find(own)
+                other = pc.filter(own, pa.array(code < 0)).dictionary_encode()
+                sent = code >= 0
+                code[sent] += len(other.dictionary)
+                code[~sent] = other.indices.to_numpy(zero_copy_only=False)
+                of = np.repeat(np.arange(stop - row), size[row:stop])
+                order = np.lexsort((code, of))
+                code, of = code[order], of[order]
+                new = np.ones(len(code), bool)
+                new[1:] = (code[1:] != code[:-1]) | (of[1:] != of[:-1])
+                kept = np.bincount(of[new], minlength=stop - row).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([chunk], pa.int64()), one(batch.column(0).slice(row, stop - row)),
-                     one(pa.array(size[row:stop].astype(np.int32))), one(pa.array(item.astype(np.int32))),
-                     one(other.dictionary)], names=["chunk", "device_id", "size", "item", "key"])
+                    [pa.array([chunk], pa.int64()), one(batch.column(0).slice(row, stop - row)), one(pa.array(kept)),
+                     pa.array([_packed(code[new])], pa.binary()), one(other.dictionary)],
+                    names=["chunk", "device_id", "size", "codes", "key"])
                 chunk, row = chunk + 1, stop
 
     path = delete_on_exit(spark, scratch_path(spark, f"chunks-{uuid.uuid4().hex}"))
@@ -202,19 +224,22 @@ def chunk_items(rows: DataFrame, lookup: DataFrame, max_hot: int = C.HOT_ITEMS)
         if not chunk.num_rows:
             return pa.table({"device_id": pa.array([], pa.string()),
                              "items": pa.array([], pa.list_(pa.struct([("idx", pa.int64()), ("token", pa.string())])))})
-        devices, size, item = (pa.concat_arrays(chunk[c].chunks).flatten() for c in ("device_id", "size", "item"))
-        size, item = size.to_numpy(), item.to_numpy().astype(np.int64)
-        # the items found follow those sent
-        place = np.full(max(-int(item.min(initial=0)), 1), -1, np.int64)
-        place[found["pos"].to_numpy()] = len(idx) + np.arange(found.num_rows)
-        item[item < 0] = place[-1 - item[item < 0]]
-        of, hit = np.repeat(np.arange(len(size)), size), item >= 0
-        items = _item_lists(len(size), item[hit], of[hit], np.concatenate([idx, found["idx"].to_numpy()]),
-                            pa.concat_arrays([tokens, *found["token"].chunks]))
+        devices, size = (pa.concat_arrays(chunk[c].chunks).flatten() for c in ("device_id", "size"))
+        size, n_keys = size.to_numpy(), chunk["n_keys"][0].as_py()
+        code = _unpacked(chunk["codes"][0].as_py(), int(size.sum()))
+        # the items found follow those sent that the chunk has
+        sent = code >= n_keys
+        used, item = np.unique(code[sent] - n_keys, return_inverse=True)
+        place = np.full(n_keys, -1, np.int64)
+        place[found["pos"].to_numpy()] = len(used) + np.arange(found.num_rows)
+        code[sent], code[~sent] = item, place[code[~sent]]
+        of, hit = np.repeat(np.arange(len(size)), size), code >= 0
+        items = _item_lists(len(size), code[hit], of[hit], np.concatenate([idx[used], found["idx"].to_numpy()]),
+                            pa.concat_arrays([tokens.take(pa.array(used)), *found["token"].chunks]))
         return pa.table({"device_id": devices, "items": items})
 
-    return (chunks.drop("key").groupBy("chunk").cogroup(found.groupBy("to"))
-            .applyInArrow(fill, _ITEMS))
+    return (chunks.select("chunk", "device_id", "size", "codes", F.size("key").alias("n_keys"))
+            .groupBy("chunk").cogroup(found.groupBy("to")).applyInArrow(fill, _ITEMS))
 
 
 def items_of(installs: DataFrame, job_date: int | None, lookup: DataFrame,
@@ -228,7 +253,7 @@ def items_of(installs: DataFrame, job_date: int | None, lookup: DataFrame,
     rows = install_rows(installs, job_date)
     if small(lookup, max_lookup_rows, C.LOOKUP_MAX_BYTES):
         return row_items(rows, lookup)
-    return chunk_items(rows, lookup, min(max_lookup_rows, C.HOT_ITEMS))
+    return chunk_items(rows, lookup, max_lookup_rows)
 
 
 def encode(items: DataFrame) -> DataFrame:
