@@ -32,6 +32,8 @@ from .subwords import VOCABULARY, encoder
 END_ID = 0
 # A block is closed once it holds this many ids.
 BLOCK_IDS = 1 << 16
+# Bytes of text encoded at a time: each time, all units met before are indexed anew.
+CHUNK_BYTES = 8 << 20
 
 
 def write_tokens(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text",
@@ -67,7 +69,7 @@ def write_tokens(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str =
                                  ("doc_ids", pa.list_(batch.schema.field(0).type)),
                                  ("lengths", pa.list_(pa.int64())), ("data", pa.binary())])
             docs_here = batch.column(0).to_pylist()
-            for row, ids, offsets in coder.chunks(batch.column(1)):
+            for row, ids, offsets in coder.chunks(batch.column(1), chunk_bytes=CHUNK_BYTES):
                 for n in range(len(offsets) - 1):
                     own = np.append(ids[offsets[n]:offsets[n + 1]], np.uint16(END_ID))
                     docs_held.append(docs_here[row + n])
