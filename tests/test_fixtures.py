@@ -2,14 +2,12 @@
 
 import pytest
 
-from conftest import SF001
 from traitlab.sources import fixtures
-from traitlab.sources.tables import TableSet
 
 
 @pytest.mark.parametrize("name", ["user_installs", "user_installs_push"])
-def test_large_joins_are_dealt_out_by_rows(spark, name):
-    tables = TableSet(spark, SF001)
+def test_large_joins_are_dealt_out_by_rows(ctx001, name):
+    tables = ctx001.tables
     plain, dealt = fixtures.fixture(tables, name), fixtures.fixture(tables, name, rows_per_partition=500)
     plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
     assert "Repartition" not in plan(plain)
